@@ -51,3 +51,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def materialize(df, eager: bool = True):
+    """Cut the lineage by writing ``df`` to the shared checkpoint folder
+    (reliable checkpoint: survives executor loss, unlike local checkpoints)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
