@@ -65,11 +65,11 @@ def route_ratios(df: DataFrame, use_raw_haversine: bool = False,
 
 def route_error(df: DataFrame) -> DataFrame:
     """Route vs metered error, absolute and percent, for distance and time."""
+    rd, rt = F.col("route_distance_m").cast("double"), F.col("route_duration_s").cast("double")
+    d, t = F.col("Real_distance").cast("double"), F.col("Real_time").cast("double")
     return df.withColumns({
-        "dist_err_m": F.col("route_distance_m") - F.col("Real_distance"),
-        "dist_err_pct": safe_div(F.abs(F.col("route_distance_m") - F.col("Real_distance")) * 100.0,
-                                 F.col("Real_distance")),
-        "time_err_s": F.col("route_duration_s") - F.col("Real_time"),
-        "time_err_pct": safe_div(F.abs(F.col("route_duration_s") - F.col("Real_time")) * 100.0,
-                                 F.col("Real_time")),
+        "dist_err_m": rd - d,
+        "dist_err_pct": safe_div(F.abs(rd - d) * 100.0, d),
+        "time_err_s": rt - t,
+        "time_err_pct": safe_div(F.abs(rt - t) * 100.0, t),
     })
