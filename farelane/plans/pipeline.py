@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelane.config import IMPUTER_COLUMNS, SCALED_COLUMNS, OutlierRules
+from farelane.config import IMPUTER_COLUMNS, ROUTE_SCALED_COLUMNS, SCALED_COLUMNS, OutlierRules
 from farelane.operators import clean, features, prep
 
 
@@ -18,6 +18,13 @@ def ingest(raw: DataFrame) -> DataFrame:
     return clean.coordinates_in_range(clean.to_datetime(clean.nan_to_nulls(raw)))
 
 
+def ingest_requests(requests: DataFrame, ts: str = "Trip_Pickup_DateTime") -> DataFrame:
+    """Request rows: NaN -> null; the pickup time is parsed leniently and a
+    missing or invalid one becomes the current time."""
+    df = clean.to_datetime(clean.nan_to_nulls(requests), [ts])
+    return df.withColumn(ts, F.coalesce(F.col(ts), F.current_timestamp().cast("timestamp_ntz")))
+
+
 def clean_trips(raw: DataFrame, rules: OutlierRules = OutlierRules()) -> DataFrame:
     return clean.filter_outliers(ingest(raw), rules)
 
@@ -46,3 +53,44 @@ def feature_table(raw: DataFrame, split_col: str | None = "split", fit_on: str =
                                  SCALED_COLUMNS, method)
     out = features.passenger_scale(prep.transform_scaler(feats, scaler))
     return out, scaler, imputer
+
+
+def processed_table(split_raw: DataFrame, provider=None, routes: DataFrame | None = None,
+                    artefacts: dict | None = None, rules: OutlierRules = OutlierRules()):
+    """Feature table with route features: clean -> features -> scale ->
+    routes -> route filter -> ratios -> route scaling.
+
+    Params are fitted on ``split == 'train'`` unless ``artefacts`` (dicts from
+    a previous run) are given.  Returns (table, artefacts as dicts)."""
+    from farelane.operators import routes as R
+    a = dict(artefacts or {})
+    feats, scaler, imputer = feature_table(split_raw, "split", "train", "standard", rules,
+                                           scaler=a.get("scaler"), imputer=a.get("imputer"))
+    a["scaler"] = scaler if isinstance(scaler, dict) else prep.params_dict(scaler)
+    a["imputer"] = imputer if isinstance(imputer, dict) else prep.params_dict(imputer)
+    if routes is None:
+        routes = R.fetch_routes(R.route_keys(feats), provider or R.taxicab_provider)
+    t = features.route_ratios(R.route_filter(R.join_routes(feats, routes)))
+    if "route_scaler" not in a:
+        a["route_scaler"] = prep.params_dict(prep.fit_scaler(
+            t.filter(F.col("split") == "train"), ROUTE_SCALED_COLUMNS, "standard", artefact="route_scaler"))
+    return prep.transform_scaler(t, a["route_scaler"]), a
+
+
+def score_features(requests: DataFrame, artefacts: dict, routes: DataFrame | None = None,
+                   provider=None) -> DataFrame:
+    """Request rows -> model features with stored params, no outlier rules:
+    haversine -> impute -> time -> POI -> scale -> passengers -> routes ->
+    ratios -> route scale.  Row-wise except the route lookup, so a streaming
+    DataFrame works with a static routes table (stream-static join)."""
+    from farelane.operators import routes as R
+    from farelane.functions.columns import as_float, haversine_m
+    df = requests.withColumn("haversine_distance_m", as_float(haversine_m("Start_Lat", "Start_Lon",
+                                                                           "End_Lat", "End_Lon")))
+    df = prep.transform_imputer(df, artefacts["imputer"])
+    df = features.poi_distances(features.time_features(df))
+    df = features.passenger_scale(prep.transform_scaler(df, artefacts["scaler"]))
+    if routes is None:
+        routes = R.fetch_routes(R.route_keys(df), provider or R.taxicab_provider)
+    df = features.route_ratios(R.join_routes(df, routes))
+    return prep.transform_scaler(df, artefacts["route_scaler"])
