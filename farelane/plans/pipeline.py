@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from farelane.config import IMPUTER_COLUMNS, ROUTE_SCALED_COLUMNS, SCALED_COLUMNS, OutlierRules
 from farelane.operators import clean, features, prep
+from farelane.session import materialize
 
 
 def ingest(raw: DataFrame) -> DataFrame:
@@ -68,6 +69,9 @@ def processed_table(split_raw: DataFrame, provider=None, routes: DataFrame | Non
                                            scaler=a.get("scaler"), imputer=a.get("imputer"))
     a["scaler"] = scaler if isinstance(scaler, dict) else prep.params_dict(scaler)
     a["imputer"] = imputer if isinstance(imputer, dict) else prep.params_dict(imputer)
+    # stage boundary (the processed table): cuts the lineage before the route
+    # join so later stages neither recompute nor fuse the whole feature chain
+    feats = materialize(feats)
     if routes is None:
         routes = R.fetch_routes(R.route_keys(feats), provider or R.taxicab_provider)
     t = features.route_ratios(R.route_filter(R.join_routes(feats, routes)))

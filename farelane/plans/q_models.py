@@ -25,7 +25,7 @@ TARGET = "Fare_Amt"
 
 
 def processed(spark, sf):
-    raw = S.split_train_val_test(pipeline.ingest(load_monthly_trips(spark, sf)))
+    raw = materialize(S.split_train_val_test(pipeline.ingest(load_monthly_trips(spark, sf))))
     t, art = pipeline.processed_table(raw)
     t = ML.training_frame(t, TARGET)
     return materialize(t), art
