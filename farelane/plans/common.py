@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
     """Normalise output types for engine-independent comparison: floating
-    columns -> rounded double, integral -> bigint, timestamps -> epoch micros."""
+    columns -> rounded double, integral -> bigint, timestamps -> 'yyyy-MM-dd HH:mm:ss.ffffff' strings."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -19,6 +19,6 @@ def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
         elif isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("long")
         elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-            c = F.unix_micros(c.cast("timestamp"))
+            c = F.date_format(c.cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
         cols.append(c.alias(f.name))
     return df.select(*cols)

@@ -27,8 +27,8 @@ def trips_clean(spark, sf):
 
 Q["trips_clean"] = trips_clean
 SQL["trips_clean"] = f"""WITH {clean_ctes()}
-SELECT trip_id, epoch_us(Trip_Pickup_DateTime) AS Trip_Pickup_DateTime,
-  epoch_us(Trip_Dropoff_DateTime) AS Trip_Dropoff_DateTime,
+SELECT trip_id, strftime(Trip_Pickup_DateTime, '%Y-%m-%d %H:%M:%S.%f') AS Trip_Pickup_DateTime,
+  strftime(Trip_Dropoff_DateTime, '%Y-%m-%d %H:%M:%S.%f') AS Trip_Dropoff_DateTime,
   round(CAST(Passenger_Count AS DOUBLE), 6) AS Passenger_Count,
   round(CAST(Start_Lon AS DOUBLE), 6) AS Start_Lon, round(CAST(Start_Lat AS DOUBLE), 6) AS Start_Lat,
   round(CAST(End_Lon AS DOUBLE), 6) AS End_Lon, round(CAST(End_Lat AS DOUBLE), 6) AS End_Lat,
