@@ -49,44 +49,59 @@ def quantiles(df: DataFrame, columns, probs, group_cols=(), accuracy: int = 2000
         F.percentile_approx("x", F.array(*[F.lit(v) for v in highs]), accuracy).alias("_hi"),
     )
     p_arr = F.array(*[F.lit(p) for p in probs])
+    # the stats are tiny (one row per key): decide the path per key here
+    rows = stats.collect()
+    spark = df.sparkSession
+    small_rows = [r for r in rows if r["_n"] <= small_limit]
+    big_rows = [r for r in rows if r["_n"] > small_limit]
+    parts = []
 
     # -- few rows per key: Spark's exact percentile (bounded buffer) ----------
-    small_keys = stats.filter(F.col("_n") <= small_limit).select(*keys)
-    small = (long.join(F.broadcast(small_keys), keys)
-             .groupBy(*keys).agg(F.percentile("x", p_arr).alias("_v"))
-             .select(*keys, F.posexplode(F.arrays_zip(p_arr.alias("p"), F.col("_v").alias("value"))))
-             .select(*keys, "col.p", "col.value"))
+    if small_rows:
+        src = long
+        if big_rows:
+            sk = spark.createDataFrame([tuple(r[k] for k in keys) for r in small_rows], long.select(*keys).schema)
+            src = long.join(F.broadcast(sk), keys)
+        parts.append(src.groupBy(*keys).agg(F.percentile("x", p_arr).alias("_v"))
+                     .select(*keys, F.posexplode(F.arrays_zip(p_arr.alias("p"), F.col("_v").alias("value"))))
+                     .select(*keys, "col.p", "col.value"))
 
     # -- many rows per key: bracket and rank --------------------------------
-    big = stats.filter(F.col("_n") > small_limit)
-    j = long.join(F.broadcast(big), keys)
-    m = len(probs)
-    hist = (j.withColumn("_k", F.size(F.filter("_lo", lambda l: l <= F.col("x"))))
-             .groupBy(*keys, "_k").count()
-             .groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_k", "count"))).alias("_h")))
-    in_bracket = F.filter(F.sequence(F.lit(0), F.lit(m - 1)),
-                          lambda i: (F.col("x") >= F.element_at("_lo", i + 1))
-                          & (F.col("x") <= F.element_at("_hi", i + 1)))
-    w = Window.partitionBy(*keys, "_i").orderBy("x")
-    ranked = (j.select(*keys, "x", F.explode(in_bracket).alias("_i"))
-               .withColumn("_rn", F.row_number().over(w) - 1))
-    targets = (big.join(hist, keys)
-               .select(*keys, "_n", "_h", F.posexplode(p_arr).alias("_i", "p"))
-               .withColumn("_below", F.aggregate(F.sequence(F.lit(0), F.col("_i")), F.lit(0).cast("long"),
-                                                 lambda acc, k: acc + F.coalesce(F.element_at("_h", k), F.lit(0))))
-               .withColumn("_pos", F.col("p") * (F.col("_n") - 1))
-               .withColumn("_lo_r", F.floor("_pos"))
-               .withColumn("_hi_r", F.least(F.col("_lo_r") + 1, F.col("_n") - 1))
-               .withColumn("_frac", F.col("_pos") - F.col("_lo_r")))
-    picked = (targets.join(ranked, keys + ["_i"])
-              .filter((F.col("_rn") == F.col("_lo_r") - F.col("_below"))
-                      | (F.col("_rn") == F.col("_hi_r") - F.col("_below")))
-              .groupBy(*keys, "p", "_frac", "_lo_r", "_below")
-              .agg(F.max(F.when(F.col("_rn") == F.col("_lo_r") - F.col("_below"), F.col("x"))).alias("_vlo"),
-                   F.max(F.when(F.col("_rn") == F.col("_hi_r") - F.col("_below"), F.col("x"))).alias("_vhi")))
-    big_out = picked.select(*keys, "p",
-                            (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("value"))
-    return small.unionByName(big_out)
+    if big_rows:
+        big = spark.createDataFrame([r.asDict() for r in big_rows], stats.schema)
+        j = long.join(F.broadcast(big), keys)
+        m = len(probs)
+        hist = (j.withColumn("_k", F.size(F.filter("_lo", lambda l: l <= F.col("x"))))
+                 .groupBy(*keys, "_k").count()
+                 .groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_k", "count"))).alias("_h")))
+        in_bracket = F.filter(F.sequence(F.lit(0), F.lit(m - 1)),
+                              lambda i: (F.col("x") >= F.element_at("_lo", i + 1))
+                              & (F.col("x") <= F.element_at("_hi", i + 1)))
+        w = Window.partitionBy(*keys, "_i").orderBy("x")
+        ranked = (j.select(*keys, "x", F.explode(in_bracket).alias("_i"))
+                   .withColumn("_rn", F.row_number().over(w) - 1))
+        targets = (big.join(hist, keys)
+                   .select(*keys, "_n", "_h", F.posexplode(p_arr).alias("_i", "p"))
+                   .withColumn("_below", F.aggregate(F.sequence(F.lit(0), F.col("_i")), F.lit(0).cast("long"),
+                                                     lambda acc, k: acc + F.coalesce(F.element_at("_h", k), F.lit(0))))
+                   .withColumn("_pos", F.col("p") * (F.col("_n") - 1))
+                   .withColumn("_lo_r", F.floor("_pos"))
+                   .withColumn("_hi_r", F.least(F.col("_lo_r") + 1, F.col("_n") - 1))
+                   .withColumn("_frac", F.col("_pos") - F.col("_lo_r")))
+        picked = (targets.join(ranked, keys + ["_i"])
+                  .filter((F.col("_rn") == F.col("_lo_r") - F.col("_below"))
+                          | (F.col("_rn") == F.col("_hi_r") - F.col("_below")))
+                  .groupBy(*keys, "p", "_frac", "_lo_r", "_below")
+                  .agg(F.max(F.when(F.col("_rn") == F.col("_lo_r") - F.col("_below"), F.col("x"))).alias("_vlo"),
+                       F.max(F.when(F.col("_rn") == F.col("_hi_r") - F.col("_below"), F.col("x"))).alias("_vhi")))
+        parts.append(picked.select(*keys, "p",
+                                   (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("value")))
+    if not parts:
+        return spark.createDataFrame([], long.select(*keys).schema.add("p", "double").add("value", "double"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def quantile_value(df: DataFrame, column: str, p: float, **kw) -> float | None:

@@ -173,22 +173,33 @@ def quantile_bins(df: DataFrame, target: str = "Fare_Amt", n_bins: int = 50,
 
 
 def bin_quotas(df: DataFrame, n_samples: int, bin_col: str = "bin") -> dict[int, int]:
-    """Quota per bin = half-even round(bin share * n), share over all rows
-    (rows without a bin count in the total but get no quota)."""
-    rows = df.groupBy(bin_col).count().collect()
-    total = sum(r["count"] for r in rows)
-    return {r[bin_col]: min(r["count"], int(round(r["count"] / total * n_samples)))
-            for r in rows if r[bin_col] is not None}
+    return quotas_from_counts(bin_counts(df, bin_col), n_samples)
+
+
+def bin_counts(df: DataFrame, bin_col: str = "bin") -> dict:
+    """Rows per bin (null bin included): a few dozen rows to the driver."""
+    return {r[bin_col]: r["count"] for r in df.groupBy(bin_col).count().collect()}
+
+
+def quotas_from_counts(counts: dict, n_samples: int) -> dict:
+    """Quota per bin = half-even round(bin share * n), capped by the bin size;
+    the share is over all rows (rows without a bin count in the total but get
+    no quota)."""
+    total = sum(counts.values())
+    return {b: min(c, int(round(c / total * n_samples))) for b, c in counts.items() if b is not None}
 
 
 def stratified_sample(df: DataFrame, target: str = "Fare_Amt", n_samples: int = 600_000,
                       n_bins: int = 50, seed: int = 42, key: str = "trip_id") -> DataFrame:
     binned = quantile_bins(df, target, n_bins, out="_bin")
-    return sample_by_quota(binned, "_bin", bin_quotas(binned, n_samples, "_bin"), seed, key).drop("_bin")
+    counts = bin_counts(binned, "_bin")
+    quotas = quotas_from_counts(counts, n_samples)
+    sizes = {b: c for b, c in counts.items() if b is not None}
+    return sample_by_quota(binned, "_bin", quotas, seed, key, sizes).drop("_bin")
 
 
 def sample_by_quota(df: DataFrame, group_col: str, quotas: dict, seed: int = 42,
-                    key: str = "trip_id") -> DataFrame:
+                    key: str = "trip_id", sizes: dict | None = None) -> DataFrame:
     """Per group, the ``quota`` rows with the smallest (hash, key).
 
     The hash is uniform, so the quota-th smallest value in a group of ``n``
@@ -199,8 +210,9 @@ def sample_by_quota(df: DataFrame, group_col: str, quotas: dict, seed: int = 42,
         return df.limit(0)
     u = hash_unit(key, seed)
     d = df.withColumn("_u", u)
-    sizes = {r[group_col]: r["count"] for r in d.groupBy(group_col).count().collect()
-             if r[group_col] is not None}
+    if sizes is None:
+        sizes = {r[group_col]: r["count"] for r in d.groupBy(group_col).count().collect()
+                 if r[group_col] is not None}
     width = 6.0
     for _ in range(6):
         lo, hi = {}, {}

@@ -45,6 +45,9 @@ def feature_table(raw: DataFrame, split_col: str | None = "split", fit_on: str =
     Params are fitted on ``split_col == fit_on`` unless given (transform-only
     reuse in later runs)."""
     cleaned = clean_trips(raw, rules)
+    if imputer is None or scaler is None:
+        # the fits and the transform all read the cleaned stage: write it once
+        cleaned = materialize(cleaned)
     train = cleaned.filter(F.col(split_col) == fit_on) if split_col else cleaned
     if imputer is None:
         imputer = prep.fit_imputer(train, IMPUTER_COLUMNS)

@@ -11,10 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over the cores when it has fewer input splits than
+    cores (a single-row-group file); a no-op for large, many-file inputs."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """Parquet scan with column projection pushed into the reader."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    return spread(df.select(*columns) if columns else df)
 
 
 # Trip table derived from events.  The modular arithmetic plants nulls, zero
