@@ -15,6 +15,17 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def evaluate_once(df):
+    """Make every column of ``df`` a materialised attribute for later filters.
+
+    Catalyst substitutes a projected expression into each filter or aggregate
+    that references it (a derived distance used by five rules is computed five
+    times per row, and the filter is pushed below any repartition).  A
+    one-element ``inline`` turns the columns into generator output, which
+    filters cannot be pushed beneath, so each expression runs once per row."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+
+
 # -- units -----------------------------------------------------------------
 def km_to_m(km: float) -> float:
     return km * 1000.0

@@ -16,9 +16,9 @@ from pyspark.sql import types as T
 
 from farelane.config import (DATETIME_COLUMNS, NOT_NULL_COLUMNS, NUMERIC_COLUMNS,
                              OutlierRules)
-from farelane.functions.columns import (as_float, days_to_s, elapsed_seconds, haversine_m,
-                                        km_to_m, kmh_to_ms, min_to_s, miles_to_m, nan_to_null,
-                                        safe_div)
+from farelane.functions.columns import (as_float, days_to_s, elapsed_seconds, evaluate_once,
+                                        haversine_m, km_to_m, kmh_to_ms, min_to_s, miles_to_m,
+                                        nan_to_null, safe_div)
 
 PICKUP, DROPOFF = "Trip_Pickup_DateTime", "Trip_Dropoff_DateTime"
 COORDS = ("Start_Lat", "Start_Lon", "End_Lat", "End_Lon")
@@ -83,6 +83,9 @@ def with_trip_measures(df: DataFrame) -> DataFrame:
     )
 
 
+SOURCE_RULES = {"required_not_null", "passengers_in_1_10", "distance_positive"}
+
+
 def outlier_predicates(rules: OutlierRules = OutlierRules()) -> list[tuple[str, Column]]:
     """Ordered (name, predicate) list over a frame from ``with_trip_measures``."""
     rt = F.col("Real_time")
@@ -118,8 +121,12 @@ def filter_outliers(df: DataFrame, rules: OutlierRules = OutlierRules(),
                     keep: list[str] | None = None) -> DataFrame:
     """Drop rows failing any rule; returns the cleaned trips with the float32
     measure columns ``Real_time``, ``Real_distance``, ``haversine_distance_m``."""
-    m = with_trip_measures(df)
-    m = m.filter(_and([p for _, p in outlier_predicates(rules)]))
+    preds = outlier_predicates(rules)
+    # rules on source columns first: plain comparisons Catalyst pushes into the scan
+    src = df.filter(_and([p for n, p in preds if n in SOURCE_RULES]))
+    # derived measures computed once per row, then the rules on them
+    m = evaluate_once(with_trip_measures(src))
+    m = m.filter(_and([p for n, p in preds if n not in SOURCE_RULES]))
     float_cols = ["Passenger_Count", "Fare_Amt", "Total_Amt", "Real_time", "Real_distance",
                   "Start_Lon", "Start_Lat", "End_Lon", "End_Lat"]
     m = m.withColumns({c: as_float(c) for c in float_cols})
@@ -133,7 +140,7 @@ def waterfall(df: DataFrame, rules: OutlierRules = OutlierRules(),
               with_range: bool = True) -> DataFrame:
     """Rows left after each rule in turn, as ``(step, rule, rows)``, from a
     single aggregation (one scan, partial counts combined map-side)."""
-    m = with_trip_measures(df)
+    m = evaluate_once(with_trip_measures(df))
     steps: list[tuple[str, Column]] = [("all", F.lit(True))]
     if with_range:
         steps.append(("coordinates_in_range", coordinate_range_predicate()))
