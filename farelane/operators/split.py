@@ -113,14 +113,16 @@ def half_split(df: DataFrame, ts: str = PICKUP, key: str = "trip_id", out: str =
         F.floor(F.expr(f"unix_micros(CAST(`{ts}` AS TIMESTAMP))") / 1_000_000)).cast("long")
     d = df.withColumn("_sec", sec)
     hist = d.groupBy("_sec").count()
-    n = hist.agg(F.sum("count")).first()[0] or 0
-    half = n // 2
-    if half == 0:
-        return df.withColumn(out, F.lit(second))
+    # one small job over the histogram: running count, total, and the cut second
     w = Window.orderBy("_sec").rowsBetween(Window.unboundedPreceding, 0)
-    cut = (hist.withColumn("_cum", F.sum("count").over(w))
+    w_all = Window.orderBy("_sec").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    half = F.floor(F.col("_n") / 2)
+    cut = (hist.withColumn("_cum", F.sum("count").over(w)).withColumn("_n", F.sum("count").over(w_all))
                .filter((F.col("_cum") >= half) & (F.col("_cum") - F.col("count") < half))
-               .first())
+               .withColumn("_half", half).first())
+    if cut is None:                       # fewer than two rows: nothing goes first
+        return df.withColumn(out, F.lit(second))
+    half = cut["_half"]
     cut_sec, need = cut["_sec"], half - (cut["_cum"] - cut["count"])
     wr = Window.orderBy(F.col(ts).asc_nulls_last(), F.col(key))
     last = (d.filter(F.col("_sec") == cut_sec)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -53,8 +54,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
-def materialize(df, eager: bool = True):
-    """Cut the lineage by writing ``df`` to the shared checkpoint folder
-    (reliable checkpoint: survives executor loss, unlike local checkpoints)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def materialize(df):
+    """Cut the lineage: write ``df`` as a Parquet table under the shared
+    checkpoint folder and read it back.  One pass (``Dataset.checkpoint``
+    computes its input twice unless cached), columnar on disk, and it survives
+    executor loss, unlike local checkpoints."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/farelane-stage-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
