@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from farelane.config import COLUMN_ALIASES, NUMERIC_COLUMNS, REQUIRED_COLUMNS, STRING_COLUMNS
 
-MONTH_PATTERN = r"(\d{4})-(\d{2})\.parquet$"
+MONTH_PATTERN = r"(\d{4})-(\d{2})\.parquet"
 
 
 def read_trip_files(spark: SparkSession, path: str, columns: list[str] | None = None,
