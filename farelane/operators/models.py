@@ -91,3 +91,12 @@ def feature_importances(spark: SparkSession, model: PipelineModel, features: lis
     df = spark.createDataFrame([(f, float(v)) for f, v in zip(features, imp)], "feature string, importance double")
     df = df.orderBy(F.col("importance").desc(), F.col("feature"))
     return df.limit(top) if top else df
+
+
+def fit_with_validation(df: DataFrame, features: list[str], label: str, is_val: str = "is_val",
+                        params: dict | None = None, prediction: str = "prediction") -> PipelineModel:
+    """Boosted trees that watch a validation subset (rows with ``is_val``
+    true) and stop adding trees once its error stops improving."""
+    p = dict(params or ModelParams().gbt_a)
+    p["validationIndicatorCol"] = is_val
+    return fit(df, "gbt_a", features, label, p, prediction)

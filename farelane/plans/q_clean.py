@@ -249,3 +249,28 @@ FROM feats f, st s"""
 
 Q["feature_table"] = feature_table
 SQL["feature_table"] = _feature_table_sql()
+
+
+def audit_many_passengers(spark, sf):
+    """Ingested trips with ten or more passengers."""
+    return comparable(clean.audit_many_passengers(_ingested(spark, sf), 10).select("trip_id", "Passenger_Count"))
+
+
+Q["audit_many_passengers"] = audit_many_passengers
+SQL["audit_many_passengers"] = f"""WITH trips AS ({TRIPS_SQL})
+SELECT trip_id, round(Passenger_Count, 6) AS Passenger_Count FROM trips
+WHERE {COORD_RANGE} AND Passenger_Count >= 10"""
+
+
+def audit_ratio_pair(spark, sf):
+    """Trips (after the basic rules) hit by the stricter (ratio 6, 0.2 km) pair."""
+    m = clean.with_trip_measures(_ingested(spark, sf))
+    return comparable(clean.audit_ratio_pair(m, 6.0, 0.2).select("trip_id", "ratio_haversine_real"))
+
+
+Q["audit_ratio_pair"] = audit_ratio_pair
+SQL["audit_ratio_pair"] = f"""WITH trips AS ({TRIPS_SQL}),
+ranged AS (SELECT * FROM trips WHERE {COORD_RANGE}),
+measured AS (SELECT *, {ratio_expr()} AS ratio_haversine_real FROM {measures_cte('ranged')})
+SELECT trip_id, round(CAST(ratio_haversine_real AS DOUBLE), 6) AS ratio_haversine_real
+FROM measured WHERE ratio_haversine_real > 6 AND Real_distance > 200"""

@@ -94,5 +94,15 @@ def score_trips(spark, sf):
     return ML.predict(model, f).select("trip_id", F.round("prediction", 2).alias("fare"))
 
 
+def gbt_validation_watch(spark, sf):
+    """Boosted trees on train + val rows, watching the val rows (early stop)."""
+    t, _ = processed(spark, sf)
+    feats = ML.feature_columns(t, TARGET)
+    tv = t.filter(F.col("split").isin("train", "val")).withColumn("is_val", F.col("split") == "val")
+    model = ML.fit_with_validation(tv, feats, TARGET, "is_val", MP.gbt_a)
+    return ML.predict(model, t.filter(F.col("split") == "test")).select("trip_id", "prediction")
+
+
+Q.update(gbt_validation_watch=gbt_validation_watch)
 Q.update(gbt_predict=gbt_predict, feature_importances=feature_importances, model_selection=model_selection,
          stack_oof=stack_oof, score_trips=score_trips)
