@@ -60,7 +60,8 @@ def feature_table(raw: DataFrame, split_col: str | None = "split", fit_on: str =
 
 
 def processed_table(split_raw: DataFrame, provider=None, routes: DataFrame | None = None,
-                    artefacts: dict | None = None, rules: OutlierRules = OutlierRules()):
+                    artefacts: dict | None = None, rules: OutlierRules = OutlierRules(),
+                    add_routes: bool = True):
     """Feature table with route features: clean -> features -> scale ->
     routes -> route filter -> ratios -> route scaling.
 
@@ -75,6 +76,8 @@ def processed_table(split_raw: DataFrame, provider=None, routes: DataFrame | Non
     # stage boundary (the processed table): cuts the lineage before the route
     # join so later stages neither recompute nor fuse the whole feature chain
     feats = materialize(feats)
+    if not add_routes:
+        return feats, a
     if routes is None:
         routes = R.fetch_routes(R.route_keys(feats), provider or R.taxicab_provider)
     t = features.route_ratios(R.route_filter(R.join_routes(feats, routes)))
