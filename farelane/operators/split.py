@@ -101,40 +101,48 @@ def month_split(df: DataFrame, month_col: str = "month", n_train: int = 2,
 _NULL_SECOND = 2 ** 62
 
 
+def _cut_in_histogram(hist: DataFrame, key: str, target: int):
+    """Row of a (key, count) histogram where the running count first reaches
+    ``target``: (key value, rows needed inside it).  The histogram is bounded
+    by the calendar (one row per distinct second or microsecond)."""
+    w = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    r = (hist.withColumn("_cum", F.sum("count").over(w))
+             .filter((F.col("_cum") >= target) & (F.col("_cum") - F.col("count") < target)).first())
+    return r[key], target - (r["_cum"] - r["count"]), r["count"]
+
+
 def half_split(df: DataFrame, ts: str = PICKUP, key: str = "trip_id", out: str = "split",
                first: str = "val", second: str = "test") -> DataFrame:
     """Order rows by (ts nulls last, key); the first ``n // 2`` rows get
     ``first``, the rest ``second``.
 
-    No global sort: a per-second histogram (one row per distinct second)
-    locates the cut second, the rows of that second alone are ranked, and the
-    label is a predicate on (second, ts, key)."""
-    sec = F.when(F.col(ts).isNull(), F.lit(_NULL_SECOND)).otherwise(
-        F.floor(F.expr(f"unix_micros(CAST(`{ts}` AS TIMESTAMP))") / 1_000_000)).cast("long")
-    d = df.withColumn("_sec", sec)
+    No global sort and no unbounded window: the cut is located level by
+    level, each level a small histogram — seconds, then microseconds within
+    the cut second, then the exact k-th smallest key among rows with the cut
+    timestamp (bounded quantile selection, so even one timestamp holding a
+    third of all rows is split across tasks).  The label is then a predicate
+    on (ts, key)."""
+    us = F.when(F.col(ts).isNull(), F.lit(_NULL_SECOND)).otherwise(
+        F.expr(f"unix_micros(CAST(`{ts}` AS TIMESTAMP))")).cast("long")
+    d = df.withColumn("_us", us).withColumn(
+        "_sec", F.when(F.col("_us") == _NULL_SECOND, F.col("_us")).otherwise(F.floor(F.col("_us") / 1_000_000)))
     hist = d.groupBy("_sec").count()
-    # one small job over the histogram: running count, total, and the cut second
-    w = Window.orderBy("_sec").rowsBetween(Window.unboundedPreceding, 0)
-    w_all = Window.orderBy("_sec").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    half = F.floor(F.col("_n") / 2)
-    cut = (hist.withColumn("_cum", F.sum("count").over(w)).withColumn("_n", F.sum("count").over(w_all))
-               .filter((F.col("_cum") >= half) & (F.col("_cum") - F.col("count") < half))
-               .withColumn("_half", half).first())
-    if cut is None:                       # fewer than two rows: nothing goes first
+    n = hist.agg(F.sum("count")).first()[0] or 0
+    half = n // 2
+    if half == 0:
         return df.withColumn(out, F.lit(second))
-    half = cut["_half"]
-    cut_sec, need = cut["_sec"], half - (cut["_cum"] - cut["count"])
-    wr = Window.orderBy(F.col(ts).asc_nulls_last(), F.col(key))
-    last = (d.filter(F.col("_sec") == cut_sec)
-             .withColumn("_rn", F.row_number().over(wr))
-             .filter(F.col("_rn") == need).select(ts, key).first())
-    cut_ts, cut_key = last[ts], last[key]
-    if cut_ts is None:
-        within = F.col(key) <= F.lit(cut_key)
-    else:
-        within = (F.col(ts) < F.lit(cut_ts)) | ((F.col(ts) == F.lit(cut_ts)) & (F.col(key) <= F.lit(cut_key)))
-    is_first = (F.col("_sec") < cut_sec) | ((F.col("_sec") == cut_sec) & within)
-    return d.withColumn(out, F.when(is_first, first).otherwise(second)).drop("_sec")
+    cut_sec, need, _ = _cut_in_histogram(hist, "_sec", half)
+    in_sec = d.filter(F.col("_sec") == cut_sec)
+    cut_us, need2, ties = _cut_in_histogram(in_sec.groupBy("_us").count(), "_us", need)
+    tied = in_sec.filter(F.col("_us") == cut_us)
+    p = (need2 - 1) / (ties - 1) if ties > 1 else 0.0
+    # the k-th smallest key is an order statistic; p (n - 1) may miss the
+    # integer position by an ulp, so snap the interpolated value back to the
+    # integral key (keys are integers below 2**53)
+    cut_key = int(round(quantiles(tied.select(F.col(key).cast("double").alias("_k")), ["_k"], [p])
+                        .first()["value"]))
+    is_first = (F.col("_us") < cut_us) | ((F.col("_us") == cut_us) & (F.col(key) <= F.lit(cut_key)))
+    return d.withColumn(out, F.when(is_first, first).otherwise(second)).drop("_us", "_sec")
 
 
 def split_train_val_test(df: DataFrame, month_col: str = "month", ts: str = PICKUP,

@@ -104,3 +104,17 @@ def test_month_split_and_findings(spark):
     months = {r["split"]: r["months"] for r in ms.groupBy("split").agg(F.countDistinct("month").alias("months"))
               .collect()}
     assert months == {"train": 2, "valtest": 1}
+
+
+def test_half_split_hot_timestamp_uses_key_order(spark):
+    """Many rows share one timestamp: the cut falls inside the tie and is
+    resolved by key, through the bounded selection path."""
+    ts = dt.datetime(2024, 1, 1, 12, 0, 0, 123456)
+    rows = [(i * 7919 % 100003, ts) for i in range(5001)] + [(10**9 + i, ts + dt.timedelta(seconds=1))
+                                                           for i in range(10)]
+    df = spark.createDataFrame(rows, "trip_id long, Trip_Pickup_DateTime timestamp_ntz")
+    s = S.half_split(df)
+    n = len(rows)
+    val = sorted(r["trip_id"] for r in s.filter(F.col("split") == "val").collect())
+    expect = sorted(k for k, _ in sorted(rows, key=lambda r: (r[1], r[0]))[: n // 2])
+    assert val == expect
