@@ -101,14 +101,25 @@ def month_split(df: DataFrame, month_col: str = "month", n_train: int = 2,
 _NULL_SECOND = 2 ** 62
 
 
-def _cut_in_histogram(hist: DataFrame, key: str, target: int):
+TIE_RANK_LIMIT = 100_000
+
+
+def _cut_in_histogram(hist: DataFrame, key: str, target=None):
     """Row of a (key, count) histogram where the running count first reaches
-    ``target``: (key value, rows needed inside it).  The histogram is bounded
-    by the calendar (one row per distinct second or microsecond)."""
+    ``target`` (default: half of the total, computed in the same job):
+    (key value, rows needed inside it, rows in it, target).  The histogram is
+    bounded by the calendar (one row per distinct second or microsecond)."""
     w = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    r = (hist.withColumn("_cum", F.sum("count").over(w))
-             .filter((F.col("_cum") >= target) & (F.col("_cum") - F.col("count") < target)).first())
-    return r[key], target - (r["_cum"] - r["count"]), r["count"]
+    h = hist.withColumn("_cum", F.sum("count").over(w))
+    if target is None:
+        w_all = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        h = h.withColumn("_t", F.floor(F.sum("count").over(w_all) / 2))
+    else:
+        h = h.withColumn("_t", F.lit(target))
+    r = h.filter((F.col("_cum") >= F.col("_t")) & (F.col("_cum") - F.col("count") < F.col("_t"))).first()
+    if r is None:
+        return None
+    return r[key], r["_t"] - (r["_cum"] - r["count"]), r["count"], r["_t"]
 
 
 def half_split(df: DataFrame, ts: str = PICKUP, key: str = "trip_id", out: str = "split",
@@ -118,29 +129,31 @@ def half_split(df: DataFrame, ts: str = PICKUP, key: str = "trip_id", out: str =
 
     No global sort and no unbounded window: the cut is located level by
     level, each level a small histogram — seconds, then microseconds within
-    the cut second, then the exact k-th smallest key among rows with the cut
-    timestamp (bounded quantile selection, so even one timestamp holding a
-    third of all rows is split across tasks).  The label is then a predicate
-    on (ts, key)."""
+    the cut second, then the k-th smallest key among rows with the cut
+    timestamp (ranked directly when the tie is small, else by bounded
+    quantile selection, so even one timestamp holding a third of all rows is
+    split across tasks).  The label is then a predicate on (ts, key)."""
     us = F.when(F.col(ts).isNull(), F.lit(_NULL_SECOND)).otherwise(
         F.expr(f"unix_micros(CAST(`{ts}` AS TIMESTAMP))")).cast("long")
     d = df.withColumn("_us", us).withColumn(
         "_sec", F.when(F.col("_us") == _NULL_SECOND, F.col("_us")).otherwise(F.floor(F.col("_us") / 1_000_000)))
-    hist = d.groupBy("_sec").count()
-    n = hist.agg(F.sum("count")).first()[0] or 0
-    half = n // 2
-    if half == 0:
+    c1 = _cut_in_histogram(d.groupBy("_sec").count(), "_sec")
+    if c1 is None or c1[3] == 0:                    # fewer than two rows: nothing goes first
         return df.withColumn(out, F.lit(second))
-    cut_sec, need, _ = _cut_in_histogram(hist, "_sec", half)
+    cut_sec, need, _, _ = c1
     in_sec = d.filter(F.col("_sec") == cut_sec)
-    cut_us, need2, ties = _cut_in_histogram(in_sec.groupBy("_us").count(), "_us", need)
+    cut_us, need2, ties, _ = _cut_in_histogram(in_sec.groupBy("_us").count(), "_us", need)
     tied = in_sec.filter(F.col("_us") == cut_us)
-    p = (need2 - 1) / (ties - 1) if ties > 1 else 0.0
-    # the k-th smallest key is an order statistic; p (n - 1) may miss the
-    # integer position by an ulp, so snap the interpolated value back to the
-    # integral key (keys are integers below 2**53)
-    cut_key = int(round(quantiles(tied.select(F.col(key).cast("double").alias("_k")), ["_k"], [p])
-                        .first()["value"]))
+    if ties <= TIE_RANK_LIMIT:
+        cut_key = (tied.select(key).withColumn("_rn", F.row_number().over(Window.orderBy(key)))
+                       .filter(F.col("_rn") == need2).first()[key])
+    else:
+        # the k-th smallest key is an order statistic; p (n - 1) may miss the
+        # integer position by an ulp, so snap the interpolated value back to
+        # the integral key (keys are integers below 2**53)
+        p = (need2 - 1) / (ties - 1)
+        cut_key = int(round(quantiles(tied.select(F.col(key).cast("double").alias("_k")), ["_k"], [p])
+                            .first()["value"]))
     is_first = (F.col("_us") < cut_us) | ((F.col("_us") == cut_us) & (F.col(key) <= F.lit(cut_key)))
     return d.withColumn(out, F.when(is_first, first).otherwise(second)).drop("_us", "_sec")
 

@@ -113,7 +113,11 @@ def test_half_split_hot_timestamp_uses_key_order(spark):
     rows = [(i * 7919 % 100003, ts) for i in range(5001)] + [(10**9 + i, ts + dt.timedelta(seconds=1))
                                                            for i in range(10)]
     df = spark.createDataFrame(rows, "trip_id long, Trip_Pickup_DateTime timestamp_ntz")
-    s = S.half_split(df)
+    old, S.TIE_RANK_LIMIT = S.TIE_RANK_LIMIT, 100
+    try:
+        s = S.half_split(df)
+    finally:
+        S.TIE_RANK_LIMIT = old
     n = len(rows)
     val = sorted(r["trip_id"] for r in s.filter(F.col("split") == "val").collect())
     expect = sorted(k for k, _ in sorted(rows, key=lambda r: (r[1], r[0]))[: n // 2])
