@@ -92,8 +92,15 @@ def outlier_predicates(rules: OutlierRules = OutlierRules()) -> list[tuple[str,
     rt32 = as_float("Real_time")
     rd32 = as_float("Real_distance")
     vel = F.col("Real_velocity")
+    # NaN must fail like null.  Spark orders NaN above every number, so the
+    # range / upper-limit rules reject it already; only the not-null rule
+    # needs an explicit check.  Rules stay on raw columns so that the plain
+    # comparisons reach the Parquet scan as pushed filters.
+    def present(c):
+        return F.col(c).isNotNull() & ~F.isnan(c) if c not in (PICKUP, DROPOFF) else F.col(c).isNotNull()
+
     preds: list[tuple[str, Column]] = [
-        ("required_not_null", _and([F.col(c).isNotNull() for c in NOT_NULL_COLUMNS])),
+        ("required_not_null", _and([present(c) for c in NOT_NULL_COLUMNS])),
         ("passengers_in_1_10", (F.col("Passenger_Count") > 0) & (F.col("Passenger_Count") <= 10)),
     ]
     if rules.real_time:

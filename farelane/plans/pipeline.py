@@ -27,7 +27,9 @@ def ingest_requests(requests: DataFrame, ts: str = "Trip_Pickup_DateTime") -> Da
 
 
 def clean_trips(raw: DataFrame, rules: OutlierRules = OutlierRules()) -> DataFrame:
-    return clean.filter_outliers(ingest(raw), rules)
+    """Ingest + outlier rules.  The rules reject NaN themselves, so the raw
+    columns go straight into them and their comparisons are pushed to the scan."""
+    return clean.filter_outliers(clean.coordinates_in_range(clean.to_datetime(raw)), rules)
 
 
 def base_features(cleaned: DataFrame, imputer=None) -> DataFrame:

@@ -22,8 +22,11 @@ MONTH_PATTERN = r"(\d{4})-(\d{2})\.parquet"
 
 
 def read_trip_files(spark: SparkSession, path: str, columns: list[str] | None = None,
-                    glob: str = "*.parquet", recursive: bool = True) -> DataFrame:
-    """All Parquet files under ``path`` with ``month`` (YYYY-MM) and ``source_file``."""
+                    glob: str = "*.parquet", recursive: bool = True, months: list[str] | None = None) -> DataFrame:
+    """All Parquet files under ``path`` with ``month`` (YYYY-MM) and ``source_file``.
+    ``months`` prunes at file listing: only files named for those months are read."""
+    if months:
+        glob = "*{" + ",".join(months) + "}.parquet"
     r = spark.read.option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", glob)
     df = r.parquet(path)
     df = df.select(*(columns or df.columns), F.col("_metadata.file_path").alias("source_file"))
