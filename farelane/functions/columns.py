@@ -66,11 +66,33 @@ def as_float_double(c) -> Column:
 
 
 # -- time ------------------------------------------------------------------
+def interval_micros(iv: str) -> Column:
+    """Microseconds of a day-time interval SQL expression (exact)."""
+    return F.expr(f"CAST(extract(DAY FROM {iv}) AS BIGINT) * 86400000000"
+                  f" + CAST(extract(HOUR FROM {iv}) AS BIGINT) * 3600000000"
+                  f" + CAST(extract(MINUTE FROM {iv}) AS BIGINT) * 60000000"
+                  f" + CAST(extract(SECOND FROM {iv}) * 1000000 AS BIGINT)")
+
+
 def elapsed_seconds(start, end) -> Column:
-    """Elapsed seconds between two timestamps (microsecond exact)."""
-    return F.expr(
-        f"timestampdiff(MICROSECOND, {_sql(start)}, {_sql(end)})"
-    ).cast("double") / F.lit(1e6)
+    """Elapsed seconds between two timestamps, microsecond exact.  Wall-clock
+    (NTZ) values are subtracted as intervals, so the session time zone never
+    shifts them (``timestampdiff`` would move local times a DST zone lacks)."""
+    return interval_micros(f"({_sql(end)} - {_sql(start)})").cast("double") / F.lit(1e6)
+
+
+def ntz_micros(c) -> Column:
+    """Microseconds since 1970-01-01 of a wall-clock (NTZ) timestamp, without
+    going through the session time zone."""
+    return interval_micros(f"({_sql(c)} - TIMESTAMP_NTZ'1970-01-01 00:00:00')")
+
+
+def ntz_string(c) -> Column:
+    """``yyyy-MM-dd HH:mm:ss.ffffff`` of a wall-clock timestamp, zone-free."""
+    x = col(c)
+    s = F.format_string("%s %02d:%02d:%02d.%06d", x.cast("date").cast("string"), F.hour(x), F.minute(x),
+                        F.second(x), F.pmod(ntz_micros(c), F.lit(1_000_000)))
+    return F.when(x.isNotNull(), s)
 
 
 def cyclic(value, period: float, fn: str) -> Column:

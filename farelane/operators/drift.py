@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelane.operators.metrics import melt_predictions, regression_metrics
+from farelane.session import materialize
 
 
 def _melt(df: DataFrame, features: list[str], is_ref: int) -> DataFrame:
@@ -26,7 +27,9 @@ def _melt(df: DataFrame, features: list[str], is_ref: int) -> DataFrame:
 def wasserstein(reference: DataFrame, current: DataFrame, features: list[str],
                 rows_per_bucket: int = 1_000_000) -> DataFrame:
     """``(feature, w1, n_ref, n_cur, ref_std)``."""
-    long = _melt(reference, features, 1).unionByName(_melt(current, features, 0))
+    # the melted rows feed the totals, the bucket edges and the CDF pass:
+    # write them once (inputs are the monitoring samples, so this is small)
+    long = materialize(_melt(reference, features, 1).unionByName(_melt(current, features, 0)))
     tot = long.groupBy("feature").agg(F.sum("_r").alias("nr"), F.sum(1 - F.col("_r")).alias("nc"),
                                       F.stddev_pop(F.when(F.col("_r") == 1, F.col("x"))).alias("ref_std"))
     biggest = tot.agg(F.max(F.col("nr") + F.col("nc"))).first()[0] or 0

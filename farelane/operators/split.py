@@ -17,7 +17,9 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from farelane.functions.columns import ntz_micros
 from farelane.functions.quantiles import quantiles
 
 PICKUP = "Trip_Pickup_DateTime"
@@ -134,7 +136,7 @@ def half_split(df: DataFrame, ts: str = PICKUP, key: str = "trip_id", out: str =
     quantile selection, so even one timestamp holding a third of all rows is
     split across tasks).  The label is then a predicate on (ts, key)."""
     us = F.when(F.col(ts).isNull(), F.lit(_NULL_SECOND)).otherwise(
-        F.expr(f"unix_micros(CAST(`{ts}` AS TIMESTAMP))")).cast("long")
+        ntz_micros(ts) if isinstance(df.schema[ts].dataType, T.TimestampNTZType) else F.unix_micros(ts)).cast("long")
     d = df.withColumn("_us", us).withColumn(
         "_sec", F.when(F.col("_us") == _NULL_SECOND, F.col("_us")).otherwise(F.floor(F.col("_us") / 1_000_000)))
     c1 = _cut_in_histogram(d.groupBy("_sec").count(), "_sec")

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from farelane.functions.columns import ntz_string
+
 
 def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
     """Normalise output types for engine-independent comparison: floating
@@ -18,7 +20,9 @@ def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
             c = F.round(c.cast("double"), digits)
         elif isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("long")
-        elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c.cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        elif isinstance(t, T.TimestampNTZType):
+            c = ntz_string(f.name)
+        elif isinstance(t, T.TimestampType):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         cols.append(c.alias(f.name))
     return df.select(*cols)

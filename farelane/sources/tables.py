@@ -57,7 +57,7 @@ MONTHLY_TRIPS_SQL = (
 def trips_from_events(events: DataFrame, with_month: bool = False) -> DataFrame:
     cols = [F.expr(v).alias(k) for k, v in _TRIP_EXPRS.items()]
     if with_month:
-        cols.append(F.date_format("ts", "yyyy-MM").alias("month"))
+        cols.append(F.format_string("%04d-%02d", F.year("ts"), F.month("ts")).alias("month"))
     return events.select(*cols)
 
 

@@ -57,7 +57,8 @@ def main():
     names = sys.argv[2:]
     import __spark_entry__ as e
     from farelane.session import get_spark
-    spark = get_spark()
+    tz = os.environ.get("CHECK_TZ")          # run under another session zone
+    spark = get_spark(extra={"spark.sql.session.timeZone": tz} if tz else None)
     qs, sqls = e.queries(), e.oracle_sql()
     con = duck(sf_dir)
     ok_all = True
