@@ -20,12 +20,6 @@ from farelane.functions.quantiles import quantiles
 PARAMS_SCHEMA = "artefact string, column string, stat string, value double"
 
 
-def _long(spark: SparkSession, artefact: str, stats: dict[str, dict[str, float]]) -> DataFrame:
-    rows = [(artefact, c, s, None if v is None else float(v))
-            for c, d in stats.items() for s, v in d.items()]
-    return spark.createDataFrame(rows, PARAMS_SCHEMA)
-
-
 def _wide_to_long(wide: DataFrame, artefact: str, names: dict[str, tuple[str, str]]) -> DataFrame:
     """Unpivot a one-row stats frame into the long params table, lazily."""
     items = [F.struct(F.lit(artefact).alias("artefact"), F.lit(c).alias("column"),

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from farelane.config import IMPUTER_COLUMNS, NUMERIC_COLUMNS, POIS, REQUIRED_COLUMNS, SCALED_COLUMNS
+from farelane.config import IMPUTER_COLUMNS, POIS, REQUIRED_COLUMNS, SCALED_COLUMNS
 from farelane.operators import clean, features, prep
 from farelane.plans import pipeline
 from farelane.plans.common import comparable
-from farelane.plans.sqltext import (COORD_RANGE, clean_ctes, f32, hav, measures_cte, poi_select,
+from farelane.plans.sqltext import (COORD_RANGE, clean_ctes, hav, measures_cte, poi_select,
                                     ratio_expr, rule_list, time_select)
 from farelane.operators import split as splits
-from farelane.sources.tables import MONTHLY_TRIPS_SQL, TRIPS_SQL, load_monthly_trips, load_trips
+from farelane.sources.tables import TRIPS_SQL, load_monthly_trips, load_trips
 
 Q, SQL = {}, {}
 

@@ -5,8 +5,6 @@ triangle), given as WKT like a user's land mask; the points are the trips."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from farelane.operators import polygon as PG
 from farelane.plans import pipeline
 from farelane.plans.common import comparable

@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan over the cores when it has fewer input splits than
     cores (a single-row-group file); a no-op for large, many-file inputs."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave as is
+        return df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:

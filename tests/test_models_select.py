@@ -81,3 +81,16 @@ def test_imputer_and_params_roundtrip(spark, tmp_path):
     assert out == {1: 1.0, 2: 2.0, 3: 3.0}
     nc = {r["column"]: r["nulls"] for r in prep.null_counts(df).collect()}
     assert nc == {"trip_id": 0, "Passenger_Count": 1, "__total__": 1}
+
+
+def test_scoring_method_and_newest_artifact(spark):
+    import datetime as dt
+    reg = spark.createDataFrame([("v1", "base"), ("v2", "base"), ("v2", "meta"), ("v3", "base")],
+                                "version string, kind string")
+    m = {v: SEL.scoring_method(reg, v).first()["method"] for v in ("v1", "v2", "v3")}
+    assert m == {"v1": "latest", "v2": "stacked", "v3": "old"}
+    arts = spark.createDataFrame([("gbt", "/a", dt.datetime(2024, 1, 1)), ("gbt", "/b", dt.datetime(2024, 2, 1)),
+                                  ("rf", "/c", dt.datetime(2024, 1, 5))],
+                                 "model_key string, path string, created_at timestamp")
+    got = {r["model_key"]: r["path"] for r in SEL.newest_artifact(arts).collect()}
+    assert got == {"gbt": "/b", "rf": "/c"}
