@@ -106,6 +106,10 @@ class OutlierRules:
     distance_limit_km: float = 800.0    # haversine
     haversine_ratio_limit: float = 80.0
     ratio_distance_pairs: tuple = ((40.0, 0.8), (15.0, 5.0), (3.0, 1.0), (4.0, 0.5))
+    # "separate": time, speed and distance limits are three filters (what the
+    # original code applies); "combined": a trip is dropped only when it
+    # exceeds all three at once (what its configuration comment describes)
+    constant_mode: str = "separate"
 
 
 @dataclass(frozen=True)

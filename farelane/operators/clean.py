@@ -110,9 +110,17 @@ def outlier_predicates(rules: OutlierRules = OutlierRules()) -> list[tuple[str,
     preds += [
         ("speed_le_limit", vel <= kmh_to_ms(rules.real_velocity_limit_kmh)),
         ("duration_le_days", rt32 <= days_to_s(rules.real_time_days)),
-        ("duration_lt_minutes", rt32 < min_to_s(rules.max_minutes)),
-        ("speed_le_constant", vel <= kmh_to_ms(rules.max_velocity_kmh)),
-        ("distance_le_km", rd32 <= km_to_m(rules.max_distance_km)),
+    ]
+    time_ok = rt32 < min_to_s(rules.max_minutes)
+    speed_ok = vel <= kmh_to_ms(rules.max_velocity_kmh)
+    dist_ok = rd32 <= km_to_m(rules.max_distance_km)
+    if rules.constant_mode == "separate":
+        preds += [("duration_lt_minutes", time_ok), ("speed_le_constant", speed_ok), ("distance_le_km", dist_ok)]
+    elif rules.constant_mode == "combined":
+        preds.append(("time_speed_distance", time_ok | speed_ok | dist_ok))
+    else:
+        raise ValueError(f"constant_mode must be 'separate' or 'combined', not {rules.constant_mode!r}")
+    preds += [
         ("haversine_le_km", F.col("haversine_distance_m") <= km_to_m(rules.distance_limit_km)),
         ("ratio_lt_limit", F.col("ratio_haversine_real") < rules.haversine_ratio_limit),
     ]

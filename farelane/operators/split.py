@@ -66,9 +66,14 @@ def month_table(df: DataFrame, month_col: str = "month") -> DataFrame:
                   .withColumn("month_rank", F.dense_rank().over(Window.orderBy("year", "month_num"))))
 
 
-def month_findings(df: DataFrame, month_col: str = "month", window: int = 3) -> DataFrame:
+def month_findings(df: DataFrame, month_col: str = "month", window: int = 3, strict: bool = False) -> DataFrame:
     """Checks on the discovered months as rows ``(check, ok, detail)``:
-    one year only, ``window`` months, consecutive months."""
+    one year only, ``window`` months, consecutive months.  ``strict`` raises
+    on any failed check instead of only reporting it."""
+    if strict:
+        bad = [r["check"] for r in month_findings(df, month_col, window).collect() if not r["ok"]]
+        if bad:
+            raise ValueError(f"month checks failed: {bad}")
     mt = month_table(df, month_col)
     s = mt.agg(F.countDistinct("year").alias("years"), F.count(F.lit(1)).alias("months"),
                F.sort_array(F.collect_list("month_num")).alias("nums"),

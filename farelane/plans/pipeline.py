@@ -63,7 +63,7 @@ def feature_table(raw: DataFrame, split_col: str | None = "split", fit_on: str =
 
 def processed_table(split_raw: DataFrame, provider=None, routes: DataFrame | None = None,
                     artefacts: dict | None = None, rules: OutlierRules = OutlierRules(),
-                    add_routes: bool = True):
+                    add_routes: bool = True, use_raw_haversine: bool = False):
     """Feature table with route features: clean -> features -> scale ->
     routes -> route filter -> ratios -> route scaling.
 
@@ -82,7 +82,12 @@ def processed_table(split_raw: DataFrame, provider=None, routes: DataFrame | Non
         return feats, a
     if routes is None:
         routes = R.fetch_routes(R.route_keys(feats), provider or R.taxicab_provider)
-    t = features.route_ratios(R.route_filter(R.join_routes(feats, routes)))
+    t = R.route_filter(R.join_routes(feats, routes))
+    if use_raw_haversine:
+        # undo the z-score for the ratio only (the stored column stays scaled)
+        st = a["scaler"]["haversine_distance_m"]
+        t = t.withColumn("haversine_raw_m", F.col("haversine_distance_m") * st["scale"] + st["center"])
+    t = features.route_ratios(t, use_raw_haversine=use_raw_haversine).drop("haversine_raw_m")
     if "route_scaler" not in a:
         a["route_scaler"] = prep.params_dict(prep.fit_scaler(
             t.filter(F.col("split") == "train"), ROUTE_SCALED_COLUMNS, "standard", artefact="route_scaler"))

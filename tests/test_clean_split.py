@@ -122,3 +122,18 @@ def test_half_split_hot_timestamp_uses_key_order(spark):
     val = sorted(r["trip_id"] for r in s.filter(F.col("split") == "val").collect())
     expect = sorted(k for k, _ in sorted(rows, key=lambda r: (r[1], r[0]))[: n // 2])
     assert val == expect
+
+
+def test_combined_constant_rule_and_strict_months(spark):
+    rows = [_row(1), _row(6, drop="2024-01-01 10:45:00"),           # long but slow and short: kept if combined
+            _row(8, dist=100.0, drop="2024-01-01 10:40:00")]        # long, fast and far: dropped either way
+    df = spark.createDataFrame(rows, SCHEMA)
+    loose = dict(real_velocity_limit_kmh=400)
+    sep = {r["trip_id"] for r in pipeline.clean_trips(df, OutlierRules(**loose)).collect()}
+    comb = {r["trip_id"] for r in pipeline.clean_trips(df, OutlierRules(constant_mode="combined", **loose)).collect()}
+    assert sep == {1} and comb == {1, 6}
+    with pytest.raises(ValueError):
+        OutlierRules(constant_mode="x") and pipeline.clean_trips(df, OutlierRules(constant_mode="x")).count()
+    two = load_monthly_trips(spark, SF001).filter(F.col("month") != "2024-02")
+    with pytest.raises(ValueError):
+        S.month_findings(two, strict=True)
