@@ -10,6 +10,7 @@ from farelane.operators import routes as R
 from farelane.plans import pipeline
 from farelane.plans.common import comparable
 from farelane.plans.sqltext import clean_ctes, f32
+from farelane.session import materialize
 from farelane.sources.tables import load_trips
 
 Q, SQL = {}, {}
@@ -17,7 +18,8 @@ Q, SQL = {}, {}
 
 def routed(spark, sf):
     """Cleaned trips with routes from the provider over their distinct keys."""
-    cl = pipeline.clean_trips(load_trips(spark, sf))
+    # the cleaned trips feed both the distinct keys and the join: write once
+    cl = materialize(pipeline.clean_trips(load_trips(spark, sf)))
     routes = R.fetch_routes(R.route_keys(cl), R.taxicab_provider)
     return R.join_routes(cl, routes)
 
