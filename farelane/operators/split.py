@@ -168,9 +168,12 @@ def half_split(df: DataFrame, ts: str = PICKUP, key: str = "trip_id", out: str =
 def split_train_val_test(df: DataFrame, month_col: str = "month", ts: str = PICKUP,
                          key: str = "trip_id") -> DataFrame:
     """Month split then half split of the third month into val / test."""
+    from farelane.session import materialize
     ms = month_split(df, month_col)
-    vt = half_split(ms.filter(F.col("split") == "valtest").drop("split"), ts, key)
-    return ms.filter(F.col("split") == "train").unionByName(vt)
+    # the half split scans the third month several times (one small job per
+    # level): write that month once instead of re-deriving it each time
+    vt = materialize(ms.filter(F.col("split") == "valtest").drop("split"))
+    return ms.filter(F.col("split") == "train").unionByName(half_split(vt, ts, key))
 
 
 # ---------------------------------------------------------------------------
