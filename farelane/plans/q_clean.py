@@ -128,10 +128,10 @@ def time_features(spark, sf):
 
 Q["time_features"] = time_features
 SQL["time_features"] = f"""WITH trips AS ({TRIPS_SQL})
-SELECT trip_id, round(CAST(pickup_hour_sin AS DOUBLE), 5) AS pickup_hour_sin,
-  round(CAST(pickup_hour_cos AS DOUBLE), 5) AS pickup_hour_cos,
-  round(CAST(pickup_weekday_sin AS DOUBLE), 5) AS pickup_weekday_sin,
-  round(CAST(pickup_weekday_cos AS DOUBLE), 5) AS pickup_weekday_cos
+SELECT trip_id, round(CAST(pickup_hour_sin AS DOUBLE), 5) + 0e0 AS pickup_hour_sin,
+  round(CAST(pickup_hour_cos AS DOUBLE), 5) + 0e0 AS pickup_hour_cos,
+  round(CAST(pickup_weekday_sin AS DOUBLE), 5) + 0e0 AS pickup_weekday_sin,
+  round(CAST(pickup_weekday_cos AS DOUBLE), 5) + 0e0 AS pickup_weekday_cos
 FROM (SELECT trip_id, {time_select()} FROM trips
       WHERE {COORD_RANGE} AND Trip_Pickup_DateTime IS NOT NULL) x"""
 
@@ -223,12 +223,13 @@ def feature_table(spark, sf):
 
 def _feature_table_sql():
     scaled = ",\n  ".join(
-        f"round(CAST(CAST((CAST(f.{c} AS DOUBLE) - s.m_{i}) / s.s_{i} AS FLOAT) AS DOUBLE), 4) AS {c}"
+        f"round(CAST(CAST((CAST(f.{c} AS DOUBLE) - s.m_{i}) / s.s_{i} AS FLOAT) AS DOUBLE), 4) + 0e0 AS {c}"
         for i, c in enumerate(SCALED_COLUMNS))
     stats = ", ".join(
         f"avg(CAST({c} AS DOUBLE)) AS m_{i}, CASE WHEN stddev_pop(CAST({c} AS DOUBLE)) = 0 THEN 1e0 "
         f"ELSE stddev_pop(CAST({c} AS DOUBLE)) END AS s_{i}" for i, c in enumerate(SCALED_COLUMNS))
-    plain = ", ".join(f"round(CAST(f.{c} AS DOUBLE), 4) AS {c}" for c in
+    # "+ 0e0" turns a rounded -0.0 into 0.0, as Spark's rounding returns
+    plain = ", ".join(f"round(CAST(f.{c} AS DOUBLE), 4) + 0e0 AS {c}" for c in
                       ["Start_Lon", "Start_Lat", "End_Lon", "End_Lat", "Fare_Amt", "Total_Amt", "Real_time",
                        "Real_distance", "pickup_hour_sin", "pickup_hour_cos", "pickup_weekday_sin",
                        "pickup_weekday_cos"])

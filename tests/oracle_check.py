@@ -32,7 +32,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 9) + 0.0)
+        return repr(round(v, 9))
     if hasattr(v, "item"):
         return _norm(v.item())
     return repr(v)
