@@ -82,6 +82,18 @@ def ridge_stack(spark, sf):
     return comparable(ST.coef_table(spark, meta).select("column", "value"), 6)
 
 
+def stack_in_sample(spark, sf):
+    """Ridge (alpha 1.2) on an 80 % hash sample of the training rows over the
+    two OLS candidates' predictions: the base stacking mode."""
+    d, _ = candidate_predictions(spark, sf)
+    coefs = ST.stack_in_sample(d.filter(F.col("split") == "train"), ["pred_time", "pred_distance"], "Fare_Amt",
+                               alpha=1.2, fraction=0.8, seed=42)
+    return comparable(ST.coef_table(spark, coefs).select("column", "value"), 6)
+
+
+Q["stack_in_sample"] = stack_in_sample
+
+
 def _ledger(spark, sf):
     ms = S.month_split(load_monthly_trips(spark, sf))
     v1 = SEL.ledger_from(ms.filter(F.col("split") == "train"), "v1")
@@ -194,3 +206,22 @@ st AS (SELECT max(month) AS m FROM led),
 w AS (SELECT strftime(CAST(m || '-01' AS DATE) + to_months(CAST(i AS INTEGER)), '%Y-%m') AS month
       FROM st, range(0, 3) t(i))
 SELECT month FROM w WHERE month NOT IN (SELECT month FROM led)"""
+
+
+def _stack_in_sample_sql():
+    from farelane.plans.q_split import hash_sql
+    base = _base_sql()
+    return base + f""",
+smp AS (SELECT p.* FROM p WHERE split = 'train' AND {hash_sql()} < {int(0.8 * 2 ** 32)}),
+st AS (SELECT avg(pred_time) AS m1, avg(pred_distance) AS m2, avg(y) AS my,
+              regr_sxx(y, pred_time) + 1.2 AS a11, regr_sxx(y, pred_distance) + 1.2 AS a22,
+              covar_pop(pred_time, pred_distance) * count(*) AS a12,
+              covar_pop(pred_time, y) * count(*) AS b1, covar_pop(pred_distance, y) * count(*) AS b2 FROM smp),
+sc AS (SELECT (b1 * a22 - a12 * b2) / (a11 * a22 - a12 * a12) AS c1,
+              (a11 * b2 - a12 * b1) / (a11 * a22 - a12 * a12) AS c2, m1, m2, my FROM st)
+SELECT 'intercept' AS column, round(my - c1 * m1 - c2 * m2, 6) AS value FROM sc
+UNION ALL SELECT 'pred_time', round(c1, 6) FROM sc
+UNION ALL SELECT 'pred_distance', round(c2, 6) FROM sc"""
+
+
+SQL["stack_in_sample"] = _stack_in_sample_sql()
