@@ -2,10 +2,12 @@
 monitoring (CM).
 
 Every stage writes its table under ``root`` (split trips, processed features,
-params, routes cache, models, metrics, ledger, registry, promotions, drift),
-so a failed job resumes from the last written stage and later jobs reuse the
-fitted params and the route cache.  Between stages the data moves only
-through those tables; within a stage Spark plans the whole step.
+params, routes cache, models, metrics, ledger, registry, promotions, drift).
+With ``resume=True`` a re-run reuses every stage table whose write completed
+(Spark's ``_SUCCESS`` marker), so a job lost half-way restarts at the first
+missing stage; later jobs reuse the fitted params and the route cache.
+Between stages the data moves only through those tables; within a stage
+Spark plans the whole step.
 """
 
 from __future__ import annotations
@@ -67,18 +69,26 @@ def _registry_rows(spark, version, entries):
                                  "version string, model_key string, kind string, path string")
 
 
-def _prepare(spark, raw: DataFrame, lay: Layout, provider, artefacts=None, routes_path: str | None = None):
+def _done(spark: SparkSession, path: str) -> bool:
+    """True when a Spark write to ``path`` completed (its _SUCCESS marker exists)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _prepare(spark, raw: DataFrame, lay: Layout, provider, artefacts=None, routes_path: str | None = None,
+             resume: bool = False):
     """Validate, split, clean, features, routes (cached), params."""
     files.schema_findings(spark, raw).withColumn("stage", F.lit("validation")) \
         .write.mode("overwrite").parquet(lay.findings)
     S.month_findings(raw).write.mode("overwrite").parquet(lay.month_findings)
-    split = S.split_train_val_test(pipeline.ingest(raw))
-    sinks.write_splits(split, lay.split_trips)
+    if not (resume and _done(spark, lay.split_trips)):
+        sinks.write_splits(S.split_train_val_test(pipeline.ingest(raw)), lay.split_trips)
     split = spark.read.parquet(lay.split_trips)
     routes = R.update_route_cache(spark, pipeline.clean_trips(split), provider, routes_path or lay.routes)
     table, art = pipeline.processed_table(split, routes=routes, artefacts=artefacts)
-    table = ML.training_frame(table, TARGET)
-    sinks.write_splits(table, lay.processed)
+    if not (resume and _done(spark, lay.processed)):
+        sinks.write_splits(ML.training_frame(table, TARGET), lay.processed)
     return spark.read.parquet(lay.processed), art
 
 
@@ -94,11 +104,11 @@ def _metrics(df: DataFrame, preds: dict, split: str) -> DataFrame:
 
 
 def run_base(spark: SparkSession, raw: DataFrame, root: str, params: ModelParams = ModelParams(),
-             provider=R.taxicab_provider, version: str = "v1") -> JobResult:
+             provider=R.taxicab_provider, version: str = "v1", resume: bool = False) -> JobResult:
     """Validation -> split -> preprocess -> routes -> 3 learners + stack ->
     evaluation and multi-criteria selection -> registry and ledger."""
     lay = Layout(root)
-    t, art = _prepare(spark, raw, lay, provider)
+    t, art = _prepare(spark, raw, lay, provider, resume=resume)
     _save_artefacts(spark, art, lay.params, version)
     feats = ML.feature_columns(t, TARGET)
     train = t.filter(F.col("split") == "train")

@@ -1,8 +1,9 @@
 """Sinks: split tables, params, metrics, ledger, promotions, routes.
 
-Writes are idempotent per run: tables are partitioned by their natural key
-(``split``, ``version``) and written with dynamic partition overwrite, so a
-re-run replaces only its own partitions.
+Writes are idempotent per run: stage tables are overwritten whole; tables
+shared across versions (metrics, registry, ledger, promotions, params) are
+partitioned by ``version`` and written with dynamic partition overwrite, so a
+re-run replaces only its own version.
 """
 
 from __future__ import annotations
@@ -13,12 +14,12 @@ from pyspark.sql import functions as F
 
 def write_splits(df: DataFrame, path: str, split_col: str = "split", sort_col: str | None = None) -> None:
     """One directory per split; optionally range-partitioned and sorted by time
-    within each file (no global sort)."""
+    within each file (no global sort).  The table is the stage's whole output:
+    a plain overwrite, whose ``_SUCCESS`` marker tells a resumed job it is complete."""
     out = df
     if sort_col:
         out = out.repartitionByRange(sort_col).sortWithinPartitions(sort_col)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(split_col).parquet(path))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(split_col).parquet(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:

@@ -25,6 +25,11 @@ def test_base_ct_cm(spark):
     params = jobs.load_artefacts(spark, f"{root}/params", "v1")
     assert set(params) >= {"scaler", "imputer", "route_scaler", "meta"} - {"meta"}
 
+    # a re-run with resume reuses the written split and processed stages
+    assert jobs._done(spark, f"{root}/processed")
+    again = jobs.run_base(spark, raw, root, mp, resume=True)
+    assert again.version == "v1"
+
     ct = jobs.run_ct(spark, raw, root, mp)
     assert ct.version == "v2" and ct.info["old_version"] == "v1"
     assert ct.info["chosen"] in (None, "new", "stacked")
