@@ -14,7 +14,10 @@ rank is bracketed first:
    and only rows inside some bracket (about ``6 n / accuracy`` per target)
    are ranked with a window partitioned by (key, target);
 3. keys with few rows (``n <= small_limit``) use Spark's exact ``percentile``,
-   whose buffer is then bounded by ``small_limit``.
+   whose buffer is then bounded by ``small_limit``;
+4. when a key is so large that a bracket would exceed ``MAX_BRACKET_ROWS``,
+   the sketch is recomputed once with a proportionally higher accuracy
+   (capped at ``MAX_ACCURACY``), so ranked brackets stay small at any scale.
 
 Output: ``(*group_cols, column, p, value)``.
 """
@@ -31,26 +34,43 @@ def _melt(df: DataFrame, columns: list[str], group_cols: list[str]) -> DataFrame
     return long.filter(F.col("x").isNotNull() & ~F.isnan("x"))
 
 
+MAX_BRACKET_ROWS = 2_000_000
+MAX_ACCURACY = 1_000_000
+
+
 def quantiles(df: DataFrame, columns, probs, group_cols=(), accuracy: int = 20000,
               small_limit: int | None = None) -> DataFrame:
     columns = [columns] if isinstance(columns, str) else list(columns)
     g = list(group_cols)
     keys = g + ["column"]
     probs = sorted({float(p) for p in probs})
-    small_limit = 2 * accuracy if small_limit is None else small_limit
+    auto_small = small_limit is None
+    small_limit = 2 * accuracy if auto_small else small_limit
     long = _melt(df, columns, g)
 
-    d = 3.0 / accuracy
-    lows = [max(0.0, p - d) for p in probs]
-    highs = [min(1.0, p + d) for p in probs]
-    stats = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("x", F.array(*[F.lit(v) for v in lows]), accuracy).alias("_lo"),
-        F.percentile_approx("x", F.array(*[F.lit(v) for v in highs]), accuracy).alias("_hi"),
-    )
+    def sketch(acc):
+        d = 3.0 / acc
+        lows = [max(0.0, p - d) for p in probs]
+        highs = [min(1.0, p + d) for p in probs]
+        return long.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.percentile_approx("x", F.array(*[F.lit(v) for v in lows]), acc).alias("_lo"),
+            F.percentile_approx("x", F.array(*[F.lit(v) for v in highs]), acc).alias("_hi"),
+        )
+
     p_arr = F.array(*[F.lit(p) for p in probs])
     # the stats are tiny (one row per key): decide the path per key here
+    stats = sketch(accuracy)
     rows = stats.collect()
+    # a bracket holds about 8 n / accuracy rows: for very large keys, sharpen
+    # the sketch once so no ranked bracket exceeds MAX_BRACKET_ROWS
+    n_max = max((r["_n"] for r in rows), default=0)
+    if n_max > small_limit and 8 * n_max / accuracy > MAX_BRACKET_ROWS and accuracy < MAX_ACCURACY:
+        accuracy = int(min(MAX_ACCURACY, 8 * n_max / MAX_BRACKET_ROWS + 1))
+        if auto_small:      # the bracket guarantee needs n > 2 * accuracy
+            small_limit = 2 * accuracy
+        stats = sketch(accuracy)
+        rows = stats.collect()
     spark = df.sparkSession
     small_rows = [r for r in rows if r["_n"] <= small_limit]
     big_rows = [r for r in rows if r["_n"] > small_limit]

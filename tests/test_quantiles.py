@@ -32,3 +32,13 @@ def test_grouped_quantiles(spark):
     for r in exact:
         for p, v in zip([0.1, 0.5, 0.9], r["v"]):
             assert got[(r["g"], p)] == pytest.approx(v, rel=1e-12)
+
+
+def test_sharpened_sketch_path(spark, monkeypatch):
+    import farelane.functions.quantiles as Q
+    monkeypatch.setattr(Q, "MAX_BRACKET_ROWS", 50)
+    df = pipeline.clean_trips(load_trips(spark, SF01)).select(F.col("Fare_Amt").cast("double").alias("a"))
+    probs = [0.1, 0.5, 0.9]
+    got = {r["p"]: r["value"] for r in Q.quantiles(df, ["a"], probs, accuracy=100, small_limit=0).collect()}
+    exact = df.agg(F.percentile("a", F.array(*[F.lit(p) for p in probs]))).first()[0]
+    assert [got[p] for p in probs] == pytest.approx(exact, rel=1e-12)
