@@ -94,3 +94,31 @@ def test_scoring_method_and_newest_artifact(spark):
                                  "model_key string, path string, created_at timestamp")
     got = {r["model_key"]: r["path"] for r in SEL.newest_artifact(arts).collect()}
     assert got == {"gbt": "/b", "rf": "/c"}
+
+
+def test_learners_beat_the_mean(spark):
+    """On a target that depends on the features, each learner and the stack
+    beat the train-mean predictor on the validation rows."""
+    from farelane.config import ModelParams
+    from farelane.operators import metrics as M
+    from farelane.operators import models as ML
+    from farelane.operators import split as S
+    from farelane.sources.tables import load_monthly_trips
+    raw = S.split_train_val_test(pipeline.ingest(load_monthly_trips(spark, SF01)))
+    t, _ = pipeline.processed_table(raw)
+    t = ML.training_frame(t).withColumn(
+        "Fare_Amt", F.lit(2.5) + F.col("route_distance_m") * 1.7 + F.col("pickup_hour_sin") * 0.8)
+    feats = ML.feature_columns(t, "Fare_Amt")
+    mp = ModelParams.quick()
+    train = t.filter(F.col("split") == "train")
+    mean = train.agg(F.avg("Fare_Amt")).first()[0]
+    scored = t.withColumn("pred_mean", F.lit(mean))
+    for k, p in (("gbt_a", mp.gbt_a), ("forest", mp.forest), ("linear", {})):
+        scored = ML.fit(train, k, feats, "Fare_Amt", p, prediction=f"pred_{k}").transform(scored).drop("features")
+    meta = ST.stack_in_sample(scored.filter(F.col("split") == "train"), ["pred_gbt_a", "pred_forest"], "Fare_Amt")
+    scored = ST.ridge_predict(scored, meta, "pred_stacked")
+    preds = {k: f"pred_{k}" for k in ("mean", "gbt_a", "forest", "linear", "stacked")}
+    long = M.melt_predictions(scored.filter(F.col("split") == "val"), "Fare_Amt", preds)
+    rmse = {r["candidate"]: r["rmse"] for r in M.regression_metrics(long, with_medae=False).collect()}
+    for k in ("gbt_a", "forest", "linear", "stacked"):
+        assert rmse[k] < 0.5 * rmse["mean"], (k, rmse)
