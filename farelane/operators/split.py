@@ -142,8 +142,10 @@ def half_split(df: DataFrame, ts: str = PICKUP, key: str = "trip_id", out: str =
     split across tasks).  The label is then a predicate on (ts, key)."""
     us = F.when(F.col(ts).isNull(), F.lit(_NULL_SECOND)).otherwise(
         ntz_micros(ts) if isinstance(df.schema[ts].dataType, T.TimestampNTZType) else F.unix_micros(ts)).cast("long")
-    d = df.withColumn("_us", us).withColumn(
-        "_sec", F.when(F.col("_us") == _NULL_SECOND, F.col("_us")).otherwise(F.floor(F.col("_us") / 1_000_000)))
+    from farelane.session import materialize
+    # up to four passes read the input (three levels + labelling): write it once
+    d = materialize(df.withColumn("_us", us).withColumn(
+        "_sec", F.when(F.col("_us") == _NULL_SECOND, F.col("_us")).otherwise(F.floor(F.col("_us") / 1_000_000))))
     c1 = _cut_in_histogram(d.groupBy("_sec").count(), "_sec")
     if c1 is None or c1[3] == 0:                    # fewer than two rows: nothing goes first
         return df.withColumn(out, F.lit(second))
@@ -168,11 +170,8 @@ def half_split(df: DataFrame, ts: str = PICKUP, key: str = "trip_id", out: str =
 def split_train_val_test(df: DataFrame, month_col: str = "month", ts: str = PICKUP,
                          key: str = "trip_id") -> DataFrame:
     """Month split then half split of the third month into val / test."""
-    from farelane.session import materialize
     ms = month_split(df, month_col)
-    # the half split scans the third month several times (one small job per
-    # level): write that month once instead of re-deriving it each time
-    vt = materialize(ms.filter(F.col("split") == "valtest").drop("split"))
+    vt = ms.filter(F.col("split") == "valtest").drop("split")
     return ms.filter(F.col("split") == "train").unionByName(half_split(vt, ts, key))
 
 
@@ -224,7 +223,9 @@ def quotas_from_counts(counts: dict, n_samples: int) -> dict:
 
 def stratified_sample(df: DataFrame, target: str = "Fare_Amt", n_samples: int = 600_000,
                       n_bins: int = 50, seed: int = 42, key: str = "trip_id") -> DataFrame:
-    binned = quantile_bins(df, target, n_bins, out="_bin")
+    from farelane.session import materialize
+    # edges, counts, the bracket check and the draw all read the input: write it once
+    binned = quantile_bins(materialize(df), target, n_bins, out="_bin")
     counts = bin_counts(binned, "_bin")
     quotas = quotas_from_counts(counts, n_samples)
     sizes = {b: c for b, c in counts.items() if b is not None}
