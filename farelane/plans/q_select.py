@@ -116,6 +116,14 @@ def months_to_read(spark, sf):
     return SEL.months_to_read(spark, led, start, 3)
 
 
+def month_window(spark, sf):
+    """The three-month read window starting at the newest ledger month."""
+    led = _ledger(spark, sf)
+    start = led.agg(F.max("month")).first()[0]
+    return spark.range(1).select(F.explode(F.expr(SEL.month_window(start, 3))).alias("month"))
+
+
+Q.update(month_window=month_window)
 Q.update(regression_metrics=regression_metrics, mcdm_scores=mcdm_scores, promotion_choice=promotion_choice,
          ridge_stack=ridge_stack, ledger=ledger, latest_version=latest_version, months_to_read=months_to_read)
 
@@ -201,6 +209,10 @@ SQL["latest_version"] = _LEDGER_SQL + """,
 v AS (SELECT DISTINCT version, CAST(regexp_extract(version, '(\\d+)', 1) AS BIGINT) AS num FROM led)
 SELECT arg_max(version, num) AS latest, max(num) AS latest_num, 'v' || CAST(max(num) + 1 AS VARCHAR) AS next,
        count(*)::BIGINT AS n_versions FROM v"""
+SQL["month_window"] = _LEDGER_SQL + """,
+st AS (SELECT max(month) AS m FROM led)
+SELECT strftime(CAST(m || '-01' AS DATE) + to_months(CAST(i AS INTEGER)), '%Y-%m') AS month
+FROM st, range(0, 3) t(i)"""
 SQL["months_to_read"] = _LEDGER_SQL + """,
 st AS (SELECT max(month) AS m FROM led),
 w AS (SELECT strftime(CAST(m || '-01' AS DATE) + to_months(CAST(i AS INTEGER)), '%Y-%m') AS month

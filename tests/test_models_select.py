@@ -122,3 +122,9 @@ def test_learners_beat_the_mean(spark):
     rmse = {r["candidate"]: r["rmse"] for r in M.regression_metrics(long, with_medae=False).collect()}
     for k in ("gbt_a", "forest", "linear", "stacked"):
         assert rmse[k] < 0.5 * rmse["mean"], (k, rmse)
+
+
+def test_month_window_wraps_year(spark):
+    led = spark.createDataFrame([("v1", "2009-11")], "version string, month string")
+    got = [r["month"] for r in SEL.months_to_read(spark, led, "2009-11", 3).orderBy("month").collect()]
+    assert got == ["2009-12", "2010-01"]
