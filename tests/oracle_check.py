@@ -38,6 +38,17 @@ def _norm(v):
     return repr(v)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "int": "INTEGER", "float": "FLOAT", "timestamp_ntz": "TIMESTAMP"}
+
+
+def compare_types(spark_schema, rel):
+    st = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in spark_schema.fields}
+    dt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    bad = {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}
+    return (not bad), f"types differ: {bad}"
+
+
 def compare(sdf, ddf):
     scols, dcols = sorted(sdf.columns), sorted(ddf.columns)
     if scols != dcols:
@@ -65,7 +76,8 @@ def main():
     for name in (names or list(qs)):
         t = time.time()
         try:
-            sdf = qs[name](spark, sf_dir).toPandas()
+            sq = qs[name](spark, sf_dir)
+            sdf = sq.toPandas()
         except Exception as ex:  # noqa: BLE001
             print(f"FAIL {name}: spark error {type(ex).__name__}: {str(ex)[:400]}")
             ok_all = False
@@ -80,7 +92,9 @@ def main():
             print(f"FAIL {name}: duckdb error {str(ex)[:400]}")
             ok_all = False
             continue
-        ok, msg = compare(sdf, ddf)
+        ok, msg = compare_types(sq.schema, con.sql(sqls[name]))
+        if ok:
+            ok, msg = compare(sdf, ddf)
         ok_all &= ok
         print(f"{'OK  ' if ok else 'FAIL'} {name}: {msg} ({st:.1f}s)")
     spark.stop()
