@@ -69,7 +69,11 @@ def main():
     import __spark_entry__ as e
     from farelane.session import get_spark
     tz = os.environ.get("CHECK_TZ")          # run under another session zone
-    spark = get_spark(extra={"spark.sql.session.timeZone": tz} if tz else None)
+    if os.environ.get("CHECK_PLAIN"):        # a plain session, as a caller might build it
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[*]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = get_spark(extra={"spark.sql.session.timeZone": tz} if tz else None)
     qs, sqls = e.queries(), e.oracle_sql()
     con = duck(sf_dir)
     ok_all = True

@@ -128,3 +128,14 @@ def test_month_window_wraps_year(spark):
     led = spark.createDataFrame([("v1", "2009-11")], "version string, month string")
     got = [r["month"] for r in SEL.months_to_read(spark, led, "2009-11", 3).orderBy("month").collect()]
     assert got == ["2009-12", "2010-01"]
+
+
+def test_estimator_by_dotted_path_and_target_detection(spark):
+    from farelane.operators import models as ML
+    est = ML.estimator("pyspark.ml.regression.LinearRegression", {"regParam": 0.1}, label="y")
+    assert est.getRegParam() == 0.1 and est.getLabelCol() == "y"
+    df = spark.createDataFrame([(1.0, 2.0, 3.0)], "a double, b double, c double")
+    assert ML.detect_target(df, "b") == "b"
+    assert ML.detect_target(df, "missing") == "c"
+    assert ML.training_frame(spark.createDataFrame([(1.0, 2.0, 3.0)], "Fare_Amt double, Total_Amt double, Real_time double"),
+                             "Fare_Amt").columns == ["Fare_Amt"]
