@@ -97,3 +97,29 @@ def read_metrics_json(spark: SparkSession, specific: str | None, combined: str |
     for p in parts[1:]:
         allm = allm.unionByName(p)
     return allm.groupBy("candidate", "metric").agg(F.min_by("value", "_prio").alias("value"))
+
+
+def schema_findings_per_file(spark: SparkSession, path: str, numeric: list[str] = NUMERIC_COLUMNS,
+                             strings: list[str] = STRING_COLUMNS, aliases: dict = COLUMN_ALIASES) -> DataFrame:
+    """Findings for every Parquet file under ``path``, from each file's footer
+    schema only (no data scan; the work grows with the number of files).  A
+    column counts as present under any of its alias names."""
+    listing = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
+    out = None
+    for f in sorted(listing.inputFiles()):
+        sch = spark.read.parquet(f).schema
+        names = set(sch.fieldNames())
+        cols = []
+        for c in numeric + strings:
+            hit = next((v for v in aliases.get(c, [c]) if v in names), None)
+            cols.append(F.col(hit).alias(c) if hit else F.lit(None).cast("string").alias(c))
+        view = spark.createDataFrame([], sch).select(*cols)
+        missing = {c for c in numeric + strings
+                   if not any(v in names for v in aliases.get(c, [c]))}
+        part = schema_findings(spark, view, numeric, strings, source=f.rsplit("/", 1)[-1])
+        part = part.withColumn("present", ~F.col("column").isin(*missing) if missing else F.lit(True)) \
+                   .withColumn("status", F.when(F.col("present") & F.col("type_ok"), "ok").otherwise("warning"))
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError(f"no parquet files under {path}")
+    return out

@@ -76,3 +76,19 @@ def test_metrics_json_priority(spark, tmp_path):
     m = {(r["candidate"], r["metric"]): r["value"] for r in
          files.read_metrics_json(spark, str(tmp_path / "specific"), str(tmp_path / "combined")).collect()}
     assert m == {("new", "rmse"): 1.0, ("old", "rmse"): 2.0}
+
+
+def test_schema_findings_per_file(spark, tmp_path):
+    import pandas as pd
+    good = pd.DataFrame({"tpep_pickup_datetime": ["2009-01-01 10:00:00"], "tpep_dropoff_datetime": ["2009-01-01 10:10:00"],
+                         "passenger_count": [1.0], "trip_distance": [1.0], "pickup_longitude": [-73.9],
+                         "pickup_latitude": [40.7], "dropoff_longitude": [-73.9], "dropoff_latitude": [40.7],
+                         "fare_amount": [5.0], "total_amount": [6.0]})
+    good.to_parquet(tmp_path / "yellow_tripdata_2009-01.parquet", index=False)
+    bad = good.drop(columns=["fare_amount"]).assign(passenger_count=["one"])
+    bad.to_parquet(tmp_path / "yellow_tripdata_2009-02.parquet", index=False)
+    f = {(r["source"], r["column"]): (r["present"], r["type_ok"], r["status"])
+         for r in files.schema_findings_per_file(spark, str(tmp_path)).collect()}
+    assert f[("yellow_tripdata_2009-01.parquet", "Fare_Amt")] == (True, True, "ok")
+    assert f[("yellow_tripdata_2009-02.parquet", "Fare_Amt")][2] == "warning"
+    assert f[("yellow_tripdata_2009-02.parquet", "Passenger_Count")] == (True, False, "warning")
