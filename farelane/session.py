@@ -45,7 +45,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting names a shared, fault-tolerant folder and is used
     as is.  Only when it is unset (local tests) a scratch folder is created.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote session exposes no SparkContext
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        return d or tempfile.mkdtemp(prefix="farelane-ckpt-")
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="farelane-ckpt-")
