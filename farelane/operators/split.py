@@ -267,6 +267,10 @@ def sample_by_quota(df: DataFrame, group_col: str, quotas: dict, seed: int = 42,
         if ok:
             break
         width *= 4
+    else:
+        # a uniform hash brackets its quota-th value within a few widenings;
+        # never return a sample that may miss or exceed a quota
+        raise RuntimeError("hash bracket did not converge; quotas cannot be met exactly")
     need_m = F.create_map(*[x for g, (b, _) in chk.items() for x in (F.lit(g), F.lit(quotas.get(g, 0) - b))])
     sure = d2.filter(F.col("_u") < F.col("_lo"))
     w = Window.partitionBy(group_col).orderBy("_u", key)
