@@ -83,3 +83,34 @@ SQL["route_scale"] = _ROUTED + ",\nrr AS (SELECT * FROM rf)\n" + "\nUNION ALL\n"
     f"UNION ALL SELECT 'route_scaler', '{c}', 'scale', round(CASE WHEN stddev_pop(CAST({c} AS DOUBLE)) = 0 THEN 1e0 "
     f"ELSE stddev_pop(CAST({c} AS DOUBLE)) END, 4) FROM rr"
     for c in ROUTE_SCALED_COLUMNS)
+
+
+def routes_to_fetch(spark, sf):
+    """Keys the provider must still be called for: distinct coordinate pairs
+    of the third month missing from a cache filled for the first two months
+    (left anti join of distinct keys)."""
+    from farelane.operators import split as S
+    from farelane.sources.tables import load_monthly_trips
+    cl = materialize(pipeline.clean_trips(S.month_split(load_monthly_trips(spark, sf))))
+    cache = R.fetch_routes(R.route_keys(cl.filter("split = 'train'")), R.taxicab_provider)
+    todo = R.missing_keys(R.route_keys(cl.filter("split = 'valtest'")), cache)
+    return comparable(todo, 6)
+
+
+Q["routes_to_fetch"] = routes_to_fetch
+
+
+def _routes_to_fetch_sql():
+    k = "round(CAST(Start_Lon AS DOUBLE), 6) AS start_lon, round(CAST(Start_Lat AS DOUBLE), 6) AS start_lat, " \
+        "round(CAST(End_Lon AS DOUBLE), 6) AS end_lon, round(CAST(End_Lat AS DOUBLE), 6) AS end_lat"
+    return f"""WITH {clean_ctes(monthly=True)},
+months AS (SELECT month, dense_rank() OVER (ORDER BY month) AS rk FROM (SELECT DISTINCT month FROM trips) m),
+lab AS (SELECT c.*, rk FROM cleaned c JOIN months USING (month)),
+cache AS (SELECT DISTINCT {k} FROM lab WHERE rk <= 2),
+want AS (SELECT DISTINCT {k} FROM lab WHERE rk = 3)
+SELECT * FROM want w WHERE NOT EXISTS (
+  SELECT 1 FROM cache c WHERE c.start_lon = w.start_lon AND c.start_lat = w.start_lat
+                          AND c.end_lon = w.end_lon AND c.end_lat = w.end_lat)"""
+
+
+SQL["routes_to_fetch"] = _routes_to_fetch_sql()

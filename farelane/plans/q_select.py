@@ -124,6 +124,15 @@ def month_window(spark, sf):
 
 
 Q.update(month_window=month_window)
+
+
+def version_chain(spark, sf):
+    """Each version of the ledger with its previous version (stacked scoring
+    needs both)."""
+    return comparable(SEL.versions_ordered(_ledger(spark, sf)).select("version", "num", "previous"))
+
+
+Q["version_chain"] = version_chain
 Q.update(regression_metrics=regression_metrics, mcdm_scores=mcdm_scores, promotion_choice=promotion_choice,
          ridge_stack=ridge_stack, ledger=ledger, latest_version=latest_version, months_to_read=months_to_read)
 
@@ -209,6 +218,9 @@ SQL["latest_version"] = _LEDGER_SQL + """,
 v AS (SELECT DISTINCT version, CAST(regexp_extract(version, '(\\d+)', 1) AS BIGINT) AS num FROM led)
 SELECT arg_max(version, num) AS latest, max(num) AS latest_num, 'v' || CAST(max(num) + 1 AS VARCHAR) AS next,
        count(*)::BIGINT AS n_versions FROM v"""
+SQL["version_chain"] = _LEDGER_SQL + """,
+v AS (SELECT DISTINCT version, CAST(regexp_extract(version, '(\\d+)', 1) AS BIGINT) AS num FROM led)
+SELECT version, num, lag(version) OVER (ORDER BY num) AS previous FROM v"""
 SQL["month_window"] = _LEDGER_SQL + """,
 st AS (SELECT max(month) AS m FROM led)
 SELECT strftime(CAST(m || '-01' AS DATE) + to_months(CAST(i AS INTEGER)), '%Y-%m') AS month
