@@ -14,7 +14,9 @@ rank is bracketed first:
    and only rows inside some bracket (about ``6 n / accuracy`` per target)
    are ranked with a window partitioned by (key, target);
 3. keys with few rows (``n <= small_limit``) use Spark's exact ``percentile``,
-   whose buffer is then bounded by ``small_limit``;
+   whose buffer is then bounded by ``small_limit``; with more than
+   ``MAX_DRIVER_KEYS`` keys the stats stay a distributed table (no collect,
+   no broadcast) and both paths run as plain joins;
 4. when a key is so large that a bracket would exceed ``MAX_BRACKET_ROWS``,
    the sketch is recomputed once with a proportionally higher accuracy
    (capped at ``MAX_ACCURACY``), so ranked brackets stay small at any scale.
@@ -36,6 +38,7 @@ def _melt(df: DataFrame, columns: list[str], group_cols: list[str]) -> DataFrame
 
 MAX_BRACKET_ROWS = 2_000_000
 MAX_ACCURACY = 1_000_000
+MAX_DRIVER_KEYS = 100_000      # stats of more keys stay distributed (no collect, no broadcast)
 
 
 def quantiles(df: DataFrame, columns, probs, group_cols=(), accuracy: int = 20000,
@@ -59,9 +62,22 @@ def quantiles(df: DataFrame, columns, probs, group_cols=(), accuracy: int = 2000
         )
 
     p_arr = F.array(*[F.lit(p) for p in probs])
-    # the stats are tiny (one row per key): decide the path per key here
+    spark = df.sparkSession
     stats = sketch(accuracy)
-    rows = stats.collect()
+    # one job: bring at most MAX_DRIVER_KEYS + 1 stats rows to the driver
+    rows = stats.limit(MAX_DRIVER_KEYS + 1).collect()
+    if len(rows) > MAX_DRIVER_KEYS:
+        # many keys: stats stay a distributed table, joined without a broadcast
+        # hint (AQE picks the join); small and large keys are routed by a filter
+        stats = stats.cache()
+        small_df = stats.filter(F.col("_n") <= small_limit).select(*keys)
+        small_part = (long.join(small_df, keys).groupBy(*keys).agg(F.percentile("x", p_arr).alias("_v"))
+                      .select(*keys, F.posexplode(F.arrays_zip(p_arr.alias("p"), F.col("_v").alias("value"))))
+                      .select(*keys, "col.p", "col.value"))
+        big = stats.filter(F.col("_n") > small_limit)
+        return small_part.unionByName(_bracket(long, big, keys, probs, p_arr, broadcast_stats=False))
+    # few keys (the usual case: one per column or per model and split): the
+    # stats are on the driver and each key takes its path
     # a bracket holds about 8 n / accuracy rows: for very large keys, sharpen
     # the sketch once so no ranked bracket exceeds MAX_BRACKET_ROWS
     n_max = max((r["_n"] for r in rows), default=0)
@@ -71,7 +87,6 @@ def quantiles(df: DataFrame, columns, probs, group_cols=(), accuracy: int = 2000
             small_limit = 2 * accuracy
         stats = sketch(accuracy)
         rows = stats.collect()
-    spark = df.sparkSession
     small_rows = [r for r in rows if r["_n"] <= small_limit]
     big_rows = [r for r in rows if r["_n"] > small_limit]
     parts = []
@@ -89,33 +104,7 @@ def quantiles(df: DataFrame, columns, probs, group_cols=(), accuracy: int = 2000
     # -- many rows per key: bracket and rank --------------------------------
     if big_rows:
         big = spark.createDataFrame([r.asDict() for r in big_rows], stats.schema)
-        j = long.join(F.broadcast(big), keys)
-        m = len(probs)
-        hist = (j.withColumn("_k", F.size(F.filter("_lo", lambda l: l <= F.col("x"))))
-                 .groupBy(*keys, "_k").count()
-                 .groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_k", "count"))).alias("_h")))
-        in_bracket = F.filter(F.sequence(F.lit(0), F.lit(m - 1)),
-                              lambda i: (F.col("x") >= F.element_at("_lo", i + 1))
-                              & (F.col("x") <= F.element_at("_hi", i + 1)))
-        w = Window.partitionBy(*keys, "_i").orderBy("x")
-        ranked = (j.select(*keys, "x", F.explode(in_bracket).alias("_i"))
-                   .withColumn("_rn", F.row_number().over(w) - 1))
-        targets = (big.join(hist, keys)
-                   .select(*keys, "_n", "_h", F.posexplode(p_arr).alias("_i", "p"))
-                   .withColumn("_below", F.aggregate(F.sequence(F.lit(0), F.col("_i")), F.lit(0).cast("long"),
-                                                     lambda acc, k: acc + F.coalesce(F.element_at("_h", k), F.lit(0))))
-                   .withColumn("_pos", F.col("p") * (F.col("_n") - 1))
-                   .withColumn("_lo_r", F.floor("_pos"))
-                   .withColumn("_hi_r", F.least(F.col("_lo_r") + 1, F.col("_n") - 1))
-                   .withColumn("_frac", F.col("_pos") - F.col("_lo_r")))
-        picked = (targets.join(ranked, keys + ["_i"])
-                  .filter((F.col("_rn") == F.col("_lo_r") - F.col("_below"))
-                          | (F.col("_rn") == F.col("_hi_r") - F.col("_below")))
-                  .groupBy(*keys, "p", "_frac", "_lo_r", "_below")
-                  .agg(F.max(F.when(F.col("_rn") == F.col("_lo_r") - F.col("_below"), F.col("x"))).alias("_vlo"),
-                       F.max(F.when(F.col("_rn") == F.col("_hi_r") - F.col("_below"), F.col("x"))).alias("_vhi")))
-        parts.append(picked.select(*keys, "p",
-                                   (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("value")))
+        parts.append(_bracket(long, big, keys, probs, p_arr, broadcast_stats=True))
     if not parts:
         return spark.createDataFrame([], long.select(*keys).schema.add("p", "double").add("value", "double"))
     out = parts[0]
@@ -124,6 +113,37 @@ def quantiles(df: DataFrame, columns, probs, group_cols=(), accuracy: int = 2000
     return out
 
 
+def _bracket(long: DataFrame, big: DataFrame, keys: list, probs: list, p_arr, broadcast_stats: bool) -> DataFrame:
+    """Exact quantiles of the keys in ``big`` (their sketch stats) by
+    bracketing: count below each lower bound, rank only rows inside a bracket."""
+    j = long.join(F.broadcast(big) if broadcast_stats else big, keys)
+    m = len(probs)
+    hist = (j.withColumn("_k", F.size(F.filter("_lo", lambda l: l <= F.col("x"))))
+             .groupBy(*keys, "_k").count()
+             .groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_k", "count"))).alias("_h")))
+    in_bracket = F.filter(F.sequence(F.lit(0), F.lit(m - 1)),
+                          lambda i: (F.col("x") >= F.element_at("_lo", i + 1))
+                          & (F.col("x") <= F.element_at("_hi", i + 1)))
+    w = Window.partitionBy(*keys, "_i").orderBy("x")
+    ranked = (j.select(*keys, "x", F.explode(in_bracket).alias("_i"))
+               .withColumn("_rn", F.row_number().over(w) - 1))
+    targets = (big.join(hist, keys)
+               .select(*keys, "_n", "_h", F.posexplode(p_arr).alias("_i", "p"))
+               .withColumn("_below", F.aggregate(F.sequence(F.lit(0), F.col("_i")), F.lit(0).cast("long"),
+                                                 lambda acc, k: acc + F.coalesce(F.element_at("_h", k), F.lit(0))))
+               .withColumn("_pos", F.col("p") * (F.col("_n") - 1))
+               .withColumn("_lo_r", F.floor("_pos"))
+               .withColumn("_hi_r", F.least(F.col("_lo_r") + 1, F.col("_n") - 1))
+               .withColumn("_frac", F.col("_pos") - F.col("_lo_r")))
+    picked = (targets.join(ranked, keys + ["_i"])
+              .filter((F.col("_rn") == F.col("_lo_r") - F.col("_below"))
+                      | (F.col("_rn") == F.col("_hi_r") - F.col("_below")))
+              .groupBy(*keys, "p", "_frac", "_lo_r", "_below")
+              .agg(F.max(F.when(F.col("_rn") == F.col("_lo_r") - F.col("_below"), F.col("x"))).alias("_vlo"),
+                   F.max(F.when(F.col("_rn") == F.col("_hi_r") - F.col("_below"), F.col("x"))).alias("_vhi")))
+    return picked.select(*keys, "p", (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("value"))
+
+
 def quantile_value(df: DataFrame, column: str, p: float, **kw) -> float | None:
     """Single exact quantile, brought to the driver (one number)."""
     r = quantiles(df, [column], [p], **kw).collect()

@@ -42,3 +42,17 @@ def test_sharpened_sketch_path(spark, monkeypatch):
     got = {r["p"]: r["value"] for r in Q.quantiles(df, ["a"], probs, accuracy=100, small_limit=0).collect()}
     exact = df.agg(F.percentile("a", F.array(*[F.lit(p) for p in probs]))).first()[0]
     assert [got[p] for p in probs] == pytest.approx(exact, rel=1e-12)
+
+
+def test_many_keys_distributed_path(spark, monkeypatch):
+    import farelane.functions.quantiles as Q
+    monkeypatch.setattr(Q, "MAX_DRIVER_KEYS", 2)
+    df = pipeline.clean_trips(load_trips(spark, SF01)).withColumn("g", F.col("trip_id") % 5)
+    got = {(r["g"], r["p"]): r["value"] for r in
+           Q.quantiles(df, ["Fare_Amt"], [0.25, 0.75], group_cols=["g"], accuracy=50, small_limit=400).collect()}
+    exact = df.groupBy("g").agg(F.percentile(F.col("Fare_Amt").cast("double"), F.array(
+        F.lit(0.25), F.lit(0.75))).alias("v")).collect()
+    assert len(got) == 10
+    for r in exact:
+        for p, v in zip([0.25, 0.75], r["v"]):
+            assert got[(r["g"], p)] == pytest.approx(v, rel=1e-12)
