@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farelane.functions.columns import nan_to_null
+
 TRIP_KEYS = ["Start_Lon", "Start_Lat", "End_Lon", "End_Lat"]
 ROUTE_KEYS = ["start_lon", "start_lat", "end_lon", "end_lat"]
 ROUTES_SCHEMA = ("start_lon double, start_lat double, end_lon double, end_lat double, "
@@ -76,7 +78,10 @@ def fetch_routes(keys: DataFrame, provider: Provider, partitions: int | None = N
 
     if partitions:
         keys = keys.repartition(partitions, *ROUTE_KEYS)
-    return keys.mapInPandas(run, ROUTES_SCHEMA)
+    out = keys.mapInPandas(run, ROUTES_SCHEMA)
+    # a failed lookup comes back as NaN: make it null, so the cache skips it
+    # (and a later run retries the key) and the route rules drop the trip
+    return out.withColumns({c: nan_to_null(c) for c in ("route_distance_m", "route_duration_s")})
 
 
 def update_route_cache(spark: SparkSession, trips: DataFrame, provider: Provider, path: str,

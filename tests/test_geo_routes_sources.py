@@ -92,3 +92,19 @@ def test_schema_findings_per_file(spark, tmp_path):
     assert f[("yellow_tripdata_2009-01.parquet", "Fare_Amt")] == (True, True, "ok")
     assert f[("yellow_tripdata_2009-02.parquet", "Fare_Amt")][2] == "warning"
     assert f[("yellow_tripdata_2009-02.parquet", "Passenger_Count")] == (True, False, "warning")
+
+
+def test_failed_lookups_are_not_cached(spark, tmp_path):
+    trips = spark.createDataFrame([(1, -73.99, 40.75, -73.98, 40.76)],
+                                  "trip_id long, Start_Lon double, Start_Lat double, End_Lon double, End_Lat double")
+    path = str(tmp_path / "routes")
+
+    def down(pdf):
+        raise RuntimeError("service down")
+
+    first = R.update_route_cache(spark, trips, R.with_retry(down, retries=1, backoff_s=0.0), path)
+    assert first.count() == 0                                   # nothing cached for a failed key
+    j = R.join_routes(trips, R.fetch_routes(R.route_keys(trips), R.with_retry(down, 1, 0.0)))
+    assert j.filter(F.col("route_distance_m").isNull()).count() == 1
+    second = R.update_route_cache(spark, trips, R.taxicab_provider, path)
+    assert second.count() == 1                                  # retried and cached later
