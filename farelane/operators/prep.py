@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.functions.columns import as_float
+from farelane.functions.columns import as_float, nan_to_null
 from farelane.functions.quantiles import quantiles
 
 PARAMS_SCHEMA = "artefact string, column string, stat string, value double"
@@ -34,7 +34,8 @@ def fit_scaler(df: DataFrame, columns: list[str], method: str = "standard",
     (median, IQR).  Unknown names raise."""
     method = method.lower().replace("scaler", "")
     aggs, names = [], {}
-    df = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    # NaN counts as missing in the statistics (as in the original scalers)
+    df = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in columns])
     if method == "standard":
         for i, c in enumerate(columns):
             aggs += [F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}")]
@@ -68,7 +69,7 @@ def fit_scaler(df: DataFrame, columns: list[str], method: str = "standard",
 def fit_imputer(df: DataFrame, columns: list[str], strategy: str = "mean",
                 artefact: str = "imputer") -> DataFrame:
     """Mean (or median) of every column over the training rows."""
-    df = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    df = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in columns])
     if strategy == "mean":
         wide = df.agg(*[F.avg(c).alias(f"v{i}") for i, c in enumerate(columns)])
         return _wide_to_long(wide, artefact, {f"v{i}": (c, "fill") for i, c in enumerate(columns)})
@@ -106,9 +107,9 @@ def inverse_scaler(df: DataFrame, params) -> DataFrame:
 
 
 def transform_imputer(df: DataFrame, params) -> DataFrame:
-    """Null -> fitted value, column by column."""
+    """Null (or NaN) -> fitted value, column by column."""
     p = params if isinstance(params, dict) else params_dict(params)
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(st["fill"]).cast(df.schema[c].dataType))
+    return df.withColumns({c: F.coalesce(nan_to_null(c), F.lit(st["fill"]).cast(df.schema[c].dataType))
                            for c, st in p.items() if c in df.columns})
 
 

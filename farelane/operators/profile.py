@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farelane.functions.columns import nan_to_null
 from farelane.functions.quantiles import quantiles
 
 
@@ -15,7 +16,7 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     ``(column, stat, value)``."""
     aggs = []
     for i, c in enumerate(columns):
-        x = F.col(c).cast("double")
+        x = nan_to_null(F.col(c).cast("double"))          # NaN is missing, as in describe()
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     wide = df.agg(*aggs)
@@ -31,7 +32,7 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = 100) -> DataFrame:
     """Equal-width bins over [min, max] (last bin closed):
     ``(bin, lo, hi, count)``, empty bins included."""
-    x = F.col(column).cast("double")
+    x = nan_to_null(F.col(column).cast("double"))
     rng = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx")).first()
     mn, mx = rng["mn"], rng["mx"]
     if mn is None:

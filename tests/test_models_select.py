@@ -139,3 +139,16 @@ def test_estimator_by_dotted_path_and_target_detection(spark):
     assert ML.detect_target(df, "missing") == "c"
     assert ML.training_frame(spark.createDataFrame([(1.0, 2.0, 3.0)], "Fare_Amt double, Total_Amt double, Real_time double"),
                              "Fare_Amt").columns == ["Fare_Amt"]
+
+
+def test_nan_is_missing_in_fits_and_profile(spark):
+    from farelane.operators import profile as P
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "v double")
+    sc = prep.params_dict(prep.fit_scaler(df, ["v"]))
+    assert sc["v"]["center"] == pytest.approx(2.0) and sc["v"]["scale"] == pytest.approx(1.0)
+    filled = [r["v"] for r in prep.transform_imputer(df, prep.fit_imputer(df, ["v"])).collect()]
+    assert filled == [1.0, 2.0, 3.0, 2.0]
+    d = {r["stat"]: r["value"] for r in P.describe(df, ["v"]).collect()}
+    assert d["count"] == 2 and d["mean"] == pytest.approx(2.0) and d["max"] == 3.0
+    h = P.histogram(df, "v", 2).collect()
+    assert sum(r["count"] for r in h) == 2
