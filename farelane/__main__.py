@@ -15,16 +15,13 @@ from __future__ import annotations
 import argparse
 import json
 
-from pyspark.sql import functions as F
-
 
 def _read(spark, path, months=None):
     from farelane.sources import files
     raw = files.read_trip_files(spark, path, months=months)
-    canon = files.canonical_columns(raw, keep_extra=["month", "source_file"])
-    # a stable row key for splits, samples and folds
-    key = F.xxhash64("source_file", *[F.col(c) for c in canon.columns if c not in ("month", "source_file")])
-    return canon.withColumn("trip_id", key)
+    # the file-and-position key is unique and stable: splits, samples and folds use it
+    return files.canonical_columns(raw, keep_extra=["month", "source_file", "row_key"]) \
+        .withColumnRenamed("row_key", "trip_id")
 
 
 def main(argv=None) -> None:

@@ -2,7 +2,7 @@
 
 * ``read_trip_files``: recursive discovery of monthly Parquet files, column
   projection pushed into the scan, month taken from the file name
-  (``_metadata.file_path``) so later filters on ``month`` prune files.
+  (``_metadata.file_path``), a stable unique ``row_key`` per row.
 * ``canonical_columns``: alias-tolerant renaming (first present variant wins),
   ambiguous or missing columns raise.
 * ``schema_findings``: per-column presence / type findings from the schema
@@ -29,11 +29,22 @@ def read_trip_files(spark: SparkSession, path: str, columns: list[str] | None =
         glob = "*{" + ",".join(months) + "}.parquet"
     r = spark.read.option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", glob)
     df = r.parquet(path)
-    df = df.select(*(columns or df.columns), F.col("_metadata.file_path").alias("source_file"))
+    df = df.select(*(columns or df.columns), F.col("_metadata.file_path").alias("source_file"),
+                   row_key().alias("row_key"))
     m = F.regexp_extract("source_file", MONTH_PATTERN, 0)
     return df.withColumn("month", F.when(m != "", F.substring(m, 1, 7)))
 
 
+def row_key():
+    """A unique, stable row key for file rows: 23 bits of the file path hash
+    and the row's index in its Parquet file (40 bits).  Unlike a hash of the
+    values it separates identical rows, and unlike monotonically_increasing_id
+    it is the same on every re-evaluation."""
+    file_bits = F.col("_metadata.file_path").cast("string")
+    return (F.shiftleft(F.xxhash64(file_bits).bitwiseAND(F.lit((1 << 23) - 1)), 40)
+            .bitwiseOR(F.col("_metadata.row_index")))
+
+
 def canonical_columns(df: DataFrame, aliases: dict = COLUMN_ALIASES, required: list[str] = REQUIRED_COLUMNS,
                       keep_extra: list[str] | None = None) -> DataFrame:
     """Rename the first present variant of each canonical column, then project

@@ -108,3 +108,13 @@ def test_failed_lookups_are_not_cached(spark, tmp_path):
     assert j.filter(F.col("route_distance_m").isNull()).count() == 1
     second = R.update_route_cache(spark, trips, R.taxicab_provider, path)
     assert second.count() == 1                                  # retried and cached later
+
+
+def test_row_key_unique_for_identical_rows(spark, tmp_path):
+    import pandas as pd
+    pd.DataFrame({"v": [1.0] * 5}).to_parquet(tmp_path / "a_2009-01.parquet", index=False)
+    pd.DataFrame({"v": [1.0] * 5}).to_parquet(tmp_path / "b_2009-02.parquet", index=False)
+    t = files.read_trip_files(spark, str(tmp_path))
+    keys = [r["row_key"] for r in t.collect()]
+    assert len(set(keys)) == 10
+    assert sorted(keys) == sorted(r["row_key"] for r in files.read_trip_files(spark, str(tmp_path)).collect())
