@@ -17,10 +17,23 @@ from pyspark.sql import SparkSession
 
 def get_spark(master: str | None = None, app: str = "farelane",
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    master = master or f"local[{cpus}]"
+    """Session for jobs, tests and the bench.
+
+    Under ``spark-submit`` (a master is configured) the cluster's own sizing
+    is kept: no master, shuffle-partition or memory overrides, AQE coalesces
+    and splits partitions at run time.  Without one (tests, bench) it runs
+    ``local[$BENCH_CPUS]`` with as many shuffle partitions as cores."""
+    external = False
+    if master is None:
+        if "PYSPARK_GATEWAY_PORT" in os.environ:
+            # started by spark-submit: the JVM exists, its conf holds the master
+            from pyspark import SparkConf
+            conf_master = SparkConf().get("spark.master", "")
+            external = bool(conf_master) and not conf_master.startswith("local")
+        # an explicit --master for the JVM this process is about to launch
+        external = external or "--master" in os.environ.get("PYSPARK_SUBMIT_ARGS", "")
     builder = (
-        SparkSession.builder.master(master).appName(app)
+        SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
@@ -28,9 +41,14 @@ def get_spark(master: str | None = None, app: str = "farelane",
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
-        .config("spark.driver.memory", "16g")
     )
+    if not external:
+        cpus = os.environ.get("BENCH_CPUS", "8")
+        builder = (builder.master(master or f"local[{cpus}]")
+                   .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
+                   .config("spark.driver.memory", "16g"))
+    elif shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
