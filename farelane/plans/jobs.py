@@ -85,8 +85,8 @@ def _prepare(spark, raw: DataFrame, lay: Layout, provider, artefacts=None, route
     if not (resume and _done(spark, lay.split_trips)):
         sinks.write_splits(S.split_train_val_test(pipeline.ingest(raw)), lay.split_trips)
     split = spark.read.parquet(lay.split_trips)
-    routes = R.update_route_cache(spark, pipeline.clean_trips(split), provider, routes_path or lay.routes)
-    table, art = pipeline.processed_table(split, routes=routes, artefacts=artefacts)
+    table, art = pipeline.processed_table(split, provider=provider, artefacts=artefacts,
+                                          route_cache=routes_path or lay.routes)
     if not (resume and _done(spark, lay.processed)):
         sinks.write_splits(ML.training_frame(table, TARGET), lay.processed)
     return spark.read.parquet(lay.processed), art

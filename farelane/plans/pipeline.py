@@ -63,12 +63,14 @@ def feature_table(raw: DataFrame, split_col: str | None = "split", fit_on: str =
 
 def processed_table(split_raw: DataFrame, provider=None, routes: DataFrame | None = None,
                     artefacts: dict | None = None, rules: OutlierRules = OutlierRules(),
-                    add_routes: bool = True, use_raw_haversine: bool = False):
+                    add_routes: bool = True, use_raw_haversine: bool = False,
+                    route_cache: str | None = None):
     """Feature table with route features: clean -> features -> scale ->
     routes -> route filter -> ratios -> route scaling.
 
     Params are fitted on ``split == 'train'`` unless ``artefacts`` (dicts from
-    a previous run) are given.  Returns (table, artefacts as dicts)."""
+    a previous run) are given; ``route_cache`` names a routes table that is
+    read and extended with the keys it lacks.  Returns (table, artefacts as dicts)."""
     from farelane.operators import routes as R
     a = dict(artefacts or {})
     feats, scaler, imputer = feature_table(split_raw, "split", "train", "standard", rules,
@@ -80,7 +82,10 @@ def processed_table(split_raw: DataFrame, provider=None, routes: DataFrame | Non
     feats = materialize(feats)
     if not add_routes:
         return feats, a
-    if routes is None:
+    if routes is None and route_cache:
+        # keys come from the stage just written: no second cleaning pass
+        routes = R.update_route_cache(feats.sparkSession, feats, provider or R.taxicab_provider, route_cache)
+    elif routes is None:
         routes = R.fetch_routes(R.route_keys(feats), provider or R.taxicab_provider)
     t = R.route_filter(R.join_routes(feats, routes))
     if use_raw_haversine:
