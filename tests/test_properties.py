@@ -40,3 +40,47 @@ def test_ridge_from_sums_matches_numpy(seed, alpha):
     one = ST.ridge_from_sums(s, cols, ["b"], "y", alpha)      # subset fit from the same sums
     xb = X[:, 1] - X[:, 1].mean()
     assert one["b"] == pytest.approx(float(xb @ yc / (xb @ xb + alpha)), rel=1e-7)
+
+
+@pytest.fixture(scope="module")
+def _spark():
+    from farelane.session import get_spark
+    return get_spark(master="local[4]", shuffle_partitions=4)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 40)), st.integers(0, 10 ** 6)),
+                min_size=1, max_size=60, unique_by=lambda t: t[1]))
+def test_half_split_matches_brute_force(_spark, rows):
+    """Random timestamps with many ties and nulls: val is exactly the first
+    n // 2 rows of (ts nulls last, key), as a full sort would give."""
+    import datetime as dt
+    from pyspark.sql import functions as F
+    base = dt.datetime(2024, 3, 10, 1, 59, 58)
+    data = [(k, None if s is None else base + dt.timedelta(seconds=s // 4, microseconds=(s % 4) * 250))
+            for s, k in rows]
+    df = _spark.createDataFrame(data, "trip_id long, Trip_Pickup_DateTime timestamp_ntz")
+    got = sorted(r["trip_id"] for r in S.half_split(df).filter(F.col("split") == "val").collect())
+    order = sorted(data, key=lambda r: (r[1] is None, r[1] or base, r[0]))
+    assert got == sorted(k for k, _ in order[: len(data) // 2])
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.floats(0.1, 10), st.floats(0.1, 10), st.floats(-1, 1), st.floats(1, 50),
+                          st.floats(0.1, 10)), min_size=2, max_size=5))
+def test_mcdm_matches_direct_computation(_spark, cands):
+    from farelane.config import METRICS_ORDER, SELECTION_WEIGHTS
+    from farelane.operators import selection as SEL
+    rows = [(f"c{i}", m, float(v)) for i, c in enumerate(cands) for m, v in zip(METRICS_ORDER, c)]
+    df = _spark.createDataFrame(rows, "candidate string, metric string, value double")
+    got = {r["candidate"]: r["score"] for r in SEL.mcdm_scores(df).collect()}
+    M = np.array(cands, dtype=float)
+    w = np.array([SELECTION_WEIGHTS[m] for m in METRICS_ORDER]) / sum(SELECTION_WEIGHTS.values())
+    norm = np.full_like(M, 0.5)
+    for j, m in enumerate(METRICS_ORDER):
+        lo, hi = M[:, j].min(), M[:, j].max()
+        if hi > lo:
+            norm[:, j] = (hi - M[:, j]) / (hi - lo) if m == "r2" else (M[:, j] - lo) / (hi - lo)
+    expect = norm @ w
+    for i in range(len(cands)):
+        assert got[f"c{i}"] == pytest.approx(expect[i], abs=1e-9)
