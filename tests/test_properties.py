@@ -84,3 +84,29 @@ def test_mcdm_matches_direct_computation(_spark, cands):
     expect = norm @ w
     for i in range(len(cands)):
         assert got[f"c{i}"] == pytest.approx(expect[i], abs=1e-9)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.integers(-50, 50), min_size=250, max_size=900),
+       st.lists(st.floats(0.0, 1.0), min_size=1, max_size=4))
+def test_bracketed_quantiles_match_numpy(_spark, values, probs):
+    from farelane.functions.quantiles import quantiles
+    xs = [v / 7.0 for v in values]                       # many duplicates
+    df = _spark.createDataFrame([(x,) for x in xs], "x double")
+    got = {r["p"]: r["value"] for r in quantiles(df, ["x"], probs, accuracy=50, small_limit=0).collect()}
+    for p in set(probs):
+        assert got[float(p)] == pytest.approx(float(np.percentile(xs, p * 100)), rel=1e-9, abs=1e-9)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.integers(0, 30), min_size=5, max_size=300), st.lists(st.integers(0, 30), min_size=5, max_size=300))
+def test_bucketed_w1_matches_numpy(_spark, a, b):
+    from farelane.operators import drift as D
+    ra = _spark.createDataFrame([(float(v),) for v in a], "x double")
+    rb = _spark.createDataFrame([(float(v),) for v in b], "x double")
+    got = D.wasserstein(ra, rb, ["x"], rows_per_bucket=40).first()["w1"]
+    grid = np.unique(np.concatenate([a, b])).astype(float)
+    Fa = np.searchsorted(np.sort(a), grid, side="right") / len(a)
+    Fb = np.searchsorted(np.sort(b), grid, side="right") / len(b)
+    expect = float(np.sum(np.abs(Fa - Fb)[:-1] * np.diff(grid)))
+    assert got == pytest.approx(expect, rel=1e-9, abs=1e-12)
