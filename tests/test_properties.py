@@ -110,3 +110,27 @@ def test_bucketed_w1_matches_numpy(_spark, a, b):
     Fb = np.searchsorted(np.sort(b), grid, side="right") / len(b)
     expect = float(np.sum(np.abs(Fa - Fb)[:-1] * np.diff(grid)))
     assert got == pytest.approx(expect, rel=1e-9, abs=1e-12)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.integers(1, 4), min_size=20, max_size=400), st.integers(1, 300))
+def test_quota_draw_matches_brute_force(_spark, groups, n):
+    """Per group, the quota rows with the smallest (md5 prefix, key): the
+    bracketed draw equals a full sort."""
+    import hashlib
+    rows = [(i, g) for i, g in enumerate(groups)]
+    df = _spark.createDataFrame(rows, "trip_id long, g long")
+    counts = {}
+    for _, g in rows:
+        counts[g] = counts.get(g, 0) + 1
+    quotas = S.quotas_from_counts(counts, n)
+    got = sorted(r["trip_id"] for r in S.sample_by_quota(df, "g", quotas, seed=42).collect())
+
+    def h(k):
+        return int(hashlib.md5(f"{k}|42".encode()).hexdigest()[:8], 16)
+
+    expect = []
+    for g, q in quotas.items():
+        members = sorted((h(k), k) for k, gg in rows if gg == g)
+        expect += [k for _, k in members[:q]]
+    assert got == sorted(expect)
