@@ -134,3 +134,29 @@ def test_quota_draw_matches_brute_force(_spark, groups, n):
         members = sorted((h(k), k) for k, gg in rows if gg == g)
         expect += [k for _, k in members[:q]]
     assert got == sorted(expect)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.floats(0.5, 5.0), st.floats(0.0, 6.28)), min_size=3, max_size=12,
+                unique_by=lambda t: round(t[1], 3)),
+       st.lists(st.tuples(st.floats(-6, 6), st.floats(-6, 6)), min_size=1, max_size=60),
+       st.sampled_from([0.05, 0.5, 3.0]))
+def test_banded_polygon_matches_ray_casting(_spark, ring, pts, band):
+    import math
+    from farelane.operators import polygon as PG
+    ring = sorted(ring, key=lambda t: t[1])                 # star-shaped: a simple polygon
+    poly = [(r * math.cos(a), r * math.sin(a)) for r, a in ring]
+    edges = PG.edges_from_rings(_spark, {1: [poly]})
+    df = _spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(pts)], "id long, x double, y double")
+    got = {r["id"]: r["inside"] for r in PG.point_in_polygon(df, edges, "x", "y", band=band).collect()}
+    closed = poly + [poly[0]]
+
+    def inside(x, y):
+        c = 0
+        for (x1, y1), (x2, y2) in zip(closed[:-1], closed[1:]):
+            if y1 != y2 and ((y1 <= y) != (y2 <= y)) and x < x1 + (y - y1) * (x2 - x1) / (y2 - y1):
+                c += 1
+        return c % 2 == 1
+
+    for i, (x, y) in enumerate(pts):
+        assert got[i] == inside(x, y)
