@@ -137,3 +137,22 @@ def test_combined_constant_rule_and_strict_months(spark):
     two = load_monthly_trips(spark, SF001).filter(F.col("month") != "2024-02")
     with pytest.raises(ValueError):
         S.month_findings(two, strict=True)
+
+
+def test_rules_not_reached_by_driver_data(spark):
+    """Rows that only the 300 km/h, 32-day and 56 km rules catch (the other
+    limits relaxed), and the 800 km haversine rule."""
+    rows = [_row(1),
+            _row(2, dist=10.0, drop="2024-01-01 10:01:00"),                 # 965 km/h
+            _row(3, drop="2024-02-15 10:00:00", dist=3.0),                  # 45 days
+            _row(4, dist=40.0, drop="2024-01-01 11:00:00"),                 # 64 km in 1 h
+            _row(5, sl=(-73.99, 40.75), el=(-80.0, 35.0), dist=700.0,       # 820 km straight line
+                 drop="2024-01-01 20:00:00")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    loose = OutlierRules(max_minutes=10 ** 8, max_velocity_kmh=10 ** 6, max_distance_km=10 ** 6)
+    assert {r["trip_id"] for r in pipeline.clean_trips(df, loose).collect()} == {1, 4}
+    only_56 = OutlierRules(max_minutes=10 ** 8, max_velocity_kmh=10 ** 6)
+    assert {r["trip_id"] for r in pipeline.clean_trips(df, only_56).collect()} == {1}
+    no_hav = OutlierRules(max_minutes=10 ** 8, max_velocity_kmh=10 ** 6, max_distance_km=10 ** 6,
+                          distance_limit_km=10 ** 6, ratio_distance_pairs=())
+    assert 5 in {r["trip_id"] for r in pipeline.clean_trips(df, no_hav).collect()}
