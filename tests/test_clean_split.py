@@ -156,3 +156,16 @@ def test_rules_not_reached_by_driver_data(spark):
     no_hav = OutlierRules(max_minutes=10 ** 8, max_velocity_kmh=10 ** 6, max_distance_km=10 ** 6,
                           distance_limit_km=10 ** 6, ratio_distance_pairs=())
     assert 5 in {r["trip_id"] for r in pipeline.clean_trips(df, no_hav).collect()}
+
+
+def test_request_time_parsing_and_month_from_path(spark):
+    import datetime as dt
+    req = spark.createDataFrame([(1, "2009-01-04 02:52:00"), (2, "2009-01-04T02:52:00"), (3, "garbage"), (4, None)],
+                                "trip_id long, Trip_Pickup_DateTime string")
+    out = {r["trip_id"]: r["Trip_Pickup_DateTime"] for r in pipeline.ingest_requests(req).collect()}
+    assert out[1] == out[2] == dt.datetime(2009, 1, 4, 2, 52)
+    now = dt.datetime.now()
+    assert abs((out[3] - now).total_seconds()) < 3600 * 14 and abs((out[4] - now).total_seconds()) < 3600 * 14
+    paths = spark.createDataFrame([("/data/raw/yellow_tripdata_2009-03.parquet",), ("/d/2010-12/part-0.parquet",)], "p string")
+    got = [r[0] for r in paths.select(S.month_from_path(F.col("p"))).collect()]
+    assert got[0] == "2009-03"
