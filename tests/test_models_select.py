@@ -152,3 +152,34 @@ def test_nan_is_missing_in_fits_and_profile(spark):
     assert d["count"] == 2 and d["mean"] == pytest.approx(2.0) and d["max"] == 3.0
     h = P.histogram(df, "v", 2).collect()
     assert sum(r["count"] for r in h) == 2
+
+
+def test_stack_oof_matches_numpy(spark):
+    import hashlib
+    from farelane.operators import models as ML
+    rng = np.random.default_rng(7)
+    n = 300
+    a, b = rng.normal(size=n), rng.normal(size=n)
+    y = 2.0 * a - 1.0 * b + 0.5 + rng.normal(scale=0.3, size=n)
+    old = 1.8 * a + rng.normal(scale=0.5, size=n)
+    df = spark.createDataFrame([(i, float(a[i]), float(b[i]), float(y[i]), float(old[i])) for i in range(n)],
+                               "trip_id long, a double, b double, y double, pred_old double")
+
+    def fit_predict(tr, ap):
+        m = ML.fit(tr, "pyspark.ml.regression.LinearRegression", ["a", "b"], "y",
+                   {"solver": "normal", "regParam": 0.0}, prediction="pred_new")
+        return m.transform(ap).drop("features")
+
+    _, coefs = ST.stack_oof(df, fit_predict, "pred_old", "y", k=5, alpha=0.5)
+    fold = np.array([int(hashlib.md5(f"{i}|42".encode()).hexdigest()[:8], 16) % 5 for i in range(n)])
+    X = np.column_stack([np.ones(n), a, b])
+    new = np.empty(n)
+    for f in range(5):
+        tr, te = fold != f, fold == f
+        beta = np.linalg.lstsq(X[tr], y[tr], rcond=None)[0]
+        new[te] = X[te] @ beta
+    Z = np.column_stack([old, new])
+    Zc, yc = Z - Z.mean(0), y - y.mean()
+    c = np.linalg.solve(Zc.T @ Zc + 0.5 * np.eye(2), Zc.T @ yc)
+    assert [coefs["pred_old"], coefs["pred_new"]] == pytest.approx(c.tolist(), rel=1e-6)
+    assert coefs["intercept"] == pytest.approx(y.mean() - Z.mean(0) @ c, rel=1e-6, abs=1e-9)
