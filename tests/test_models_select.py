@@ -183,3 +183,16 @@ def test_stack_oof_matches_numpy(spark):
     c = np.linalg.solve(Zc.T @ Zc + 0.5 * np.eye(2), Zc.T @ yc)
     assert [coefs["pred_old"], coefs["pred_new"]] == pytest.approx(c.tolist(), rel=1e-6)
     assert coefs["intercept"] == pytest.approx(y.mean() - Z.mean(0) @ c, rel=1e-6, abs=1e-9)
+
+
+def test_metric_edge_rules(spark):
+    from farelane.operators import metrics as M
+    const = spark.createDataFrame([(2.0, 2.0, 2.5), (2.0, 2.0, 1.5)], "y double, exact double, off double")
+    long = M.melt_predictions(const, "y", {"exact": "exact", "off": "off"})
+    r2 = {r["candidate"]: r["r2"] for r in M.regression_metrics(long).collect()}
+    assert r2 == {"exact": 1.0, "off": 0.0}
+    tiny = spark.createDataFrame([(1e-9, 0.0)], "y double, p double")
+    lt = M.melt_predictions(tiny, "y", {"m": "p"})
+    abs_rule = M.regression_metrics(lt, zero_rule="abs").first()["mape"]
+    zero_rule = M.regression_metrics(lt, zero_rule="zero").first()["mape"]
+    assert abs_rule == pytest.approx(1e-9 / 1e-8 * 100) and zero_rule == pytest.approx(100.0)
