@@ -118,3 +118,12 @@ def test_row_key_unique_for_identical_rows(spark, tmp_path):
     keys = [r["row_key"] for r in t.collect()]
     assert len(set(keys)) == 10
     assert sorted(keys) == sorted(r["row_key"] for r in files.read_trip_files(spark, str(tmp_path)).collect())
+
+
+def test_ledger_rewrite_replaces_version(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    sinks.write_ledger(spark.createDataFrame([("v1", "2009-01"), ("v1", "2009-02"), ("v2", "2009-03")],
+                                             "version string, month string"), path)
+    sinks.write_ledger(spark.createDataFrame([("v1", "2009-04")], "version string, month string"), path)
+    got = sorted((r["version"], r["month"]) for r in spark.read.parquet(path).collect())
+    assert got == [("v1", "2009-04"), ("v2", "2009-03")]
