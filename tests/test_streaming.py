@@ -2,6 +2,7 @@
 
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from farelane.operators import models as ML
@@ -42,3 +43,20 @@ def test_stream_scoring_matches_batch(spark):
     assert len(batch) > 0
     assert got1 == batch
     assert got2 == batch
+
+
+def test_score_breakdown_previous_latest_stacked(spark):
+    raw = S.split_train_val_test(pipeline.ingest(load_monthly_trips(spark, SF001)))
+    t, art = pipeline.processed_table(raw)
+    t = ML.training_frame(t)
+    feats = ML.feature_columns(t, "Fare_Amt")
+    train = t.filter(F.col("split") == "train")
+    latest = ML.fit(train, "linear", feats, "Fare_Amt", {})
+    previous = ML.fit(train, "gbt_a", feats, "Fare_Amt", dict(maxIter=3, maxDepth=2, seed=1))
+    meta = {"intercept": 0.5, "pred_old": 0.3, "pred_new": 0.6}
+    req = raw.filter(F.col("split") == "test").select("trip_id", "Trip_Pickup_DateTime", "Passenger_Count",
+                                                      "Start_Lon", "Start_Lat", "End_Lon", "End_Lat")
+    out = SS.score(req, art, latest, previous=previous, meta=meta).collect()
+    assert out and set(out[0].asDict()) == {"trip_id", "fare_latest", "fare_previous", "fare"}
+    for r in out:
+        assert r["fare"] == pytest.approx(0.5 + 0.3 * r["fare_previous"] + 0.6 * r["fare_latest"], abs=0.02)
