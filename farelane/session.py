@@ -61,28 +61,56 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     On a cluster the setting names a shared, fault-tolerant folder and is used
-    as is.  Only when it is unset (local tests) a scratch folder is created.
+    as is; a cluster session without one is an error, because a machine-local
+    folder would scatter the files over the executors.  Only a local master
+    without the setting (tests) gets a scratch folder.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - a remote session exposes no SparkContext
         d = spark.conf.get("spark.checkpoint.dir", None)
-        return d or tempfile.mkdtemp(prefix="farelane-ckpt-")
-    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+        if not d:
+            raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares") from None
+        return d
+    d = sc.getCheckpointDir()
+    if d:
+        return d
+    d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        master = sc.master or ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
         d = tempfile.mkdtemp(prefix="farelane-ckpt-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(d)
+    sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
+_STAGES: list[str] = []
+
+
 def materialize(df):
     """Cut the lineage: write ``df`` as a Parquet table under the shared
     checkpoint folder and read it back.  One pass (``Dataset.checkpoint``
     computes its input twice unless cached), columnar on disk, and it survives
-    executor loss, unlike local checkpoints."""
+    executor loss, unlike local checkpoints.  Jobs call :func:`drop_stages`
+    when they end."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/farelane-stage-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    _STAGES.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stages(spark, paths: list[str] | None = None) -> int:
+    """Delete stage tables written by :func:`materialize` (all that this
+    process wrote, or ``paths``); returns how many went.  Frames that read
+    them must not be used afterwards."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    for p in list(paths if paths is not None else _STAGES):
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+        if p in _STAGES:
+            _STAGES.remove(p)
+    return gone
