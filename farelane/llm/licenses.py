@@ -94,7 +94,7 @@ COUNTEREXAMPLES = [
 #: Words of the templates that are too ordinary to tell anything alone.
 ORDINARY = frozenset(
     "the of and to in is that it for on are as with this be at have or by a an any all can you may not it has been into their if no work use file "
-    "part person without above following met appear later either at your option extent possible law mit v c sa nc nd cc form code source see "
+    "part person without above following met appear later either at your option extent possible law mit v c sa nc nd form code source see "
     "under terms general version both other 0".split())
 MAX_NGRAM = 3
 

@@ -88,10 +88,10 @@ SQL: dict[str, str] = {}
 
 SQL["op2_topk"] = """
 WITH ok AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(x::DOUBLE * 256)::BIGINT) AS v
+  SELECT DISTINCT vec_id, [floor(x::DOUBLE * 256)::BIGINT for x in embedding] AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    AND len([x for x in embedding if x IS NULL OR isnan(x) OR isinf(x)]) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
   FROM ok q JOIN ok c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
@@ -103,14 +103,14 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 
 _SHINGLES = """
   SELECT {key}, unnest(CASE WHEN len(w) >= 5
-      THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], chr(1)))
+      THEN [array_to_string(w[i:i + 4], chr(1)) for i in range(1, len(w) - 3)]
       WHEN len(w) >= 1 THEN [array_to_string(w, chr(2))] ELSE [] END) AS g
   FROM {table}"""
 
 SQL["op7_decontamination"] = f"""
-WITH d AS (SELECT DISTINCT doc_id, md5(text) AS h, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), x -> x <> '') AS w
+WITH d AS (SELECT DISTINCT doc_id, md5(text) AS h, [x for x in regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+') if x <> ''] AS w
            FROM documents WHERE text IS NOT NULL),
-b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), x -> x <> '') AS w
+b AS (SELECT item_id, [x for x in regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+') if x <> ''] AS w
       FROM benchmark WHERE text IS NOT NULL),
 ds AS (SELECT DISTINCT * FROM ({_SHINGLES.format(key="doc_id, h", table="d")})),
 bs AS (SELECT DISTINCT * FROM ({_SHINGLES.format(key="item_id", table="b")})),
@@ -124,7 +124,7 @@ SQL["op4_jaccard_join"] = f"""
 WITH RECURSIVE c AS (
   SELECT md5(text) AS node, any_value(text) AS text, min(doc_id) AS class_id, count(*) AS n_copies
   FROM documents WHERE text IS NOT NULL GROUP BY 1),
-w AS (SELECT node, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), x -> x <> '') AS w FROM c),
+w AS (SELECT node, [x for x in regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+') if x <> ''] AS w FROM c),
 s AS MATERIALIZED (SELECT DISTINCT * FROM ({_SHINGLES.format(key="node", table="w")})),
 n AS (SELECT node, count(*) AS n FROM s GROUP BY node),
 both_ AS (SELECT a.node AS x, b.node AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.node <> b.node GROUP BY ALL),
