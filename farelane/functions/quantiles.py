@@ -2,33 +2,26 @@
 ``quantile_cont`` / NumPy default) that stay bounded at any table size.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
-task's buffer, which does not survive a trips-sized group.  Here each target
-rank is bracketed first:
-
-1. one aggregation per key: ``count`` and ``percentile_approx`` at
-   ``p - d`` and ``p + d`` (``d = 3 / accuracy``); its rank error is at most
-   ``n / accuracy``, so for ``n > 2 * accuracy`` the bracket ``[L, U]`` holds
-   the two order statistics the interpolation needs;
-2. one pass over the rows (stats broadcast: one row per key): a histogram of
-   "how many lower bounds are <= x" gives ``count(x < L)`` for every target,
-   and only rows inside some bracket (about ``6 n / accuracy`` per target)
-   are ranked with a window partitioned by (key, target);
-3. keys with few rows (``n <= small_limit``) use Spark's exact ``percentile``,
-   whose buffer is then bounded by ``small_limit``; with more than
-   ``MAX_DRIVER_KEYS`` keys the stats stay a distributed table (no collect,
-   no broadcast) and both paths run as plain joins;
-4. when a key is so large that a bracket would exceed ``MAX_BRACKET_ROWS``,
-   the sketch is recomputed once with a proportionally higher accuracy
-   (capped at ``MAX_ACCURACY``), so ranked brackets stay small at any scale.
+task's buffer, which does not survive a trips-sized group.  Here
 
+1. rows are counted by (key, value): a value that a million rows share is one
+   row from then on;
+2. the counts get their running sums by range partitions
+   (:mod:`farelane.functions.ranges`), so no task holds a key;
+3. the row whose running sum covers a target rank holds the order statistic,
+   and it or the next value holds the one after.
+
+One path for every size, key count and tie.
 Output: ``(*group_cols, column, p, value)``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farelane.functions.ranges import running_counts
+
 
 def _melt(df: DataFrame, columns: list[str], group_cols: list[str]) -> DataFrame:
     items = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns]
@@ -36,115 +29,32 @@ def _melt(df: DataFrame, columns: list[str], group_cols: list[str]) -> DataFrame
     return long.filter(F.col("x").isNotNull() & ~F.isnan("x"))
 
 
-MAX_BRACKET_ROWS = 2_000_000
-MAX_ACCURACY = 1_000_000
-MAX_DRIVER_KEYS = 100_000      # stats of more keys stay distributed (no collect, no broadcast)
+def value_counts(df: DataFrame, columns: list[str], group_cols: list[str]) -> DataFrame:
+    """``(*group_cols, column, x, n)``: rows per distinct value."""
+    return _melt(df, columns, group_cols).groupBy(*group_cols, "column", "x").agg(F.count(F.lit(1)).alias("n"))
 
 
-def quantiles(df: DataFrame, columns, probs, group_cols=(), accuracy: int = 20000,
-              small_limit: int | None = None) -> DataFrame:
+def quantiles(df: DataFrame, columns, probs, group_cols=()) -> DataFrame:
     columns = [columns] if isinstance(columns, str) else list(columns)
-    g = list(group_cols)
-    keys = g + ["column"]
+    keys = list(group_cols) + ["column"]
     probs = sorted({float(p) for p in probs})
-    auto_small = small_limit is None
-    small_limit = 2 * accuracy if auto_small else small_limit
-    long = _melt(df, columns, g)
-
-    def sketch(acc):
-        d = 3.0 / acc
-        lows = [max(0.0, p - d) for p in probs]
-        highs = [min(1.0, p + d) for p in probs]
-        return long.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.percentile_approx("x", F.array(*[F.lit(v) for v in lows]), acc).alias("_lo"),
-            F.percentile_approx("x", F.array(*[F.lit(v) for v in highs]), acc).alias("_hi"),
-        )
-
-    p_arr = F.array(*[F.lit(p) for p in probs])
-    spark = df.sparkSession
-    stats = sketch(accuracy)
-    # one job: bring at most MAX_DRIVER_KEYS + 1 stats rows to the driver
-    rows = stats.limit(MAX_DRIVER_KEYS + 1).collect()
-    if len(rows) > MAX_DRIVER_KEYS:
-        # many keys: stats stay a distributed table, joined without a broadcast
-        # hint (AQE picks the join); small and large keys are routed by a filter
-        stats = stats.cache()
-        small_df = stats.filter(F.col("_n") <= small_limit).select(*keys)
-        small_part = (long.join(small_df, keys).groupBy(*keys).agg(F.percentile("x", p_arr).alias("_v"))
-                      .select(*keys, F.posexplode(F.arrays_zip(p_arr.alias("p"), F.col("_v").alias("value"))))
-                      .select(*keys, "col.p", "col.value"))
-        big = stats.filter(F.col("_n") > small_limit)
-        return small_part.unionByName(_bracket(long, big, keys, probs, p_arr, broadcast_stats=False))
-    # few keys (the usual case: one per column or per model and split): the
-    # stats are on the driver and each key takes its path
-    # a bracket holds about 8 n / accuracy rows: for very large keys, sharpen
-    # the sketch once so no ranked bracket exceeds MAX_BRACKET_ROWS
-    n_max = max((r["_n"] for r in rows), default=0)
-    if n_max > small_limit and 8 * n_max / accuracy > MAX_BRACKET_ROWS and accuracy < MAX_ACCURACY:
-        accuracy = int(min(MAX_ACCURACY, 8 * n_max / MAX_BRACKET_ROWS + 1))
-        if auto_small:      # the bracket guarantee needs n > 2 * accuracy
-            small_limit = 2 * accuracy
-        stats = sketch(accuracy)
-        rows = stats.collect()
-    small_rows = [r for r in rows if r["_n"] <= small_limit]
-    big_rows = [r for r in rows if r["_n"] > small_limit]
-    parts = []
-
-    # -- few rows per key: Spark's exact percentile (bounded buffer) ----------
-    if small_rows:
-        src = long
-        if big_rows:
-            sk = spark.createDataFrame([tuple(r[k] for k in keys) for r in small_rows], long.select(*keys).schema)
-            src = long.join(F.broadcast(sk), keys)
-        parts.append(src.groupBy(*keys).agg(F.percentile("x", p_arr).alias("_v"))
-                     .select(*keys, F.posexplode(F.arrays_zip(p_arr.alias("p"), F.col("_v").alias("value"))))
-                     .select(*keys, "col.p", "col.value"))
-
-    # -- many rows per key: bracket and rank --------------------------------
-    if big_rows:
-        big = spark.createDataFrame([r.asDict() for r in big_rows], stats.schema)
-        parts.append(_bracket(long, big, keys, probs, p_arr, broadcast_stats=True))
-    if not parts:
-        return spark.createDataFrame([], long.select(*keys).schema.add("p", "double").add("value", "double"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _bracket(long: DataFrame, big: DataFrame, keys: list, probs: list, p_arr, broadcast_stats: bool) -> DataFrame:
-    """Exact quantiles of the keys in ``big`` (their sketch stats) by
-    bracketing: count below each lower bound, rank only rows inside a bracket."""
-    j = long.join(F.broadcast(big) if broadcast_stats else big, keys)
-    m = len(probs)
-    hist = (j.withColumn("_k", F.size(F.filter("_lo", lambda l: l <= F.col("x"))))
-             .groupBy(*keys, "_k").count()
-             .groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_k", "count"))).alias("_h")))
-    in_bracket = F.filter(F.sequence(F.lit(0), F.lit(m - 1)),
-                          lambda i: (F.col("x") >= F.element_at("_lo", i + 1))
-                          & (F.col("x") <= F.element_at("_hi", i + 1)))
-    w = Window.partitionBy(*keys, "_i").orderBy("x")
-    ranked = (j.select(*keys, "x", F.explode(in_bracket).alias("_i"))
-               .withColumn("_rn", F.row_number().over(w) - 1))
-    targets = (big.join(hist, keys)
-               .select(*keys, "_n", "_h", F.posexplode(p_arr).alias("_i", "p"))
-               .withColumn("_below", F.aggregate(F.sequence(F.lit(0), F.col("_i")), F.lit(0).cast("long"),
-                                                 lambda acc, k: acc + F.coalesce(F.element_at("_h", k), F.lit(0))))
-               .withColumn("_pos", F.col("p") * (F.col("_n") - 1))
-               .withColumn("_lo_r", F.floor("_pos"))
-               .withColumn("_hi_r", F.least(F.col("_lo_r") + 1, F.col("_n") - 1))
-               .withColumn("_frac", F.col("_pos") - F.col("_lo_r")))
-    picked = (targets.join(ranked, keys + ["_i"])
-              .filter((F.col("_rn") == F.col("_lo_r") - F.col("_below"))
-                      | (F.col("_rn") == F.col("_hi_r") - F.col("_below")))
-              .groupBy(*keys, "p", "_frac", "_lo_r", "_below")
-              .agg(F.max(F.when(F.col("_rn") == F.col("_lo_r") - F.col("_below"), F.col("x"))).alias("_vlo"),
-                   F.max(F.when(F.col("_rn") == F.col("_hi_r") - F.col("_below"), F.col("x"))).alias("_vhi")))
-    return picked.select(*keys, "p", (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("value"))
-
-
-def quantile_value(df: DataFrame, column: str, p: float, **kw) -> float | None:
+    run = running_counts(value_counts(df, columns, list(group_cols)), keys, "x", ["n"])
+
+    def pos(p):
+        return p * (F.col("total_n") - 1)
+
+    # the probabilities whose lower order statistic is this value
+    here = F.filter(F.array(*[F.lit(p) for p in probs]),
+                    lambda p: (F.floor(pos(p)) >= F.col("before_n")) & (F.floor(pos(p)) < F.col("before_n") + F.col("n")))
+    hit = run.withColumn("p", F.explode(here)).withColumn("_lo", F.floor(pos(F.col("p"))))
+    above = F.when((F.col("_lo") + 1 < F.col("before_n") + F.col("n")) | (F.col("_lo") + 1 >= F.col("total_n")), F.col("x")) \
+        .otherwise(F.col("next_value"))
+    # a rank without a value would be a defect of the running sums: fail loudly
+    above = F.coalesce(above, F.raise_error(F.lit("quantile rank without a value")).cast("double"))
+    return hit.select(*keys, "p", (F.col("x") + (pos(F.col("p")) - F.col("_lo")) * (above - F.col("x"))).alias("value"))
+
+
+def quantile_value(df: DataFrame, column: str, p: float) -> float | None:
     """Single exact quantile, brought to the driver (one number)."""
-    r = quantiles(df, [column], [p], **kw).collect()
+    r = quantiles(df, [column], [p]).collect()
     return r[0]["value"] if r else None

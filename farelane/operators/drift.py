@@ -1,18 +1,17 @@
 """Data drift (Wasserstein-1 per feature) and regression-quality drift.
 
 W1 between two empirical distributions is ``sum |F(x) - G(x)| * (x' - x)``
-over the sorted distinct values of their union.  A per-feature window over
-all distinct values would put one feature into one task, so values are first
-bucketed by approximate-quantile edges (bucket count chosen from the row
-count); per-bucket totals give exact CDF offsets and each bucket's next value,
-and the running sums run per (feature, bucket) only.  The result is exact.
+over the sorted distinct values of their union.  Rows are counted per (feature,
+value); the running sums of the counts go by range partitions, so no task holds
+a feature.  The result is exact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farelane.functions.ranges import running_counts
 from farelane.operators.metrics import melt_predictions, regression_metrics
 from farelane.session import materialize
 
@@ -24,43 +23,20 @@ def _melt(df: DataFrame, features: list[str], is_ref: int) -> DataFrame:
               .withColumn("_r", F.lit(is_ref)))
 
 
-def wasserstein(reference: DataFrame, current: DataFrame, features: list[str],
-                rows_per_bucket: int = 1_000_000) -> DataFrame:
+def wasserstein(reference: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:
     """``(feature, w1, n_ref, n_cur, ref_std)``."""
-    # the melted rows feed the totals, the bucket edges and the CDF pass:
-    # write them once (inputs are the monitoring samples, so this is small)
-    long = materialize(_melt(reference, features, 1).unionByName(_melt(current, features, 0)))
-    tot = long.groupBy("feature").agg(F.sum("_r").alias("nr"), F.sum(1 - F.col("_r")).alias("nc"),
-                                      F.stddev_pop(F.when(F.col("_r") == 1, F.col("x"))).alias("ref_std"))
-    biggest = tot.agg(F.max(F.col("nr") + F.col("nc"))).first()[0] or 0
-    n_buckets = max(1, min(100_000, int(biggest // rows_per_bucket)))
-    if n_buckets > 1:
-        probs = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])
-        edges = long.groupBy("feature").agg(F.percentile_approx("x", probs, 10 * n_buckets).alias("_e"))
-        long = (long.join(F.broadcast(edges), "feature")
-                    .withColumn("_b", F.size(F.filter("_e", lambda e: e <= F.col("x")))).drop("_e"))
-    else:
-        long = long.withColumn("_b", F.lit(0))
-    # distinct values with their counts in each set
-    cnt = long.groupBy("feature", "_b", "x").agg(F.sum("_r").alias("cr"), F.sum(1 - F.col("_r")).alias("cc"))
-    # per-bucket totals -> CDF offsets and the first value of the next bucket
-    bt = cnt.groupBy("feature", "_b").agg(F.sum("cr").alias("br"), F.sum("cc").alias("bc"),
-                                          F.min("x").alias("bmin"))
-    wb = Window.partitionBy("feature").orderBy("_b")
-    bt = (bt.withColumn("off_r", F.sum("br").over(wb.rowsBetween(Window.unboundedPreceding, -1)))
-            .withColumn("off_c", F.sum("bc").over(wb.rowsBetween(Window.unboundedPreceding, -1)))
-            .withColumn("next_min", F.lead("bmin").over(wb))
-            .fillna(0, ["off_r", "off_c"]))
-    w = Window.partitionBy("feature", "_b").orderBy("x")
-    run = Window.partitionBy("feature", "_b").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    c = (cnt.join(F.broadcast(bt.select("feature", "_b", "off_r", "off_c", "next_min")), ["feature", "_b"])
-            .join(F.broadcast(tot), "feature")
-            .withColumn("F", (F.col("off_r") + F.sum("cr").over(run)) / F.col("nr"))
-            .withColumn("G", (F.col("off_c") + F.sum("cc").over(run)) / F.col("nc"))
-            .withColumn("dx", F.coalesce(F.lead("x").over(w), F.col("next_min")) - F.col("x")))
-    w1 = c.groupBy("feature").agg(F.sum(F.abs(F.col("F") - F.col("G")) * F.coalesce("dx", F.lit(0.0))).alias("w1"))
-    return w1.join(tot, "feature").select("feature", "w1", F.col("nr").alias("n_ref"),
-                                          F.col("nc").alias("n_cur"), "ref_std")
+    long = _melt(reference, features, 1).unionByName(_melt(current, features, 0))
+    # one row per distinct value: its counts in each set
+    cnt = materialize(long.groupBy("feature", "x").agg(F.sum("_r").alias("r"), F.sum(1 - F.col("_r")).alias("c")))
+    run = running_counts(cnt, ["feature"], "x", ["r", "c"])
+    dx = F.coalesce(F.col("next_value") - F.col("x"), F.lit(0.0))
+    gap = F.abs((F.col("before_r") + F.col("r")) / F.col("total_r") - (F.col("before_c") + F.col("c")) / F.col("total_c"))
+    w1 = run.groupBy("feature").agg(F.sum(gap * dx).alias("w1"), F.max("total_r").alias("n_ref"), F.max("total_c").alias("n_cur"))
+    # weighted moments around the mean, from the counts
+    mean = cnt.groupBy("feature").agg((F.sum(F.col("x") * F.col("r")) / F.sum("r")).alias("_m"))
+    std = (cnt.join(mean, "feature").groupBy("feature")
+           .agg(F.sqrt(F.sum(F.col("r") * (F.col("x") - F.col("_m")) ** 2) / F.sum("r")).alias("ref_std")))
+    return w1.join(std, "feature").select("feature", "w1", "n_ref", "n_cur", "ref_std")
 
 
 def drift_report(w1: DataFrame, threshold: float = 0.1, share: float = 0.5) -> tuple[DataFrame, DataFrame]:
@@ -78,7 +54,9 @@ def drift_report(w1: DataFrame, threshold: float = 0.1, share: float = 0.5) -> t
 def regression_drift(reference: DataFrame, current: DataFrame, label: str, prediction: str,
                      tolerance: float = 0.1) -> DataFrame:
     """Quality on the reference vs the current set, and a relative-change test
-    per metric (lower-is-better metrics may grow by ``tolerance``)."""
+    per metric: lower-is-better metrics and the error spread may grow by
+    ``tolerance``, r2 may fall by it, and the mean error may move by
+    ``tolerance`` of the reference's error spread."""
     long = (melt_predictions(reference.withColumn("dataset", F.lit("reference")), label,
                              {"model": prediction}, ["dataset"])
             .unionByName(melt_predictions(current.withColumn("dataset", F.lit("current")), label,
@@ -91,6 +69,8 @@ def regression_drift(reference: DataFrame, current: DataFrame, label: str, predi
         F.max(F.when(F.col("dataset") == "reference", F.col("value"))).alias("reference"),
         F.max(F.when(F.col("dataset") == "current", F.col("value"))).alias("current"))
     ok = (F.when(F.col("metric") == "r2", F.col("current") >= F.col("reference") - tolerance)
-           .when(F.col("metric").isin("mean_error", "error_std"), F.lit(True))
+           .when(F.col("metric") == "mean_error",
+                 F.abs(F.col("current") - F.col("reference")) <= tolerance * F.col("_spread"))
            .otherwise(F.col("current") <= F.col("reference") * (1 + tolerance)))
-    return rows.withColumn("passed", ok)
+    spread = rows.filter("metric = 'error_std'").select(F.col("reference").alias("_spread"))  # one row
+    return rows.join(F.broadcast(spread)).withColumn("passed", ok).drop("_spread")

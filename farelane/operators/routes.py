@@ -24,12 +24,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelane.functions.columns import nan_to_null
+from farelane.session import materialize
 
 TRIP_KEYS = ["Start_Lon", "Start_Lat", "End_Lon", "End_Lat"]
 ROUTE_KEYS = ["start_lon", "start_lat", "end_lon", "end_lat"]
 ROUTES_SCHEMA = ("start_lon double, start_lat double, end_lon double, end_lat double, "
                  "route_distance_m float, route_duration_s float")
 
+#: Columns that say where a row comes from; they may be null.
+BOOKKEEPING = ("trip_id", "row_key", "month", "source_file", "split")
+
 Provider = Callable[[pd.DataFrame], pd.DataFrame]
 
 
@@ -46,27 +50,43 @@ def missing_keys(keys: DataFrame, cache: DataFrame | None) -> DataFrame:
 
 def with_retry(provider: Provider, retries: int = 6, backoff_s: float = 0.4) -> Provider:
     """Retry a failing provider call ``retries`` times, waiting
-    ``backoff_s * 2**attempt``; after that the batch gets null routes."""
+    ``backoff_s * 2**attempt``.  A batch that still fails is halved, and its
+    halves are tried once each, down to single keys: only the keys that fail on
+    their own get null routes."""
+
+    def failed(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = pdf[ROUTE_KEYS].copy()
+        out["route_distance_m"] = np.nan
+        out["route_duration_s"] = np.nan
+        return out
+
+    def halves(pdf: pd.DataFrame) -> pd.DataFrame:
+        if len(pdf) == 1:
+            return failed(pdf)
+        parts = []
+        for part in (pdf.iloc[:len(pdf) // 2], pdf.iloc[len(pdf) // 2:]):
+            try:
+                parts.append(provider(part))
+            except Exception:  # noqa: BLE001 - a part without the bad key succeeds
+                parts.append(halves(part))
+        return pd.concat(parts)
 
     def call(pdf: pd.DataFrame) -> pd.DataFrame:
         for attempt in range(retries):
             try:
                 return provider(pdf)
             except Exception:  # noqa: BLE001 - any provider failure is retried
-                if attempt == retries - 1:
-                    break
-                time.sleep(backoff_s * 2 ** attempt)
-        out = pdf[ROUTE_KEYS].copy()
-        out["route_distance_m"] = np.nan
-        out["route_duration_s"] = np.nan
-        return out
+                if attempt < retries - 1:
+                    time.sleep(backoff_s * 2 ** attempt)
+        return halves(pdf) if len(pdf) else failed(pdf)
 
     return call
 
 
 def fetch_routes(keys: DataFrame, provider: Provider, partitions: int | None = None,
                  retries: int = 6, backoff_s: float = 0.4) -> DataFrame:
-    """Run the provider over the keys, batch by batch, in parallel tasks."""
+    """Run the provider over the keys, batch by batch, in parallel tasks.  The
+    frame calls the provider whenever it is evaluated: write it before use."""
     call = with_retry(provider, retries, backoff_s)
 
     def run(batches):
@@ -84,34 +104,64 @@ def fetch_routes(keys: DataFrame, provider: Provider, partitions: int | None = N
     return out.withColumns({c: nan_to_null(c) for c in ("route_distance_m", "route_duration_s")})
 
 
+def read_cache(spark: SparkSession, path: str) -> DataFrame | None:
+    """The routes table at ``path``; None only if there is no such path.  Any
+    other error is raised: a storage fault must not look like an empty cache."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return None
+    return spark.read.schema(ROUTES_SCHEMA).parquet(path)
+
+
 def update_route_cache(spark: SparkSession, trips: DataFrame, provider: Provider, path: str,
-                       refresh: bool = False, partitions: int | None = None) -> DataFrame:
+                       refresh: bool = False, partitions: int | None = None,
+                       chunk_keys: int = 1_000_000) -> DataFrame:
     """Fetch routes for keys not in the cache at ``path`` and append them
-    (``refresh=True`` recomputes all keys and overwrites).  Returns the cache."""
-    cache = None
-    if not refresh:
-        try:
-            cache = spark.read.schema(ROUTES_SCHEMA).parquet(path)
-        except Exception:  # noqa: BLE001 - no cache yet
-            cache = None
-    todo = missing_keys(route_keys(trips), cache)
-    new = fetch_routes(todo, provider, partitions).where(F.col("route_distance_m").isNotNull())
-    new.write.mode("overwrite" if refresh or cache is None else "append").parquet(path)
+    (``refresh=True`` recomputes all keys; the new routes replace the table
+    when all are there).  Returns the cache.
+
+    The missing keys are written first and fetched in chunks of about
+    ``chunk_keys``; each chunk is appended when it is done, so a run that dies
+    keeps the finished ones and no key is sent twice."""
+    cache = None if refresh else read_cache(spark, path)
+    todo = materialize(missing_keys(route_keys(trips), cache))
+    chunks = max(1, math.ceil(todo.count() / chunk_keys))
+    target = f"{path.rstrip('/')}_refresh" if refresh else path
+    for i in range(chunks):
+        part = todo.filter(F.pmod(F.xxhash64(*ROUTE_KEYS), F.lit(chunks)) == i)
+        new = fetch_routes(part, provider, partitions).where(F.col("route_distance_m").isNotNull())
+        new.write.mode("overwrite" if refresh and i == 0 else "append").parquet(target)
+    if refresh:
+        spark.read.schema(ROUTES_SCHEMA).parquet(target).write.mode("overwrite").parquet(path)
     return spark.read.schema(ROUTES_SCHEMA).parquet(path)
 
 
+def route_coverage(trips: DataFrame, routes: DataFrame) -> DataFrame:
+    """One row: ``trips``, ``without_route`` and ``kept`` (trips that the route
+    filter keeps)."""
+    j = join_routes(trips, routes)
+    good = F.coalesce((F.col("route_distance_m") > 0) & (F.col("route_duration_s") > 0), F.lit(False))
+    return j.agg(F.count(F.lit(1)).alias("trips"), F.count_if(F.col("route_distance_m").isNull()).alias("without_route"),
+                 F.count_if(good).alias("kept"))
+
+
 def join_routes(trips: DataFrame, routes: DataFrame) -> DataFrame:
-    """Left join: trips without a route keep null route columns."""
-    r = routes.select(*[F.col(k).alias(t) for k, t in zip(ROUTE_KEYS, TRIP_KEYS)],
-                      "route_distance_m", "route_duration_s")
+    """Left join: trips without a route keep null route columns.  A key that the
+    cache holds twice (two runs at once) counts once: a route per key, the
+    shortest, so that no trip is multiplied."""
+    one = routes.groupBy(*ROUTE_KEYS).agg(F.min(F.struct("route_distance_m", "route_duration_s")).alias("_r"))
+    r = one.select(*[F.col(k).alias(t) for k, t in zip(ROUTE_KEYS, TRIP_KEYS)],
+                   F.col("_r.route_distance_m").alias("route_distance_m"), F.col("_r.route_duration_s").alias("route_duration_s"))
     t = trips.withColumns({k: F.col(k).cast("double") for k in TRIP_KEYS})
     out = t.join(r, TRIP_KEYS, "left")
     return out.withColumns({k: F.col(k).cast(trips.schema[k].dataType) for k in TRIP_KEYS})
 
 
 def route_filter(df: DataFrame) -> DataFrame:
-    """Positive route distance and duration, then drop rows with any null."""
-    return df.filter((F.col("route_distance_m") > 0) & (F.col("route_duration_s") > 0)).na.drop()
+    """Positive route distance and duration, then drop rows with a null in any
+    column but the bookkeeping ones (a file without a month keeps its trips)."""
+    data = [c for c in df.columns if c not in BOOKKEEPING]
+    return df.filter((F.col("route_distance_m") > 0) & (F.col("route_duration_s") > 0)).na.drop(subset=data)
 
 
 # ---------------------------------------------------------------------------

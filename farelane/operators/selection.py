@@ -16,26 +16,33 @@ def mcdm_scores(metrics: DataFrame, weights: dict = SELECTION_WEIGHTS, order_col
                 candidate: str = "candidate") -> DataFrame:
     """Weighted min-max score (0 best) per candidate and its rank.
 
-    Per metric: ``(x - min) / (max - min)`` (inverted for r2), equal values or
-    no finite values -> 0.5, non-finite -> 0.5, clipped to [0, 1]; weights are
-    normalised (non-positive sum -> uniform).  Ties keep evaluation order
-    (``order_col`` if given, else candidate name)."""
+    Per metric: ``(x - min) / (max - min)`` (inverted for r2), clipped to
+    [0, 1]; equal values, no finite value, an absent (candidate, metric) row or
+    a result that isn't finite count 0.5.  An infinite value takes part in min
+    and max, NaN and null don't.  Weights are normalised (non-positive sum ->
+    uniform).  Ties keep evaluation order (``order_col`` if given, else
+    candidate name)."""
     w = {m: float(weights.get(m, 0.0)) for m in METRICS_ORDER}
     tot = sum(w.values())
     w = {m: (v / tot if tot > 0 else 1.0 / len(METRICS_ORDER)) for m, v in w.items()}
-    m = metrics.filter(F.col("metric").isin(METRICS_ORDER))
-    finite = F.col("value").isNotNull() & ~F.isnan("value") & (F.abs("value") != float("inf"))
-    m = m.withColumn("_v", F.when(finite, F.col("value")))
+    keys = [candidate] + ([order_col] if order_col else [])
+    # every candidate has a row for every metric
+    grid = metrics.select(*keys).distinct().withColumn("metric", F.explode(F.array(*[F.lit(x) for x in METRICS_ORDER])))
+    got = (metrics.filter(F.col("metric").isin(METRICS_ORDER)).groupBy(candidate, "metric")
+           .agg(F.max("value").cast("double").alias("_v")))
+    m = grid.join(got, [candidate, "metric"], "left").withColumn("_v", F.when(~F.isnan("_v"), F.col("_v")))
+
+    def finite(c):
+        return c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))
+
     by = Window.partitionBy("metric")
     mn, mx = F.min("_v").over(by), F.max("_v").over(by)
-    raw = F.when(F.col("metric").isin(LOWER_IS_BETTER), (F.col("_v") - mn) / (mx - mn)) \
-           .otherwise((mx - F.col("_v")) / (mx - mn))
-    norm = (F.when(mn.isNull() | (mx == mn), 0.5)
-             .when(F.col("_v").isNull(), 0.5)
-             .otherwise(F.least(F.greatest(raw, F.lit(0.0)), F.lit(1.0))))
+    any_finite = F.max(finite(F.col("_v")).cast("int")).over(by) == 1
+    raw = F.when(F.col("metric").isin(LOWER_IS_BETTER), F.try_divide(F.col("_v") - mn, mx - mn)) \
+           .otherwise(F.try_divide(mx - F.col("_v"), mx - mn))
+    norm = F.when(any_finite & (mx != mn) & finite(raw), F.least(F.greatest(raw, F.lit(0.0)), F.lit(1.0))).otherwise(0.5)
     wmap = F.create_map(*[x for k, v in w.items() for x in (F.lit(k), F.lit(v))])
-    scored = (m.withColumn("norm", norm)
-               .groupBy(candidate, *([order_col] if order_col else []))
+    scored = (m.withColumn("norm", norm).groupBy(*keys)
                .agg(F.sum(F.col("norm") * F.element_at(wmap, F.col("metric"))).alias("score")))
     rank_w = Window.orderBy("score", order_col or candidate)
     return scored.withColumn("rank", F.row_number().over(rank_w).cast("long"))
@@ -89,15 +96,24 @@ def newest_artifact(artifacts: DataFrame, key: str = "model_key", path: str = "p
     return artifacts.groupBy(key).agg(F.max_by(path, ts).alias(path), F.max(ts).alias(ts))
 
 
-def scoring_method(registry: DataFrame, version: str, col: str = "version") -> DataFrame:
-    """How a version scores: stacked (previous + latest + meta present), else
-    old (previous only), else latest."""
-    vo = versions_ordered(registry, col)
-    has_meta = registry.groupBy(col).agg(F.max(F.col("kind") == "meta").alias("has_meta"))
-    r = vo.join(has_meta, col, "left").filter(F.col(col) == version)
-    return r.select(col, "previous", F.when(F.col("previous").isNotNull() & F.coalesce("has_meta", F.lit(False)),
-                                            "stacked").when(F.col("previous").isNotNull(), "old")
-                    .otherwise("latest").alias("method"))
+def scoring_resolution(registry: DataFrame, promotions: DataFrame, col: str = "version") -> DataFrame:
+    """How each version scores: ``(version, num, previous, chosen_on_val, method)``.
+
+    ``stacked`` if that was promoted, its meta-model is registered, and both
+    this and the previous version have a final model; ``old`` if that was
+    chosen and the previous version has a final model; else ``latest`` (a
+    meta-model that wasn't chosen doesn't matter)."""
+    v = registry.groupBy(col).agg(F.max((F.col("kind") == "meta").cast("int")).alias("_meta"),
+                                  F.max((F.col("model_key") == "final").cast("int")).alias("_final"))
+    by = Window.orderBy("num")          # one row per version
+    v = (v.withColumn("num", version_number(col)).withColumn("previous", F.lag(col).over(by))
+          .withColumn("_prev_final", F.lag("_final").over(by)))
+    p = promotions.groupBy(col).agg(F.max("chosen_on_val").alias("chosen_on_val"))
+    both = (F.col("_final") == 1) & F.coalesce(F.col("_prev_final") == 1, F.lit(False))
+    method = (F.when((F.col("chosen_on_val") == "stacked") & (F.col("_meta") == 1) & both, "stacked")
+               .when((F.col("chosen_on_val") == "old") & F.coalesce(F.col("_prev_final") == 1, F.lit(False)), "old")
+               .otherwise("latest"))
+    return v.join(p, col, "left").select(col, "num", "previous", "chosen_on_val", method.alias("method"))
 
 
 # -- ledger and month window ----------------------------------------------------

@@ -2,25 +2,24 @@
 
 * month split: distinct months (a calendar-bounded table) ranked and joined
   back with a broadcast;
-* half split: the cut row of the time order is found from a per-second
-  histogram, then rows are labelled by a plain predicate;
+* half split: the cut row of the time order is found by running counts, then
+  rows are labelled by a plain predicate;
 * folds / samples: the first 32 bits of ``md5(key || '|' || seed)``, the same
   number in Spark and in SQL engines;
 * stratified sample: quantile bins of ``log1p(target)``, per-bin quotas, and
-  the quota-th smallest hash per bin found by bracketing (the hash is uniform),
-  so no window ever sees more than a bracket of rows.
+  the quota-th smallest hash per bin found from a histogram of hash prefixes,
+  so only the rows of one prefix are ranked.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farelane.functions.columns import ntz_micros
 from farelane.functions.quantiles import quantiles
+from farelane.functions.ranges import range_rank, running_counts
 
 PICKUP = "Trip_Pickup_DateTime"
 
@@ -105,71 +104,55 @@ def month_split(df: DataFrame, month_col: str = "month", n_train: int = 2,
 # ---------------------------------------------------------------------------
 # exact time-ordered half split
 # ---------------------------------------------------------------------------
-_NULL_SECOND = 2 ** 62
-
-
-TIE_RANK_LIMIT = 100_000
-
-
-def _cut_in_histogram(hist: DataFrame, key: str, target=None):
-    """Row of a (key, count) histogram where the running count first reaches
-    ``target`` (default: half of the total, computed in the same job):
-    (key value, rows needed inside it, rows in it, target).  The histogram is
-    bounded by the calendar (one row per distinct second or microsecond)."""
-    w = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    h = hist.withColumn("_cum", F.sum("count").over(w))
-    if target is None:
-        w_all = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        h = h.withColumn("_t", F.floor(F.sum("count").over(w_all) / 2))
-    else:
-        h = h.withColumn("_t", F.lit(target))
-    r = h.filter((F.col("_cum") >= F.col("_t")) & (F.col("_cum") - F.col("count") < F.col("_t"))).first()
-    if r is None:
-        return None
-    return r[key], r["_t"] - (r["_cum"] - r["count"]), r["count"], r["_t"]
+_NULL_TIME = 2 ** 62
 
 
 def half_split(df: DataFrame, ts: str = PICKUP, key: str = "trip_id", out: str = "split",
                first: str = "val", second: str = "test") -> DataFrame:
-    """Order rows by (ts nulls last, key); the first ``n // 2`` rows get
-    ``first``, the rest ``second``.
-
-    No global sort and no unbounded window: the cut is located level by
-    level, each level a small histogram — seconds, then microseconds within
-    the cut second, then the k-th smallest key among rows with the cut
-    timestamp (ranked directly when the tie is small, else by bounded
-    quantile selection, so even one timestamp holding a third of all rows is
-    split across tasks).  The label is then a predicate on (ts, key)."""
-    us = F.when(F.col(ts).isNull(), F.lit(_NULL_SECOND)).otherwise(
+    """Order rows by (ts nulls last, key nulls first); the first ``n // 2``
+    rows get ``first``, the rest ``second``.  Keys of any type that sorts; rows
+    alike in time and key stay together.
+
+    No global sort and no window over all rows: running counts by distinct
+    microsecond find the cut time, running counts by key among the rows of that
+    time find the cut key (both by range partitions, so one timestamp that a
+    third of all rows share is spread too), and the label is a predicate."""
+    us = F.when(F.col(ts).isNull(), F.lit(_NULL_TIME)).otherwise(
         ntz_micros(ts) if isinstance(df.schema[ts].dataType, T.TimestampNTZType) else F.unix_micros(ts)).cast("long")
     from farelane.session import materialize
-    # up to four passes read the input (three levels + labelling): write it once
-    d = materialize(df.withColumn("_us", us).withColumn(
-        "_sec", F.when(F.col("_us") == _NULL_SECOND, F.col("_us")).otherwise(F.floor(F.col("_us") / 1_000_000))))
-    c1 = _cut_in_histogram(d.groupBy("_sec").count(), "_sec")
-    if c1 is None or c1[3] == 0:                    # fewer than two rows: nothing goes first
-        return df.withColumn(out, F.lit(second))
-    cut_sec, need, _, _ = c1
-    in_sec = d.filter(F.col("_sec") == cut_sec)
-    cut_us, need2, ties, _ = _cut_in_histogram(in_sec.groupBy("_us").count(), "_us", need)
-    tied = in_sec.filter(F.col("_us") == cut_us)
-    if ties <= TIE_RANK_LIMIT:
-        cut_key = (tied.select(key).withColumn("_rn", F.row_number().over(Window.orderBy(key)))
-                       .filter(F.col("_rn") == need2).first()[key])
+    d = materialize(df.withColumn("_us", us))       # three passes read it: write it once
+
+    def cut(rows, col, target):
+        run = running_counts(rows.groupBy(col).agg(F.count(F.lit(1)).alias("n")), [], col, ["n"])
+        t = F.floor(F.col("total_n") / 2) if target is None else F.lit(target)
+        return run.filter((F.col("before_n") < t) & (t <= F.col("before_n") + F.col("n"))).first()
+
+    c = cut(d, "_us", None)
+    if c is None:                                   # fewer than two rows: nothing goes first
+        return d.withColumn(out, F.lit(second)).drop("_us")
+    need = c["total_n"] // 2 - c["before_n"]
+    tied = F.col("_us") == c["_us"]
+    if need == c["n"]:                              # the cut falls between two times
+        upto = F.lit(True)
     else:
-        # the k-th smallest key is an order statistic; p (n - 1) may miss the
-        # integer position by an ulp, so snap the interpolated value back to
-        # the integral key (keys are integers below 2**53)
-        p = (need2 - 1) / (ties - 1)
-        cut_key = int(round(quantiles(tied.select(F.col(key).cast("double").alias("_k")), ["_k"], [p])
-                            .first()["value"]))
-    is_first = (F.col("_us") < cut_us) | ((F.col("_us") == cut_us) & (F.col(key) <= F.lit(cut_key)))
-    return d.withColumn(out, F.when(is_first, first).otherwise(second)).drop("_us", "_sec")
+        last = cut(d.filter(tied), key, need)[key]
+        upto = F.col(key).isNull() if last is None else F.col(key).isNull() | (F.col(key) <= F.lit(last))
+    is_first = (F.col("_us") < c["_us"]) | (tied & upto)
+    return d.withColumn(out, F.when(is_first, first).otherwise(second)).drop("_us")
+
+
+def left_out_months(df: DataFrame, month_col: str = "month") -> DataFrame:
+    """``(month, rows)`` that :func:`split_train_val_test` has no part for:
+    months after the third, and rows without a month."""
+    ms = month_split(df, month_col)
+    return (ms.filter(F.coalesce(~F.col("split").isin("train", "valtest"), F.lit(True)) | F.col(month_col).isNull())
+              .groupBy(month_col).agg(F.count(F.lit(1)).alias("rows")))
 
 
 def split_train_val_test(df: DataFrame, month_col: str = "month", ts: str = PICKUP,
                          key: str = "trip_id") -> DataFrame:
-    """Month split then half split of the third month into val / test."""
+    """Month split then half split of the third month into val / test.  The
+    rows of other months have no part (:func:`left_out_months` counts them)."""
     ms = month_split(df, month_col)
     vt = ms.filter(F.col("split") == "valtest").drop("split")
     return ms.filter(F.col("split") == "train").unionByName(half_split(vt, ts, key))
@@ -236,45 +219,33 @@ def sample_by_quota(df: DataFrame, group_col: str, quotas: dict, seed: int = 42,
                     key: str = "trip_id", sizes: dict | None = None) -> DataFrame:
     """Per group, the ``quota`` rows with the smallest (hash, key).
 
-    The hash is uniform, so the quota-th smallest value in a group of ``n``
-    lies near ``quota / n``; a bracket around it is checked with one count
-    pass (and widened if needed), rows below the bracket are taken whole and
-    only rows inside it are ranked."""
+    Rows below the 16-bit hash prefix that holds the quota-th row are taken
+    whole; only the rows of that prefix are ranked, by range partitions, so a
+    key that repeats without limit is sampled too."""
     if not quotas:
         return df.limit(0)
-    u = hash_unit(key, seed)
-    d = df.withColumn("_u", u)
+    d = df.withColumn("_h", hash32(key, seed))
     if sizes is None:
         sizes = {r[group_col]: r["count"] for r in d.groupBy(group_col).count().collect()
                  if r[group_col] is not None}
-    width = 6.0
-    for _ in range(6):
-        lo, hi = {}, {}
-        for g, n in sizes.items():
-            k = quotas.get(g, 0)
-            c = k / n if n else 0.0
-            spread = width * math.sqrt(max(k, 1)) / max(n, 1) + 1e-12
-            lo[g] = 0.0 if k == 0 else max(0.0, c - spread)
-            hi[g] = 0.0 if k == 0 else min(1.0, c + spread)
-        lo_m = F.create_map(*[x for g in lo for x in (F.lit(g), F.lit(lo[g]))])
-        hi_m = F.create_map(*[x for g in hi for x in (F.lit(g), F.lit(hi[g]))])
-        d2 = d.withColumn("_lo", F.element_at(lo_m, F.col(group_col))) \
-              .withColumn("_hi", F.element_at(hi_m, F.col(group_col)))
-        chk = {r[group_col]: (r["below"], r["upto"]) for r in d2.groupBy(group_col).agg(
-            F.count_if(F.col("_u") < F.col("_lo")).alias("below"),
-            F.count_if(F.col("_u") <= F.col("_hi")).alias("upto")).collect() if r[group_col] is not None}
-        ok = all(quotas.get(g, 0) == 0 or (b <= quotas[g] <= up) for g, (b, up) in chk.items())
-        if ok:
-            break
-        width *= 4
-    else:
-        # a uniform hash brackets its quota-th value within a few widenings;
-        # never return a sample that may miss or exceed a quota
-        raise RuntimeError("hash bracket did not converge; quotas cannot be met exactly")
-    need_m = F.create_map(*[x for g, (b, _) in chk.items() for x in (F.lit(g), F.lit(quotas.get(g, 0) - b))])
-    sure = d2.filter(F.col("_u") < F.col("_lo"))
-    w = Window.partitionBy(group_col).orderBy("_u", key)
-    edge = (d2.filter((F.col("_u") >= F.col("_lo")) & (F.col("_u") <= F.col("_hi")))
-              .withColumn("_rn", F.row_number().over(w))
-              .filter(F.col("_rn") <= F.element_at(need_m, F.col(group_col))).drop("_rn"))
-    return sure.unionByName(edge).drop("_u", "_lo", "_hi")
+    taken = {g: min(quotas.get(g, 0), n) for g, n in sizes.items()}
+    # the hash's upper 16 bits: at most 65,536 counts per group, whose running
+    # sum finds the prefix that holds the quota-th row
+    d = d.withColumn("_pre", F.floor(F.col("_h") / 65536).cast("int"))
+
+    def of_group(values: dict):
+        return F.element_at(F.create_map(*[x for g, v in values.items() for x in (F.lit(g), F.lit(v))]), F.col(group_col))
+
+    run = Window.partitionBy(group_col).orderBy("_pre").rowsBetween(Window.unboundedPreceding, 0)
+    hist = (d.filter(F.col(group_col).isNotNull()).groupBy(group_col, "_pre").agg(F.count(F.lit(1)).alias("_c"))
+             .withColumn("_cum", F.sum("_c").over(run)).withColumn("_q", of_group(taken)))
+    cuts = {r[group_col]: (r["_pre"], r["_q"] - (r["_cum"] - r["_c"])) for r in hist.filter(
+        (F.col("_cum") >= F.col("_q")) & (F.col("_cum") - F.col("_c") < F.col("_q"))).collect()}
+    if not cuts:
+        return df.limit(0)
+    d = d.withColumn("_cut", of_group({g: c for g, (c, _) in cuts.items()}))
+    sure = d.filter(F.col("_pre") < F.col("_cut")).drop("_h", "_pre", "_cut")
+    edge = d.filter(F.col("_pre") == F.col("_cut")).withColumn("_row", F.monotonically_increasing_id())
+    edge = range_rank(edge, [group_col], ["_h", key, "_row"], "_rank")
+    edge = edge.filter(F.col("_rank") <= of_group({g: n for g, (_, n) in cuts.items()}))
+    return sure.unionByName(edge.drop("_h", "_pre", "_cut", "_row", "_rank"))

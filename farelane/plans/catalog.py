@@ -4,19 +4,11 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["q_clean", "q_split", "q_stats", "q_models", "q_routes", "q_select", "q_drift", "q_geo",
-            "q_sources"]
+_MODULES = ["q_clean", "q_split", "q_stats", "q_models", "q_routes", "q_select", "q_geo", "q_sources"]
 
 
 def _mods():
-    out = []
-    for m in _MODULES:
-        try:
-            out.append(importlib.import_module(f"farelane.plans.{m}"))
-        except ModuleNotFoundError as e:
-            if e.name != f"farelane.plans.{m}":
-                raise
-    return out
+    return [importlib.import_module(f"farelane.plans.{m}") for m in _MODULES]
 
 
 def queries() -> dict:

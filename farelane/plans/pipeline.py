@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 
 from farelane.config import IMPUTER_COLUMNS, ROUTE_SCALED_COLUMNS, SCALED_COLUMNS, OutlierRules
 from farelane.operators import clean, features, prep
+from farelane.operators.polygon import filter_in_polygon
 from farelane.session import materialize
 
 
-def ingest(raw: DataFrame) -> DataFrame:
-    """NaN -> null, strings -> timestamps, coordinates in range."""
-    return clean.coordinates_in_range(clean.to_datetime(clean.nan_to_nulls(raw)))
+def ingest(raw: DataFrame, polygon: DataFrame | None = None) -> DataFrame:
+    """NaN -> null, strings -> timestamps, coordinates in range and, with a
+    polygon (edge table), start and end inside it."""
+    df = clean.coordinates_in_range(clean.to_datetime(clean.nan_to_nulls(raw)))
+    return filter_in_polygon(df, polygon)
 
 
 def ingest_requests(requests: DataFrame, ts: str = "Trip_Pickup_DateTime") -> DataFrame:
@@ -86,7 +89,8 @@ def processed_table(split_raw: DataFrame, provider=None, routes: DataFrame | Non
         # keys come from the stage just written: no second cleaning pass
         routes = R.update_route_cache(feats.sparkSession, feats, provider or R.taxicab_provider, route_cache)
     elif routes is None:
-        routes = R.fetch_routes(R.route_keys(feats), provider or R.taxicab_provider)
+        # written: the provider is called once per key, whatever reads the routes
+        routes = materialize(R.fetch_routes(R.route_keys(feats), provider or R.taxicab_provider))
     t = R.route_filter(R.join_routes(feats, routes))
     if use_raw_haversine:
         # undo the z-score for the ratio only (the stored column stays scaled)

@@ -3,6 +3,8 @@ route scaler."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from farelane.config import ROUTE_SCALED_COLUMNS
 from farelane.operators import features as FE
 from farelane.operators import prep
@@ -20,7 +22,7 @@ def routed(spark, sf):
     """Cleaned trips with routes from the provider over their distinct keys."""
     # the cleaned trips feed both the distinct keys and the join: write once
     cl = materialize(pipeline.clean_trips(load_trips(spark, sf)))
-    routes = R.fetch_routes(R.route_keys(cl), R.taxicab_provider)
+    routes = materialize(R.fetch_routes(R.route_keys(cl), R.taxicab_provider))
     return R.join_routes(cl, routes)
 
 
@@ -92,7 +94,7 @@ def routes_to_fetch(spark, sf):
     from farelane.operators import split as S
     from farelane.sources.tables import load_monthly_trips
     cl = materialize(pipeline.clean_trips(S.month_split(load_monthly_trips(spark, sf))))
-    cache = R.fetch_routes(R.route_keys(cl.filter("split = 'train'")), R.taxicab_provider)
+    cache = materialize(R.fetch_routes(R.route_keys(cl.filter("split = 'train'")), R.taxicab_provider))
     todo = R.missing_keys(R.route_keys(cl.filter("split = 'valtest'")), cache)
     return comparable(todo, 6)
 
@@ -114,3 +116,30 @@ SELECT * FROM want w WHERE NOT EXISTS (
 
 
 SQL["routes_to_fetch"] = _routes_to_fetch_sql()
+
+
+def cm_coverage(spark, sf):
+    """A monitored month whose routes a cache of the other months lacks: trips,
+    how many have a route from the cache alone, and after the missing keys were
+    fetched."""
+    from farelane.operators import split as S
+    from farelane.sources.tables import load_monthly_trips
+    cl = materialize(pipeline.clean_trips(S.month_split(load_monthly_trips(spark, sf))))
+    month = cl.filter("split = 'valtest'")
+    cache = materialize(R.fetch_routes(R.route_keys(cl.filter("split = 'train'")), R.taxicab_provider))
+    new = materialize(R.fetch_routes(R.missing_keys(R.route_keys(month), cache), R.taxicab_provider))
+    before = R.route_coverage(month, cache).select(F.lit("cache only").alias("routes"), "*")
+    after = R.route_coverage(month, cache.unionByName(new)).select(F.lit("missing fetched").alias("routes"), "*")
+    return comparable(before.unionByName(after))
+
+
+Q["cm_coverage"] = cm_coverage
+SQL["cm_coverage"] = f"""WITH {clean_ctes(monthly=True)},
+months AS (SELECT month, dense_rank() OVER (ORDER BY month) AS rk FROM (SELECT DISTINCT month FROM trips) m),
+lab AS (SELECT c.*, rk, {_dist} AS dist FROM cleaned c JOIN months USING (month)),
+cache AS (SELECT DISTINCT Start_Lon, Start_Lat, End_Lon, End_Lat FROM lab WHERE rk <= 2),
+m AS (SELECT lab.*, EXISTS (SELECT 1 FROM cache c WHERE c.Start_Lon = lab.Start_Lon AND c.Start_Lat = lab.Start_Lat
+             AND c.End_Lon = lab.End_Lon AND c.End_Lat = lab.End_Lat) AS known FROM lab WHERE rk = 3)
+SELECT 'cache only' AS routes, count(*)::BIGINT AS trips, count(*) FILTER (NOT known)::BIGINT AS without_route,
+       count(*) FILTER (known AND dist > 0)::BIGINT AS kept FROM m
+UNION ALL SELECT 'missing fetched', count(*)::BIGINT, 0::BIGINT, count(*) FILTER (dist > 0)::BIGINT FROM m"""

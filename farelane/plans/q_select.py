@@ -69,6 +69,34 @@ def mcdm_scores(spark, sf):
     return comparable(SEL.mcdm_scores(val_metrics(spark, sf)), 6)
 
 
+def mcdm_gaps(spark, sf):
+    """Selection with a metric that one candidate lacks, an infinite value, and
+    two equal candidates that keep their order of evaluation."""
+    m = val_metrics(spark, sf)
+    m = m.filter(~((F.col("candidate") == "ols_time") & (F.col("metric") == "mape")))
+    m = m.withColumn("value", F.when((F.col("candidate") == "mean") & (F.col("metric") == "medae"), F.lit(float("inf")))
+                     .otherwise(F.col("value")))
+    twin = m.filter(F.col("candidate") == "stacked").withColumn("candidate", F.lit("a_twin"))
+    order = (F.when(F.col("candidate") == "mean", 0).when(F.col("candidate") == "ols_distance", 1)
+             .when(F.col("candidate") == "ols_time", 2).when(F.col("candidate") == "stacked", 3).otherwise(4))
+    scored = SEL.mcdm_scores(m.unionByName(twin).withColumn("evaluated", order), order_col="evaluated")
+    return comparable(scored.withColumn("score", F.round("score", 9)).drop("evaluated"), 6)
+
+
+def scoring_resolution(spark, sf):
+    """Versions made from the trips: one per remainder of the trip's number by
+    17, with a meta-model for every third one; promoted in turn as nothing,
+    new, stacked and old; every seventh lacks a final model."""
+    v = load_monthly_trips(spark, sf).select((F.col("trip_id") % 17 + 1).alias("n")).distinct()
+    version = F.concat(F.lit("v"), F.col("n").cast("string"))
+    entries = (("gbt_b", "base", F.lit(True)), ("stacked", "meta", F.col("n") % 3 == 0), ("final", "new", F.col("n") % 7 != 0))
+    rows = F.array(*[F.struct(F.lit(k).alias("model_key"), F.lit(t).alias("kind"), has.alias("has")) for k, t, has in entries])
+    reg = v.select(version.alias("version"), F.inline(rows)).filter("has").drop("has")
+    chosen = F.when(F.col("n") % 4 == 1, "new").when(F.col("n") % 4 == 2, "old").when(F.col("n") % 4 == 3, "stacked")
+    promo = v.select(version.alias("version"), chosen.alias("chosen_on_val")).filter(F.col("chosen_on_val").isNotNull())
+    return comparable(SEL.scoring_resolution(reg, promo))
+
+
 def promotion_choice(spark, sf):
     """old = OLS on duration, new = OLS on distance, stacked = ridge of both."""
     m = val_metrics(spark, sf).withColumn(
@@ -133,6 +161,7 @@ def version_chain(spark, sf):
 
 
 Q["version_chain"] = version_chain
+Q.update(mcdm_gaps=mcdm_gaps, scoring_resolution=scoring_resolution)
 Q.update(regression_metrics=regression_metrics, mcdm_scores=mcdm_scores, promotion_choice=promotion_choice,
          ridge_stack=ridge_stack, ledger=ledger, latest_version=latest_version, months_to_read=months_to_read)
 
@@ -209,6 +238,30 @@ SELECT CASE WHEN new_val < old_val AND stacked_val < old_val THEN
        round(stacked_val, 6) AS stacked_val, round(old_val, 6) AS rmse_old, round(new_val, 6) AS rmse_new,
        round(stacked_val, 6) AS rmse_stacked FROM w"""
 
+SQL["mcdm_gaps"] = _base_sql() + """,
+v0 AS (SELECT candidate, metric, CASE WHEN candidate = 'mean' AND metric = 'medae' THEN 'inf'::DOUBLE ELSE value END AS value
+       FROM ml WHERE split = 'val' AND NOT (candidate = 'ols_time' AND metric = 'mape')),
+v AS (SELECT * FROM v0 UNION ALL SELECT 'a_twin', metric, value FROM v0 WHERE candidate = 'stacked'),
+cands AS (SELECT * FROM (VALUES ('mean', 0), ('ols_distance', 1), ('ols_time', 2), ('stacked', 3), ('a_twin', 4)) t(candidate, ord)),
+g AS (SELECT candidate, ord, m.metric, wt FROM cands, (VALUES ('rmse', 0.5), ('mae', 0.25), ('r2', 0.05), ('mape', 0.1), ('medae', 0.1)) m(metric, wt)),
+x AS (SELECT g.*, v.value, min(v.value) OVER (PARTITION BY g.metric) AS mn, max(v.value) OVER (PARTITION BY g.metric) AS mx
+      FROM g LEFT JOIN v ON v.candidate = g.candidate AND v.metric = g.metric),
+nm AS (SELECT candidate, ord, wt,
+         CASE WHEN value IS NULL OR isinf(value) OR mx = mn THEN 0.5
+              WHEN isinf(mx) THEN 0.0
+              ELSE greatest(0.0, least(1.0, CASE WHEN metric = 'r2' THEN (mx - value) / (mx - mn) ELSE (value - mn) / (mx - mn) END)) END AS norm FROM x),
+sc AS (SELECT candidate, ord, round(sum(norm * wt), 9) AS score FROM nm GROUP BY candidate, ord)
+SELECT candidate, round(score, 6) AS score, row_number() OVER (ORDER BY score, ord)::BIGINT AS rank FROM sc"""
+
+SQL["scoring_resolution"] = f"""WITH trips AS ({MONTHLY_TRIPS_SQL}),
+v AS (SELECT DISTINCT trip_id % 17 + 1 AS n FROM trips),
+w AS (SELECT n, n % 3 = 0 AS has_meta, n % 7 <> 0 AS fin, lag(n) OVER (ORDER BY n) AS prev,
+             lag(n % 7 <> 0) OVER (ORDER BY n) AS prev_fin,
+             CASE n % 4 WHEN 1 THEN 'new' WHEN 2 THEN 'old' WHEN 3 THEN 'stacked' END AS chosen FROM v)
+SELECT 'v' || n::VARCHAR AS version, n AS num, 'v' || prev::VARCHAR AS previous, chosen AS chosen_on_val,
+       CASE WHEN chosen = 'stacked' AND has_meta AND fin AND prev_fin THEN 'stacked'
+            WHEN chosen = 'old' AND prev_fin THEN 'old' ELSE 'latest' END AS method FROM w"""
+
 _LEDGER_SQL = f"""WITH trips AS ({MONTHLY_TRIPS_SQL}),
 months AS (SELECT month, dense_rank() OVER (ORDER BY month) AS rk FROM (SELECT DISTINCT month FROM trips) m),
 led AS (SELECT CASE WHEN rk <= 2 THEN 'v1' ELSE 'v2' END AS version, month FROM months WHERE rk <= 3)"""

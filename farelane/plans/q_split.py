@@ -9,7 +9,7 @@ from farelane.operators import split as S
 from farelane.plans import pipeline
 from farelane.plans.common import comparable
 from farelane.plans.sqltext import COORD_RANGE, clean_ctes
-from farelane.sources.tables import MONTHLY_TRIPS_SQL, load_monthly_trips, load_trips
+from farelane.sources.tables import MONTHLY_TRIPS_SQL, TRIPS_SQL, load_monthly_trips, load_trips
 
 Q, SQL = {}, {}
 
@@ -65,6 +65,23 @@ o AS (SELECT trip_id, row_number() OVER (ORDER BY Trip_Pickup_DateTime ASC NULLS
 SELECT trip_id, CASE WHEN rn <= n // 2 THEN 'val' ELSE 'test' END AS split FROM o"""
 
 
+def half_split_ties(spark, sf):
+    """All trips with the pickup cut to its month, so that one time holds most
+    rows, and 63-bit keys that doubles can't tell apart."""
+    t = load_trips(spark, sf).select(
+        "trip_id", F.date_trunc("month", F.col("Trip_Pickup_DateTime")).cast("timestamp_ntz").alias("pickup"),
+        (F.lit(4611686018427387904) + (F.col("trip_id") * 7919) % 1000003).alias("big_key"))
+    return S.half_split(t, "pickup", "big_key").select("trip_id", "split")
+
+
+Q["half_split_ties"] = half_split_ties
+SQL["half_split_ties"] = f"""WITH trips AS ({TRIPS_SQL}),
+o AS (SELECT trip_id, row_number() OVER (ORDER BY date_trunc('month', Trip_Pickup_DateTime) ASC NULLS LAST,
+                                         4611686018427387904 + (trip_id * 7919) % 1000003) AS rn,
+             count(*) OVER () AS n FROM trips)
+SELECT trip_id, CASE WHEN rn <= n // 2 THEN 'val' ELSE 'test' END AS split FROM o"""
+
+
 def _cleaned(spark, sf):
     return pipeline.clean_trips(load_trips(spark, sf))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from farelane.functions.quantiles import quantiles
 from farelane.operators import drift as D
 from farelane.operators import profile as P
 from farelane.plans import pipeline
@@ -113,6 +114,20 @@ def drift_report(spark, sf):
     return comparable(per.select("feature", "score", "drifted"), 6)
 
 
+def drift_summary(spark, sf):
+    """Dataset decision: share of drifted features over all of them."""
+    ref, cur = _ref_cur(spark, sf)
+    _, summary = D.drift_report(D.wasserstein(ref, cur, DRIFT_COLS))
+    return comparable(summary, 6)
+
+
+def quantiles_tied(spark, sf):
+    """Quantiles of columns where a dozen values hold all rows."""
+    cl = pipeline.clean_trips(load_trips(spark, sf)).withColumn("whole_fare", F.floor("Fare_Amt"))
+    q = quantiles(cl, ["Passenger_Count", "whole_fare"], [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0])
+    return comparable(q.select("column", "p", "value"), 6)
+
+
 def _w1_sql():
     melt = "\n    UNION ALL ".join(
         f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS x, CASE WHEN rk <= 2 THEN 1 ELSE 0 END AS r FROM lab"
@@ -144,6 +159,22 @@ SELECT w.feature, round(CASE WHEN ref_std > 0 THEN w1 / ref_std WHEN w1 > 0 THEN
 FROM w JOIN tot USING (feature)"""
 
 
+Q["drift_summary"] = drift_summary
+SQL["drift_summary"] = _w1_sql() + """,
+f AS (SELECT CASE WHEN ref_std > 0 THEN w1 / ref_std WHEN w1 > 0 THEN 'inf'::DOUBLE ELSE 0 END >= 0.1 AS drifted
+      FROM w JOIN tot USING (feature))
+SELECT count(*)::BIGINT AS n_features, count(*) FILTER (drifted)::BIGINT AS n_drifted,
+       round(count(*) FILTER (drifted) / count(*), 6) AS share_drifted,
+       count(*) FILTER (drifted) / count(*) >= 0.5 AS dataset_drift FROM f"""
+Q["quantiles_tied"] = quantiles_tied
+SQL["quantiles_tied"] = f"""WITH {clean_ctes()},
+ps AS (SELECT unnest([0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]::DOUBLE[]) AS p),
+qs AS (SELECT quantile_cont(CAST(Passenger_Count AS DOUBLE), [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]) AS a,
+              quantile_cont(CAST(floor(CAST(Fare_Amt AS DOUBLE)) AS DOUBLE), [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]) AS b FROM cleaned)
+SELECT 'Passenger_Count' AS "column", unnest([0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]::DOUBLE[]) AS p, round(unnest(a), 6) AS value FROM qs
+UNION ALL SELECT 'whole_fare', unnest([0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]::DOUBLE[]), round(unnest(b), 6) FROM qs"""
+
+
 def regression_drift(spark, sf):
     """OLS-on-distance quality: validation half (reference) vs test half."""
     from farelane.plans.q_select import candidate_predictions
@@ -169,7 +200,7 @@ x AS (SELECT metric, max(CASE WHEN dataset = 'reference' THEN value END) AS refe
              max(CASE WHEN dataset = 'current' THEN value END) AS current FROM l GROUP BY metric)
 SELECT metric, round(reference, 6) AS reference, round(current, 6) AS current,
        CASE WHEN metric = 'r2' THEN current >= reference - 0.1
-            WHEN metric IN ('mean_error', 'error_std') THEN TRUE
+            WHEN metric = 'mean_error' THEN abs(current - reference) <= 0.1 * (SELECT reference FROM x WHERE metric = 'error_std')
             ELSE current <= reference * (1 + 0.1) END AS passed
 FROM x"""
 

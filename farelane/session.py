@@ -8,6 +8,7 @@ transfer, UI off.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -92,8 +93,8 @@ def materialize(df):
     """Cut the lineage: write ``df`` as a Parquet table under the shared
     checkpoint folder and read it back.  One pass (``Dataset.checkpoint``
     computes its input twice unless cached), columnar on disk, and it survives
-    executor loss, unlike local checkpoints.  Jobs call :func:`drop_stages`
-    when they end."""
+    executor loss, unlike local checkpoints.  Jobs run in a
+    :func:`stage_scope`, which deletes the table when they end."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/farelane-stage-{uuid.uuid4().hex}"
@@ -102,6 +103,16 @@ def materialize(df):
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def stage_scope(spark):
+    """Delete the stage tables that are written inside, when a job ends."""
+    before = set(_STAGES)
+    try:
+        yield
+    finally:
+        drop_stages(spark, [p for p in _STAGES if p not in before])
+
+
 def drop_stages(spark, paths: list[str] | None = None) -> int:
     """Delete stage tables written by :func:`materialize` (all that this
     process wrote, or ``paths``); returns how many went.  Frames that read

@@ -3,10 +3,11 @@
 * ``read_trip_files``: recursive discovery of monthly Parquet files, column
   projection pushed into the scan, month taken from the file name
   (``_metadata.file_path``), a stable unique ``row_key`` per row.
-* ``canonical_columns``: alias-tolerant renaming (first present variant wins),
-  ambiguous or missing columns raise.
-* ``schema_findings``: per-column presence / type findings from the schema
-  alone (no data scan).
+* ``file_layouts`` / ``read_canonical``: files of several layouts as one table.
+* ``canonical_columns``: alias-tolerant renaming (a row takes the first variant
+  with a value), a missing column raises.
+* ``schema_findings``: per-column presence / type findings of a frame's schema;
+  ``schema_findings_per_file``: of every file, before aliasing.
 * ``single_file_check``: the monitoring source must be exactly one file.
 """
 
@@ -21,41 +22,132 @@ from farelane.config import COLUMN_ALIASES, NUMERIC_COLUMNS, REQUIRED_COLUMNS, S
 MONTH_PATTERN = r"(\d{4})-(\d{2})\.parquet"
 
 
-def read_trip_files(spark: SparkSession, path: str, columns: list[str] | None = None,
-                    glob: str = "*.parquet", recursive: bool = True, months: list[str] | None = None) -> DataFrame:
-    """All Parquet files under ``path`` with ``month`` (YYYY-MM) and ``source_file``.
-    ``months`` prunes at file listing: only files named for those months are read."""
+def _reader(spark: SparkSession, glob: str, recursive: bool, months: list[str] | None):
     if months:
         glob = "*{" + ",".join(months) + "}.parquet"
-    r = spark.read.option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", glob)
-    df = r.parquet(path)
-    df = df.select(*(columns or df.columns), F.col("_metadata.file_path").alias("source_file"),
+    return spark.read.option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", glob)
+
+
+def file_layouts(spark: SparkSession, path: str, glob: str = "*.parquet", recursive: bool = True,
+                 months: list[str] | None = None) -> list[tuple[list[str], T.StructType]]:
+    """The files under ``path`` in groups whose footers merge to one schema.
+
+    Spark reads the footers in parallel tasks.  Files that name their columns
+    differently merge (each lacks the others' names); only a column with two
+    types splits the list, by halves in name order until the halves merge."""
+    files = sorted(_reader(spark, glob, recursive, months).parquet(path).inputFiles())
+
+    def groups(part):
+        try:
+            return [(part, spark.read.option("mergeSchema", "true").parquet(*part).schema)]
+        except Exception as ex:  # noqa: BLE001 - only a conflict of types is handled
+            if len(part) == 1 or "MERGE" not in str(ex).upper():
+                raise
+        mid = len(part) // 2
+        return groups(part[:mid]) + groups(part[mid:])
+
+    out: list[tuple[list[str], T.StructType]] = []
+    for part, schema in groups(files):
+        for i, (have, known) in enumerate(out):
+            if known == schema:
+                out[i] = (have + part, known)
+                break
+        else:
+            out.append((part, schema))
+    return out
+
+
+def _with_file_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+    df = df.select(*[F.col(f"`{c}`") for c in columns], F.col("_metadata.file_path").alias("source_file"),
                    row_key().alias("row_key"))
     m = F.regexp_extract("source_file", MONTH_PATTERN, 0)
     return df.withColumn("month", F.when(m != "", F.substring(m, 1, 7)))
 
 
+def read_trip_files(spark: SparkSession, path: str, columns: list[str] | None = None,
+                    glob: str = "*.parquet", recursive: bool = True, months: list[str] | None = None) -> DataFrame:
+    """All Parquet files under ``path`` with ``month`` (YYYY-MM) and ``source_file``,
+    with the columns of all of them (null where a file lacks one).
+    ``months`` prunes at file listing: only files named for those months are read.
+    Files whose types conflict need :func:`read_canonical`."""
+    layouts = file_layouts(spark, path, glob, recursive, months)
+    if len(layouts) > 1:
+        raise ValueError(f"{len(layouts)} file layouts with conflicting types under {path}; use read_canonical")
+    files, schema = layouts[0]
+    df = spark.read.schema(schema).parquet(*files)
+    return _with_file_columns(df, columns or df.columns)
+
+
+def read_canonical(spark: SparkSession, path: str, keep_extra: list[str] | None = None, strict: bool = True,
+                   aliases: dict = COLUMN_ALIASES, required: list[str] = REQUIRED_COLUMNS, **options) -> DataFrame:
+    """Trip files of any mixture of layouts as one canonical table: each group
+    of files is read and renamed by its own schema, numbers become doubles, and
+    the groups are united.  ``strict`` raises if a file has no value at all in
+    a required column (its rows would vanish in the null rules later)."""
+    parts = []
+    for files, schema in file_layouts(spark, path, **options):
+        df = spark.read.schema(schema).parquet(*files)
+        try:
+            parts.append(canonical_columns(_with_file_columns(df, df.columns), aliases, required,
+                                           keep_extra=list(dict.fromkeys(["source_file", *(keep_extra or [])]))))
+        except ValueError as ex:
+            raise ValueError(f"{ex} in {len(files)} files, such as {files[:3]}") from None
+    kinds = {c: {type(p.schema[c].dataType) for p in parts} for c in required}
+    for i, p in enumerate(parts):
+        casts = {}
+        for c in required:
+            if len(kinds[c]) > 1:  # text and numbers, or text and timestamps, in different files
+                numeric = any(issubclass(k, T.NumericType) for k in kinds[c])
+                casts[c] = F.expr(f"try_cast(`{c}` AS double)") if numeric else F.col(c).cast("string")
+        parts[i] = p.withColumns(casts) if casts else p
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    if strict:
+        lacking = [(r["source"], r["column"]) for r in presence_per_file(out, required).filter(~F.col("present")).limit(20).collect()]
+        if lacking:
+            raise ValueError(f"files without a required column: {lacking}")
+    return out if keep_extra and "source_file" in keep_extra else out.drop("source_file")
+
+
+def presence_per_file(df: DataFrame, columns: list[str], file_col: str = "source_file") -> DataFrame:
+    """``(source, column, rows, values, present)``: one aggregation over the
+    rows; a column is present in a file that has a value of it (or no row)."""
+    agg = df.groupBy(file_col).agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"_n{i}") for i, c in enumerate(columns)])
+    items = [F.struct(F.lit(c).alias("column"), F.col(f"_n{i}").alias("values")) for i, c in enumerate(columns)]
+    return (agg.select(F.regexp_extract(file_col, r"([^/]+)$", 1).alias("source"), "rows", F.inline(F.array(*items)))
+            .withColumn("present", (F.col("values") > 0) | (F.col("rows") == 0)))
+
+
 def row_key():
-    """A unique, stable row key for file rows: 23 bits of the file path hash
-    and the row's index in its Parquet file (40 bits).  Unlike a hash of the
-    values it separates identical rows, and unlike monotonically_increasing_id
-    it is the same on every re-evaluation."""
-    file_bits = F.col("_metadata.file_path").cast("string")
-    return (F.shiftleft(F.xxhash64(file_bits).bitwiseAND(F.lit((1 << 23) - 1)), 40)
-            .bitwiseOR(F.col("_metadata.row_index")))
+    """A unique, stable row key for file rows: the MD5 of the file's path and
+    the row's index in its Parquet file.  Unlike a hash of the values it
+    separates identical rows, and unlike monotonically_increasing_id it is the
+    same on every re-evaluation."""
+    return F.concat(F.md5(F.col("_metadata.file_path").cast("string").cast("binary")), F.lit("-"),
+                    F.col("_metadata.row_index").cast("string"))
 
 
 def canonical_columns(df: DataFrame, aliases: dict = COLUMN_ALIASES, required: list[str] = REQUIRED_COLUMNS,
                       keep_extra: list[str] | None = None) -> DataFrame:
-    """Rename the first present variant of each canonical column, then project
-    the required columns (plus ``keep_extra``)."""
-    present = set(df.columns)
+    """Rename each canonical column's variants, then project the required
+    columns (plus ``keep_extra``).  Where several variants are there (files of
+    different layouts read together) a row takes the first that has a value;
+    a column without any variant raises."""
+    present = {f.name: f.dataType for f in df.schema.fields}
     cols = []
     for canon in required:
         found = [v for v in aliases.get(canon, [canon]) if v in present]
         if not found:
             raise ValueError(f"no column for {canon!r} (looked for {aliases.get(canon, [canon])})")
-        cols.append(F.col(f"`{found[0]}`").alias(canon))
+        kinds = {present[v] for v in found}
+        if len(kinds) == 1:
+            parts = [F.col(f"`{v}`") for v in found]
+        elif any(isinstance(k, T.NumericType) for k in kinds):
+            parts = [F.expr(f"try_cast(`{v}` AS double)") for v in found]
+        else:
+            parts = [F.col(f"`{v}`").cast("string") for v in found]
+        cols.append((F.coalesce(*parts) if len(parts) > 1 else parts[0]).alias(canon))
     return df.select(*[F.col(c) for c in (keep_extra or []) if c in present], *cols)
 
 
@@ -94,14 +186,24 @@ def read_routes_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ROUTES_SCHEMA).option("header", True).csv(path)
 
 
+def _metrics_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Flat ``{"candidate", "metric", "value"}`` rows, or one document per file
+    with ``{candidate: {metric: value}}`` (other entries are passed over)."""
+    docs = spark.read.text(path, wholetext=True).select(F.col("value").alias("doc"))
+    flat = (spark.read.schema("candidate string, metric string, value double").json(path)
+            .filter(F.col("candidate").isNotNull() & F.col("metric").isNotNull()))
+    outer = docs.select(F.explode(F.from_json("doc", "map<string,string>")).alias("candidate", "inner"))
+    nested = (outer.filter(F.col("inner").startswith("{"))
+              .select("candidate", F.explode(F.from_json("inner", "map<string,string>")).alias("metric", "text"))
+              .select("candidate", "metric", F.expr("try_cast(text AS double)").alias("value"))
+              .filter(F.col("value").isNotNull()))
+    return flat.unionByName(nested)
+
+
 def read_metrics_json(spark: SparkSession, specific: str | None, combined: str | None) -> DataFrame:
     """Metrics ``(candidate, metric, value)``: rows from the specific file win
     over the combined file's rows for the same (candidate, metric)."""
-    schema = "candidate string, metric string, value double"
-    parts = []
-    for prio, p in ((0, specific), (1, combined)):
-        if p:
-            parts.append(spark.read.schema(schema).json(p).withColumn("_prio", F.lit(prio)))
+    parts = [_metrics_rows(spark, p).withColumn("_prio", F.lit(prio)) for prio, p in ((0, specific), (1, combined)) if p]
     if not parts:
         raise ValueError("no metrics source")
     allm = parts[0]
@@ -112,25 +214,26 @@ def read_metrics_json(spark: SparkSession, specific: str | None, combined: str |
 
 def schema_findings_per_file(spark: SparkSession, path: str, numeric: list[str] = NUMERIC_COLUMNS,
                              strings: list[str] = STRING_COLUMNS, aliases: dict = COLUMN_ALIASES) -> DataFrame:
-    """Findings for every Parquet file under ``path``, from each file's footer
-    schema only (no data scan; the work grows with the number of files).  A
-    column counts as present under any of its alias names."""
-    listing = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
+    """Findings for every Parquet file under ``path``, before aliasing: types
+    from the footers (merged in parallel, a group per layout), presence from
+    one aggregation over the rows.  A column counts as present in a file that
+    has a value of it under any of its alias names."""
+    expected = {c: "numeric" for c in numeric} | {c: "string" for c in strings}
     out = None
-    for f in sorted(listing.inputFiles()):
-        sch = spark.read.parquet(f).schema
-        names = set(sch.fieldNames())
-        cols = []
-        for c in numeric + strings:
-            hit = next((v for v in aliases.get(c, [c]) if v in names), None)
-            cols.append(F.col(hit).alias(c) if hit else F.lit(None).cast("string").alias(c))
-        view = spark.createDataFrame([], sch).select(*cols)
-        missing = {c for c in numeric + strings
-                   if not any(v in names for v in aliases.get(c, [c]))}
-        part = schema_findings(spark, view, numeric, strings, source=f.rsplit("/", 1)[-1])
-        part = part.withColumn("present", ~F.col("column").isin(*missing) if missing else F.lit(True)) \
-                   .withColumn("status", F.when(F.col("present") & F.col("type_ok"), "ok").otherwise("warning"))
+    for files, schema in file_layouts(spark, path):
+        types = {f.name: f.dataType for f in schema.fields}
+        df = spark.read.schema(schema).parquet(*files)
+        cols, kind = [F.col("_metadata.file_path").alias("source_file")], {}
+        for c in expected:
+            hits = [v for v in aliases.get(c, [c]) if v in types]
+            kind[c] = {v: _kind(types[v]) for v in hits}
+            # which variant a row has says what type the file has
+            cols.append(F.coalesce(*[F.when(F.col(f"`{v}`").isNotNull(), F.lit(_kind(types[v]))) for v in hits], F.lit(None).cast("string")).alias(c))
+        per = df.select(*cols).groupBy("source_file").agg(*[F.max(c).alias(c) for c in expected])
+        items = [F.struct(F.lit(c).alias("column"), F.lit(e).alias("expected"), F.col(c).alias("actual")) for c, e in expected.items()]
+        part = per.select(F.regexp_extract("source_file", r"([^/]+)$", 1).alias("source"), F.inline(F.array(*items)))
+        ok = (F.col("actual") == F.col("expected")) | ((F.col("expected") == "string") & (F.col("actual") == "timestamp"))
+        part = part.withColumns({"present": F.col("actual").isNotNull(), "type_ok": F.coalesce(ok, F.lit(False))}) \
+                   .withColumn("status", F.when(F.col("type_ok"), "ok").otherwise("warning"))
         out = part if out is None else out.unionByName(part)
-    if out is None:
-        raise ValueError(f"no parquet files under {path}")
     return out

@@ -7,7 +7,7 @@ query is stateless (no watermark needed) and every micro-batch is
 independent; the checkpoint location makes it restart where it stopped.
 
 With ``provider`` instead of a routes table, each micro-batch runs the batch
-path in ``foreachBatch`` (distinct uncached keys -> provider), appending the
+path in ``foreachBatch`` (the batch's distinct keys -> provider), appending the
 scored rows to ``output``.
 """
 
@@ -24,27 +24,24 @@ REQUEST_SCHEMA = ("trip_id long, Trip_Pickup_DateTime string, Passenger_Count do
                   "Start_Lat double, End_Lon double, End_Lat double")
 
 
-def score(requests: DataFrame, artefacts: dict, model: PipelineModel, routes: DataFrame | None = None,
-          provider=None, previous: PipelineModel | None = None, meta: dict | None = None) -> DataFrame:
-    """Prediction breakdown: latest model, and with a previous model and meta
-    coefficients also the previous and the stacked fare; fares rounded to 2."""
+def score(requests: DataFrame, artefacts: dict, scorer, routes: DataFrame | None = None, provider=None) -> DataFrame:
+    """Fares of request rows, rounded to 2: ``fare`` as the version scores, and
+    ``fare_latest`` / ``fare_previous`` of the models that it uses.  ``scorer``:
+    a ``Scorer``, or a single fitted model.  Without a route the fares are null."""
     f = pipeline.score_features(pipeline.ingest_requests(requests), artefacts, routes=routes, provider=provider)
-    out = ML.predict(model, f, "pred_latest")
-    cols = [F.round("pred_latest", 2).alias("fare_latest")]
-    if previous is not None and meta is not None:
-        out = ML.predict(previous, out, "pred_previous")
-        stacked = F.lit(meta["intercept"]) + F.lit(meta.get("pred_old", 0.0)) * F.col("pred_previous") \
-            + F.lit(meta.get("pred_new", 0.0)) * F.col("pred_latest")
-        out = out.withColumn("pred_stacked", stacked)
-        cols += [F.round("pred_previous", 2).alias("fare_previous"), F.round("pred_stacked", 2).alias("fare")]
+    if isinstance(scorer, PipelineModel):
+        out = ML.predict(scorer, f, "pred_latest").withColumn("fare", F.col("pred_latest"))
     else:
-        cols.append(F.round("pred_latest", 2).alias("fare"))
+        out = scorer.predict(f, "fare", breakdown=True)
+    known = F.col("route_distance_m").isNotNull()
+    cols = [F.when(known, F.round(c, 2)).alias(n) for c, n in (("pred_latest", "fare_latest"), ("pred_previous", "fare_previous"), ("fare", "fare"))
+            if c in out.columns]
     keep = [c for c in ("trip_id",) if c in out.columns]
     return out.select(*keep, *cols)
 
 
 def start(spark: SparkSession, source: str, output: str, checkpoint: str, artefacts: dict,
-          model: PipelineModel, routes: DataFrame | None = None, provider=None,
+          model, routes: DataFrame | None = None, provider=None,
           schema: str = REQUEST_SCHEMA, available_now: bool = True):
     """Start the streaming scoring query (Parquet files in, Parquet out)."""
     stream = spark.readStream.schema(schema).parquet(source)

@@ -96,6 +96,27 @@ def test_stratified_quota_never_exceeded(spark):
     assert all(q == min(counts[b], round(counts[b] / total * 700)) for b, q in quotas.items())
 
 
+def test_sample_with_a_key_that_repeats(spark):
+    """A key that all rows share: quotas are met exactly all the same."""
+    df = spark.range(4000).select(F.lit(7).alias("trip_id"), (F.col("id") % 2).alias("g"), "id")
+    got = S.sample_by_quota(df, "g", {0: 150, 1: 1, 2: 5})
+    assert {r["g"]: r["count"] for r in got.groupBy("g").count().collect()} == {0: 150, 1: 1}
+    assert got.columns == df.columns and got.select("id").distinct().count() == 151
+
+
+def test_half_split_keys_beyond_doubles(spark):
+    """200,000 rows of one time: the cut among 63-bit and among text keys."""
+    import datetime as dt
+    n = 200_001
+    base = spark.range(n).select(F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("Trip_Pickup_DateTime"),
+                                 (F.lit(4_000_000 << 40) + F.col("id")).alias("trip_id"))
+    for df in (base, base.withColumn("trip_id", F.concat(F.lit("file-"), F.format_string("%020d", "trip_id")))):
+        out = S.half_split(df)
+        val = out.filter("split = 'val'")
+        assert val.count() == n // 2 and out.count() == n
+        assert val.agg(F.max("trip_id")).first()[0] < out.filter("split = 'test'").agg(F.min("trip_id")).first()[0]
+
+
 def test_month_split_and_findings(spark):
     t = load_monthly_trips(spark, SF001)
     f = {r["check"]: r["ok"] for r in S.month_findings(t).collect()}
@@ -108,16 +129,12 @@ def test_month_split_and_findings(spark):
 
 def test_half_split_hot_timestamp_uses_key_order(spark):
     """Many rows share one timestamp: the cut falls inside the tie and is
-    resolved by key, through the bounded selection path."""
+    resolved by key."""
     ts = dt.datetime(2024, 1, 1, 12, 0, 0, 123456)
     rows = [(i * 7919 % 100003, ts) for i in range(5001)] + [(10**9 + i, ts + dt.timedelta(seconds=1))
                                                            for i in range(10)]
     df = spark.createDataFrame(rows, "trip_id long, Trip_Pickup_DateTime timestamp_ntz")
-    old, S.TIE_RANK_LIMIT = S.TIE_RANK_LIMIT, 100
-    try:
-        s = S.half_split(df)
-    finally:
-        S.TIE_RANK_LIMIT = old
+    s = S.half_split(df)
     n = len(rows)
     val = sorted(r["trip_id"] for r in s.filter(F.col("split") == "val").collect())
     expect = sorted(k for k, _ in sorted(rows, key=lambda r: (r[1], r[0]))[: n // 2])

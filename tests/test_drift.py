@@ -1,4 +1,4 @@
-"""W1 drift: bucketed path equals the single-bucket path; properties."""
+"""W1 drift against the direct formula; properties."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,12 +18,24 @@ def halves(spark):
     return cl.filter(F.col("trip_id") % 2 == 0), cl.filter(F.col("trip_id") % 2 == 1)
 
 
-def test_bucketed_equals_single(halves):
+def test_equals_direct_formula(halves):
+    import numpy as np
     ref, cur = halves
-    one = {r["feature"]: r["w1"] for r in D.wasserstein(ref, cur, COLS).collect()}
-    many = {r["feature"]: r["w1"] for r in D.wasserstein(ref, cur, COLS, rows_per_bucket=150).collect()}
+    got = {r["feature"]: r for r in D.wasserstein(ref, cur, COLS).collect()}
     for c in COLS:
-        assert many[c] == pytest.approx(one[c], rel=1e-9, abs=1e-12)
+        a, b = (np.sort([float(r[0]) for r in d.select(c).collect() if r[0] is not None]) for d in (ref, cur))
+        x = np.unique(np.concatenate([a, b]))
+        gap = np.abs(np.searchsorted(a, x, "right") / len(a) - np.searchsorted(b, x, "right") / len(b))
+        assert got[c]["w1"] == pytest.approx(float((gap[:-1] * np.diff(x)).sum()), rel=1e-9)
+        assert got[c]["ref_std"] == pytest.approx(float(a.std()), rel=1e-9) and got[c]["n_ref"] == len(a)
+
+
+def test_quality_tests_can_fail(spark):
+    ref = spark.range(200).select(F.col("id").cast("double").alias("y"), (F.col("id") + F.col("id") % 3 - 1).cast("double").alias("p"))
+    bad = ref.select("y", (F.col("p") + 5).alias("p"))
+    same = {r["metric"]: r["passed"] for r in D.regression_drift(ref, ref, "y", "p").collect()}
+    moved = {r["metric"]: r["passed"] for r in D.regression_drift(ref, bad, "y", "p").collect()}
+    assert all(same.values()) and not moved["mean_error"] and not moved["rmse"] and moved["error_std"]
 
 
 def test_identical_sets_zero_and_symmetric(halves):
@@ -39,5 +51,5 @@ def test_identical_sets_zero_and_symmetric(halves):
 def test_shift_equals_offset(spark):
     a = spark.range(0, 1000).select(F.col("id").cast("double").alias("x"))
     b = a.select((F.col("x") + 2.5).alias("x"))
-    r = D.wasserstein(a, b, ["x"], rows_per_bucket=100).first()
+    r = D.wasserstein(a, b, ["x"]).first()
     assert r["w1"] == pytest.approx(2.5, rel=1e-9)

@@ -15,12 +15,83 @@ def test_polygon_with_hole_and_wkt(spark):
     assert e.count() == 8
     pts = spark.createDataFrame([(1, 1.0, 1.0), (2, 5.0, 5.0), (3, 11.0, 5.0), (4, 9.5, 7.3), (5, -1.0, -1.0)],
                                 "id long, x double, y double")
-    got = {r["id"]: r["inside"] for r in PG.point_in_polygon(pts, e, "x", "y", band=0.5).collect()}
+    got = {r["id"]: r["inside"] for r in PG.point_in_polygon(pts, e, "x", "y", cell=0.5).collect()}
     assert got == {1: True, 2: False, 3: False, 4: True, 5: False}
-    same = {r["id"]: r["inside"] for r in PG.point_in_polygon(pts, e, "x", "y", band=3.0).collect()}
+    same = {r["id"]: r["inside"] for r in PG.point_in_polygon(pts, e, "x", "y", cell=3.0).collect()}
     assert same == got
 
 
+def test_polygon_overlap_edges_and_shuffle(spark, monkeypatch):
+    wkt = [(1, "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0))"), (2, "POLYGON ((2 2, 6 2, 6 6, 2 6, 2 2))")]
+    e = PG.edges_from_wkt(spark.createDataFrame(wkt, "poly_id long, wkt string"))
+    pts = [(1, 3.0, 3.0, True), (2, 1.0, 1.0, True), (3, 5.0, 5.0, True), (4, 0.0, 1.0, False), (5, 1.0, 0.0, False),
+           (6, 4.0, 1.0, False), (7, 4.0, 3.0, True), (8, 6.0, 6.0, False), (9, 5.0, 1.0, False), (10, None, 1.0, False)]
+    df = spark.createDataFrame([p[:3] for p in pts], "id long, x double, y double")
+    want = {p[0]: p[3] for p in pts}
+    for cell in (0.3, 1.0, 50.0):
+        assert {r["id"]: r["inside"] for r in PG.point_in_polygon(df, e, "x", "y", cell=cell).collect()} == want
+    monkeypatch.setattr(PG, "BROADCAST_LIMIT", 0)       # beyond the limit: both sides shuffle
+    assert {r["id"]: r["inside"] for r in PG.point_in_polygon(df, e, "x", "y", cell=1.0).collect()} == want
+
+
+def test_one_bad_key_does_not_null_its_batch():
+    import numpy as np
+    keys = pd.DataFrame({"start_lon": np.arange(9.0), "start_lat": 0.0, "end_lon": np.arange(9.0) + 0.01, "end_lat": 0.0})
+
+    def picky(pdf):
+        if (pdf["start_lon"] == 5).any():
+            raise RuntimeError("bad key")
+        return R.taxicab_provider(pdf)
+
+    out = R.with_retry(picky, retries=2, backoff_s=0.0)(keys)
+    assert out["route_distance_m"].isna().tolist() == [k == 5 for k in out["start_lon"]] and len(out) == 9
+
+
+def test_keys_are_sent_once_and_chunks_stay(spark, tmp_path):
+    trips = spark.range(60).select(F.col("id").alias("trip_id"), (F.col("id") % 30 / 100 - 74).alias("Start_Lon"),
+                                   F.lit(40.7).alias("Start_Lat"), F.lit(-73.9).alias("End_Lon"), F.lit(40.8).alias("End_Lat"))
+    log = tmp_path / "calls"
+    log.mkdir()
+
+    def counted(pdf):
+        import uuid
+        (log / uuid.uuid4().hex).write_text(str(len(pdf)))
+        return R.taxicab_provider(pdf)
+
+    cache = R.update_route_cache(spark, trips, counted, str(tmp_path / "routes"), chunk_keys=7)
+    assert cache.count() == 30 and sum(int(f.read_text()) for f in log.iterdir()) == 30
+    # a fault while the cache is opened is raised, not taken for an empty cache
+    with pytest.raises(Exception):
+        R.update_route_cache(spark, trips, counted, "nosuchfs://x/routes")
+    assert R.join_routes(trips, cache.unionByName(cache)).count() == 60     # a key held twice multiplies nothing
+
+
+def test_mixed_layouts_lose_no_row(spark, tmp_path):
+    old = {"Trip_Pickup_DateTime": ["2009-01-01 10:00:00"], "Trip_Dropoff_DateTime": ["2009-01-01 10:10:00"], "Passenger_Count": [1],
+           "Trip_Distance": [1.0], "Start_Lon": [-73.9], "Start_Lat": [40.7], "End_Lon": [-73.9], "End_Lat": [40.7], "Fare_Amt": [5.0], "Total_Amt": [6.0]}
+    new = {"tpep_pickup_datetime": pd.to_datetime(["2009-02-01 10:00:00"]), "tpep_dropoff_datetime": pd.to_datetime(["2009-02-01 10:10:00"]),
+           "passenger_count": [1.0], "trip_distance": [1.0], "pickup_longitude": [-73.9], "pickup_latitude": [40.7],
+           "dropoff_longitude": [-73.9], "dropoff_latitude": [40.7], "fare_amount": [7.0], "total_amount": [8.0]}
+    text = dict(new, passenger_count=["2"], fare_amount=["9"])
+    for m, d in (("2009-01", old), ("2009-02", new), ("2009-03", text)):
+        pd.DataFrame(d).to_parquet(tmp_path / f"yellow_tripdata_{m}.parquet", index=False, coerce_timestamps="us")
+    assert len(files.file_layouts(spark, str(tmp_path))) > 1         # names merge, types do not
+    got = files.read_canonical(spark, str(tmp_path), keep_extra=["month", "row_key"]).collect()
+    assert {r["month"]: (r["Fare_Amt"], r["Passenger_Count"]) for r in got} == {
+        "2009-01": (5.0, 1.0), "2009-02": (7.0, 1.0), "2009-03": (9.0, 2.0)}
+    assert all(r["Trip_Pickup_DateTime"] is not None and r["Start_Lon"] is not None for r in got)
+    del new["fare_amount"]
+    pd.DataFrame(new).to_parquet(tmp_path / "yellow_tripdata_2009-04.parquet", index=False, coerce_timestamps="us")
+    with pytest.raises(ValueError, match="2009-04"):
+        files.read_canonical(spark, str(tmp_path))
+
+
+def test_metrics_json_nested(spark, tmp_path):
+    (tmp_path / "val_metrics.json").write_text('{"new": {"rmse": 2.5, "r2": 0.5}, "old": {"rmse": 3}, "note": "x"}')
+    got = {(r["candidate"], r["metric"]): r["value"] for r in files.read_metrics_json(spark, None, str(tmp_path / "val_metrics.json")).collect()}
+    assert got == {("new", "rmse"): 2.5, ("new", "r2"): 0.5, ("old", "rmse"): 3.0}
+
+
 def test_retry_then_null(spark):
     calls = {"n": 0}
 

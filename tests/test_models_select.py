@@ -83,12 +83,14 @@ def test_imputer_and_params_roundtrip(spark, tmp_path):
     assert nc == {"trip_id": 0, "Passenger_Count": 1, "__total__": 1}
 
 
-def test_scoring_method_and_newest_artifact(spark):
+def test_scoring_resolution_and_newest_artifact(spark):
     import datetime as dt
-    reg = spark.createDataFrame([("v1", "base"), ("v2", "base"), ("v2", "meta"), ("v3", "base")],
-                                "version string, kind string")
-    m = {v: SEL.scoring_method(reg, v).first()["method"] for v in ("v1", "v2", "v3")}
-    assert m == {"v1": "latest", "v2": "stacked", "v3": "old"}
+    rows = [(v, "final", "x") for v in ("v1", "v2", "v3", "v4", "v10")] + [(v, "stacked", "meta") for v in ("v1", "v2", "v3")]
+    reg = spark.createDataFrame(rows, "version string, model_key string, kind string")
+    promo = spark.createDataFrame([("v2", "stacked"), ("v3", "new"), ("v4", "old"), ("v10", "stacked")], "version string, chosen_on_val string")
+    m = {r["version"]: (r["previous"], r["method"]) for r in SEL.scoring_resolution(reg, promo).collect()}
+    # v1 has a meta-model but no promotion, v3 has one but "new" was chosen, v10 was promoted stacked without one
+    assert m == {"v1": (None, "latest"), "v2": ("v1", "stacked"), "v3": ("v2", "latest"), "v4": ("v3", "old"), "v10": ("v4", "latest")}
     arts = spark.createDataFrame([("gbt", "/a", dt.datetime(2024, 1, 1)), ("gbt", "/b", dt.datetime(2024, 2, 1)),
                                   ("rf", "/c", dt.datetime(2024, 1, 5))],
                                  "model_key string, path string, created_at timestamp")

@@ -93,7 +93,7 @@ def test_bracketed_quantiles_match_numpy(_spark, values, probs):
     from farelane.functions.quantiles import quantiles
     xs = [v / 7.0 for v in values]                       # many duplicates
     df = _spark.createDataFrame([(x,) for x in xs], "x double")
-    got = {r["p"]: r["value"] for r in quantiles(df, ["x"], probs, accuracy=50, small_limit=0).collect()}
+    got = {r["p"]: r["value"] for r in quantiles(df, ["x"], probs).collect()}
     for p in set(probs):
         assert got[float(p)] == pytest.approx(float(np.percentile(xs, p * 100)), rel=1e-9, abs=1e-9)
 
@@ -104,7 +104,7 @@ def test_bucketed_w1_matches_numpy(_spark, a, b):
     from farelane.operators import drift as D
     ra = _spark.createDataFrame([(float(v),) for v in a], "x double")
     rb = _spark.createDataFrame([(float(v),) for v in b], "x double")
-    got = D.wasserstein(ra, rb, ["x"], rows_per_bucket=40).first()["w1"]
+    got = D.wasserstein(ra, rb, ["x"]).first()["w1"]
     grid = np.unique(np.concatenate([a, b])).astype(float)
     Fa = np.searchsorted(np.sort(a), grid, side="right") / len(a)
     Fb = np.searchsorted(np.sort(b), grid, side="right") / len(b)
@@ -148,7 +148,7 @@ def test_banded_polygon_matches_ray_casting(_spark, ring, pts, band):
     poly = [(r * math.cos(a), r * math.sin(a)) for r, a in ring]
     edges = PG.edges_from_rings(_spark, {1: [poly]})
     df = _spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(pts)], "id long, x double, y double")
-    got = {r["id"]: r["inside"] for r in PG.point_in_polygon(df, edges, "x", "y", band=band).collect()}
+    got = {r["id"]: r["inside"] for r in PG.point_in_polygon(df, edges, "x", "y", cell=band).collect()}
     closed = poly + [poly[0]]
 
     def inside(x, y):

@@ -9,6 +9,7 @@ from farelane.operators import models as ML
 from farelane.operators import routes as R
 from farelane.operators import split as S
 from farelane.plans import pipeline
+from farelane.plans import scoring as SC
 from farelane.sources.tables import load_monthly_trips
 from farelane.streaming import scoring_stream as SS
 
@@ -56,7 +57,12 @@ def test_score_breakdown_previous_latest_stacked(spark):
     meta = {"intercept": 0.5, "pred_old": 0.3, "pred_new": 0.6}
     req = raw.filter(F.col("split") == "test").select("trip_id", "Trip_Pickup_DateTime", "Passenger_Count",
                                                       "Start_Lon", "Start_Lat", "End_Lon", "End_Lat")
-    out = SS.score(req, art, latest, previous=previous, meta=meta).collect()
+    scorer = SC.Scorer("v2", "stacked", SC.FinalModel("v2", "linear", {"linear": latest}),
+                       SC.FinalModel("v1", "gbt_a", {"gbt_a": previous}), meta)
+    out = SS.score(req, art, scorer, provider=R.taxicab_provider).collect()
     assert out and set(out[0].asDict()) == {"trip_id", "fare_latest", "fare_previous", "fare"}
+    assert any(r["fare"] is not None for r in out)
     for r in out:
+        if r["fare"] is None:       # no coordinates, no route
+            continue
         assert r["fare"] == pytest.approx(0.5 + 0.3 * r["fare_previous"] + 0.6 * r["fare_latest"], abs=0.02)
