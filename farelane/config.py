@@ -74,13 +74,6 @@ SCALED_COLUMNS = [
 ROUTE_SCALED_COLUMNS = ["route_distance_m", "route_duration_s", "average_speed_m_s",
                         "ratio_haversine_osrm"]
 
-# Columns never imputed (everything else in the feature frame is).
-IMPUTER_EXCLUDED = [
-    "Real_distance", "Real_time", "Fare_Amt", "Total_Amt",
-    "haversine_distance_m", "route_distance_m", "route_duration_s",
-    "haversine_distance_m_log1p", "route_distance_m_log1p", "route_duration_s_log1p",
-    "Trip_Pickup_DateTime", "Trip_Dropoff_DateTime",
-]
 IMPUTER_COLUMNS = ["Passenger_Count", "Start_Lon", "Start_Lat", "End_Lon", "End_Lat"]
 
 # Multi-criteria selection weights and metric directions.

@@ -60,12 +60,6 @@ def as_float(c) -> Column:
     return col(c).cast("float")
 
 
-def as_float_double(c) -> Column:
-    """Round through float32 and back: the value a float32 column holds."""
-    return col(c).cast("float").cast("double")
-
-
-# -- time ------------------------------------------------------------------
 def interval_micros(iv: str) -> Column:
     """Microseconds of a day-time interval SQL expression (exact)."""
     return F.expr(f"CAST(extract(DAY FROM {iv}) AS BIGINT) * 86400000000"

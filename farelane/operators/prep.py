@@ -100,12 +100,6 @@ def transform_scaler(df: DataFrame, params, float_out: bool = True) -> DataFrame
     return df.withColumns(cols)
 
 
-def inverse_scaler(df: DataFrame, params) -> DataFrame:
-    p = params if isinstance(params, dict) else params_dict(params)
-    return df.withColumns({c: F.col(c) * F.lit(st["scale"]) + F.lit(st["center"])
-                           for c, st in p.items() if c in df.columns})
-
-
 def transform_imputer(df: DataFrame, params) -> DataFrame:
     """Null (or NaN) -> fitted value, column by column."""
     p = params if isinstance(params, dict) else params_dict(params)

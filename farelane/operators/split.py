@@ -187,10 +187,6 @@ def quantile_bins(df: DataFrame, target: str = "Fare_Amt", n_bins: int = 50,
     return df.withColumn(out, bin_column(v, edges) if edges else F.lit(None).cast("int"))
 
 
-def bin_quotas(df: DataFrame, n_samples: int, bin_col: str = "bin") -> dict[int, int]:
-    return quotas_from_counts(bin_counts(df, bin_col), n_samples)
-
-
 def bin_counts(df: DataFrame, bin_col: str = "bin") -> dict:
     """Rows per bin (null bin included): a few dozen rows to the driver."""
     return {r[bin_col]: r["count"] for r in df.groupBy(bin_col).count().collect()}

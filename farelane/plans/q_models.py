@@ -103,6 +103,50 @@ def gbt_validation_watch(spark, sf):
     return ML.predict(model, t.filter(F.col("split") == "test")).select("trip_id", "prediction")
 
 
+def learner_relations(spark, sf):
+    """Relations that hold for any sound fit: rows per split, a prediction for
+    every validation row, training errors below the train mean's, fold sizes,
+    importances that sum to one."""
+    t, _ = processed(spark, sf)
+    feats = ML.feature_columns(t, TARGET)
+    train = materialize(t.filter(F.col("split") == "train"))
+    mean = train.agg(F.avg(TARGET)).first()[0]
+    scored, models = train.withColumn("pred_mean", F.lit(mean)), {}
+    for k in ("gbt_a", "forest", "linear"):
+        models[k] = ML.fit(train, k, feats, TARGET, {"gbt_a": MP.gbt_a, "forest": MP.forest, "linear": {}}[k], prediction=f"pred_{k}")
+        scored = models[k].transform(scored).drop("features")
+    long = M.melt_predictions(scored, TARGET, {k: f"pred_{k}" for k in ("mean", *models)})
+    rmse = {r["candidate"]: r["rmse"] for r in M.regression_metrics(long, with_medae=False).collect()}
+    val = ML.predict(models["gbt_a"], t.filter(F.col("split") == "val"))
+    n = {r["split"]: r["count"] for r in t.groupBy("split").count().collect()}
+    folds = {r["fold"]: r["count"] for r in S.hash_folds(train, MP.oof_folds).groupBy("fold").count().collect()}
+    imp = ML.feature_importances(spark, models["gbt_a"], feats).agg(F.sum("importance")).first()[0]
+    rows = [(f"rows_{s}", n.get(s, 0)) for s in ("train", "val", "test")]
+    rows += [(f"fold_{i}", folds.get(i, 0)) for i in range(MP.oof_folds)]
+    rows += [("val_predicted", val.filter(F.col("prediction").isNotNull()).count())]
+    rows += [(f"{k}_beats_mean", int(rmse[k] < rmse["mean"])) for k in models]
+    rows += [("importances_sum_to_one", int(abs(imp - 1) < 1e-6))]
+    return spark.createDataFrame(rows, "relation string, value long")
+
+
+def _learner_relations_sql():
+    from farelane.plans.q_routes import _dist
+    from farelane.plans.q_select import _base_sql
+    from farelane.plans.q_split import hash_sql
+    return _base_sql() + f""",
+kept AS (SELECT c.trip_id, l.split FROM cleaned c JOIN labels l USING (trip_id)
+         WHERE {_dist} > 0 AND c.haversine_distance_m <> 0 AND l.split <> 'extra'
+           AND c.Passenger_Count IS NOT NULL AND c.Start_Lon IS NOT NULL AND c.Start_Lat IS NOT NULL)
+SELECT 'rows_' || s AS relation, (SELECT count(*) FROM kept WHERE split = s)::BIGINT AS value
+FROM (VALUES ('train'), ('val'), ('test')) t(s)
+UNION ALL SELECT 'fold_' || f, (SELECT count(*) FROM kept WHERE split = 'train' AND {hash_sql()} % 5 = f)::BIGINT FROM range(5) t(f)
+UNION ALL SELECT 'val_predicted', (SELECT count(*) FROM kept WHERE split = 'val')::BIGINT
+UNION ALL SELECT k || '_beats_mean', 1::BIGINT FROM (VALUES ('gbt_a'), ('forest'), ('linear')) t(k)
+UNION ALL SELECT 'importances_sum_to_one', 1::BIGINT"""
+
+
+Q["learner_relations"] = learner_relations
+SQL["learner_relations"] = _learner_relations_sql()
 Q.update(gbt_validation_watch=gbt_validation_watch)
 Q.update(gbt_predict=gbt_predict, feature_importances=feature_importances, model_selection=model_selection,
          stack_oof=stack_oof, score_trips=score_trips)

@@ -4,11 +4,20 @@ the operator's semantics independently of the Spark code."""
 
 from __future__ import annotations
 
-from farelane.config import MILE_M, NOT_NULL_COLUMNS, POIS, OutlierRules
-from farelane.functions.columns import days_to_s, km_to_m, kmh_to_ms, min_to_s
 from farelane.sources.tables import MONTHLY_TRIPS_SQL, TRIPS_SQL
 
 
+# Points of interest, written out apart from the configuration.
+POIS = {
+    "nyc": (40.724944, -74.001541),
+    "jfk": (40.645494, -73.785937),
+    "lga": (40.774071, -73.872067),
+    "nla": (40.690764, -74.177721),
+    "chp": (41.366138, -73.137393),
+    "exp": (40.736000, -74.037500),
+}
+
+
 def f32(x: str) -> str:
     return f"CAST({x} AS FLOAT)"
 
@@ -53,7 +62,7 @@ def measures_cte(src: str = "trips") -> str:
   FROM (
     SELECT *,
       CAST(epoch_us(Trip_Dropoff_DateTime) - epoch_us(Trip_Pickup_DateTime) AS DOUBLE) / 1e6 AS Real_time,
-      Trip_Distance * {lit(MILE_M)} AS Real_distance,
+      Trip_Distance * 1609.344e0 AS Real_distance,
       {f32(hav('Start_Lat', 'Start_Lon', 'End_Lat', 'End_Lon'))} AS haversine_distance_m
     FROM {src}
   ) a
@@ -64,36 +73,34 @@ def ratio_expr() -> str:
     return f32(div("CAST(haversine_distance_m AS DOUBLE)", f32d("Real_distance")))
 
 
-def rule_list(rules: OutlierRules = OutlierRules()) -> list[tuple[str, str]]:
+def rule_list() -> list[tuple[str, str]]:
+    """The default rules with their limits written out, so that a wrong limit
+    in the configuration shows as a difference."""
     rt32, rd32 = f32("Real_time"), f32("Real_distance")
-    out = [
-        ("required_not_null", " AND ".join(f"{c} IS NOT NULL" for c in NOT_NULL_COLUMNS)),
+    return [
+        ("required_not_null", "Trip_Pickup_DateTime IS NOT NULL AND Trip_Dropoff_DateTime IS NOT NULL "
+                              "AND Trip_Distance IS NOT NULL AND Fare_Amt IS NOT NULL AND Total_Amt IS NOT NULL"),
         ("passengers_in_1_10", "Passenger_Count > 0 AND Passenger_Count <= 10"),
+        ("duration_positive", "Real_time > 0"),
+        ("distance_positive", "Trip_Distance > 0"),
+        ("speed_le_limit", "Real_velocity <= 300e0 * 1000e0 / 3600e0"),
+        ("duration_le_days", f"{rt32} <= 2764800e0"),
+        ("duration_lt_minutes", f"{rt32} < 1800e0"),
+        ("speed_le_constant", "Real_velocity <= 100e0 * 1000e0 / 3600e0"),
+        ("distance_le_km", f"{rd32} <= 56000e0"),
+        ("haversine_le_km", "haversine_distance_m <= 800000e0"),
+        ("ratio_lt_limit", "ratio_haversine_real < 80e0"),
+        ("ratio_distance_pairs", f"NOT ((ratio_haversine_real > 40e0 AND {rd32} > 800e0) "
+                                 f"OR (ratio_haversine_real > 15e0 AND {rd32} > 5000e0) "
+                                 f"OR (ratio_haversine_real > 3e0 AND {rd32} > 1000e0) "
+                                 f"OR (ratio_haversine_real > 4e0 AND {rd32} > 500e0))"),
     ]
-    if rules.real_time:
-        out.append(("duration_positive", "Real_time > 0"))
-    if rules.trip_distance:
-        out.append(("distance_positive", "Trip_Distance > 0"))
-    out += [
-        ("speed_le_limit", f"Real_velocity <= {lit(kmh_to_ms(rules.real_velocity_limit_kmh))}"),
-        ("duration_le_days", f"{rt32} <= {lit(days_to_s(rules.real_time_days))}"),
-        ("duration_lt_minutes", f"{rt32} < {lit(min_to_s(rules.max_minutes))}"),
-        ("speed_le_constant", f"Real_velocity <= {lit(kmh_to_ms(rules.max_velocity_kmh))}"),
-        ("distance_le_km", f"{rd32} <= {lit(km_to_m(rules.max_distance_km))}"),
-        ("haversine_le_km", f"haversine_distance_m <= {lit(km_to_m(rules.distance_limit_km))}"),
-        ("ratio_lt_limit", f"ratio_haversine_real < {lit(rules.haversine_ratio_limit)}"),
-    ]
-    if rules.ratio_distance_pairs:
-        bad = " OR ".join(f"(ratio_haversine_real > {lit(a)} AND {rd32} > {lit(km_to_m(b))})"
-                          for a, b in rules.ratio_distance_pairs)
-        out.append(("ratio_distance_pairs", f"NOT ({bad})"))
-    return out
 
 
-def clean_ctes(monthly: bool = False, rules: OutlierRules = OutlierRules()) -> str:
+def clean_ctes(monthly: bool = False) -> str:
     """``trips``, ``measured`` (range-filtered + measures) and ``cleaned`` CTEs."""
     src = MONTHLY_TRIPS_SQL if monthly else TRIPS_SQL
-    conds = " AND ".join(f"({c})" for _, c in rule_list(rules))
+    conds = " AND ".join(f"({c})" for _, c in rule_list())
     extra = ", month" if monthly else ""
     return f"""trips AS ({src}),
 ranged AS (SELECT * FROM trips WHERE {COORD_RANGE}),
