@@ -82,12 +82,12 @@ def stack_oof(spark, sf):
 
 def score_trips(spark, sf):
     """Scoring job: stored params + model applied to raw request rows (the
-    third month, fare unknown) without outlier rules."""
+    third month, fare unknown) without outlier rules; a missing pickup time
+    counts as now."""
     t, art = processed(spark, sf)
     feats = ML.feature_columns(t, TARGET)
     model = ML.fit(t.filter(F.col("split") == "train"), "gbt_a", feats, TARGET, MP.gbt_a)
     req = (S.month_split(load_monthly_trips(spark, sf)).filter(F.col("split") == "valtest")
-           .where(F.col("Trip_Pickup_DateTime").isNotNull())
            .select("trip_id", "Trip_Pickup_DateTime", "Passenger_Count", "Start_Lon", "Start_Lat",
                    "End_Lon", "End_Lat", F.lit(None).cast("double").alias("Fare_Amt")))
     f = pipeline.score_features(pipeline.ingest_requests(req), art)

@@ -49,10 +49,10 @@ def _kind(c):
 
 Q["schema_findings"] = schema_findings
 SQL["schema_findings"] = f"""WITH trips AS ({TRIPS_SQL}),
-k AS (SELECT DISTINCT {', '.join(f'{_kind(c)} AS {c}' for c in NUMERIC_COLUMNS + STRING_COLUMNS)} FROM trips),
-f AS ({' UNION ALL '.join(f"SELECT '{c}' AS column, 'numeric' AS expected, {c} AS actual FROM k" for c in NUMERIC_COLUMNS)}
-      UNION ALL {' UNION ALL '.join(f"SELECT '{c}', 'string', {c} FROM k" for c in STRING_COLUMNS)})
-SELECT 'trips' AS source, "column", expected, actual, TRUE AS present,
+k AS (SELECT {', '.join(f'min({_kind(c)}) AS t_{c}, count({c}) AS n_{c}' for c in NUMERIC_COLUMNS + STRING_COLUMNS)} FROM trips),
+f AS ({' UNION ALL '.join(f"SELECT '{c}' AS column, 'numeric' AS expected, t_{c} AS actual, n_{c} AS values FROM k" for c in NUMERIC_COLUMNS)}
+      UNION ALL {' UNION ALL '.join(f"SELECT '{c}', 'string', t_{c}, n_{c} FROM k" for c in STRING_COLUMNS)})
+SELECT 'trips' AS source, "column", expected, actual, "values"::BIGINT AS "values", "values" > 0 AS present,
        (actual = expected OR (expected = 'string' AND actual = 'timestamp')) AS type_ok,
-       CASE WHEN actual = expected OR (expected = 'string' AND actual = 'timestamp') THEN 'ok' ELSE 'warning' END AS status
+       CASE WHEN "values" > 0 AND (actual = expected OR (expected = 'string' AND actual = 'timestamp')) THEN 'ok' ELSE 'warning' END AS status
 FROM f"""

@@ -4,8 +4,8 @@
   projection pushed into the scan, month taken from the file name
   (``_metadata.file_path``), a stable unique ``row_key`` per row.
 * ``file_layouts`` / ``read_canonical``: files of several layouts as one table.
-* ``canonical_columns``: alias-tolerant renaming (a row takes the first variant
-  with a value), a missing column raises.
+* ``canonical_columns``: alias-tolerant renaming (first present variant wins), a
+  missing column raises; ``one_variant_per_file`` chooses per file.
 * ``schema_findings``: per-column presence / type findings of a frame's schema;
   ``schema_findings_per_file``: of every file, before aliasing.
 * ``single_file_check``: the monitoring source must be exactly one file.
@@ -88,7 +88,8 @@ def read_canonical(spark: SparkSession, path: str, keep_extra: list[str] | None
     for files, schema in file_layouts(spark, path, **options):
         df = spark.read.schema(schema).parquet(*files)
         try:
-            parts.append(canonical_columns(_with_file_columns(df, df.columns), aliases, required,
+            merged = one_variant_per_file(_with_file_columns(df, df.columns), aliases, required)
+            parts.append(canonical_columns(merged, aliases, required,
                                            keep_extra=list(dict.fromkeys(["source_file", *(keep_extra or [])]))))
         except ValueError as ex:
             raise ValueError(f"{ex} in {len(files)} files, such as {files[:3]}") from None
@@ -130,25 +131,44 @@ def row_key():
 
 def canonical_columns(df: DataFrame, aliases: dict = COLUMN_ALIASES, required: list[str] = REQUIRED_COLUMNS,
                       keep_extra: list[str] | None = None) -> DataFrame:
-    """Rename each canonical column's variants, then project the required
-    columns (plus ``keep_extra``).  Where several variants are there (files of
-    different layouts read together) a row takes the first that has a value;
-    a column without any variant raises."""
-    present = {f.name: f.dataType for f in df.schema.fields}
+    """Rename the first present variant of each canonical column, then project
+    the required columns (plus ``keep_extra``); a column without any variant
+    raises."""
+    present = set(df.columns)
     cols = []
     for canon in required:
         found = [v for v in aliases.get(canon, [canon]) if v in present]
         if not found:
             raise ValueError(f"no column for {canon!r} (looked for {aliases.get(canon, [canon])})")
-        kinds = {present[v] for v in found}
+        cols.append(F.col(f"`{found[0]}`").alias(canon))
+    return df.select(*[F.col(c) for c in (keep_extra or []) if c in present], *cols)
+
+
+def one_variant_per_file(df: DataFrame, aliases: dict = COLUMN_ALIASES, required: list[str] = REQUIRED_COLUMNS,
+                         file_col: str = "source_file") -> DataFrame:
+    """Files of several layouts read with merged columns: where a canonical
+    column has several variants, each file's first one with a value goes under
+    the canonical name's first variant (numbers as doubles, times as text, if
+    the variants' types differ).  One aggregation with a row per file."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    several = {c: found for c in required if len(found := [v for v in aliases.get(c, [c]) if v in types]) > 1}
+    if not several:
+        return df
+    pick = {c: F.coalesce(*[F.when(F.count(f"`{v}`") > 0, F.lit(i)) for i, v in enumerate(found)], F.lit(0)).alias(f"_ix_{c}")
+            for c, found in several.items()}
+    per = df.groupBy(F.col(file_col).alias("_ix_file")).agg(*pick.values())
+    out = df.join(per, F.col(file_col) == F.col("_ix_file"))
+    values = {}
+    for c, found in several.items():
+        kinds = {types[v] for v in found}
         if len(kinds) == 1:
             parts = [F.col(f"`{v}`") for v in found]
         elif any(isinstance(k, T.NumericType) for k in kinds):
             parts = [F.expr(f"try_cast(`{v}` AS double)") for v in found]
         else:
             parts = [F.col(f"`{v}`").cast("string") for v in found]
-        cols.append((F.coalesce(*parts) if len(parts) > 1 else parts[0]).alias(canon))
-    return df.select(*[F.col(c) for c in (keep_extra or []) if c in present], *cols)
+        values[found[0]] = F.coalesce(*[F.when(F.col(f"_ix_{c}") == i, x) for i, x in enumerate(parts)])
+    return out.withColumns(values).drop("_ix_file", *[f"_ix_{c}" for c in several])
 
 
 def _kind(t: T.DataType) -> str:
@@ -163,16 +183,24 @@ def _kind(t: T.DataType) -> str:
 
 def schema_findings(spark: SparkSession, df: DataFrame, numeric: list[str] = NUMERIC_COLUMNS,
                     strings: list[str] = STRING_COLUMNS, source: str = "input") -> DataFrame:
-    """``(source, column, expected, actual, present, type_ok, status)``; a
-    timestamp counts as a valid datetime column.  Warnings only: callers decide."""
+    """``(source, column, expected, actual, values, present, type_ok, status)``,
+    one aggregation over the rows: ``values`` counts the rows with a value, and
+    a column is present if the frame has it and any row has a value of it (or
+    there are no rows).  A timestamp counts as a valid datetime column.
+    Warnings only: callers decide."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    rows = []
-    for c, exp in [(c, "numeric") for c in numeric] + [(c, "string") for c in strings]:
+    expected = [(c, "numeric") for c in numeric] + [(c, "string") for c in strings]
+    agg = df.agg(F.count(F.lit(1)).alias("_rows"), *[(F.count(F.col(f"`{c}`")) if c in types else F.lit(0).cast("long")).alias(f"_n{i}")
+                                                     for i, (c, _) in enumerate(expected)])
+    items = []
+    for i, (c, exp) in enumerate(expected):
         act = _kind(types[c]) if c in types else None
         ok = act == exp or (exp == "string" and act == "timestamp")
-        rows.append((source, c, exp, act, c in types, bool(ok), "ok" if ok else "warning"))
-    return spark.createDataFrame(rows, "source string, column string, expected string, actual string, "
-                                       "present boolean, type_ok boolean, status string")
+        present = (F.lit(c in types)) & ((F.col(f"_n{i}") > 0) | (F.col("_rows") == 0))
+        items.append(F.struct(F.lit(source).alias("source"), F.lit(c).alias("column"), F.lit(exp).alias("expected"),
+                              F.lit(act).cast("string").alias("actual"), F.col(f"_n{i}").alias("values"), present.alias("present"),
+                              F.lit(bool(ok)).alias("type_ok"), F.when(present & F.lit(bool(ok)), "ok").otherwise("warning").alias("status")))
+    return agg.select(F.inline(F.array(*items)))
 
 
 def single_file_check(df: DataFrame, file_col: str = "source_file") -> DataFrame:

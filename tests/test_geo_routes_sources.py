@@ -80,6 +80,14 @@ def test_mixed_layouts_lose_no_row(spark, tmp_path):
     assert {r["month"]: (r["Fare_Amt"], r["Passenger_Count"]) for r in got} == {
         "2009-01": (5.0, 1.0), "2009-02": (7.0, 1.0), "2009-03": (9.0, 2.0)}
     assert all(r["Trip_Pickup_DateTime"] is not None and r["Start_Lon"] is not None for r in got)
+    mixed = tmp_path / "merging"                                     # other names, same types: one merged read
+    mixed.mkdir()
+    pd.DataFrame(new).to_parquet(mixed / "yellow_tripdata_2009-02.parquet", index=False, coerce_timestamps="us")
+    other = {k.replace("fare_amount", "fare").replace("passenger_count", "passengers"): v for k, v in new.items()}
+    pd.DataFrame(other).assign(fare=11.0).to_parquet(mixed / "yellow_tripdata_2009-05.parquet", index=False, coerce_timestamps="us")
+    assert len(files.file_layouts(spark, str(mixed))) == 1
+    got = files.read_canonical(spark, str(mixed), keep_extra=["month"]).collect()
+    assert {r["month"]: (r["Fare_Amt"], r["Passenger_Count"]) for r in got} == {"2009-02": (7.0, 1.0), "2009-05": (11.0, 1.0)}
     del new["fare_amount"]
     pd.DataFrame(new).to_parquet(tmp_path / "yellow_tripdata_2009-04.parquet", index=False, coerce_timestamps="us")
     with pytest.raises(ValueError, match="2009-04"):
