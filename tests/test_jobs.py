@@ -24,9 +24,9 @@ def _shifted(raw, metres: float, month: str):
 def test_base_ct_cm(spark, tmp_path):
     root = str(tmp_path / "root")
     raw = load_monthly_trips(spark, SF001)
-    # the fare follows the distance, and the boosted learners are kept poor, so
-    # that the forest or the stack wins
-    raw = raw.withColumn("Fare_Amt", F.lit(2.5) + F.col("Trip_Distance") * 2)
+    # the fare follows the way between the ends, and the boosted learners are
+    # kept poor, so that the forest or the stack wins
+    raw = raw.withColumn("Fare_Amt", F.lit(2.5) + 100 * (F.abs(F.col("End_Lon") - F.col("Start_Lon")) + F.abs(F.col("End_Lat") - F.col("Start_Lat"))))
     poor = dict(maxIter=1, maxDepth=1, stepSize=0.01, seed=1)
     mp = ModelParams(gbt_a=poor, gbt_b=poor, forest=dict(numTrees=8, maxDepth=6, seed=1), oof_folds=2)
     base = jobs.run_base(spark, raw, root, mp)
