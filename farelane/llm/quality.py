@@ -148,6 +148,16 @@ def estimate_prior(pos_scores: np.ndarray, unl_scores: np.ndarray) -> float:
     return float(np.clip(((u + err) / np.maximum(p, 1e-9)).min(), 0.05, 0.99))
 
 
+def bounded_sample(docs: DataFrame, ids: DataFrame, key: str = "doc_id", max_rows: int = 20_000, seed: int = 3) -> DataFrame:
+    """The rows of ``docs`` whose key is among about ``max_rows`` of ``ids``,
+    chosen by a hash of the key.  Only keys are counted and sampled; the sample
+    is bounded by ``max_rows``, so it is broadcast and no text is shuffled."""
+    n = ids.count()
+    if n > max_rows:
+        ids = ids.filter(unit(F.xxhash64(F.lit(seed), quoted(key))) < max_rows / n)
+    return docs.join(F.broadcast(ids), key, "left_semi")
+
+
 def fit(positives: DataFrame, unlabelled: DataFrame, text: str = "text", max_rows: int = 20_000,
         epochs: int = 60, seed: int = 3) -> Network | None:
     """Fit on at most about ``max_rows`` rows of each set, chosen by a hash of

@@ -56,10 +56,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _read(spark, sf_dir, "labels").select("doc_id", "quality").filter("quality is not null and doc_id is not null")
-    learn = docs.filter(_fold(3) != 1)
+    learn = docs.filter(_fold(3) != 1).select("doc_id").distinct()
     good = learn.join(labels.filter("quality = 1").select("doc_id").distinct(), "doc_id", "left_semi")
     rest = learn.join(labels.select("doc_id").distinct(), "doc_id", "left_anti")
-    net = quality.fit(good, rest)
+    net = quality.fit(quality.bounded_sample(docs, good), quality.bounded_sample(docs, rest))
     held = F.coalesce(_fold(3) == 1, F.lit(False))
     return quality.scored(docs.select("doc_id", held.alias("held_out"), "text"), net).drop("text")
 

@@ -47,3 +47,11 @@ def test_features_are_finite():
     for t in (None, "", " ", "\n\n", "a", "\U0001f600" * 5, "\x00\ud800x", "word " * 10_000):
         x = quality.features(t)
         assert x.shape == (quality.N_FEATURES,) and np.isfinite(x).all()
+
+
+def test_bounded_sample(spark):
+    df = frames.docs(spark, [(i, f"t{i}") for i in range(3000)])
+    ids = df.filter("doc_id < 2000").select("doc_id")
+    some = quality.bounded_sample(df, ids, max_rows=300)
+    assert 220 < some.count() < 380 and some.agg({"doc_id": "max"}).first()[0] < 2000 and some.columns == df.columns
+    assert quality.bounded_sample(df, ids, max_rows=5000).count() == 2000
