@@ -9,11 +9,14 @@ import math
 import numpy as np
 import regex
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from farelane.session import materialize
+
 #: Words are maximal runs of letters and digits, lower-cased.
 WORD_SEPARATORS = r"[^\p{L}\p{N}]+"
 WORD = regex.compile(r"[\p{L}\p{N}]+")
@@ -52,6 +55,22 @@ def random_key(df: DataFrame, seed: int, *salts: Column) -> Column:
     return F.xxhash64(F.lit(seed), *hashable_columns(df), *salts)
 
 
+def told_apart(df: DataFrame) -> tuple[DataFrame, Column]:
+    """``df`` and a hash that tells its rows apart, even rows alike in every
+    column, and stays the same whenever it is evaluated: of the file and the
+    row's index in it.  A frame that doesn't read files directly is written
+    first (a number of the row in its task would change with the tasks)."""
+    try:
+        meta = df.metadataColumn("_metadata")
+        df.select(meta["row_index"])
+        file = meta["file_path"]
+    except AnalysisException:
+        df = materialize(df)
+        meta = df.metadataColumn("_metadata")
+        file = F.regexp_extract(meta["file_name"], r"part-(\d+)", 1)  # the rest of the name is new in each run
+    return df, F.xxhash64(file, meta["row_index"])
+
+
 def unit(key: Column) -> Column:
     """A hash as a number in [0, 1), in the order of its unsigned value."""
     return F.shiftrightunsigned(key, 11).cast("double") / F.lit(float(1 << 53))
@@ -62,7 +81,9 @@ def cells_for(rows: int, rows_per_cell: int) -> int:
 
 
 def ranked(df: DataFrame, groups: list[str], key: str, cells: int, out: str) -> DataFrame:
-    """Add ``out``, the rank from 0 of each row in its group by ``key``.
+    """Add ``out``, the rank from 0 of each row in its group by ``key``; group
+    columns must not be null (plain equality keeps the window's partitioning
+    for the join with the offsets, so rows are shuffled once).
 
     A window over the group alone would sort a hot group in one task.  The
     key's range is cut into ``cells`` equal parts; rows are ranked within
@@ -80,7 +101,7 @@ def ranked(df: DataFrame, groups: list[str], key: str, cells: int, out: str) ->
     inner = df.withColumn(r, F.row_number().over(Window.partitionBy(*by).orderBy(quoted(key))))
     cond = quoted(cell) == quoted(f"{off}c")
     for i, g in enumerate(groups):
-        cond = cond & quoted(g).eqNullSafe(quoted(f"{off}{i}"))
+        cond = cond & (quoted(g) == quoted(f"{off}{i}"))
     return (inner.join(counts, cond)
             .withColumn(out, (quoted(off) + quoted(r) - 1).cast("long"))
             .drop(cell, off, r, f"{off}c", *[f"{off}{i}" for i in range(len(groups))]))

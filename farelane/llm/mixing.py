@@ -23,8 +23,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelane.llm.common import cells_for, fresh, quoted, random_key, ranked
-from farelane.session import materialize
+from farelane.llm.common import cells_for, fresh, quoted, random_key, ranked, told_apart
 
 
 def edf_cycle(blocks: Mapping[int, int]) -> list[int]:
@@ -94,7 +93,8 @@ def mix(df: DataFrame, source: str = "source", weights: Mapping[str | None, floa
     spark = df.sparkSession
     key, sid, s2, rank = fresh(df, "key", "source_no", "source_name", "rank")
     phase, block, slot, brow, pos = fresh(df, "phase", "block", "slot", "block_row", "mix_position")
-    keyed = materialize(df.withColumn(key, random_key(df, seed, F.monotonically_increasing_id())))
+    rows, salt = told_apart(df)
+    keyed = rows.withColumn(key, random_key(df, seed, salt))
     found = keyed.groupBy(quoted(source)).agg(F.count(F.lit(1)).alias("n")).limit(max_sources + 1).collect()
     if len(found) > max_sources:
         raise ValueError(f"more than {max_sources} sources")

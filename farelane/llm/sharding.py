@@ -26,8 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from farelane.llm.common import cells_for, fresh, quoted, random_key, ranked, unit
-from farelane.session import materialize
+from farelane.llm.common import cells_for, fresh, quoted, random_key, ranked, told_apart, unit
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
@@ -80,11 +79,9 @@ def shuffle_to_shards(df: DataFrame, shards: int = 40, seed: int = 17, rows_per_
     spark = df.sparkSession
     k1, k2, k3, part, rank, bounds, mp, shard, slot = fresh(
         df, "key1", "key2", "key3", "partition", "rank", "bounds", "matrix_partition", "shard", "slot")
-    # the row number in its input partition tells equal rows apart; written
-    # out, so that a task that runs again can't change a row's keys
-    salt = F.monotonically_increasing_id()
-    keyed = materialize(df.withColumn(k1, random_key(df, seed, salt))
-                        .withColumns({k2: F.xxhash64(F.lit(2), k1), k3: F.xxhash64(F.lit(3), k1)}))
+    rows, salt = told_apart(df)
+    keyed = rows.withColumn(k1, random_key(df, seed, salt)).withColumns(
+        {k2: F.xxhash64(F.lit(2), k1), k3: F.xxhash64(F.lit(3), k1)})
     total = keyed.count()
     parts = cells_for(total, rows_per_partition)
     dealt = keyed.withColumn(part, F.least(F.floor(unit(quoted(k1)) * parts), F.lit(parts - 1)).cast("int"))
