@@ -1,53 +1,93 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Each source is cut into blocks of rows.  In a cycle of L slots a source with m
-blocks owes block i between its release floor(i L / m) and its deadline
-ceil((i + 1) L / m); earliest deadline first over the released blocks meets
-every deadline, because the shares add up to one, so at every slot each source
-is less than one block from its share.
-
-Target weights are rounded to m of ``period`` slots.  The cycle repeats while
-every source has its m blocks left; then one shorter cycle deals the last
-blocks of the source that runs out, it leaves, and the weights of the others
-are scaled up for the next phase.  All rows are kept.  Only row counts per
-source come to the driver; the schedule is a table of at most
-2 x max_sources x period rows, and each block finds its slot by a join.
+Each source is cut into blocks of rows.  In the ideal mix all sources that last
+are dealt at once, each at the rate of its weight among them; one that runs out
+leaves, and the rates of the others are scaled up (the next phase).  A block
+owes its slot between the floor of the time its ideal dealing begins and the
+ceiling of the time it ends; earliest deadline first over the released blocks
+meets every deadline, because the rates add up to one, so at every slot of
+every phase each source is less than one block from its exact share.
+
+Weights are not rounded and no cycle is repeated: the times come from
+i / weight and (i + 1) / weight and the sums over the sources that have run
+out.  All rows are kept.  The row count of each source comes to the driver,
+which deals the slots one by one (a block of ``block_rows`` rows each) and
+hands them on in parts of ``SLOTS``; each block finds its slot by a join.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Mapping
+from bisect import bisect_right
+from collections.abc import Iterator, Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelane.llm.common import cells_for, fresh, quoted, random_key, ranked, told_apart
-
-
-def edf_cycle(blocks: Mapping[int, int]) -> list[int]:
-    """The source of each slot of one cycle; ``blocks``: source -> blocks in
-    the cycle.  Ties of deadlines go to the smaller source number."""
-    length = sum(blocks.values())
-    waiting = [(0, s, 0) for s, m in blocks.items() if m]  # (release, source, block)
+from farelane.session import materialize
+
+#: Slots that are dealt, and handed to Spark, at once.
+SLOTS = 500_000
+#: Sources, and blocks, up to which their table is broadcast (some 50 bytes a row).
+BROADCAST_ROWS = 1_000_000
+
+
+class Ideal:
+    """The ideal mix: ``blocks`` (positive) and ``weights`` by source.  Its
+    clock runs so that every source that lasts deals its weight in a unit."""
+
+    def __init__(self, blocks: Mapping[int, int], weights: Mapping[int, float]):
+        order = sorted(blocks, key=lambda s: blocks[s] / weights[s])
+        self.ends = [blocks[s] / weights[s] for s in order]
+        self.gone = [0, *np.cumsum([blocks[s] for s in order]).tolist()]
+        self.rate = [*np.cumsum([weights[s] for s in reversed(order)])[::-1].tolist(), 0.0]
+
+    def slots(self, clock: float) -> float:
+        """Blocks dealt by ``clock``; a whole number if only rounding parts it from one."""
+        k = bisect_right(self.ends, clock)
+        x = self.gone[k] + self.rate[k] * clock
+        near = round(x)
+        return float(near) if abs(x - near) <= max(1e-9, 1e-12 * x) else x
+
+    def starts(self) -> list[int]:
+        """First slot of each phase."""
+        return sorted({0, *(math.ceil(self.slots(e)) for e in set(self.ends))} - {self.gone[-1]})
+
+
+def dealt(blocks: Mapping[int, int], weights: Mapping[int, float]) -> Iterator[tuple[int, int]]:
+    """(source, its block) of each slot.  Ties of deadlines go to the smaller
+    source number."""
+    blocks = {s: m for s, m in blocks.items() if m > 0}
+    ideal = Ideal(blocks, weights)
+    waiting = [(0, s, 0) for s in blocks]  # (release, source, block)
     heapq.heapify(waiting)
-    ready: list[tuple[int, int, int]] = []
-    out = []
-    for slot in range(length):
-        while waiting and waiting[0][0] <= slot:
+    ready: list[tuple[int, int, int, int]] = []  # (deadline, source, block, release of the next)
+    for slot in range(sum(blocks.values())):
+        while waiting and (waiting[0][0] <= slot or not ready):
             _, s, i = heapq.heappop(waiting)
-            heapq.heappush(ready, (-((-(i + 1) * length) // blocks[s]), s, i))
-        _, s, i = heapq.heappop(ready)
-        out.append(s)
+            end = ideal.slots((i + 1) / weights[s])
+            heapq.heappush(ready, (math.ceil(end), s, i, math.floor(end)))
+        _, s, i, release = heapq.heappop(ready)
+        yield s, i
         if i + 1 < blocks[s]:
-            heapq.heappush(waiting, ((i + 1) * length // blocks[s], s, i + 1))
-    return out
+            heapq.heappush(waiting, (release, s, i + 1))
+
+
+def edf_cycle(blocks: Mapping[int, int]) -> list[int]:
+    """The source of each slot if the weights are the blocks, so that all
+    sources end together."""
+    return [s for s, _ in dealt(blocks, blocks)]
 
 
 def shares(weights: Mapping[int, float], period: int) -> dict[int, int]:
     """Weights as whole slots of a cycle of ``period``: largest remainders, one
-    slot at least each."""
+    slot at least each.  Only for a look at the weights: the schedule takes
+    them exactly."""
     total = sum(weights.values())
     exact = {s: w / total * period for s, w in weights.items()}
     out = {s: max(1, math.floor(x)) for s, x in exact.items()}
@@ -58,26 +98,41 @@ def shares(weights: Mapping[int, float], period: int) -> dict[int, int]:
     return out
 
 
-def phases(blocks: Mapping[int, int], weights: Mapping[int, float], period: int) -> list[dict]:
-    """Phases of the schedule: first slot, cycle length, blocks per source and
-    cycle (``share``), first block of each source, and the slots of a cycle."""
-    left, done, start, out = {s: n for s, n in blocks.items() if n > 0}, dict.fromkeys(blocks, 0), 0, []
-    while left:
-        share = shares({s: weights[s] for s in left}, max(period, len(left)))
-        cycles = min(left[s] // m for s, m in share.items())
-        if cycles == 0:
-            share, cycles = {s: min(left[s], m) for s, m in share.items()}, 1
-        cycle = edf_cycle(share)
-        out.append({"start": start, "length": len(cycle), "share": share, "cycle": cycle,
-                    "first": {s: done[s] for s in share}})
-        start += cycles * len(cycle)
-        for s, m in share.items():
-            done[s] += cycles * m
-            left[s] -= cycles * m
-        left = {s: n for s, n in left.items() if n > 0}
+def phases(blocks: Mapping[int, int], weights: Mapping[int, float], period: int = 1000) -> list[dict]:
+    """What the phases of the schedule deal: first slot, length, blocks per
+    source (``share``) and first block of each source.  The weights count
+    exactly, whatever the ``period``."""
+    blocks = {s: n for s, n in blocks.items() if n > 0}
+    if not blocks:
+        return []
+    starts = Ideal(blocks, weights).starts()
+    out, done = [], dict.fromkeys(blocks, 0)
+    for slot, (s, i) in enumerate(dealt(blocks, weights)):
+        if len(out) < len(starts) and slot == starts[len(out)]:
+            out.append({"start": slot, "length": 0, "share": {}, "first": {x: done[x] for x in blocks if done[x] < blocks[x]}})
+        p = out[-1]
+        p["length"] += 1
+        p["share"][s] = p["share"].get(s, 0) + 1
+        done[s] = i + 1
     return out
 
 
+def _schedule(spark: SparkSession, blocks: Mapping[int, int], weights: Mapping[int, float]) -> DataFrame:
+    """(t_source, t_block, t_phase, slot_) of every block."""
+    schema = "t_source int, t_block long, t_phase int, slot_ long"
+    total, deal, parts = sum(blocks.values()), dealt(blocks, weights), []
+    starts = np.array(Ideal(blocks, weights).starts())
+    for first in range(0, total, SLOTS):
+        n = min(SLOTS, total - first)
+        got = np.fromiter((x for _ in range(n) for x in next(deal)), np.int64, 2 * n).reshape(n, 2)
+        slot = np.arange(first, first + n)
+        part = spark.createDataFrame(pd.DataFrame({
+            "t_source": got[:, 0].astype(np.int32), "t_block": got[:, 1],
+            "t_phase": (np.searchsorted(starts, slot, side="right") - 1).astype(np.int32), "slot_": slot}), schema)
+        parts.append(materialize(part) if total > SLOTS else part)
+    return reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], schema)
+
+
 def mix(df: DataFrame, source: str = "source", weights: Mapping[str | None, float] | None = None, power: float = 0.5,
         block_rows: int = 64, period: int = 1000, max_sources: int = 200, seed: int = 23,
         rows_per_cell: int = 50_000) -> DataFrame:
@@ -86,7 +141,8 @@ def mix(df: DataFrame, source: str = "source", weights: Mapping[str | None, floa
     slot x block_rows + block_row: the order of the mix).
 
     ``weights``: target weight of each source, positive; without it a source
-    of n rows weighs n ** power.  Null is a source like any other.  A source
+    of n rows weighs n ** power.  Weights count exactly, so ``period`` has no
+    effect.  Null is a source like any other.  A source
     that ``weights`` lacks raises, as do more than ``max_sources`` sources.
     Every row is kept; rows of a source come in a random order.  Names get
     ``_`` appended if ``df`` has them.  An empty table gives an empty one."""
@@ -104,41 +160,23 @@ def mix(df: DataFrame, source: str = "source", weights: Mapping[str | None, floa
     if lacking := [s for s in counts if not weights.get(s, 0) > 0]:
         raise ValueError(f"no positive weight for sources {lacking[:5]}")
     names = list(counts)
-    plan = phases({i: -(-counts[s] // block_rows) for i, s in enumerate(names)},
-                  {i: weights[s] for i, s in enumerate(names)}, period)
+    blocks = {i: -(-counts[s] // block_rows) for i, s in enumerate(names)}
+    slots = _schedule(spark, blocks, {i: float(weights[s]) for i, s in enumerate(names)})
     kind = df.schema[source].dataType
-    sources = spark.createDataFrame(
-        [(i, s, [p["first"].get(i, -1) for p in plan], [p["share"].get(i, 0) for p in plan]) for i, s in enumerate(names)],
-        f"{sid} int, {s2} {kind.simpleString()}, firsts array<long>, share array<long>")
-    slots = []
-    for f, p in enumerate(plan):
-        nth: dict[int, int] = {}
-        for at, s in enumerate(p["cycle"]):
-            slots.append((s, f, nth.get(s, 0), at))
-            nth[s] = nth.get(s, 0) + 1
-    table = spark.createDataFrame(slots, "t_source int, t_phase int, t_nth long, t_at long")
-    spans = spark.createDataFrame([(f, p["start"], p["length"]) for f, p in enumerate(plan)],
-                                  "p_phase int, p_start long, p_length long")
+    sources = spark.createDataFrame(list(enumerate(names)), f"{sid} int, {s2} {kind.simpleString()}")
+    if len(names) <= BROADCAST_ROWS:
+        sources = F.broadcast(sources)
+    if sum(blocks.values()) <= BROADCAST_ROWS:
+        slots = F.broadcast(slots)
     total = sum(counts.values())
     base = keyed.select(F.struct(*[quoted(c) for c in df.columns]).alias("row_"), quoted(source).alias("source_"), quoted(key).alias("key_"))
-    base = (base.join(F.broadcast(sources.select(sid, s2)), F.col("source_").eqNullSafe(quoted(s2)))
+    base = (base.join(sources, F.col("source_").eqNullSafe(quoted(s2)))
             .select("row_", "key_", quoted(sid).alias("sid_")))
     done = ranked(base, ["sid_"], "key_", cells_for(total, rows_per_cell), "rank_")
-    # the three tables are bounded by max_sources and period
-    done = done.join(F.broadcast(sources.select(quoted(sid), "firsts", "share")), F.col("sid_") == quoted(sid))
-    done = done.withColumn("b_", F.floor(F.col("rank_") / block_rows))
-    # the last phase in which the source takes part and has begun at this block
-    done = done.withColumn("f_", F.array_max(F.filter(
-        F.transform("firsts", lambda x, i: F.when((x >= 0) & (x <= F.col("b_")), i)), lambda i: i.isNotNull())))
-    done = done.withColumns({"first_": F.get("firsts", "f_"), "share_": F.get("share", "f_")})
-    done = done.withColumns({"cycle_": F.floor((F.col("b_") - F.col("first_")) / F.col("share_")),
-                             "nth_": (F.col("b_") - F.col("first_")) % F.col("share_")})
-    done = (done.join(F.broadcast(table), (F.col("sid_") == F.col("t_source")) & (F.col("f_") == F.col("t_phase"))
-                      & (F.col("nth_") == F.col("t_nth")))
-            .join(F.broadcast(spans), F.col("f_") == F.col("p_phase"))
-            .withColumn("slot_", F.col("p_start") + F.col("cycle_") * F.col("p_length") + F.col("t_at"))
-            .withColumn("in_", F.col("rank_") % block_rows))
-    return done.select("row_.*", F.col("f_").cast("int").alias(phase), F.col("b_").cast("long").alias(block),
+    done = done.withColumns({"b_": F.floor(F.col("rank_") / block_rows), "in_": F.col("rank_") % block_rows})
+    # a block has block_rows rows at most, so this join has no hot key
+    done = done.join(slots, (F.col("sid_") == F.col("t_source")) & (F.col("b_") == F.col("t_block")))
+    return done.select("row_.*", F.col("t_phase").cast("int").alias(phase), F.col("b_").cast("long").alias(block),
                        F.col("slot_").cast("long").alias(slot), F.col("in_").cast("int").alias(brow),
                        (F.col("slot_") * block_rows + F.col("in_")).cast("long").alias(pos))
 

@@ -82,3 +82,43 @@ def test_errors_and_empty(spark):
     with pytest.raises(ValueError):
         mixing.mix(df, max_sources=1)
     assert mixing.mix(frames.docs(spark, [])).count() == 0
+
+
+def _deviation(blocks, weights):
+    """The largest distance, in blocks, of any source from its exact share at
+    any slot: in each phase the sources that last deal by their weights."""
+    ideal, gone, at = dict.fromkeys(blocks, 0.0), set(), 0.0
+    got, worst = Counter(), 0.0
+    for t, (s, _) in enumerate(mixing.dealt(blocks, weights), 1):
+        got[s] += 1
+        while at < t - 1e-9:
+            last = [x for x in blocks if x not in gone]
+            rate = sum(weights[x] for x in last)
+            first = min(last, key=lambda x: (blocks[x] - ideal[x]) / weights[x])
+            step = min(t - at, (blocks[first] - ideal[first]) / weights[first] * rate)
+            for x in last:
+                ideal[x] += step * weights[x] / rate
+            at += step
+            gone |= {x for x in last if blocks[x] - ideal[x] < 1e-7}
+        worst = max(worst, max(abs(got[x] - ideal[x]) for x in blocks))
+    assert got == Counter(blocks)
+    return worst
+
+
+def test_sources_shorter_than_a_cycle_keep_the_weights(spark):
+    blocks = {0: 230} | {i: 25 for i in range(1, 20)}
+    weights = {s: n ** 0.5 for s, n in blocks.items()}
+    assert _deviation(blocks, weights) < 1 + 1e-6
+    for case in ({0: 1, 1: 70, 2: 9, 3: 9, 4: 33}, {0: 400, 1: 3, 2: 1, 3: 1}):
+        for w in ({s: n ** 0.5 for s, n in case.items()}, {s: 1.0 + s / 7 for s in case}):
+            assert _deviation(case, w) < 1 + 1e-6
+    rows = [(i, "t", "hot" if i % 3 == 0 else f"s{i % 4}") for i in range(1200)]
+    got = mixing.mix(frames.docs(spark, rows), block_rows=4).collect()
+    dealt = {r["slot"]: r["source"] for r in got}
+    n = {s: -(-c // 4) for s, c in Counter(r["source"] for r in got).items()}
+    w = {s: c ** 0.5 for s, c in Counter(r["source"] for r in got).items()}
+    names, first = sorted(n), max(r["slot"] for r in got if r["phase"] == 0)
+    assert [names[s] for s, _ in mixing.dealt({i: n[s] for i, s in enumerate(names)}, {i: w[s] for i, s in enumerate(names)})] == [dealt[t] for t in range(len(dealt))]
+    for t in range(1, first + 1):
+        hot = sum(dealt[x] == "hot" for x in range(t))
+        assert abs(hot - t * w["hot"] / sum(w.values())) < 1 + 1e-6
