@@ -122,3 +122,18 @@ def test_sources_shorter_than_a_cycle_keep_the_weights(spark):
     for t in range(1, first + 1):
         hot = sum(dealt[x] == "hot" for x in range(t))
         assert abs(hot - t * w["hot"] / sum(w.values())) < 1 + 1e-6
+
+
+def test_exact_weights_over_many_cycles():
+    # equal sources whose share is no whole number of 1000 slots, and one far under a slot
+    blocks = {0: 20_000} | {i: 2100 for i in range(1, 20)} | {20: 5}
+    weights = {s: n ** 0.5 for s, n in blocks.items()} | {20: 0.01}
+    plan = mixing.phases(blocks, weights, 1000)
+    assert [sum(p["share"].get(s, 0) for p in plan) for s in blocks] == list(blocks.values())
+    total, got = sum(weights.values()), Counter()
+    assert plan[0]["length"] > 40_000
+    for t, (s, _) in enumerate(mixing.dealt(blocks, weights), 1):
+        if t >= plan[0]["length"]:  # all sources last until here
+            break
+        got[s] += 1
+        assert all(abs(got[x] - t * w / total) < 1 + 1e-6 for x, w in weights.items())
