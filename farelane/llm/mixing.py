@@ -134,7 +134,7 @@ def _schedule(spark: SparkSession, blocks: Mapping[int, int], weights: Mapping[i
 
 
 def mix(df: DataFrame, source: str = "source", weights: Mapping[str | None, float] | None = None, power: float = 0.5,
-        block_rows: int = 64, period: int = 1000, max_sources: int = 200, seed: int = 23,
+        block_rows: int = 64, period: int = 1000, max_sources: int | None = None, seed: int = 23,
         rows_per_cell: int = 50_000) -> DataFrame:
     """``df`` with ``phase`` (int), ``block`` (long, of the source), ``slot``
     (long, of the schedule), ``block_row`` (int) and ``mix_position`` (long,
@@ -143,7 +143,8 @@ def mix(df: DataFrame, source: str = "source", weights: Mapping[str | None, floa
     ``weights``: target weight of each source, positive; without it a source
     of n rows weighs n ** power.  Weights count exactly, so ``period`` has no
     effect.  Null is a source like any other.  A source
-    that ``weights`` lacks raises, as do more than ``max_sources`` sources.
+    that ``weights`` lacks raises; any number of sources is mixed, unless
+    ``max_sources`` is given, which more sources than that raise.
     Every row is kept; rows of a source come in a random order.  Names get
     ``_`` appended if ``df`` has them.  An empty table gives an empty one."""
     spark = df.sparkSession
@@ -151,8 +152,9 @@ def mix(df: DataFrame, source: str = "source", weights: Mapping[str | None, floa
     phase, block, slot, brow, pos = fresh(df, "phase", "block", "slot", "block_row", "mix_position")
     rows, salt = told_apart(df)
     keyed = rows.withColumn(key, random_key(df, seed, salt))
-    found = keyed.groupBy(quoted(source)).agg(F.count(F.lit(1)).alias("n")).limit(max_sources + 1).collect()
-    if len(found) > max_sources:
+    found = keyed.groupBy(quoted(source)).agg(F.count(F.lit(1)).alias("n"))
+    found = (found if max_sources is None else found.limit(max_sources + 1)).collect()
+    if max_sources is not None and len(found) > max_sources:
         raise ValueError(f"more than {max_sources} sources")
     counts = dict(sorted(((r[0], r[1]) for r in found), key=lambda x: (x[0] is None, str(x[0]))))
     if weights is None:

@@ -137,3 +137,16 @@ def test_exact_weights_over_many_cycles():
             break
         got[s] += 1
         assert all(abs(got[x] - t * w / total) < 1 + 1e-6 for x, w in weights.items())
+
+
+def test_any_number_of_sources(spark, monkeypatch):
+    rows = [(i, f"t{i}", "hot" if i < 300 else f"s{i % 450}") for i in range(1000)]
+    df = frames.docs(spark, rows)
+    small = mixing.mix(df, block_rows=4).collect()
+    n = Counter(r[2] for r in rows)
+    _check(small, {i: n[s] ** 0.5 for i, s in enumerate(sorted(n))}, sorted(n), 4, 1000)
+    assert sorted(r["doc_id"] for r in small) == list(range(1000)) and len(n) > 400
+    # without broadcasts, the schedule in parts
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(mixing, "SLOTS", 150)
+    assert sorted(mixing.mix(df, block_rows=4).collect(), key=str) == sorted(small, key=str)
