@@ -58,11 +58,13 @@ def size_partitions(sample: int = 16, threshold: float = THRESHOLD, miss: float
 
 
 def _item_shingles(items: DataFrame, item_id: str, text: str) -> DataFrame:
-    """(item, shingle, n, nth): distinct shingles, nth by hash within the item."""
-    s = items.select(quoted(item_id).alias("item"), words(quoted(text)).alias("w")).filter(F.col("w").isNotNull())
-    s = s.select("item", F.explode(shingle_hashes(F.col("w"), SHINGLE)).alias("shingle")).distinct()
-    by = Window.partitionBy("item")
-    return s.select("item", "shingle", F.count(F.lit(1)).over(by).alias("n"),
+    """(item, item_hash, shingle, n, nth): distinct shingles, nth by hash within
+    the item, which is an id and a text."""
+    s = items.select(quoted(item_id).alias("item"), F.xxhash64(quoted(text)).alias("item_hash"),
+                     words(quoted(text)).alias("w")).filter(F.col("w").isNotNull())
+    s = s.select("item", "item_hash", F.explode(shingle_hashes(F.col("w"), SHINGLE)).alias("shingle")).distinct()
+    by = Window.partitionBy("item", "item_hash")
+    return s.select("item", "item_hash", "shingle", F.count(F.lit(1)).over(by).alias("n"),
                     F.row_number().over(by.orderBy(F.xxhash64(F.lit(11), "shingle"), "shingle")).alias("nth"))
 
 
@@ -74,32 +76,35 @@ def contained_items(docs: DataFrame, items: DataFrame, text: str = "text", doc_i
     ``matched``, ``item_shingles``, ``containment``.
 
     Null and wordless texts and items match nothing; an item of fewer than five
-    words matches only a document of the same words.  Items of the same id are
-    one item with the shingles of all its texts.  Rows alike in doc_id and text give one
-    row.  Empty tables give an empty one."""
+    words matches only a document of the same words.  Texts of the same id, or of
+    a null id, are items of their own; a document gives one row per id, that of
+    the text contained most.  Rows alike in doc_id and text give one row.  Empty
+    tables give an empty one."""
     spark = docs.sparkSession
     grams = materialize(_item_shingles(items, item_id, item_text))
     plan = small_table(spark, size_partitions(sample, threshold, miss), "size_class int, sample int, hits int")
     sized = grams.withColumn("size_class", F.floor(F.log2(F.col("n").cast("double"))).cast("int")).join(
         F.broadcast(plan), "size_class")
-    sketch = sized.filter(F.col("nth") <= F.col("sample")).select("item", "shingle", "hits")
+    sketch = sized.filter(F.col("nth") <= F.col("sample")).select("item", "item_hash", "shingle", "hits")
     src = docs.select(quoted(doc_id).alias("doc"), F.xxhash64(quoted(text)).alias("text_hash"),
                       words(quoted(text)).alias("w")).filter(F.col("w").isNotNull())
     hits = (src.select("doc", "text_hash", F.explode(shingle_hashes(F.col("w"), SHINGLE)).alias("shingle"))
             .join(broadcast_if_small(sketch), "shingle")
-            .groupBy("doc", "text_hash", "item", "hits").agg(F.count_distinct("shingle").alias("found")))
-    near = materialize(hits.filter(F.col("found") >= F.col("hits")).select("doc", "text_hash", "item"))
+            .groupBy("doc", "text_hash", "item", "item_hash", "hits").agg(F.count_distinct("shingle").alias("found")))
+    near = materialize(hits.filter(F.col("found") >= F.col("hits")).select("doc", "text_hash", "item", "item_hash"))
     ids = near.select(F.col("doc").alias("d2"), F.col("text_hash").alias("h2")).distinct()
     again = src.join(broadcast_if_small(ids), src["doc"].eqNullSafe(F.col("d2")) & (F.col("text_hash") == F.col("h2")), "left_semi")
     whole = (again.select("doc", "text_hash", F.explode(F.array_distinct(shingle_hashes(F.col("w"), SHINGLE))).alias("shingle"))
-             .join(broadcast_if_small(grams.select("item", "shingle", "n")), "shingle")
-             .groupBy("doc", "text_hash", "item", "n").agg(F.count_distinct("shingle").alias("matched")))
-    cand = near.select(F.col("doc").alias("d2"), F.col("text_hash").alias("h2"), F.col("item").alias("i2"))
-    return (whole.filter(F.col("matched") >= F.col("n") * threshold - 1e-9)
-            .join(cand, whole["doc"].eqNullSafe(F.col("d2")) & (F.col("text_hash") == F.col("h2"))
-                  & (F.col("item").eqNullSafe(F.col("i2"))), "left_semi")
-            .select(F.col("doc").alias("doc_id"), "text_hash", F.col("item").alias("item_id"), "matched",
-                    F.col("n").alias("item_shingles"), (F.col("matched") / F.col("n")).alias("containment")))
+             .join(broadcast_if_small(grams.select("item", "item_hash", "shingle", "n")), "shingle")
+             .groupBy("doc", "text_hash", "item", "item_hash", "n").agg(F.count_distinct("shingle").alias("matched")))
+    cand = near.select(F.col("doc").alias("d2"), F.col("text_hash").alias("h2"), F.col("item").alias("i2"), F.col("item_hash").alias("ih2"))
+    found = (whole.filter(F.col("matched") >= F.col("n") * threshold - 1e-9)
+             .join(cand, whole["doc"].eqNullSafe(F.col("d2")) & (F.col("text_hash") == F.col("h2"))
+                   & F.col("item").eqNullSafe(F.col("i2")) & (F.col("item_hash") == F.col("ih2")), "left_semi"))
+    best = F.max(F.struct((F.col("matched") / F.col("n")).alias("containment"), "matched", "n")).alias("best")
+    return (found.groupBy("doc", "text_hash", "item").agg(best)
+            .select(F.col("doc").alias("doc_id"), "text_hash", F.col("item").alias("item_id"), F.col("best.matched").alias("matched"),
+                    F.col("best.n").alias("item_shingles"), F.col("best.containment").alias("containment")))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:

@@ -63,6 +63,21 @@ def test_odd_rows(spark):
     assert decontam.decontaminate(odd, bench.filter("false")).count() == len(frames.odd_rows())
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_texts_of_one_id_are_items_of_their_own(spark, small, monkeypatch):
+    if not small:
+        monkeypatch.setattr(decontam, "broadcast_if_small", lambda df: df)
+    rng = np.random.default_rng(8)
+    a, b, c, d = (frames.words(rng, n) for n in (30, 40, 25, 35))
+    bench = spark.createDataFrame([(1, a), (1, b), (None, c), (None, d), (2, None)], "item_id long, text string")
+    docs = [(1, a), (2, frames.words(rng, 90) + " " + b), (3, c), (4, d + " " + frames.words(rng, 9)),
+            (5, a + " " + " ".join(b.split()[:36])), (6, frames.words(rng, 60))]
+    got = decontam.contained_items(frames.docs(spark, docs), bench).collect()
+    assert sorted(((r["doc_id"], r["item_id"], r["matched"], r["item_shingles"]) for r in got), key=str) == [
+        (1, 1, 26, 26), (2, 1, 36, 36), (3, None, 21, 21), (4, None, 31, 31), (5, 1, 26, 26)]
+    assert [r["doc_id"] for r in decontam.decontaminate(frames.docs(spark, docs), bench).collect()] == [6]
+
+
 def test_hits_keep_recall():
     rng = np.random.default_rng(0)
     for p in decontam.size_partitions():
