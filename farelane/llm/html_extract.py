@@ -4,7 +4,12 @@ A page is cut into blocks at block-level tags.  The first pass decides blocks
 by where they stand (menus, headers, footers, sidebars, notices, adverts,
 forms, comments are out), by length, stop-word density and link density; short
 blocks and those between the limits stay open.  The second pass gives an open
-block the label of its nearest decided neighbours."""
+block the label of its nearest decided neighbours.
+
+A form, or an element marked by its name only, that holds the article or most
+of the page's text is its wrapper and takes nothing out.  Stop words count only
+on pages that are mostly in a language of theirs; elsewhere length and links
+decide.  Where no block is decided to be main text, the open ones are."""
 
 from __future__ import annotations
 
@@ -20,12 +25,14 @@ from pyspark.sql import types as T
 
 from farelane.llm.common import WORD, fresh, quoted
 
-#: Frequent function words of four languages.
-STOP_WORDS = frozenset(
-    "the of and to in is that it for was on are as with his they at be this have from or had by but not what all were we when your can said there an which their if do will how".split()
-    + "le la les de des du un une et est en que qui dans pour pas sur avec ce il elle au aux par plus ne se son sa ses ou mais nous vous leur cette sont".split()
-    + "der die das und ist in den von zu mit sich des auf für nicht ein eine als auch es an werden aus er hat dass sie nach bei einer um am im noch wie".split()
-    + "el los las y en un una que es no se con por para su al lo como más pero sus le ya este si porque esta entre cuando muy sin sobre también me hasta".split())
+#: Frequent function words by language.
+STOP_WORDS_BY_LANGUAGE = tuple(frozenset(x.split()) for x in (
+    "the of and to in is that it for was on are as with his they at be this have from or had by but not what all were we when your can said there an which their if do will how",
+    "le la les de des du un une et est en que qui dans pour pas sur avec ce il elle au aux par plus ne se son sa ses ou mais nous vous leur cette sont",
+    "der die das und ist in den von zu mit sich des auf für nicht ein eine als auch es an werden aus er hat dass sie nach bei einer um am im noch wie",
+    "el los las y en un una que es no se con por para su al lo como más pero sus le ya este si porque esta entre cuando muy sin sobre también me hasta",
+))
+STOP_WORDS = frozenset().union(*STOP_WORDS_BY_LANGUAGE)
 
 RAW = "script|style|textarea|title|xmp|noembed|noframes"
 TOKEN = regex.compile(
@@ -47,12 +54,20 @@ DROPPED_NAMES = frozenset(
     "notice notices alert popup modal overlay newsletter subscribe subscription signup login sidebar sidebars widget "
     "widgets menu menus nav navbar navigation breadcrumb breadcrumbs pagination pager footer masthead topbar toolbar "
     "comment comments disqus replies respond social share sharing related recommended skip disclaimer".split())
+#: Names that a wrapper of the article bears too: it holds most of the text then.
+WRAPPER_NAMES = frozenset(
+    "popup modal overlay alert notice notices promo promotion sponsor sponsored newsletter subscribe subscription signup "
+    "login widget widgets social share sharing related recommended skip disclaimer".split())
+#: Names of what may hold articles of its own.
+STRICT_NAMES = frozenset("comment comments disqus replies respond cookie cookies consent gdpr".split())
 HEADER_NAMES = frozenset(("header", "site-header", "page-header"))
 #: An element named so as a state of the page is not the thing itself.
 STATES = frozenset("has no with without is".split())
 WRAPPERS = frozenset(("html", "body", "main"))
 CONTENT_TAGS = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+#: Scripts without spaces: a letter says as much as three of others.
+DENSE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 LONG, SHORT_LINKS, LINKS, FEW_STOPS, MANY_STOPS = 70, 0.5, 0.33, 0.08, 0.2
 
 
@@ -64,6 +79,16 @@ class Block:
     dropped: bool
     heading: bool
     label: bool | None = field(default=None)  # True: main text
+    item: bool = False  # of a list
+    wrappers: tuple[int, ...] = ()  # elements that drop it unless they wrap the article
+
+
+@dataclass
+class Wrapper:
+    """A form, or an element whose names mark it."""
+    by_text: bool  # most of the text is enough to keep it
+    mains: int = 0
+    articles: int = 0
 
 
 def _names(value: str) -> set[str]:
@@ -76,8 +101,9 @@ def _names(value: str) -> set[str]:
 
 
 def _kind(tag: str, attrs: str, in_content: bool) -> str:
-    """"drop", "content" or "" for an opened element."""
-    if tag in DROPPED_TAGS:
+    """"drop", "named" or "wrap" (dropped unless it holds the article; or most
+    of the text), "content" or "" for an opened element."""
+    if tag in DROPPED_TAGS and tag not in ("form", "fieldset"):
         return "drop"
     if tag == "header" and not in_content:
         return "drop"
@@ -90,8 +116,13 @@ def _kind(tag: str, attrs: str, in_content: bool) -> str:
         if regex.search(r"display\s*:\s*none", found.get("style", ""), regex.I):
             return "drop"
         names = _names(found.get("class", "") + " " + found.get("id", ""))
-        if names & DROPPED_NAMES or "header" in names and not in_content:
+        marks = names & DROPPED_NAMES
+        if marks & STRICT_NAMES:
             return "drop"
+        if marks or "header" in names and not in_content:
+            return "wrap" if marks and marks <= WRAPPER_NAMES else "named"
+    if tag in ("form", "fieldset"):
+        return "wrap"
     if tag in CONTENT_TAGS or found.get("role", "").lower() == "main" or found.get("itemprop", "").lower() == "articlebody":
         return "content"
     return ""
@@ -102,23 +133,30 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, str]] = []
     parts: list[tuple[str, bool]] = []
-    count = {"drop": 0, "content": 0, "": 0}
-    link = heading = 0
+    count = {"drop": 0, "content": 0, "named": 0, "wrap": 0, "": 0}
+    wrappers: list[Wrapper] = []
+    around: list[int] = []  # open wrappers
+    link = heading = item = form = 0
 
     def flush() -> None:
         if parts:
             text = " ".join(htmllib.unescape("".join(p for p, _ in parts)).split())
             if text:
                 linked = len(" ".join(htmllib.unescape("".join(p for p, a in parts if a)).split()))
-                out.append(Block(text, linked, count["content"] > 0, count["drop"] > 0, heading > 0))
+                out.append(Block(text, linked, count["content"] > 0, count["drop"] > 0, heading > 0,
+                                 item=item > 0, wrappers=tuple(around)))
             parts.clear()
 
     def pop() -> None:
-        nonlocal link, heading
+        nonlocal link, heading, item, form
         tag, kind = stack.pop()
         count[kind] -= 1
+        if kind in ("named", "wrap"):
+            around.pop()
         link -= tag == "a"
         heading -= tag in HEADINGS
+        item -= tag == "li"
+        form -= tag == "form"
 
     at = 0
     for m in TOKEN.finditer(page):
@@ -166,23 +204,74 @@ def blocks(page: str) -> list[Block]:
         if tag in VOID or attrs.rstrip().endswith("/") and tag in ("path", "circle", "use"):
             continue
         kind = _kind(tag, attrs, count["content"] > 0)
+        if form and tag in ("label", "legend", "output"):
+            kind = "drop"
         if kind and not block:  # an inline advert or the like is a block of its own
             flush()
         stack.append((tag, kind))
+        if kind == "content" and not count["drop"]:
+            for w in around:
+                wrappers[w].mains += tag != "article"
+                wrappers[w].articles += tag == "article" and not count["content"]
         count[kind] += 1
+        if kind in ("named", "wrap"):
+            around.append(len(wrappers))
+            wrappers.append(Wrapper(kind == "wrap"))
         link += tag == "a"
         heading += tag in HEADINGS
+        item += tag == "li"
+        form += tag == "form"
     if at < len(page):
         rest = page[at:]
         cut = regex.search(r"<[a-zA-Z/!][^<>]*\Z", rest)  # a tag that the page's end cuts
         parts.append((rest[:cut.start()] if cut else rest, link > 0))
     flush()
+    _unwrap(out, wrappers)
     return out
 
 
+def _size(b: Block) -> int:
+    return len(b.text) + 2 * len(DENSE.findall(b.text))
+
+
+def _unwrap(found: list[Block], wrappers: list[Wrapper]) -> None:
+    """Drop the blocks of all wrappers but those that hold the article."""
+    if not wrappers:
+        return
+    some = [b for b in found if not b.dropped and b.links <= LINKS * len(b.text)]
+    free = any(b.content and not b.wrappers and _size(b) >= LONG for b in some)
+    if free:
+        some = [b for b in some if b.content]
+    sizes = [(_size(b), b.wrappers) for b in some]
+    if any(n >= LONG for n, _ in sizes):
+        sizes = [x for x in sizes if x[0] >= LONG]
+    own = [0] * len(wrappers)
+    for n, around in sizes:
+        for w in around:
+            own[w] += n
+    total = sum(n for n, _ in sizes)
+    kept = {i for i, w in enumerate(wrappers) if not free and own[i] and (w.mains or w.articles == 1)
+            or w.by_text and own[i] >= LONG and 2 * own[i] > total}
+    for b in found:
+        b.dropped = b.dropped or not kept.issuperset(b.wrappers)
+
+
+def _known_language(found: list[Block]) -> bool:
+    """Whether half of the text of long blocks has the stop words of a language."""
+    known = total = 0
+    for b in found:
+        n = _size(b)
+        if n >= LONG:
+            words = [w.lower() for w in WORD.findall(b.text)]
+            total += n
+            known += n * any(sum(w in x for w in words) >= MANY_STOPS * len(words) for x in STOP_WORDS_BY_LANGUAGE)
+    return 2 * known >= total
+
+
 def classify(found: list[Block]) -> None:
     """Give every block its label."""
     inside = any(b.content and not b.dropped for b in found)
+    known = _known_language([b for b in found if not b.dropped and b.content >= inside and b.links <= LINKS * len(b.text)])
     for b in found:
         n = len(b.text)
         words = [w.lower() for w in WORD.findall(b.text)]
@@ -191,11 +280,17 @@ def classify(found: list[Block]) -> None:
         if b.dropped or inside and not b.content:
             b.label = False
         elif links > (SHORT_LINKS if inside else LINKS):
-            b.label = False
+            b.label = inside and (b.heading or b.item)
+        elif not known:
+            b.label = True if _size(b) >= LONG else None
         elif n >= LONG and stops >= (FEW_STOPS if inside else MANY_STOPS):
             b.label = True
         elif n >= LONG and not inside and stops < FEW_STOPS:
             b.label = False
+    if not any(b.label for b in found):
+        for b in found:
+            b.label = b.label is None
+        return
     # nearest decided neighbours; with an article, within it
     part = [b for b in found if b.content and not b.dropped] if inside else found
     decided = [b.label for b in part]

@@ -48,6 +48,40 @@ def test_neighbours_decide_short_blocks():
     assert [x.label for x in b] == [True, True, False, False, False]
 
 
+def test_wrappers_of_the_article_take_nothing_out():
+    body = f"<h1>Title</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p>"
+    want = f"Title {LONG} Short. {LONG}"
+    share = '<div class="share"><a href=s>Share</a> this</div>'
+    for start, end in (("<form id=aspnetForm>", "</form>"), ("<div class='widget Blog'>", "</div>"), ("<div id=related>", "</div>"),
+                       ("<div class='page right-sidebar'>", "</div>"), ("<form><div class=overlay>", "</div></form>")):
+        for tag in ("article", "main"):
+            page = f"<body>{start}<nav><a href=x>Menu</a></nav><{tag}>{body}{share}</{tag}><label>Name</label><button>Go</button>{end}<footer>F</footer>"
+            assert hx.main_text(page) == want
+    for start, end in (("<form>", "</form>"), ("<div class=elementor-widget-theme-post-content>", "</div>"), ("<div class=social-page><form>", "</form></div>")):
+        assert hx.main_text(f"<body><nav><a href=x>Menu</a></nav>{start}{body}{share}<label>Name</label><select><option>of</select>{end}") == want
+    # what isn't a wrapper still goes
+    teaser = f"<div class=related><article><p>{LONG}</p></article><article><p>{LONG}</p></article></div>"
+    assert hx.main_text(f"<main><article>{body}</article></main>{teaser}") == want
+    assert hx.main_text(f"<div>{body}<p>{LONG}</p></div>{teaser}") == f"{want} {LONG}"
+    assert hx.main_text(f"<div>{body}</div><section class=comments><article><p>{LONG} I say.</p></article></section><form><p>{LONG}</p></form>") == want
+
+
+def test_other_languages_and_short_pages():
+    italian = "Il gatto dorme sopra il tappeto della cucina mentre fuori piove e i bambini giocano nella stanza accanto."
+    polish = "Kot śpi na dywanie w kuchni, podczas gdy na zewnątrz pada deszcz, a dzieci bawią się w pokoju obok."
+    russian = "Кошка спит на ковре в кухне, пока на улице идёт дождь, а дети играют в соседней комнате с собакой."
+    chinese = "猫在厨房的地毯上睡觉,外面下着雨,孩子们在隔壁房间里和狗一起玩耍,老人坐在窗边看书。"
+    for t in (italian, polish, russian, chinese):
+        page = f"<body><nav><a href=x>x</a></nav><div><h1>{t[:20]}</h1><p>{t}</p><p>{t[:9]}</p><p>{t}</p></div><div><a href=y>{t}</a></div><footer>{t}</footer>"
+        assert hx.main_text(page) == " ".join(x.strip() for x in (t[:20], t, t[:9], t))
+    assert hx.main_text("<nav><a href=a>Menu</a></nav><h1>Ode</h1><p>O cat,<p>o mat,<p>that is that.<p><a href=b>More odes</a><footer>End</footer>") == "Ode O cat, o mat, that is that."
+
+
+def test_linked_headings_and_items_of_the_article():
+    page = f"<article><h2><a href=a>A linked heading</a></h2><p>{LONG}</p><ul><li><a href=b>First item</a></li><li>Second</li></ul><p><a href=c>Only a link</a></p></article>"
+    assert hx.main_text(page) == f"A linked heading {LONG} First item Second"
+
+
 def test_odd_rows(spark):
     df = spark.createDataFrame([(1, None, None), (2, "u", ""), (2, "u", ""), (None, None, f"<p>{LONG}"), (3, "u", "<p>" + "the of " * 30_000)],
                                "page_id long, url string, html string")
