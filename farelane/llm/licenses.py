@@ -1,6 +1,8 @@
 """Licence scan: a trained paragraph classifier with template confirmation.
 
-Paragraphs are the lines of a whole text.  A multinomial logistic regression
+Paragraphs are the lines of a whole text, and runs of lines over which a notice
+is wrapped: word trigrams are taken across line ends, counted per template in
+windows of its length, and lines that together hold a template are joined.  A multinomial logistic regression
 on the presence of word 1- to 3-grams (sparse weights, proximal gradient) tells
 the licence families from each other and from ``unknown``.  It is trained on
 the driver from the bounded table of templates below, thinned and embedded
@@ -19,8 +21,10 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from farelane.llm.common import WORD, quoted, small_table, words
+from farelane.llm.common import WORD, broadcast_if_small, quoted, small_table, words
+from farelane.session import materialize
 
 UNKNOWN = "unknown"
 #: Licence notices by family (fixed values: the wording of the public notices).
@@ -44,10 +48,12 @@ TEMPLATES: dict[str, list[str]] = {
     "LGPL": [
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
         "SPDX-License-Identifier: LGPL-2.1-only",
-        "You can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation."],
+        "You can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."],
     "AGPL": [
         "This program is licensed under the GNU Affero General Public License, version 3.",
-        "SPDX-License-Identifier: AGPL-3.0-only"],
+        "SPDX-License-Identifier: AGPL-3.0-only",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
     "MPL": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
@@ -72,6 +78,12 @@ TEMPLATES: dict[str, list[str]] = {
     "CC-BY-ND": [
         "Licensed under CC BY-ND 4.0.",
         "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
+    "CC-BY-NC-SA": [
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."],
+    "CC-BY-NC-ND": [
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."],
     "public-domain": [
         "This work has been released into the public domain.",
         "To the extent possible under law, the author has waived all copyright and related rights (CC0 1.0)."],
@@ -96,6 +108,8 @@ ORDINARY = frozenset(
     "the of and to in is that it for on are as with this be at have or by a an any all can you may not it has been into their if no work use file "
     "part person without above following met appear later either at your option extent possible law mit v c sa nc nd form code source see "
     "under terms general version both other 0".split())
+#: Short names that together tell a Creative Commons licence.
+CC_PARTS = frozenset("by nc sa nd".split())
 MAX_NGRAM = 3
 
 
@@ -110,7 +124,7 @@ def key_words() -> list[str]:
 
 def _grams(ws: list[str], keys: frozenset[str]) -> set[str]:
     return {" ".join(ws[i:i + n]) for n in range(1, MAX_NGRAM + 1) for i in range(len(ws) - n + 1)
-            if any(w in keys for w in ws[i:i + n])}
+            if any(w in keys for w in ws[i:i + n]) or n > 1 and CC_PARTS.issuperset(ws[i:i + n])}
 
 
 def examples(seed: int = 1, copies: int = 24) -> list[tuple[list[str], str]]:
@@ -208,9 +222,55 @@ def _ngrams(w: Column, n: int) -> Column:
                                               lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array().cast("array<string>"))
 
 
+LINE_END = r"\r?\n|\r"
+
+
+def _numbers(w: Column) -> Column:
+    return F.transform(w, lambda x: F.when(x.rlike(r"^\p{Nd}+$"), "0").otherwise(x))
+
+
+def _wrapped(texts: DataFrame, confirm: float) -> DataFrame:
+    """(doc_id, text_hash, paragraph, last): runs of lines of ``texts`` (doc_id,
+    text_hash, low) that together, and no line alone, hold ``confirm`` of a
+    template's trigrams; runs that share a line are one."""
+    shapes = []
+    number = 0
+    for ts in TEMPLATES.values():
+        for t in ts:
+            w = tokens(t)
+            gs = sorted({tuple(w[j:j + 3]) for j in range(len(w) - 2)})
+            number += 1
+            shapes += [{"template": number, "a": a, "b": b, "c": c, "size": len(gs), "span": len(w) + len(w) // 2 + 4} for a, b, c in gs]
+    shapes = small_table(texts.sparkSession, shapes, "template int, a string, b string, c string, size int, span int").select(
+        "template", "size", "span", F.xxhash64("a", "b", "c").alias("gram"))
+    by_line = F.transform(F.split("low", LINE_END), lambda x: _numbers(words(x)))
+    ws = (texts.withColumn("lines", by_line)
+          .withColumn("w", F.flatten("lines"))
+          .withColumn("at", F.flatten(F.transform("lines", lambda x, i: F.array_repeat(i, F.size(x)))))
+          .filter((F.size("w") >= 3) & (F.size("lines") >= 2)).select("doc_id", "text_hash", "w", "at"))
+    three = F.transform(F.sequence(F.lit(0), F.size("w") - 3), lambda i: F.struct(
+        F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)).alias("gram"), i.alias("i"),
+        F.get("at", i).alias("line"), F.get("at", i + 2).alias("last")))
+    hits = (ws.select("doc_id", "text_hash", F.inline(three)).join(F.broadcast(shapes), "gram")
+            # windows of two spans, a span apart: a notice is whole in one of them
+            .withColumn("window", F.explode(F.array(F.floor(F.col("i") / F.col("span")), F.floor(F.col("i") / F.col("span")) - 1))))
+    part = ["doc_id", "text_hash", "template", "size", "window"]
+    hits = hits.groupBy(*part).agg(F.collect_set(F.struct("gram", "line", "last")).alias("g"), F.min("line").alias("paragraph"), F.max("last").alias("last"))
+    enough = F.col("size") * confirm - 1e-9
+    one_line = F.exists(F.transform("g", lambda x: x["line"]), lambda n: F.size(F.array_distinct(F.transform(
+        F.filter("g", lambda y: (y["line"] == n) & (y["last"] == n)), lambda y: y["gram"]))) >= enough)
+    runs = hits.filter((F.col("paragraph") < F.col("last")) & (F.size(F.array_distinct(F.transform("g", lambda x: x["gram"]))) >= enough)
+                       & ~one_line).select("doc_id", "text_hash", "paragraph", "last").distinct()
+    doc = Window.partitionBy("doc_id", "text_hash").orderBy("paragraph", "last")
+    before = F.max("last").over(doc.rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.withColumn("new", F.coalesce((F.col("paragraph") > before).cast("int"), F.lit(1))).withColumn("run", F.sum("new").over(doc))
+    return runs.groupBy("doc_id", "text_hash", "run").agg(F.min("paragraph").alias("paragraph"), F.max("last").alias("last")).drop("run")
+
+
 def scan(docs: DataFrame, model: LicenceModel, text: str = "text", doc_id: str = "doc_id", least: float = 0.5, confirm: float = 0.6) -> DataFrame:
     """One row per paragraph that is no ``unknown``: ``doc_id``, ``text_hash``,
-    ``paragraph`` (line number from 0), ``family``, ``probability`` (``least``
+    ``paragraph`` (line number from 0; the first line of a wrapped notice, whose
+    other lines give a row only if confirmed alone), ``family``, ``probability`` (``least``
     or more), ``template_share`` (the largest share of a template of the family
     whose word trigrams occur) and ``confirmed``.
 
@@ -222,14 +282,19 @@ def scan(docs: DataFrame, model: LicenceModel, text: str = "text", doc_id: str =
     table = small_table(spark, [{"gram": g} | dict(zip(names, map(float, w))) for g, w in sorted(model.weights.items())],
                         "gram string, " + ", ".join(f"{n} double" for n in names))
     gate = _gate()
-    rows = (docs.select(quoted(doc_id).alias("doc_id"), F.xxhash64(quoted(text)).alias("text_hash"), F.lower(quoted(text)).alias("low"))
-            .filter(F.col("low").rlike(gate))
-            .select("doc_id", "text_hash", F.posexplode(F.split("low", r"\r?\n|\r")).alias("paragraph", "line"))
-            .filter(F.col("line").rlike(gate)).distinct())
-    number = F.transform(words(F.col("line")), lambda x: F.when(x.rlike(r"^\p{Nd}+$"), "0").otherwise(x))
-    ws = rows.select("doc_id", "text_hash", "paragraph", number.alias("w"))
+    texts = (docs.select(quoted(doc_id).alias("doc_id"), F.xxhash64(quoted(text)).alias("text_hash"), F.lower(quoted(text)).alias("low"))
+             .filter(F.col("low").rlike(gate)))
+    rows = (texts.select("doc_id", "text_hash", F.posexplode(F.split("low", LINE_END)).alias("paragraph", "line"))
+            .filter(F.col("line").rlike(gate)).distinct().withColumn("last", F.col("paragraph")))
+    runs = materialize(_wrapped(texts, confirm))
+    r2 = broadcast_if_small(runs.select(F.col("doc_id").alias("d2"), F.col("text_hash").alias("h2"), F.col("paragraph").alias("p2"), F.col("last").alias("l2")))
+    joined = (texts.join(r2, texts["doc_id"].eqNullSafe(F.col("d2")) & (F.col("text_hash") == F.col("h2")))
+              .select("doc_id", "text_hash", F.col("p2").alias("paragraph"), F.col("l2").alias("last"),
+                      F.array_join(F.slice(F.split("low", LINE_END), F.col("p2") + 1, F.col("l2") - F.col("p2") + 1), " ").alias("line")).distinct())
+    rows = rows.select("doc_id", "text_hash", "paragraph", "last", "line").unionByName(joined)
+    ws = rows.select("doc_id", "text_hash", "paragraph", "last", _numbers(words(F.col("line"))).alias("w"))
     grams = F.array_distinct(F.concat(*[_ngrams(F.col("w"), n) for n in range(1, MAX_NGRAM + 1)]))
-    key = ["doc_id", "text_hash", "paragraph"]
+    key = ["doc_id", "text_hash", "paragraph", "last"]
     sums = (ws.select(*key, "w", F.explode(grams).alias("gram")).join(F.broadcast(table), "gram")  # a fixed number of weights
             .groupBy(*key, "w").agg(*[F.sum(n).alias(n) for n in names]))
     logits = [(F.col(n) + b) / model.temperature for n, b in zip(names, model.intercepts)]
@@ -252,8 +317,14 @@ def scan(docs: DataFrame, model: LicenceModel, text: str = "text", doc_id: str =
               .filter(F.col("family") == F.col("f"))
               .groupBy(*key, "template", "size").agg(F.count(F.lit(1)).alias("n"))
               .groupBy(*key).agg(F.max(F.col("n") / F.col("size")).alias("template_share")))
-    s2 = shared.select(F.col("doc_id").alias("d2"), F.col("text_hash").alias("h2"), F.col("paragraph").alias("p2"), "template_share")
-    return (said.join(s2, said["doc_id"].eqNullSafe(F.col("d2")) & (said["text_hash"] == F.col("h2")) & (said["paragraph"] == F.col("p2")), "left")
-            .select(*key, "family", F.round("probability", 6).alias("probability"),
-                    F.coalesce("template_share", F.lit(0.0)).alias("template_share"),
-                    (F.coalesce("template_share", F.lit(0.0)) >= confirm).alias("confirmed")))
+    s2 = shared.select(F.col("doc_id").alias("d2"), F.col("text_hash").alias("h2"), F.col("paragraph").alias("p2"), F.col("last").alias("l2"), "template_share")
+    found = (said.join(s2, said["doc_id"].eqNullSafe(F.col("d2")) & (said["text_hash"] == F.col("h2")) & (said["paragraph"] == F.col("p2"))
+                       & (said["last"] == F.col("l2")), "left")
+             .select(*key, "family", F.round("probability", 6).alias("probability"),
+                     F.coalesce("template_share", F.lit(0.0)).alias("template_share"),
+                     (F.coalesce("template_share", F.lit(0.0)) >= confirm).alias("confirmed")))
+    # a confirmed run of lines stands for its lines, a run that isn't gives no row
+    over = F.max(F.when(F.col("confirmed"), F.when(F.col("last") > F.col("paragraph"), F.col("last")))).over(
+        Window.partitionBy("doc_id", "text_hash").orderBy("paragraph").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    found = found.withColumn("over", F.coalesce(over, F.lit(-1)))
+    return found.filter(F.col("confirmed") | (F.col("last") == F.col("paragraph")) & (F.col("paragraph") > F.col("over"))).drop("last", "over")

@@ -1,3 +1,5 @@
+import textwrap
+
 import numpy as np
 
 from farelane.llm import licenses
@@ -42,6 +44,25 @@ def test_sql_probability_equals_model(spark):
             assert got[i]["family"] == MODEL.families[k] and abs(got[i]["probability"] - p[k]) < 1e-5
 
 
+def test_wrapped_notices(spark):
+    notices = [(f, t) for f, ts in licenses.TEMPLATES.items() for t in ts if len(t) > 120]
+    rows = []
+    for i, (_, t) in enumerate(notices):
+        for k, (width, mark) in enumerate(((70, " * "), (45, "# "), (80, "// "))):
+            lines = textwrap.wrap(t, width, initial_indent=mark, subsequent_indent=mark)
+            rows.append((10 * i + k, "/*\nSome words before it, and more.\n" + ("\r\n" if k else "\n").join(lines) + "\nAnd the rest of the text.\n" + "of the cat " * 40))
+    got = [r for r in licenses.scan(frames.docs(spark, rows), MODEL).collect()]
+    confirmed = {(r["doc_id"], r["paragraph"], r["family"]) for r in got if r["confirmed"]}
+    assert confirmed == {(10 * i + k, 2, f) for i, (f, _) in enumerate(notices) for k in range(3)}
+
+
+def test_cc_combinations(spark):
+    got = licenses.scan(frames.docs(spark, [(1, "Licensed under CC BY-NC-SA 4.0"), (2, "Licensed under CC BY-NC-ND 3.0."), (3, "Licensed under CC BY-SA 4.0"),
+                                            (4, "Licensed under CC BY-NC 4.0")]), MODEL).collect()
+    assert sorted((r["doc_id"], r["family"], r["confirmed"]) for r in got) == [
+        (1, "CC-BY-NC-SA", True), (2, "CC-BY-NC-ND", True), (3, "CC-BY-SA", True), (4, "CC-BY-NC", True)]
+
+
 def test_odd_rows(spark):
     odd = frames.with_clashes(frames.docs(spark, frames.odd_rows() + [(None, "All rights reserved."), (77, "All rights reserved."), (77, "All rights reserved.")]))
     got = sorted(str(r["doc_id"]) for r in licenses.scan(odd, MODEL).collect())
