@@ -1,8 +1,8 @@
 """Registered queries for learners (no SQL oracle: rows-only checks).
 
 They train on the processed feature table of the derived trips (training
-months), so the work grows with the trips.  ``ModelParams.quick()`` keeps the
-check fast; the shipped settings are ``ModelParams()``.
+months), so the work grows with the trips.  The settings are the shipped ones,
+``ModelParams()``.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from farelane.session import materialize
 from farelane.sources.tables import load_monthly_trips
 
 Q, SQL = {}, {}
-MP = ModelParams.quick()
+MP = ModelParams()
 TARGET = "Fare_Amt"
 
 

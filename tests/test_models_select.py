@@ -198,3 +198,10 @@ def test_metric_edge_rules(spark):
     abs_rule = M.regression_metrics(lt, zero_rule="abs").first()["mape"]
     zero_rule = M.regression_metrics(lt, zero_rule="zero").first()["mape"]
     assert abs_rule == pytest.approx(1e-9 / 1e-8 * 100) and zero_rule == pytest.approx(100.0)
+
+
+def test_registered_queries_use_the_shipped_settings():
+    from farelane.config import ModelParams
+    from farelane.plans import q_models
+    assert q_models.MP == ModelParams()
+    assert (q_models.MP.gbt_a["maxIter"], q_models.MP.gbt_b["maxIter"], q_models.MP.forest["numTrees"]) == (550, 400, 60)
