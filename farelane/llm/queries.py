@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import (decontam, html_extract, jaccard_join, langid, licenses, mixing, quality, sharding, token_hist,
-                          topk)
+from farelane.llm import (decontam, html_extract, jaccard_join, langid, licenses, merkle, mixing, quality, sharding,
+                          token_hist, topk)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -72,6 +72,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_manifest(_read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -81,7 +85,8 @@ Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding, "op2_topk": op2_topk, "op3_licenses": op3_licenses,
     "op4_jaccard_join": op4_jaccard_join, "op5_langid": op5_langid, "op6_token_counts": op6_token_counts,
     "op7_decontamination": op7_decontamination, "op8_quality": op8_quality, "op9_html": op9_html,
-    "op10_mixing": op10_mixing, "pipeline": pipeline,
+    "op10_mixing": op10_mixing,
+    "op12_merkle": op12_merkle, "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {}
@@ -137,3 +142,61 @@ SELECT d.doc_id, coalesce(c.class_id, d.doc_id) AS class_id, coalesce(c.n_copies
        coalesce(grp.group_size, 1)::BIGINT AS group_size
 FROM documents d LEFT JOIN c ON c.node = md5(d.text) LEFT JOIN grp ON grp.node = c.node LEFT JOIN deg ON deg.node = c.node
 """
+
+_FIELD = "CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR) END"
+_LEAF = " || ".join(_FIELD.format(c=c) for c in ("doc_id", "source", "lang", "n_chars"))
+_ASCII = "".join(chr(c) for c in range(ord("A"), ord("Z") + 1))
+#: CRC-32 of a decimal number's text, bit by bit.
+_CRC = """xor(list_reduce([4294967295::BIGINT] || [ascii(c)::BIGINT for c in string_split(CAST(doc_id AS VARCHAR), '')],
+         lambda a, x: list_reduce([xor(a, x)] || range(8), lambda r, i: xor(r >> 1, 3988292384 * (r & 1)))), 4294967295)"""
+
+SQL["op12_merkle"] = f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, lang, sha256({_LEAF} || {_FIELD.format(c="text")}) AS leaf,
+         CASE WHEN {_CRC} % 3 = 0 THEN sha256({_LEAF} || {_FIELD.format(c=f"translate(text, '{_ASCII}', '{_ASCII.lower()}')")}) END AS changed
+  FROM documents),
+leaves AS MATERIALIZED (
+  SELECT *, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS tree,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+low AS MATERIALIZED (
+  WITH RECURSIVE n AS (
+    SELECT tree, 0 AS level, pos, leaf AS digest FROM leaves
+    UNION ALL
+    SELECT tree, level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos))
+    FROM (SELECT *, max(pos) OVER (PARTITION BY tree) AS last FROM n) WHERE last > 0 GROUP BY tree, level, pos // 8)
+  SELECT * FROM n),
+height AS MATERIALIZED (SELECT tree, max(level) AS h FROM low GROUP BY tree),
+sub AS MATERIALIZED (
+  SELECT tree, digest, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos FROM low JOIN height USING (tree) WHERE level = h),
+high AS MATERIALIZED (
+  WITH RECURSIVE n AS (
+    SELECT 0 AS level, pos, digest FROM sub
+    UNION ALL
+    SELECT level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos))
+    FROM (SELECT *, max(pos) OVER () AS last FROM n) WHERE last > 0 GROUP BY level, pos // 8)
+  SELECT * FROM n),
+root AS (SELECT digest AS root FROM high ORDER BY level DESC LIMIT 1),
+numbered AS MATERIALIZED (SELECT *, row_number() OVER () AS id FROM leaves),
+-- (leaf, level up to the root, own place there, node of the run)
+runs AS MATERIALIZED (
+  SELECT l.id, n.level, l.pos // (8 ** n.level)::BIGINT AS own, n.pos, n.digest
+  FROM numbered l JOIN height t ON t.tree = l.tree
+  JOIN low n ON n.tree = l.tree AND n.level < t.h AND n.pos // 8 = l.pos // (8 ** (n.level + 1))::BIGINT
+  UNION ALL
+  SELECT l.id, t.h + n.level, s.pos // (8 ** n.level)::BIGINT, n.pos, n.digest
+  FROM numbered l JOIN height t ON t.tree = l.tree JOIN sub s ON s.tree = l.tree
+  JOIN high n ON n.level < (SELECT max(level) FROM high) AND n.pos // 8 = s.pos // (8 ** (n.level + 1))::BIGINT),
+proofs AS (SELECT id, string_agg(digest, '' ORDER BY level, pos) AS p FROM runs WHERE pos <> own GROUP BY id),
+sides AS MATERIALIZED (
+  SELECT id, level, coalesce(string_agg(digest, '' ORDER BY pos) FILTER (pos < own), '') AS l,
+         coalesce(string_agg(digest, '' ORDER BY pos) FILTER (pos > own), '') AS r
+  FROM runs GROUP BY id, level),
+fold AS (
+  SELECT id, 0::BIGINT AS level, coalesce(changed, leaf) AS digest FROM numbered
+  UNION ALL
+  SELECT f.id, f.level + 1, sha256(s.l || f.digest || s.r) FROM fold f JOIN sides s ON s.id = f.id AND s.level = f.level),
+folded AS (SELECT id, arg_max(digest, level) AS folded_root FROM fold GROUP BY id)
+SELECT n.doc_id, n.leaf, s.digest AS subroot, root.root, sha256(coalesce(p.p, '')) AS proof_sha256, f.folded_root,
+       f.folded_root = root.root AS verified
+FROM numbered n JOIN sub s ON s.tree = n.tree JOIN folded f ON f.id = n.id LEFT JOIN proofs p ON p.id = n.id, root
+"""
