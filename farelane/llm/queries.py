@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import (decontam, html_extract, jaccard_join, langid, licenses, merkle, mixing, quality, sharding,
-                          token_hist, topk)
+from farelane.llm import (decontam, embed_dedup, html_extract, jaccard_join, langid, licenses, merkle, mixing, quality, sharding,
+                          token_hist, topk, whitening)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -72,10 +72,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_digest(_read(spark, sf_dir, "embeddings"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.document_manifest(_read(spark, sf_dir, "documents"))
 
 
+def op13_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicate_vectors(_read(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -86,7 +94,7 @@ Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_jaccard_join": op4_jaccard_join, "op5_langid": op5_langid, "op6_token_counts": op6_token_counts,
     "op7_decontamination": op7_decontamination, "op8_quality": op8_quality, "op9_html": op9_html,
     "op10_mixing": op10_mixing,
-    "op12_merkle": op12_merkle, "pipeline": pipeline,
+    "op11_whitening": op11_whitening, "op12_merkle": op12_merkle, "op13_embed_dedup": op13_embed_dedup, "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {}
@@ -200,3 +208,19 @@ SELECT n.doc_id, n.leaf, s.digest AS subroot, root.root, sha256(coalesce(p.p, ''
        f.folded_root = root.root AS verified
 FROM numbered n JOIN sub s ON s.tree = n.tree JOIN folded f ON f.id = n.id LEFT JOIN proofs p ON p.id = n.id, root
 """
+
+SQL["op13_embed_dedup"] = """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, embedding::DOUBLE[] AS x, row_number() OVER () AS id FROM embeddings),
+ok AS MATERIALIZED (
+  SELECT * FROM v WHERE x IS NOT NULL AND len(x) > 0 AND len([e for e in x if e IS NULL OR isnan(e) OR isinf(e)]) = 0
+    AND len([e for e in x if e <> 0]) > 0),
+link AS MATERIALIZED (
+  SELECT a.id AS p, b.id AS q FROM ok a JOIN ok b ON a.id <> b.id AND len(a.x) = len(b.x)
+  WHERE list_inner_product(a.x, b.x) / (sqrt(list_inner_product(a.x, a.x)) * sqrt(list_inner_product(b.x, b.x))) >= 0.9),
+reach AS (SELECT id AS p, id AS q FROM v UNION SELECT r.p, l.q FROM reach r JOIN link l ON l.p = r.q),
+comp AS (SELECT r.p, min(v.vec_id) AS component_id FROM reach r JOIN v ON v.id = r.q GROUP BY r.p),
+deg AS (SELECT p, count(*) AS n FROM link GROUP BY p)
+SELECT v.vec_id, coalesce(deg.n, 0)::BIGINT AS n_links, comp.component_id, v.vec_id IS NOT DISTINCT FROM comp.component_id AS kept
+FROM v JOIN comp ON comp.p = v.id LEFT JOIN deg ON deg.p = v.id
+"""
