@@ -11,7 +11,10 @@ third, diverse learner.
 from __future__ import annotations
 
 import importlib
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -19,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelane.config import ModelParams
+from farelane.session import materialize
 
 BASE_FEATURES = [
     "Passenger_Count", "Start_Lon", "Start_Lat", "End_Lon", "End_Lat", "haversine_distance_m",
@@ -31,6 +35,10 @@ BASE_FEATURES = [
 ROUTE_FEATURES = ["route_distance_m", "route_duration_s", "average_speed_m_s", "ratio_haversine_osrm"]
 DROP_BEFORE_TRAINING = ["Real_time", "Real_distance"]
 COMPLEMENT = {"Fare_Amt": "Total_Amt", "Total_Amt": "Fare_Amt"}
+#: Fits that run at once: each holds its training rows in the executors' memory.
+FITS_AT_ONCE = 6
+#: A row's tree node is kept between levels, and lineage is cut every 10 rounds.
+TREE_SETTINGS = dict(cacheNodeIds=True, checkpointInterval=10)
 
 
 def estimator(name_or_class: str, params: dict | None = None, features_col: str = "features",
@@ -47,6 +55,8 @@ def estimator(name_or_class: str, params: dict | None = None, features_col: str
     else:
         mod, _, attr = name_or_class.rpartition(".")
         cls = getattr(importlib.import_module(mod), attr)
+    if cls in (GBTRegressor, RandomForestRegressor):
+        p = TREE_SETTINGS | p
     return cls(featuresCol=features_col, labelCol=label, predictionCol=prediction, **p)
 
 
@@ -77,6 +87,33 @@ def fit(df: DataFrame, name: str, features: list[str], label: str, params: dict
     return Pipeline(stages=[asm, estimator(name, params, label=label, prediction=prediction)]).fit(df)
 
 
+def training_table(df: DataFrame, key: str = "trip_id", rows_per_partition: int = 50_000) -> DataFrame:
+    """``df`` written once for all fits that read it.  Rows are dealt and sorted
+    by ``key`` into partitions of about ``rows_per_partition``, so that sampled
+    rows, and with them the fitted trees, don't hang on the cluster's size."""
+    df = materialize(df)
+    n = max(1, -(-df.count() // rows_per_partition))
+    return materialize(df.repartition(n, F.col(key)).sortWithinPartitions(key))
+
+
+def concurrently(spark: SparkSession, fits: dict[str, Callable[[], object]], at_once: int = FITS_AT_ONCE) -> dict:
+    """Results of ``fits`` by name, at most ``at_once`` at a time.
+
+    A fit of trees is a chain of small jobs, one or more per level, that leaves
+    most of a cluster idle, so fits that don't need each other run side by side.
+    Each thread has the caller's job properties and a pool of its own, to share
+    the cores evenly where the scheduler is FAIR.  The first error is raised
+    when all have ended."""
+    def run(name: str):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{name}")
+        return fits[name]()
+
+    with ThreadPoolExecutor(max(1, min(at_once, len(fits)))) as pool:
+        # the caller's properties are taken when a fit is handed over
+        running = {k: pool.submit(inheritable_thread_target(spark)(run), k) for k in fits}
+    return {k: f.result() for k, f in running.items()}
+
+
 def predict(model: PipelineModel, df: DataFrame, out: str = "prediction") -> DataFrame:
     stage = model.stages[-1]
     pcol = stage.getOrDefault("predictionCol")

@@ -13,7 +13,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelane.operators.split import hash32
+from farelane.operators.models import FITS_AT_ONCE, concurrently, training_table
+from farelane.operators.split import hash32, hash_folds
 
 
 def gram_sums(df: DataFrame, features: list[str], label: str) -> dict:
@@ -77,17 +78,26 @@ def stack_in_sample(df: DataFrame, base_cols: list[str], label: str, alpha: floa
 
 
 def stack_oof(df: DataFrame, fit_predict, old_col: str, label: str, k: int = 5, alpha: float = 0.5,
-              key: str = "trip_id", seed: int = 42, pred_col: str = "pred_new") -> tuple[DataFrame, dict]:
+              key: str = "trip_id", seed: int = 42, pred_col: str = "pred_new", at_once: int = FITS_AT_ONCE,
+              also: dict | None = None) -> tuple[DataFrame, dict]:
     """Out-of-fold stacking: for each fold i, ``fit_predict(train_df, apply_df)``
     fits the new learner on rows with fold != i and predicts the fold-i rows;
     the union of fold predictions and the old model's column feed the ridge.
 
-    ``fit_predict`` returns ``apply_df`` with ``pred_col`` added.  The input
-    should be cached or checkpointed by the caller (k + 1 reads)."""
-    d = df.withColumn("_fold", (hash32(key, seed) % k).cast("int"))
-    parts = [fit_predict(d.filter(F.col("_fold") != i), d.filter(F.col("_fold") == i)) for i in range(k)]
-    oof = parts[0]
-    for p in parts[1:]:
-        oof = oof.unionByName(p)
+    ``fit_predict`` returns ``apply_df`` with ``pred_col`` added.  The folds are
+    fitted side by side, ``at_once`` at a time, each on its own training table.
+    ``also``: other fits (name -> call) to run with them; the dict gets their
+    results."""
+    d = hash_folds(df, k, key, seed, "_fold")
+
+    def fold(i):
+        return lambda: fit_predict(training_table(d.filter(F.col("_fold") != i).drop("_fold"), key), d.filter(F.col("_fold") == i))
+
+    also = {} if also is None else also
+    done = concurrently(df.sparkSession, dict(also) | {i: fold(i) for i in range(k)}, at_once)
+    also.update({n: done[n] for n in also})
+    oof = done[0]
+    for i in range(1, k):
+        oof = oof.unionByName(done[i])
     coefs = ridge_fit(oof, [old_col, pred_col], label, alpha)
     return oof.drop("_fold"), coefs

@@ -147,9 +147,9 @@ def run_base(spark: SparkSession, raw: DataFrame, root: str, params: ModelParams
     t, art = _prepare(spark, raw, lay, provider, resume=resume, polygon=polygon)
     _save_artefacts(spark, art, lay.params, version)
     feats = ML.feature_columns(t, TARGET)
-    train = t.filter(F.col("split") == "train")
+    train = ML.training_table(t.filter(F.col("split") == "train"))
     lp = {"gbt_a": params.gbt_a, "gbt_b": params.gbt_b, "forest": params.forest}
-    models = {k: ML.fit(train, k, feats, TARGET, lp[k], prediction=f"pred_{k}") for k in LEARNERS}
+    models = ML.concurrently(spark, {k: lambda k=k: ML.fit(train, k, feats, TARGET, lp[k], prediction=f"pred_{k}") for k in LEARNERS})
     entries = []
     for k, m in models.items():
         p = f"{lay.models}/{version}/{k}"
@@ -208,9 +208,11 @@ def run_ct(spark: SparkSession, raw_new: DataFrame, root: str, params: ModelPara
     def fit_predict(tr, ap):
         return ML.fit(tr, old.learner, feats, TARGET, new_params, prediction="pred_new").transform(ap).drop("features")
 
+    # the refit on all rows doesn't wait for the folds
+    refit = {"refit": lambda: ML.fit(ML.training_table(train), old.learner, feats, TARGET, new_params, prediction="pred_new")}
     _, coefs = ST.stack_oof(train, fit_predict, "pred_old", TARGET, params.oof_folds, params.ridge_alpha_ct,
-                            seed=params.seed)
-    new_model = ML.fit(train, old.learner, feats, TARGET, new_params, prediction="pred_new")   # refit on all rows
+                            seed=params.seed, also=refit)
+    new_model = refit["refit"]
     p = f"{lay.models}/{version}/{old.learner}"
     new_model.write().overwrite().save(p)
     scored = ST.ridge_predict(new_model.transform(t).drop("features"), coefs, "pred_stacked")

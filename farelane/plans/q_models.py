@@ -49,9 +49,10 @@ def model_selection(spark, sf):
     """Three learners + in-sample ridge stack, evaluated on val, MCDM-ranked."""
     t, _ = processed(spark, sf)
     feats = ML.feature_columns(t, TARGET)
-    train = t.filter(F.col("split") == "train")
+    train = ML.training_table(t.filter(F.col("split") == "train"))
     params = {"gbt_a": MP.gbt_a, "gbt_b": MP.gbt_b, "forest": MP.forest}
-    models = {k: ML.fit(train, k, feats, TARGET, p, prediction=f"pred_{k}") for k, p in params.items()}
+    models = ML.concurrently(spark, {k: lambda k=k, p=p: ML.fit(train, k, feats, TARGET, p, prediction=f"pred_{k}")
+                                     for k, p in params.items()})
     scored = t
     for k, m in models.items():
         scored = m.transform(scored).drop("features")
@@ -109,12 +110,14 @@ def learner_relations(spark, sf):
     importances that sum to one."""
     t, _ = processed(spark, sf)
     feats = ML.feature_columns(t, TARGET)
-    train = materialize(t.filter(F.col("split") == "train"))
+    train = ML.training_table(t.filter(F.col("split") == "train"))
     mean = train.agg(F.avg(TARGET)).first()[0]
-    scored, models = train.withColumn("pred_mean", F.lit(mean)), {}
-    for k in ("gbt_a", "forest", "linear"):
-        models[k] = ML.fit(train, k, feats, TARGET, {"gbt_a": MP.gbt_a, "forest": MP.forest, "linear": {}}[k], prediction=f"pred_{k}")
-        scored = models[k].transform(scored).drop("features")
+    scored = train.withColumn("pred_mean", F.lit(mean))
+    params = {"gbt_a": MP.gbt_a, "forest": MP.forest, "linear": {}}
+    models = ML.concurrently(spark, {k: lambda k=k, p=p: ML.fit(train, k, feats, TARGET, p, prediction=f"pred_{k}")
+                                     for k, p in params.items()})
+    for m in models.values():
+        scored = m.transform(scored).drop("features")
     long = M.melt_predictions(scored, TARGET, {k: f"pred_{k}" for k in ("mean", *models)})
     rmse = {r["candidate"]: r["rmse"] for r in M.regression_metrics(long, with_medae=False).collect()}
     val = ML.predict(models["gbt_a"], t.filter(F.col("split") == "val"))

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from farelane.functions.quantiles import quantiles
 from farelane.operators import drift as D
+from farelane.operators import knn as K
 from farelane.operators import profile as P
 from farelane.plans import pipeline
 from farelane.plans.common import comparable
 from farelane.plans.sqltext import clean_ctes
-from farelane.sources.tables import load_monthly_trips, load_trips
+from farelane.sources.tables import TRIPS_SQL, load_monthly_trips, load_trips
 
 Q, SQL = {}, {}
 
@@ -57,6 +58,42 @@ SELECT g.i::BIGINT AS bin, round(mn + (g.i - 1) * ((mx - mn) / 100), 4) AS lo,
 FROM range(1, 101) g(i) CROSS JOIN r LEFT JOIN c ON c.bin = g.i"""
 
 
+KNN_COLS = ["Passenger_Count", "Start_Lon", "Start_Lat", "End_Lon", "End_Lat"]
+
+
+def knn_impute(spark, sf):
+    """Missing passenger counts, and start points that can't be (zero or out of
+    range), from the five nearest trips of all that have them."""
+    t = load_trips(spark, sf)
+    t = t.withColumns({c: F.when((F.col("Start_Lon") != 0) & (F.abs("Start_Lon") <= 180), F.col(c)) if c == "Start_Lon" else
+                       F.when(F.col("Start_Lat") != 0, F.col(c)) for c in ("Start_Lon", "Start_Lat")})
+    return comparable(K.knn_impute(t.select("trip_id", *KNN_COLS), KNN_COLS, "trip_id"))
+
+
+def _knn_sql():
+    targets = ["Passenger_Count", "Start_Lon", "Start_Lat"]
+    parts = []
+    for t in targets:
+        others = [c for c in KNN_COLS if c != t]
+        d2 = " + ".join(f"CASE WHEN r.{c} IS NULL OR d.{c} IS NULL THEN 0e0 ELSE (r.{c} - d.{c}) * (r.{c} - d.{c}) END" for c in others)
+        n = " + ".join(f"(r.{c} IS NOT NULL AND d.{c} IS NOT NULL)::INT" for c in others)
+        parts.append(f"""n_{t} AS (
+  SELECT trip_id, coalesce(avg(v), (SELECT avg({t}) FROM t)) AS v FROM (
+    SELECT r.trip_id, d.{t} AS v, row_number() OVER (PARTITION BY r.trip_id ORDER BY ({d2}) * ({len(KNN_COLS)}e0 / ({n})), d.trip_id) AS rn
+    FROM t r JOIN t d ON r.{t} IS NULL AND d.{t} IS NOT NULL AND {n} > 0) WHERE rn <= 5 GROUP BY trip_id)""")
+    cols = ", ".join(f"round(coalesce(t.{c}, n_{c}.v), 6) AS {c}" if c in targets else f"round(t.{c}, 6) AS {c}" for c in KNN_COLS)
+    joins = " ".join(f"LEFT JOIN n_{t} ON n_{t}.trip_id = t.trip_id" for t in targets)
+    return f"""WITH raw AS ({TRIPS_SQL}),
+t AS (SELECT * REPLACE (CASE WHEN Start_Lon <> 0 AND abs(Start_Lon) <= 180 THEN Start_Lon END AS Start_Lon,
+                        CASE WHEN Start_Lat <> 0 THEN Start_Lat END AS Start_Lat) FROM raw),
+{", ".join(parts)}
+SELECT t.trip_id, {cols} FROM t {joins}"""
+
+
+Q["knn_impute"] = knn_impute
+SQL["knn_impute"] = _knn_sql()
+
+
 def iqr_outliers(spark, sf):
     s, _ = P.iqr_outliers(_cleaned(spark, sf), "Fare_Amt")
     return comparable(s, 4)

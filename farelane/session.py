@@ -42,6 +42,7 @@ def get_spark(master: str | None = None, app: str = "farelane",
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.scheduler.mode", "FAIR")        # concurrent fits share the cores
     )
     if not external:
         cpus = os.environ.get("BENCH_CPUS", "8")
