@@ -29,7 +29,10 @@ def _window(spark, a):
     if not a.start_month:
         return a.months
     from farelane.operators import selection as SEL
-    ledger = spark.read.parquet(f"{a.root}/ledger")
+    from farelane.plans import scoring as SC
+    ledger = SC.published(spark, a.root, "ledger")
+    if ledger is None:
+        raise SystemExit(f"no version is published under {a.root}")
     months = sorted(r["month"] for r in SEL.months_to_read(spark, ledger, a.start_month, a.window).collect())
     if not months:
         raise SystemExit("every month of the window has been used")

@@ -44,6 +44,14 @@ def hash_folds(df: DataFrame, k: int = 5, key: str = "trip_id", seed: int = 42,
     return df.withColumn(out, (hash32(key, seed) % k).cast("int"))
 
 
+def exact_folds(df: DataFrame, k: int = 5, key: str = "trip_id", seed: int = 42, out: str = "fold") -> DataFrame:
+    """Folds 0 to k - 1 whose sizes differ by one row at most: the rank of
+    (hash, key), counted by range partitions, modulo ``k``.  Rows alike in key
+    (nulls too) share a hash; each takes a rank of its own."""
+    d = df.withColumn("_h", F.coalesce(hash32(key, seed), F.lit(-1)))
+    return range_rank(d, [], ["_h", key], "_rank").withColumn(out, ((F.col("_rank") - 1) % k).cast("int")).drop("_h", "_rank")
+
+
 def hash_sample(df: DataFrame, fraction: float = 0.8, key: str = "trip_id", seed: int = 42) -> DataFrame:
     """Deterministic Bernoulli sample: rows whose hash falls below ``fraction``."""
     return df.filter(hash32(key, seed) < F.lit(int(fraction * 2 ** 32)))

@@ -79,16 +79,17 @@ def stack_in_sample(df: DataFrame, base_cols: list[str], label: str, alpha: floa
 
 def stack_oof(df: DataFrame, fit_predict, old_col: str, label: str, k: int = 5, alpha: float = 0.5,
               key: str = "trip_id", seed: int = 42, pred_col: str = "pred_new", at_once: int = FITS_AT_ONCE,
-              also: dict | None = None) -> tuple[DataFrame, dict]:
+              also: dict | None = None, folds=hash_folds) -> tuple[DataFrame, dict]:
     """Out-of-fold stacking: for each fold i, ``fit_predict(train_df, apply_df)``
     fits the new learner on rows with fold != i and predicts the fold-i rows;
     the union of fold predictions and the old model's column feed the ridge.
 
     ``fit_predict`` returns ``apply_df`` with ``pred_col`` added.  The folds are
     fitted side by side, ``at_once`` at a time, each on its own training table.
+    ``folds``: how rows are dealt (``hash_folds`` or ``exact_folds``).
     ``also``: other fits (name -> call) to run with them; the dict gets their
     results."""
-    d = hash_folds(df, k, key, seed, "_fold")
+    d = folds(df, k, key, seed, "_fold")
 
     def fold(i):
         return lambda: fit_predict(training_table(d.filter(F.col("_fold") != i).drop("_fold"), key), d.filter(F.col("_fold") == i))

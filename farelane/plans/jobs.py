@@ -83,7 +83,8 @@ def load_artefacts(spark: SparkSession, path: str, version: str) -> dict:
 
 def _registry_rows(spark, version, entries):
     return spark.createDataFrame([(version, k, kind, p) for k, kind, p in entries],
-                                 "version string, model_key string, kind string, path string")
+                                 "version string, model_key string, kind string, path string") \
+        .withColumn("created_at", F.current_timestamp())
 
 
 def _done(spark: SparkSession, path: str) -> bool:
@@ -176,10 +177,10 @@ def run_base(spark: SparkSession, raw: DataFrame, root: str, params: ModelParams
     # what a retraining fits: the best candidate, or its best learner if that is the stack
     learner = best if best in LEARNERS else ranked.filter(F.col("candidate") != "stacked").orderBy("rank").first()["candidate"]
     test = _metrics(scored, {best: preds[best]}, "test")
-    sinks.append_metrics(val.unionByName(test), lay.metrics, version)
-    sinks.write_table(_registry_rows(spark, version, entries + [("final", best, learner)]),
-                      lay.registry, ["version"])
-    sinks.write_ledger(SEL.ledger_from(raw, version), lay.ledger)
+    SC.publish(spark, lay.root, version, "base", best, learner, raw.inputFiles(), [
+        lambda: sinks.append_metrics(val.unionByName(test), lay.metrics, version),
+        lambda: sinks.write_table(_registry_rows(spark, version, entries + [("final", best, learner)]), lay.registry, ["version"]),
+        lambda: sinks.write_ledger(SEL.ledger_from(raw, version), lay.ledger)])
     return JobResult(version, {k: getattr(lay, k) for k in ("split_trips", "processed", "metrics", "registry")},
                      {"best": best, "meta": meta})
 
@@ -191,8 +192,7 @@ def run_ct(spark: SparkSession, raw_new: DataFrame, root: str, params: ModelPara
     the previous version's final model and a new learner of its kind, promotion
     if better."""
     lay = Layout(root)
-    reg = spark.read.parquet(lay.registry)
-    latest = SEL.latest_version(reg).first()
+    latest = SEL.latest_version(SC.registry(spark, root)).first()
     old_version, version = latest["latest"], latest["next"]
     art = load_artefacts(spark, lay.params, old_version)
     t, _ = _prepare(spark, raw_new, Layout(f"{root}/ct_{version}"), provider, artefacts=art,
@@ -211,7 +211,7 @@ def run_ct(spark: SparkSession, raw_new: DataFrame, root: str, params: ModelPara
     # the refit on all rows doesn't wait for the folds
     refit = {"refit": lambda: ML.fit(ML.training_table(train), old.learner, feats, TARGET, new_params, prediction="pred_new")}
     _, coefs = ST.stack_oof(train, fit_predict, "pred_old", TARGET, params.oof_folds, params.ridge_alpha_ct,
-                            seed=params.seed, also=refit)
+                            seed=params.seed, also=refit, folds=S.exact_folds)
     new_model = refit["refit"]
     p = f"{lay.models}/{version}/{old.learner}"
     new_model.write().overwrite().save(p)
@@ -223,13 +223,13 @@ def run_ct(spark: SparkSession, raw_new: DataFrame, root: str, params: ModelPara
     test = _metrics(scored, preds, "test", "zero")
     sinks.append_metrics(val.unionByName(test), lay.metrics, version)
     if chosen is not None:
-        _save_artefacts(spark, art, lay.params, version)
-        _save_meta(spark, coefs, lay.meta, version)
-        sinks.write_table(_registry_rows(spark, version, [(old.learner, "base", p), ("stacked", "meta", lay.meta),
-                                                          ("final", chosen, old.learner)]),
-                          lay.registry, ["version"])
-        sinks.write_promotion(promo, lay.promotions, version)
-        sinks.write_ledger(SEL.ledger_from(raw_new, version), lay.ledger)
+        rows = _registry_rows(spark, version, [(old.learner, "base", p), ("stacked", "meta", lay.meta), ("final", chosen, old.learner)])
+        SC.publish(spark, root, version, "ct", chosen, old.learner, raw_new.inputFiles(), [
+            lambda: _save_artefacts(spark, art, lay.params, version),
+            lambda: _save_meta(spark, coefs, lay.meta, version),
+            lambda: sinks.write_table(rows, lay.registry, ["version"]),
+            lambda: sinks.write_promotion(promo, lay.promotions, version),
+            lambda: sinks.write_ledger(SEL.ledger_from(raw_new, version), lay.ledger)])
     return JobResult(version, {"promotions": lay.promotions}, {"chosen": chosen, "coefs": coefs, "learner": old.learner,
                                                                  "old_version": old_version})
 

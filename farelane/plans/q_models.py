@@ -77,7 +77,7 @@ def stack_oof(spark, sf):
         m = ML.fit(tr, "gbt_b", feats, TARGET, MP.gbt_b, prediction="pred_new")
         return m.transform(ap).drop("features")
 
-    _, coefs = ST.stack_oof(base, fit_predict, "pred_old", TARGET, k=MP.oof_folds, alpha=MP.ridge_alpha_ct)
+    _, coefs = ST.stack_oof(base, fit_predict, "pred_old", TARGET, k=MP.oof_folds, alpha=MP.ridge_alpha_ct, folds=S.exact_folds)
     return ST.coef_table(spark, coefs)
 
 
@@ -104,6 +104,15 @@ def gbt_validation_watch(spark, sf):
     return ML.predict(model, t.filter(F.col("split") == "test")).select("trip_id", "prediction")
 
 
+def training_curve(spark, sf):
+    """Training and validation error after every round that the watch kept."""
+    t, _ = processed(spark, sf)
+    feats = ML.feature_columns(t, TARGET)
+    tv = ML.training_table(t.filter(F.col("split").isin("train", "val")).withColumn("is_val", F.col("split") == "val"))
+    model = ML.fit_with_validation(tv, feats, TARGET, "is_val", MP.gbt_a)
+    return ML.training_curve(model, {s: tv.filter(F.col("split") == s) for s in ("train", "val")}, TARGET)
+
+
 def learner_relations(spark, sf):
     """Relations that hold for any sound fit: rows per split, a prediction for
     every validation row, training errors below the train mean's, fold sizes,
@@ -150,6 +159,6 @@ UNION ALL SELECT 'importances_sum_to_one', 1::BIGINT"""
 
 Q["learner_relations"] = learner_relations
 SQL["learner_relations"] = _learner_relations_sql()
-Q.update(gbt_validation_watch=gbt_validation_watch)
+Q.update(gbt_validation_watch=gbt_validation_watch, training_curve=training_curve)
 Q.update(gbt_predict=gbt_predict, feature_importances=feature_importances, model_selection=model_selection,
          stack_oof=stack_oof, score_trips=score_trips)

@@ -95,6 +95,15 @@ SQL["hash_folds"] = f"""WITH {clean_ctes()}
 SELECT trip_id, ({hash_sql()} % 5)::BIGINT AS fold FROM cleaned"""
 
 
+def exact_folds(spark, sf):
+    return comparable(S.exact_folds(_cleaned(spark, sf), k=5, seed=SEED).select("trip_id", "fold"))
+
+
+Q["exact_folds"] = exact_folds
+SQL["exact_folds"] = f"""WITH {clean_ctes()}
+SELECT trip_id, ((row_number() OVER (ORDER BY {hash_sql()}, trip_id) - 1) % 5)::BIGINT AS fold FROM cleaned"""
+
+
 def hash_sample(spark, sf):
     return S.hash_sample(_cleaned(spark, sf), 0.8, seed=SEED).select("trip_id")
 

@@ -158,6 +158,17 @@ def drift_summary(spark, sf):
     return comparable(summary, 6)
 
 
+def drift_w1_sketch(spark, sf):
+    """The third month against the merged sketches of the first two, with the
+    exact distance next to it and whether it lies within the bound."""
+    ref, cur = _ref_cur(spark, sf)
+    months = D.sketch(ref, DRIFT_COLS, ("month",))
+    got = D.wasserstein_sketch(D.merge_sketches(months), D.sketch(cur, DRIFT_COLS))
+    exact = D.wasserstein(ref, cur, DRIFT_COLS).select("feature", F.col("w1").alias("exact"))
+    got = got.join(exact, "feature").withColumn("within", F.abs(F.col("w1") - F.col("exact")) <= F.col("error_bound") + 1e-9)
+    return comparable(got.drop("ref_std").withColumn("within", F.col("within").cast("long")), 4)
+
+
 def quantiles_tied(spark, sf):
     """Quantiles of columns where a dozen values hold all rows."""
     cl = pipeline.clean_trips(load_trips(spark, sf)).withColumn("whole_fare", F.floor("Fare_Amt"))
@@ -185,6 +196,24 @@ cum AS (SELECT c.feature, x,
 w AS (SELECT feature, sum(abs(Fr - Gc) * coalesce(dx, 0)) AS w1 FROM cum GROUP BY feature)"""
 
 
+def _w1_sketch_sql():
+    g = repr(D.GAMMA)
+    rep = f"sign(x) * pow({g}e0, CASE WHEN x = 0 THEN 0 ELSE floor(ln(abs(x)) / ln({g}e0)) END) * {(1 + D.GAMMA) / 2!r}e0"
+    exact = _w1_sql()
+    moved = exact[exact.index("tot AS ("):].replace("tot AS", "tot2 AS").replace("c AS (SELECT feature, x", "c2 AS (SELECT feature, rep AS x") \
+        .replace("FROM long GROUP BY feature, x", "FROM long GROUP BY feature, rep").replace("cum AS", "cum2 AS").replace("SELECT c.feature", "SELECT c2.feature") \
+        .replace("PARTITION BY c.feature", "PARTITION BY c2.feature").replace("FROM c JOIN tot", "FROM c2 JOIN tot2").replace("w AS", "w2 AS").replace("FROM cum", "FROM cum2")
+    exact = exact.replace("long AS (", "melt AS (", 1).replace("tot AS (", f"long AS (SELECT *, {rep} AS rep FROM melt),\ntot AS (", 1)
+    return f"""{exact}, {moved},
+e AS (SELECT feature, sum(r) AS n_ref, sum(1 - r) AS n_cur, avg(abs(x - rep)) FILTER (r = 1) + avg(abs(x - rep)) FILTER (r = 0) AS bound
+      FROM long GROUP BY feature)
+SELECT e.feature, round(w2.w1, 4) AS w1, n_ref::BIGINT AS n_ref, n_cur::BIGINT AS n_cur, round(bound, 4) AS error_bound,
+       round(w.w1, 4) AS exact, (abs(w2.w1 - w.w1) <= bound + 1e-9)::BIGINT AS within
+FROM e JOIN w USING (feature) JOIN w2 USING (feature)"""
+
+
+Q["drift_w1_sketch"] = drift_w1_sketch
+SQL["drift_w1_sketch"] = _w1_sketch_sql()
 Q["drift_w1"] = drift_w1
 SQL["drift_w1"] = _w1_sql() + """
 SELECT w.feature, round(w1, 6) AS w1, nr::BIGINT AS n_ref, nc::BIGINT AS n_cur, round(ref_std, 6) AS ref_std

@@ -5,10 +5,15 @@ Registry rows of a version: ``(learner, "base", path)`` per learner, ``("stacked
 the final candidate and the learner a later version trains anew.  The final
 model of the first version is its best candidate, a single learner or the ridge
 stack of all; of a retrained version it is its new learner.
+
+A version is written in many tables and published by one record, the last write
+(``commits``).  Readers see the rows of published versions only, so a job that
+dies before its record leaves the version before it in force.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
@@ -18,6 +23,7 @@ from pyspark.sql import functions as F
 from farelane.operators import models as ML
 from farelane.operators import selection as SEL
 from farelane.operators import stacking as ST
+from farelane.sources import sinks
 
 
 @dataclass
@@ -69,19 +75,51 @@ def _meta(spark: SparkSession, root: str, version: str) -> dict:
     return {r["column"]: r["value"] for r in rows}
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def publish(spark: SparkSession, root: str, version: str, kind: str, final: str, learner: str, sources: list[str],
+            writes: list[Callable[[], None]]) -> None:
+    """Run ``writes`` (each replaces the version's rows of a table), then write
+    the record that publishes the version."""
+    for write in writes:
+        write()
+    sinks.write_commit(spark, f"{root}/commits", version, kind, final, learner, sources)
+
+
+def published(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+    """The rows of ``root/table`` that belong to published versions; None if
+    no version is."""
+    if not _exists(spark, f"{root}/commits") or not _exists(spark, f"{root}/{table}"):
+        return None
+    versions = spark.read.parquet(f"{root}/commits").select("version")
+    # a row per version
+    return spark.read.parquet(f"{root}/{table}").join(F.broadcast(versions), "version", "left_semi")
+
+
+def registry(spark: SparkSession, root: str) -> DataFrame:
+    reg = published(spark, root, "registry")
+    if reg is None:
+        raise ValueError(f"no version is published under {root}")
+    return reg
+
+
 def promotions(spark: SparkSession, root: str) -> DataFrame:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/promotions")
-    if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-        return spark.read.parquet(f"{root}/promotions").select("version", "chosen_on_val")
+    p = published(spark, root, "promotions")
+    if p is not None:
+        return p.select("version", "chosen_on_val")
     return spark.createDataFrame([], "version string, chosen_on_val string")
 
 
 def final_model(spark: SparkSession, root: str, version: str) -> FinalModel:
-    reg = spark.read.parquet(f"{root}/registry").filter(F.col("version") == version).collect()
+    rows = registry(spark, root).filter(F.col("version") == version)
+    reg = rows.collect()
     final = [r for r in reg if r["model_key"] == "final"]
     if not final:
         raise ValueError(f"{version} has no final model in the registry")
-    base = {r["model_key"]: r["path"] for r in reg if r["kind"] == "base"}
+    base = {r["model_key"]: r["path"] for r in SEL.newest_artifact(rows.filter("kind = 'base'")).collect()}
     learner = final[0]["path"]
     if final[0]["kind"] == "stacked" and len(base) > 1:     # the first version's stack of all learners
         return FinalModel(version, learner, {k: PipelineModel.load(p) for k, p in sorted(base.items())}, _meta(spark, root, version))
@@ -90,7 +128,7 @@ def final_model(spark: SparkSession, root: str, version: str) -> FinalModel:
 
 def resolve(spark: SparkSession, root: str, version: str | None = None) -> Scorer:
     """The scorer of a version (default: the latest)."""
-    reg = spark.read.parquet(f"{root}/registry")
+    reg = registry(spark, root)
     version = version or SEL.latest_version(reg).first()["latest"]
     r = SEL.scoring_resolution(reg, promotions(spark, root)).filter(F.col("version") == version).first()
     if r is None:

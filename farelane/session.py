@@ -90,16 +90,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _STAGES: list[str] = []
 
 
-def materialize(df):
+def materialize(df, partition_by=()):
     """Cut the lineage: write ``df`` as a Parquet table under the shared
     checkpoint folder and read it back.  One pass (``Dataset.checkpoint``
     computes its input twice unless cached), columnar on disk, and it survives
-    executor loss, unlike local checkpoints.  Jobs run in a
+    executor loss, unlike local checkpoints.  ``partition_by``: columns whose
+    values become folders, so that a reader of some reads only those.  Jobs run in a
     :func:`stage_scope`, which deletes the table when they end."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/farelane-stage-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     _STAGES.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -114,6 +115,15 @@ def stage_scope(spark):
         drop_stages(spark, [p for p in _STAGES if p not in before])
 
 
+def settled(spark, make):
+    """``materialize(make())``, without the stage tables that ``make`` wrote on
+    the way: for a caller that goes on with the result."""
+    before = set(_STAGES)
+    out = materialize(make())
+    drop_stages(spark, [p for p in _STAGES[:-1] if p not in before])
+    return out
+
+
 def drop_stages(spark, paths: list[str] | None = None) -> int:
     """Delete stage tables written by :func:`materialize` (all that this
     process wrote, or ``paths``); returns how many went.  Frames that read

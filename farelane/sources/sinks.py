@@ -8,7 +8,7 @@ re-run replaces only its own version.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -45,6 +45,14 @@ def write_promotion(promo: DataFrame, path: str, version: str) -> None:
                 path, ["version"])
 
 
+def write_commit(spark: SparkSession, path: str, version: str, kind: str, final: str, learner: str, sources: list[str]) -> None:
+    """The record that makes a version: what it is, when it was made, and the
+    files that it was made from."""
+    row = spark.createDataFrame([(version, kind, final, learner, sorted(sources))],
+                                "version string, kind string, final string, learner string, sources array<string>")
+    write_table(row.withColumn("created_at", F.current_timestamp()).coalesce(1), path, ["version"])
+
+
 def write_routes_csv(routes: DataFrame, path: str, mode: str = "append") -> None:
     """Routes as CSV with header, six decimals."""
     r = routes.withColumns({c: F.round(c, 6) for c in ("route_distance_m", "route_duration_s")})

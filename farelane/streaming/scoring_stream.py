@@ -7,18 +7,25 @@ query is stateless (no watermark needed) and every micro-batch is
 independent; the checkpoint location makes it restart where it stopped.
 
 With ``provider`` instead of a routes table, each micro-batch runs the batch
-path in ``foreachBatch`` (the batch's distinct keys -> provider), appending the
-scored rows to ``output``.
+path in ``foreachBatch``.  A batch that fails half-way is run again, so what it
+does can be done twice: its rows overwrite a folder of the query's and the
+batch's own, and its routes go through a cache that all batches share, so
+that no fare is written and no key is asked for a second time.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelane.operators import models as ML
+from farelane.operators import prep
+from farelane.operators import routes as R
 from farelane.plans import pipeline
+from farelane.session import materialize, stage_scope
 
 REQUEST_SCHEMA = ("trip_id long, Trip_Pickup_DateTime string, Passenger_Count double, Start_Lon double, "
                   "Start_Lat double, End_Lon double, End_Lat double")
@@ -40,10 +47,30 @@ def score(requests: DataFrame, artefacts: dict, scorer, routes: DataFrame | None
     return out.select(*keep, *cols)
 
 
+def batch_writer(output: str, checkpoint: str, artefacts: dict, model, provider, route_cache: str | None = None):
+    """What a micro-batch does: fetch the routes that the cache lacks, score,
+    and overwrite the folder of this query and batch number."""
+    cache = route_cache or f"{output.rstrip('/')}_routes"
+    # batch numbers start anew with a new checkpoint
+    query = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:8]
+
+    def batch(df: DataFrame, epoch: int) -> None:
+        with stage_scope(df.sparkSession):
+            requests = pipeline.ingest_requests(df)
+            # a missing coordinate is filled before its route is looked up
+            requests = materialize(prep.transform_imputer(requests, artefacts["imputer"]))
+            routes = R.update_route_cache(df.sparkSession, requests, provider, cache)
+            score(requests, artefacts, model, routes=routes).write.mode("overwrite").parquet(f"{output.rstrip('/')}/query={query}/batch={epoch}")
+    return batch
+
+
 def start(spark: SparkSession, source: str, output: str, checkpoint: str, artefacts: dict,
           model, routes: DataFrame | None = None, provider=None,
-          schema: str = REQUEST_SCHEMA, available_now: bool = True):
-    """Start the streaming scoring query (Parquet files in, Parquet out)."""
+          schema: str = REQUEST_SCHEMA, available_now: bool = True, route_cache: str | None = None):
+    """Start the streaming scoring query (Parquet files in, Parquet out).  With
+    ``provider``, ``route_cache`` names the routes table that batches read and
+    extend (default: beside ``output``); the output's folders are ``query`` (of the
+    checkpoint) and ``batch``."""
     stream = spark.readStream.schema(schema).parquet(source)
     trig = {"availableNow": True} if available_now else {"processingTime": "10 seconds"}
     if routes is not None:
@@ -51,8 +78,6 @@ def start(spark: SparkSession, source: str, output: str, checkpoint: str, artefa
         return (scored.writeStream.format("parquet").option("path", output)
                 .option("checkpointLocation", checkpoint).outputMode("append").trigger(**trig).start())
 
-    def batch(df: DataFrame, epoch: int) -> None:
-        score(df, artefacts, model, provider=provider).write.mode("append").parquet(output)
-
+    batch = batch_writer(output, checkpoint, artefacts, model, provider, route_cache)
     return (stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
             .trigger(**trig).start())

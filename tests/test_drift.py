@@ -53,3 +53,21 @@ def test_shift_equals_offset(spark):
     b = a.select((F.col("x") + 2.5).alias("x"))
     r = D.wasserstein(a, b, ["x"]).first()
     assert r["w1"] == pytest.approx(2.5, rel=1e-9)
+
+
+def test_sketches_merge_and_bound(spark, halves):
+    """Three months merged are one sketch of all rows; W1 is within the bound; the deviation is exact."""
+    ref, cur = halves
+    ref = ref.withColumns({"month": F.col("trip_id") % 3, "signed": F.when(F.col("trip_id") % 7 == 0, 0.0).otherwise(F.col("Fare_Amt") - 30)})
+    cur = cur.withColumn("signed", F.col("Fare_Amt") - 25)
+    cols = [*COLS, "signed"]
+    months, whole = D.sketch(ref, cols, ("month",)), D.sketch(ref, cols)
+    key = ["feature", "sign", "bucket"]
+    a = {tuple(r[k] for k in key): r for r in D.merge_sketches(months).collect()}
+    b = {tuple(r[k] for k in key): r for r in whole.collect()}
+    assert a.keys() == b.keys() and all(a[k]["n"] == b[k]["n"] and a[k]["moved"] == pytest.approx(b[k]["moved"], abs=1e-9) for k in a)
+    got = {r["feature"]: r for r in D.wasserstein_sketch(D.merge_sketches(months), D.sketch(cur, cols)).collect()}
+    for r in D.wasserstein(ref, cur, cols).collect():
+        s = got[r["feature"]]
+        assert abs(s["w1"] - r["w1"]) <= s["error_bound"] + 1e-9 and (s["n_ref"], s["n_cur"]) == (r["n_ref"], r["n_cur"])
+        assert s["ref_std"] == pytest.approx(r["ref_std"], rel=1e-9) and s["error_bound"] < 0.02 * (abs(r["ref_std"]) + 100)

@@ -205,3 +205,56 @@ def test_registered_queries_use_the_shipped_settings():
     from farelane.plans import q_models
     assert q_models.MP == ModelParams()
     assert (q_models.MP.gbt_a["maxIter"], q_models.MP.gbt_b["maxIter"], q_models.MP.forest["numTrees"]) == (550, 400, 60)
+
+
+def _toy(spark, n=400):
+    return spark.range(n).select(F.col("id").alias("trip_id"), (F.col("id") % 17).cast("double").alias("a"),
+                                 (F.col("id") * 7919 % 101).cast("double").alias("b")).withColumn(
+        "y", F.col("a") * F.col("a") + F.sin("b")).withColumn("is_val", F.col("trip_id") % 4 == 0)
+
+
+def test_concurrent_fits_equal_sequential_ones(spark):
+    from farelane.operators import models as ML
+    table = ML.training_table(_toy(spark))
+    p = dict(maxIter=4, maxDepth=3, subsamplingRate=0.7, seed=3)
+
+    def fit(name, depth):
+        return ML.fit(table, name, ["a", "b"], "y", p | {"maxDepth": depth} if name == "gbt_a" else dict(numTrees=3, maxDepth=depth, seed=1))
+    fits = {f"{n}{d}": (lambda n=n, d=d: fit(n, d)) for n in ("gbt_a", "forest") for d in (2, 3)}
+    together = ML.concurrently(spark, fits, at_once=3)
+    assert list(together) == list(fits)
+    for k, f in fits.items():
+        assert together[k].stages[-1].toDebugString.split("\n", 1)[1] == f().stages[-1].toDebugString.split("\n", 1)[1]
+
+    def bad():
+        raise RuntimeError("no fit")
+    with pytest.raises(RuntimeError):
+        ML.concurrently(spark, {"x": bad, "y": lambda: 1})
+
+
+def test_training_curve_is_the_error_of_every_round(spark):
+    from farelane.operators import models as ML
+    df = _toy(spark)
+    model = ML.fit_with_validation(df, ["a", "b"], "y", "is_val", dict(maxIter=6, maxDepth=3, seed=1))
+    sets = {"train": df.filter("not is_val"), "val": df.filter("is_val"), "none": df.filter("false")}
+    curve = ML.training_curve(model, sets, "y")
+    gbt = model.stages[-1]
+    got = {(r["round"], r["set"]): r["rmse"] for r in curve.collect()}
+    assert set(got) == {(i + 1, s) for i in range(gbt.getNumTrees) for s in ("train", "val")}
+    for s in ("train", "val"):
+        data, pred = model.stages[0].transform(sets[s]), 0.0
+        rows = data.select("y").collect()
+        total = [0.0] * len(rows)
+        for i, (tree, w) in enumerate(zip(gbt.trees, gbt.treeWeights)):
+            part = [r["prediction"] for r in tree.transform(data.drop("prediction")).collect()]
+            total = [t + w * x for t, x in zip(total, part)]
+            rmse = (sum((r["y"] - t) ** 2 for r, t in zip(rows, total)) / len(rows)) ** 0.5
+            assert got[i + 1, s] == pytest.approx(rmse, rel=1e-9)
+    assert ML.best_round(curve) == gbt.getNumTrees  # the watch keeps the rounds up to the best one
+
+
+def test_exact_folds(spark):
+    from farelane.operators import split as S
+    df = spark.range(103).select(F.when(F.col("id") > 5, F.col("id")).alias("trip_id"))
+    n = [r["count"] for r in S.exact_folds(df, 5).groupBy("fold").count().collect()]
+    assert sorted(n) == [20, 20, 21, 21, 21] and S.exact_folds(df.filter("false"), 5).count() == 0
