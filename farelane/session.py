@@ -124,6 +124,13 @@ def settled(spark, make):
     return out
 
 
+def drop_frame(df) -> None:
+    """Delete the stage table that ``df`` reads directly, if it is one."""
+    mine = {p.split("/")[-1]: p for p in _STAGES}
+    found = {mine[d] for f in df.inputFiles() for d in f.split("/") if d in mine}
+    drop_stages(df.sparkSession, list(found))
+
+
 def drop_stages(spark, paths: list[str] | None = None) -> int:
     """Delete stage tables written by :func:`materialize` (all that this
     process wrote, or ``paths``); returns how many went.  Frames that read
