@@ -61,8 +61,14 @@ WRAPPER_NAMES = frozenset(
 #: Names of what may hold articles of its own.
 STRICT_NAMES = frozenset("comment comments disqus replies respond cookie cookies consent gdpr".split())
 HEADER_NAMES = frozenset(("header", "site-header", "page-header"))
-#: An element named so as a state of the page is not the thing itself.
-STATES = frozenset("has no with without is".split())
+#: Names that begin so tell a state or a category of the page, not what the element is.
+STATES = frozenset("has no with without is category cat tag term tags topic keyword format status postid".split())
+#: So do names that end so.
+STATE_ENDS = frozenset("open opened closed close enabled disabled allowed active on off visible".split())
+#: What is around a thing may hold more than it.
+WRAP_ENDS = frozenset("wrap wrapper container outer inner holder layout".split())
+#: Names of an article, whatever else its class names say.
+POST_NAMES = frozenset("post entry hentry article story".split())
 WRAPPERS = frozenset(("html", "body", "main"))
 CONTENT_TAGS = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
@@ -91,18 +97,23 @@ class Wrapper:
     articles: int = 0
 
 
-def _names(value: str) -> set[str]:
-    out = set()
+def _names(value: str) -> tuple[set[str], set[str], bool]:
+    """(words of names that name the element, words of names around a thing,
+    whether a name says that it is an article)."""
+    own, around, post = set(), set(), False
     for name in value.split():
         parts = [x.lower() for x in regex.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])", name)]
-        if parts and parts[0] not in STATES:
-            out.update(parts)
-    return out
+        post |= bool(parts) and parts[0] in POST_NAMES and len(parts) == 1
+        if parts and parts[0] not in STATES and not (len(parts) > 1 and parts[-1] in STATE_ENDS):
+            (around if len(parts) > 1 and parts[-1] in WRAP_ENDS else own).update(parts)
+    return own, around, post
 
 
-def _kind(tag: str, attrs: str, in_content: bool) -> str:
+def _kind(tag: str, attrs: str, in_content: bool, named: bool = True) -> str:
     """"drop", "named" or "wrap" (dropped unless it holds the article; or most
-    of the text), "content" or "" for an opened element."""
+    of the text), "content" or "" for an opened element.  An article outside
+    any other is none of the rest by a name alone if a name says so, or if only
+    weak names say otherwise.  Without ``named`` only strict names count."""
     if tag in DROPPED_TAGS and tag not in ("form", "fieldset"):
         return "drop"
     if tag == "header" and not in_content:
@@ -115,12 +126,16 @@ def _kind(tag: str, attrs: str, in_content: bool) -> str:
             return "drop"
         if regex.search(r"display\s*:\s*none", found.get("style", ""), regex.I):
             return "drop"
-        names = _names(found.get("class", "") + " " + found.get("id", ""))
+        names, around, post = _names(found.get("class", "") + " " + found.get("id", ""))
         marks = names & DROPPED_NAMES
-        if marks & STRICT_NAMES:
+        article = tag == "article" and not in_content
+        if marks & STRICT_NAMES and not (article and post):
             return "drop"
-        if marks or "header" in names and not in_content:
-            return "wrap" if marks and marks <= WRAPPER_NAMES else "named"
+        if named and not (article and (post or marks <= WRAPPER_NAMES)):
+            if marks or "header" in names and not in_content:
+                return "wrap" if marks and marks <= WRAPPER_NAMES else "named"
+            if around & DROPPED_NAMES:
+                return "wrap"
     if tag in ("form", "fieldset"):
         return "wrap"
     if tag in CONTENT_TAGS or found.get("role", "").lower() == "main" or found.get("itemprop", "").lower() == "articlebody":
@@ -128,8 +143,9 @@ def _kind(tag: str, attrs: str, in_content: bool) -> str:
     return ""
 
 
-def blocks(page: str) -> list[Block]:
-    """The page's blocks of text in order."""
+def blocks(page: str, named: bool = True) -> list[Block]:
+    """The page's blocks of text in order; without ``named``, names other than
+    the strict ones drop nothing."""
     out: list[Block] = []
     stack: list[tuple[str, str]] = []
     parts: list[tuple[str, bool]] = []
@@ -203,7 +219,7 @@ def blocks(page: str) -> list[Block]:
                         break
         if tag in VOID or attrs.rstrip().endswith("/") and tag in ("path", "circle", "use"):
             continue
-        kind = _kind(tag, attrs, count["content"] > 0)
+        kind = _kind(tag, attrs, count["content"] > 0, named)
         if form and tag in ("label", "legend", "output"):
             kind = "drop"
         if kind and not block:  # an inline advert or the like is a block of its own
@@ -324,6 +340,12 @@ def main_text(page: str | None) -> str:
         return ""
     found = blocks(page)
     classify(found)
+    if not any(b.label for b in found):
+        # names took everything: long blocks with few links are no menu or notice
+        best = blocks(page, named=False)
+        classify(best)
+        if any(b.label and _size(b) >= LONG and b.links <= LINKS * len(b.text) for b in best):
+            found = best
     return " ".join(b.text for b in found if b.label)
 
 
@@ -336,7 +358,8 @@ def _main_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     """``pages`` without the html, with ``text`` (the main text; empty for null
     and for pages without any) and ``n_chars`` (its code points); names get
-    ``_`` appended if ``pages`` has them.  Repeated rows stay."""
+    ``_`` appended if ``pages`` has them.  Repeated rows stay, pages of any
+    length are read whole, an empty table gives an empty one."""
     text, n = fresh(pages.drop(html), "text", "n_chars")
     return (pages.withColumn(text if text != html else text + "_", _main_text(quoted(html))).drop(html)
             .withColumn(n, F.length(quoted(text)).cast("long")))

@@ -90,11 +90,13 @@ class LanguageModel:
         self.logp = np.log(p / p.sum(axis=1, keepdims=True)).astype(np.float32).T.copy()  # bucket x language
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", max_langs: int = 400) -> LanguageModel:
-    """Learn from all rows with a language and a text."""
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", max_langs: int | None = None) -> LanguageModel:
+    """Learn from all rows with a language and a text; any number of languages,
+    unless ``max_langs`` is given, which more languages than that raise."""
     rows = docs.select(quoted(lang).alias("y"), quoted(text).alias("t")).filter("y is not null and t is not null")
-    langs = sorted(r[0] for r in rows.select("y").distinct().limit(max_langs + 1).collect())
-    if len(langs) > max_langs:
+    found = rows.select("y").distinct()
+    langs = sorted(r[0] for r in (found if max_langs is None else found.limit(max_langs + 1)).collect())
+    if max_langs is not None and len(langs) > max_langs:
         raise ValueError(f"more than {max_langs} languages")
     counts = np.zeros((len(langs), BUCKETS), np.int64)
     if langs:
@@ -136,22 +138,21 @@ def infer(words_ll: np.ndarray, doc: np.ndarray, docs: int, rounds: int = 6, mor
     chosen[np.arange(len(ids)), best] = 1
     # one language is best unless all together gain more than one penalty
     open_ = np.flatnonzero((2 * (ll - one.max(axis=1)) > 0.9 * penalty) | (top != best))
-    if len(open_):
-        sel = np.isin(np.repeat(np.arange(len(ids)), n), open_)
-        q, m = p[sel], n[open_]
-        a = np.concatenate([[0], np.cumsum(m)[:-1]])
-        order = np.argsort(-pi[open_], axis=1)
-        least = -2 * one[open_].max(axis=1)
-        for k in range(2, langs + 1):
-            allowed = np.zeros((len(open_), langs))
-            np.put_along_axis(allowed, order[:, :k], 1, axis=1)
-            got, value = _em(q, a, m, allowed, more)
-            crit = -2 * value + (k - 1) * penalty[open_]
-            better = crit < least
-            chosen[open_[better]] = got[better]
-            least = np.minimum(least, crit)
-            if not better.any():
-                break
+    owner = np.repeat(np.arange(len(ids)), n)
+    order = np.argsort(-pi, axis=1, kind="stable")
+    least = -2 * one.max(axis=1)
+    for k in range(2, langs + 1):
+        if not len(open_):
+            break
+        m = n[open_]
+        allowed = np.zeros((len(open_), langs))
+        np.put_along_axis(allowed, order[open_, :k], 1, axis=1)
+        got, value = _em(p[np.isin(owner, open_)], np.concatenate([[0], np.cumsum(m)[:-1]]), m, allowed, more)
+        crit = -2 * value + (k - 1) * penalty[open_]
+        better = crit < least[open_]
+        # a document's search ends when it doesn't gain, whatever the others do
+        open_, got = open_[better], got[better]
+        chosen[open_], least[open_] = got, crit[better]
     out[ids] = chosen
     return out
 
@@ -206,3 +207,20 @@ def identified_only(docs: DataFrame, text: str = "text", lang: str = "lang") ->
         return docs.filter(quoted(text).rlike(r"\p{L}"))
     marked = docs.withColumn(pred, predictor(model)(quoted(text))["lang_pred"])
     return marked.filter(quoted(pred) != "und").drop(pred)
+
+
+def labelled(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """``docs`` (all columns) without the rows whose language can't be told
+    (``und``: null texts and texts without a letter), with ``lang`` put right:
+    a label stays if it is among the languages inferred from the text; a null
+    label, or one that the text has nothing of, becomes the text's first language.
+    The model is learned from the rows with a label.  Repeated rows all stay; very
+    long texts are read whole; an empty table gives an empty one."""
+    got, = fresh(docs, "got")
+    model = fit(docs, text, lang)
+    if not model.langs:  # nothing to learn from: the letters alone decide
+        return docs.filter(quoted(text).rlike(r"\p{L}"))
+    marked = docs.withColumn(got, predictor(model)(quoted(text))).filter(F.col(f"{got}.lang_pred") != "und")
+    known = F.exists(F.col(f"{got}.languages"), lambda x: x["lang"] == quoted(lang))
+    right = F.when(F.coalesce(known, F.lit(False)), quoted(lang)).otherwise(F.col(f"{got}.lang_pred"))
+    return marked.select(*[right.alias(c) if c == lang else quoted(c) for c in docs.columns])

@@ -20,13 +20,16 @@ rows / rows_per_partition x shards entries (1e10 rows: 200,000 x 40).
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from farelane.llm.common import cells_for, fresh, quoted, random_key, ranked, told_apart, unit
+from farelane.session import materialize
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
@@ -99,6 +102,63 @@ def shuffle_to_shards(df: DataFrame, shards: int = 40, seed: int = 17, rows_per_
     return ranked(sent, [shard], k3, cells, slot).drop(k3)
 
 
+def _in_order(df: DataFrame) -> tuple[DataFrame, Column, Column]:
+    """``df`` with the names and row indexes of its files, in whose order its
+    rows stand; a frame that doesn't read files directly is written first."""
+    try:
+        meta = df.metadataColumn("_metadata")
+        df.select(meta["row_index"])
+    except AnalysisException:
+        df = materialize(df)
+        meta = df.metadataColumn("_metadata")
+    return df, meta["file_name"], meta["row_index"]
+
+
+def shards_in_order(df: DataFrame, shards: int = 40, seed: int = 17, window_rows: int = 50_000) -> DataFrame:
+    """:func:`shuffle_to_shards` that keeps the order of ``df`` on the large:
+    the partitions of the communication matrix are windows of at most
+    ``window_rows`` consecutive rows (files by name, rows by index), and a shard
+    holds its rows window by window, permuted within each.  So the rows of a
+    window go to all shards in hypergeometric numbers, and what a prefix of the
+    table is made of, a prefix of every shard is made of, to the draw.
+
+    Every row is kept, nulls, empty texts and repeated rows too.  Shards differ
+    by one row at most; fewer rows than shards leave the last shards empty, an
+    empty table gives none.  Names get ``_`` appended if ``df`` has them."""
+    if shards < 1:
+        raise ValueError("shards must be at least 1")
+    spark = df.sparkSession
+    k2, k3, win, rank, bounds, offs, mw, file, first, shard, slot = fresh(
+        df, "key2", "key3", "window", "rank", "bounds", "offsets", "matrix_window", "file", "first_window", "shard", "slot")
+    columns = df.columns
+    rows, name, index = _in_order(df)
+    rows = rows.withColumns({file: name, win: index})
+    key = F.xxhash64(F.lit(seed), quoted(file), quoted(win))
+    # one row per file: its rows, and so its windows, are known from the last index
+    sizes = {r[0]: r[1] + 1 for r in rows.groupBy(file).agg(F.max(win)).collect()}
+    order = sorted(sizes, key=lambda f: (int(m[1]) if (m := re.match(r"part-(\d+)", f)) else -1, f))
+    starts, windows = [], []
+    for f in order:
+        starts.append((f, len(windows)))
+        windows += [min(window_rows, sizes[f] - at) for at in range(0, sizes[f], window_rows)]
+    total = sum(windows)
+    matrix = communication_matrix(windows, [total // shards + (j < total % shards) for j in range(shards)], seed)
+    upto = np.cumsum(matrix, axis=1)
+    before = np.cumsum(matrix, axis=0) - matrix
+    table = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(zip(upto.tolist(), before.tolist()))],
+                                  f"{mw} long, {bounds} array<long>, {offs} array<long>")
+    files = F.broadcast(spark.createDataFrame(starts, f"{file} string, {first} long"))  # one row per file
+    # the random number hangs on the place, so it is the same in every run of a task
+    placed = (rows.withColumns({k2: key, k3: F.xxhash64(F.lit(3), key)}).join(files, file)
+              .withColumn(win, quoted(first) + F.floor(quoted(win) / window_rows)).drop(file, first))
+    local = placed.withColumn(rank, F.row_number().over(Window.partitionBy(win).orderBy(k2)) - 1)
+    sent = (local.join(table, quoted(win) == quoted(mw))
+            .withColumn(shard, F.size(F.filter(bounds, lambda b: b <= quoted(rank))).cast("int")))
+    inside = F.row_number().over(Window.partitionBy(win, shard).orderBy(k3))
+    done = sent.withColumn(slot, (F.get(quoted(offs), quoted(shard)) + inside - 1).cast("long"))
+    return done.select(*[quoted(c) for c in columns], quoted(shard), quoted(slot))
+
+
 def shard_digest(docs: DataFrame, shards: int = 40, seed: int = 17, rows_per_partition: int = 50_000) -> DataFrame:
     """The shard of every document with the digest columns of its text: size
     (UTF-8 bytes, 0 for null, plus 16) and CRC-32 (of nothing for null)."""

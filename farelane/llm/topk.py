@@ -224,7 +224,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, routing_vectors: i
              .select("dim", "pivot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"),
                      F.pmod(F.xxhash64(F.lit(3), "query_id"), F.lit(blocks)).cast("int").alias("block"),
                      "query_id", "qhash", "v", "floor"))
-    copies = nodes.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    # a page travels to the blocks with a query that reaches it, to no others
+    reach = materialize(reach)
+    wanted = reach.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(*[F.col(c).alias(f"to_{c}") for c in keys])
+    at = (F.col("to_dim") == F.col("dim")) & (F.col("to_pivot") == F.col("pivot")) & (F.col("to_slot") == F.col("slot"))
+    copies = nodes.join(wanted, at).select(*nodes.columns, F.col("to_block").alias("block"))
     hits = copies.groupBy(*keys).cogroup(reach.groupBy(*keys)).applyInPandas(_search(routing, m2, k), out)
     w = Window.partitionBy("query_id", "qhash").orderBy(F.desc("score"), "vec_id")
     return (hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

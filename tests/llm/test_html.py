@@ -1,6 +1,8 @@
 import re
 import html as htmllib
 
+import pytest
+
 from farelane.llm import html_extract as hx
 from tests.llm import frames
 
@@ -90,3 +92,33 @@ def test_odd_rows(spark):
     by = {r["page_id"]: r["text_"] for r in got}
     assert by[1] == "" and by[2] == "" and by[None] == LONG and len(by[3]) == 7 * 30_000 - 1
     assert hx.extract(df.filter("false")).count() == 0
+
+
+LONG_TEXT = "The council met on Tuesday and it was said that the plan for the new bridge is to be put to the vote in the spring of the year."
+
+
+@pytest.mark.parametrize("open_, close", [
+    ('<main><article class="post category-cookies tag-baking">', "</article></main>"),
+    ('<article class="post comments-open">', "</article>"),
+    ('<div class="post comments-enabled">', "</div>"),
+    ('<div class="content-sidebar-wrap">', "</div>"),
+    ('<body class="single comments-closed has-sidebar"><div class="sidebar-container">', "</div></body>"),
+    ('<div id="page" class="site cookie-notice-active"><article class="hentry status-publish tag-newsletter">', "</article></div>"),
+    ('<article class="entry social">', "</article>"),
+    ('<div class="elementor-widget-container">', "</div>")])
+def test_names_of_states_and_categories_take_nothing(open_, close):
+    menu = '<nav><a href="/">Home</a> <a href="/a">About</a></nav>'
+    page = f"<html>{menu}{open_}<p>{LONG_TEXT}</p><p>{LONG_TEXT}</p>{close}<div class='cookie-notice'>We use cookies to make the site better for you and for us and for all.</div></html>"
+    assert hx.main_text(page) == f"{LONG_TEXT} {LONG_TEXT}"
+
+
+@pytest.mark.parametrize("mark", ["comments", "comment-list", "comments-area", "cookie-banner", "sidebar", "sidebar-wrapper", "ads", "newsletter-wrap"])
+def test_what_is_named_goes(mark):
+    page = f"<article><p>{LONG_TEXT}</p><p>{LONG_TEXT}</p></article><div class='{mark}'><p>{LONG_TEXT[::-1]}</p></div>"
+    assert hx.main_text(page) == f"{LONG_TEXT} {LONG_TEXT}"
+    page = f"<div><p>{LONG_TEXT}</p><p>{LONG_TEXT}</p></div><div class='{mark}'><p>The readers said that it is not the best of all of the plans there are for it.</p></div>"
+    assert hx.main_text(page) == f"{LONG_TEXT} {LONG_TEXT}"
+
+
+def test_comments_only_give_no_text():
+    assert hx.main_text(f"<ol class='comment-list'><li><article class='comment-body'><p>{LONG_TEXT}</p></article></li></ol>") == ""

@@ -100,3 +100,32 @@ def test_words_of_a_batch_stay_in_their_document():
     g, first, doc = langid.trigrams(texts)
     assert doc.tolist() == [0, 0, 2, 3] and len(g) == 7 and first.tolist() == [0, 2, 4, 5]
     assert os.path.exists(SF001)
+
+
+def test_a_text_alone_and_in_any_batch():
+    """Mixed texts: the search over language sets ends for each on its own."""
+    rng = np.random.default_rng(12)
+    ll = []
+    for d in range(40):
+        n = int(rng.integers(3, 40))
+        own = rng.choice(6, size=int(rng.integers(1, 5)), replace=False)
+        x = rng.normal(-9, 1, (n, 6))
+        x[np.arange(n), rng.choice(own, n)] += rng.exponential(2.5, n)
+        ll.append(x)
+    doc = np.repeat(np.arange(40), [len(x) for x in ll])
+    together = langid.infer(np.concatenate(ll), doc, 40)
+    for d, x in enumerate(ll):
+        assert np.allclose(langid.infer(x, np.zeros(len(x), int), 1)[0], together[d], atol=1e-12)
+    assert ((together > 0).sum(axis=1) > 1).any()
+
+
+def test_labels_are_put_right(spark):
+    en, de = "the cat and the dog went to the house of the man ", "der hund und die katze gehen in das haus von dem mann "
+    rows = [(i, en * 3, "en") for i in range(6)] + [(10 + i, de * 3, "de") for i in range(6)]
+    rows += [(20, en * 4, None), (21, de * 4, "en"), (22, en * 2, "xx"), (23, "12 ?!", "en"), (24, None, "en"), (25, en * 2 + de * 2, "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("got", F.lit(1))
+    out = langid.labelled(df)
+    got = {r["doc_id"]: r["lang"] for r in out.collect()}
+    assert out.columns == df.columns and set(got) == {r[0] for r in rows} - {23, 24}
+    assert got[20] == "en" and got[21] == "de" and got[25] == "de" and all(got[i] == "en" for i in range(6))
+    assert langid.labelled(df.filter("false")).count() == 0
