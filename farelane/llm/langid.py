@@ -220,7 +220,8 @@ def labelled(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFra
     model = fit(docs, text, lang)
     if not model.langs:  # nothing to learn from: the letters alone decide
         return docs.filter(quoted(text).rlike(r"\p{L}"))
-    marked = docs.withColumn(got, predictor(model)(quoted(text))).filter(F.col(f"{got}.lang_pred") != "und")
+    # exploded, so that the filter and the label below read one result of the model
+    marked = docs.withColumn(got, F.explode(F.array(predictor(model)(quoted(text))))).filter(F.col(f"{got}.lang_pred") != "und")
     known = F.exists(F.col(f"{got}.languages"), lambda x: x["lang"] == quoted(lang))
     right = F.when(F.coalesce(known, F.lit(False)), quoted(lang)).otherwise(F.col(f"{got}.lang_pred"))
     return marked.select(*[right.alias(c) if c == lang else quoted(c) for c in docs.columns])
