@@ -47,6 +47,34 @@ def test_ties_are_one_row(spark, monkeypatch):
     assert seen and max(seen) <= 12
 
 
+def _spread(spark, n):
+    """Distinct values, in no order, some of them missing."""
+    return spark.range(n).select((F.xxhash64("id") / 1e9).alias("x"), F.when(F.col("id") % 9 > 0, F.sqrt("id")).alias("y"))
+
+
+def test_only_brackets_are_ranked(spark, monkeypatch):
+    """200,000 distinct values: what is range-shuffled is the brackets and the gaps."""
+    df, probs = _spread(spark, 200_000), [0.0, 0.25, 0.5, 0.75]
+    seen = []
+    real = ranges.materialize
+    monkeypatch.setattr(ranges, "materialize", lambda d: (seen.append(d.count()), real(d))[1])
+    got = {(r["column"], r["p"]): r["value"] for r in quantiles(df, ["x", "y"], probs).collect()}
+    exact = df.agg(*[F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c) for c in "xy"]).first()
+    assert got == {(c, p): pytest.approx(v, rel=1e-12) for c in "xy" for p, v in zip(probs, exact[c])}
+    assert len(seen) == 1 and seen[0] < 0.01 * 2 * 200_000
+
+
+def test_rank_outside_its_bracket_widens_it(spark, monkeypatch):
+    """A sketch that is off by a tenth of the rows costs passes, not exactness."""
+    df, passes = _spread(spark, 60_000).withColumn("g", F.when(F.col("x") > 0, 1)), []
+    real = ranges.materialize
+    monkeypatch.setattr(ranges, "materialize", lambda d: (passes.append(1), real(d))[1])
+    got = {(r["g"], r["p"]): r["value"] for r in quantiles(df, "x", [0.1, 0.5, 1.0], ["g"], accuracy=4).collect()}
+    exact = {r["g"]: r["v"] for r in df.groupBy("g").agg(F.percentile("x", F.array(F.lit(0.1), F.lit(0.5), F.lit(1.0))).alias("v")).collect()}
+    assert got == {(g, p): pytest.approx(v, rel=1e-12) for g in exact for p, v in zip([0.1, 0.5, 1.0], exact[g])}
+    assert len(passes) > 1
+
+
 def test_empty_null_and_single(spark):
     df = spark.createDataFrame([(None,), (float("nan"),)], "x double")
     assert quantiles(df, ["x"], [0.5]).count() == 0
