@@ -51,7 +51,7 @@ def size_partitions(sample: int = 16, threshold: float = THRESHOLD, miss: float
     """Sample size and least hits of each size class (class c: 2^c <= n < 2^(c+1))."""
     out = []
     for c in range(SIZE_CLASSES):
-        sizes = range(2 ** c, min(2 ** (c + 1), 2 ** c + 64)) if c < 12 else [2 ** 12]
+        sizes = range(2 ** c, 2 ** (c + 1)) if c < 12 else [2 ** 12]
         out.append({"size_class": c, "sample": sample,
                     "hits": min(least_hits(n, min(n, sample), threshold, miss) for n in sizes)})
     return out

@@ -1,3 +1,4 @@
+import math
 import re
 
 import numpy as np
@@ -92,3 +93,12 @@ def test_native_plan(spark):
     rows, _, bench = _case(spark)
     plan = decontam.contained_items(frames.docs(spark, rows), bench)._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_miss_bound_holds_at_every_size():
+    """P(fewer hits than asked for | containment 0.8) by the plain hypergeometric sum."""
+    for p in decontam.size_partitions()[:12]:
+        for n in range(2 ** p["size_class"], 2 ** (p["size_class"] + 1)):
+            k, inside = min(n, p["sample"]), math.ceil(0.8 * n - 1e-9)
+            short = sum(math.comb(inside, h) * math.comb(n - inside, k - h) for h in range(p["hits"]))
+            assert p["hits"] == 1 or short <= 1e-6 * math.comb(n, k), n
