@@ -13,7 +13,8 @@ Scoring is SQL functions only: paragraphs with a key word of the templates are
 cut into n-grams, joined with the weights, and summed; a paragraph without a
 key word has no n-gram of the model, so it is unknown.  A prediction is
 confirmed if the word trigrams of a template of its family occur in the
-paragraph to a share of ``confirm`` or more.
+paragraph to a share of ``confirm`` or more.  What a sentence denies ("not
+released under ...") is left out before all of it.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ TEMPLATES: dict[str, list[str]] = {
         "This project is licensed under the MIT License.",
         "Distributed under the terms of the MIT license.",
         "SPDX-License-Identifier: MIT",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software."],
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software.",
+        "The software is provided \"as is\", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement. In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software or the use or other dealings in the software."],
     "Apache": [
         "Licensed under the Apache License, Version 2.0.",
         "SPDX-License-Identifier: Apache-2.0",
@@ -44,40 +46,59 @@ TEMPLATES: dict[str, list[str]] = {
         "This work is licensed under the GNU General Public License, version 3.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
         "Licensed under the GNU GPL v3.",
+        "This program is distributed in the hope that it will be useful, but without any warranty; without even the implied warranty of merchantability or fitness for a particular purpose. See the GNU General Public License for more details.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
     "LGPL": [
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
         "SPDX-License-Identifier: LGPL-2.1-only",
+        "This library is distributed in the hope that it will be useful, but without any warranty; without even the implied warranty of merchantability or fitness for a particular purpose. See the GNU Lesser General Public License for more details.",
         "You can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."],
     "AGPL": [
         "This program is licensed under the GNU Affero General Public License, version 3.",
         "SPDX-License-Identifier: AGPL-3.0-only",
+        "This program is distributed in the hope that it will be useful, but without any warranty; without even the implied warranty of merchantability or fitness for a particular purpose. See the GNU Affero General Public License for more details.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
     "MPL": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
         "SPDX-License-Identifier: MPL-2.0"],
+    "EPL": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "SPDX-License-Identifier: EPL-2.0"],
+    "Zlib": [
+        "Released under the zlib License.",
+        "SPDX-License-Identifier: Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"],
     "BSD": [
         "Released under the BSD 3-Clause License.",
         "Licensed under the BSD License.",
         "SPDX-License-Identifier: BSD-3-Clause",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"],
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "This software is provided by the copyright holders and contributors \"as is\" and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed."],
     "ISC": [
         "Released under the ISC License.",
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "The software is provided \"as is\" and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness."],
     "CC-BY": [
         "Licensed under CC BY 4.0.",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License."],
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "Dieses Werk ist lizenziert unter einer Creative Commons Namensnennung 4.0 International Lizenz."],
     "CC-BY-SA": [
         "Licensed under CC BY-SA 4.0.",
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "Dieses Werk ist lizenziert unter einer Creative Commons Namensnennung - Weitergabe unter gleichen Bedingungen 4.0 International Lizenz."],
     "CC-BY-NC": [
         "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "Dieses Werk ist lizenziert unter einer Creative Commons Namensnennung - Nicht kommerziell 4.0 International Lizenz."],
     "CC-BY-ND": [
         "Licensed under CC BY-ND 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+        "Dieses Werk ist lizenziert unter einer Creative Commons Namensnennung - Keine Bearbeitungen 4.0 International Lizenz."],
     "CC-BY-NC-SA": [
         "Licensed under CC BY-NC-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."],
@@ -86,7 +107,13 @@ TEMPLATES: dict[str, list[str]] = {
         "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."],
     "public-domain": [
         "This work has been released into the public domain.",
+        "Released into the public domain.",
         "To the extent possible under law, the author has waived all copyright and related rights (CC0 1.0)."],
+    "Unlicense": [
+        "SPDX-License-Identifier: Unlicense",
+        "Released under the Unlicense.",
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."],
     "proprietary": [
         "All rights reserved.",
         "Copyright (c) 2020 by the authors. All rights reserved.",
@@ -102,15 +129,22 @@ COUNTEREXAMPLES = [
     "You may not use this road without permission.", "Creative people share their work.", "The domain of the function is public.",
     "This version of the program is distributed to schools.", "The author of the work has copied the notice.",
     "International trade is subject to the terms of the law.", "A license plate was found under the car.",
-    "Mit der Zeit und mit den anderen.", "The clause in the contract was modified.", "The commons was part of the village."]
+    "Mit der Zeit und mit den anderen.", "The eclipse of the sun was seen by the public.", "The warranty of the car was limited to a particular year.",
+    "The product is provided with a commercial contract.", "Dieses Werk ist unter anderen Bedingungen entstanden.", "The holders of the shares were liable for the damages.",
+    "The event was held in the hope that it would be useful.", "The products were derived from the means of the contributors.", "The clause in the contract was modified.", "The commons was part of the village."]
 #: Words of the templates that are too ordinary to tell anything alone.
 ORDINARY = frozenset(
     "the of and to in is that it for on are as with this be at have or by a an any all can you may not it has been into their if no work use file "
     "part person without above following met appear later either at your option extent possible law mit v c sa nc nd form code source see "
-    "under terms general version both other 0".split())
+    "under terms general version both other 0 but not limited more will shall from out or used its name names nor neither even hope useful details event "
+    "non regard kind particular purpose means made held use dieses werk ist unter einer nicht keine gleichen anyone whether contract action claim other".split())
 #: Short names that together tell a Creative Commons licence.
 CC_PARTS = frozenset("by nc sa nd".split())
 MAX_NGRAM = 3
+#: A licence that a sentence denies, from the denial to the sentence's end or its ``but``.
+DENIED = (r"(?<![\p{L}\p{N}])(?:not|never|no longer|nor|nicht|\p{L}+n['’]t)\s+(?:\p{L}+\s+){0,3}?"
+          r"(?:(?:re)?licen[sc](?:ed?|ing)|releas(?:ed?|ing)|distribut(?:ed?|ing)|available|covered|published?|lizenziert|veröffentlicht)"
+          r"(?![\p{L}\p{N}])(?:(?!\bbut\b|\bsondern\b)[^.;!?]|\.(?=\p{N}))*")
 
 
 def tokens(text: str) -> list[str]:
@@ -292,6 +326,7 @@ def scan(docs: DataFrame, model: LicenceModel, text: str = "text", doc_id: str =
               .select("doc_id", "text_hash", F.col("p2").alias("paragraph"), F.col("l2").alias("last"),
                       F.array_join(F.slice(F.split("low", LINE_END), F.col("p2") + 1, F.col("l2") - F.col("p2") + 1), " ").alias("line")).distinct())
     rows = rows.select("doc_id", "text_hash", "paragraph", "last", "line").unionByName(joined)
+    rows = rows.withColumn("line", F.regexp_replace("line", DENIED, " "))
     ws = rows.select("doc_id", "text_hash", "paragraph", "last", _numbers(words(F.col("line"))).alias("w"))
     grams = F.array_distinct(F.concat(*[_ngrams(F.col("w"), n) for n in range(1, MAX_NGRAM + 1)]))
     key = ["doc_id", "text_hash", "paragraph", "last"]

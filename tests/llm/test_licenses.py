@@ -63,6 +63,43 @@ def test_cc_combinations(spark):
         (1, "CC-BY-NC-SA", True), (2, "CC-BY-NC-ND", True), (3, "CC-BY-SA", True), (4, "CC-BY-NC", True)]
 
 
+#: Notices in other words than the templates'.
+OUTSIDE = [
+    ("MIT", "This plugin is open source software licensed under the MIT license, see LICENSE for details."),
+    ("Apache", "Our code is made available under the Apache License, Version 2.0, as of March."),
+    ("GPL", "You can copy this tool under the GNU General Public License version 2 or later."),
+    ("LGPL", "The bindings are covered by the GNU Lesser General Public License, version 3."),
+    ("AGPL", "The server is offered under the GNU Affero General Public License version 3."),
+    ("MPL", "Parts of this code are under the Mozilla Public License version 2.0."),
+    ("EPL", "All content is available under the terms of the Eclipse Public License v2.0, as published."),
+    ("EPL", "SPDX-License-Identifier: EPL-1.0"),
+    ("Zlib", "This file is released under the zlib license."),
+    ("Unlicense", "SPDX-License-Identifier: Unlicense"),
+    ("BSD", "Neither the name of Example Inc. nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("MIT", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."),
+    ("BSD", "THIS SOFTWARE IS PROVIDED BY THE REGENTS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY ARE DISCLAIMED."),
+    ("CC-BY", "Dieser Text ist lizenziert unter einer Creative Commons Namensnennung 3.0 International Lizenz."),
+    ("public-domain", "The map was released into the public domain."),
+]
+
+
+def test_notices_outside_the_templates(spark):
+    rows = [(i, f"Words of the text.\n{t}\nAnd more.") for i, (_, t) in enumerate(OUTSIDE)]
+    got = {(r["doc_id"], r["family"]) for r in licenses.scan(frames.docs(spark, rows), MODEL).collect()}
+    assert got == {(i, f) for i, (f, _) in enumerate(OUTSIDE)}
+
+
+def test_denied_and_mentioned(spark):
+    denied = ["We do not release this under the MIT License.", "This work is not licensed under the GNU General Public License, version 3.",
+              "The archive isn't available under the Apache License 2.0.", "Das Werk ist nicht lizenziert unter einer Creative Commons Namensnennung 4.0 International Lizenz.",
+              "The text was never released into the public domain.", "There was an eclipse in public.", "The warranty covers software of any kind."]
+    got = licenses.scan(frames.docs(spark, list(enumerate(denied)) + [
+        (50, "It is not licensed under the MIT License but licensed under the Apache License, Version 2.0."),
+        (51, "It is no longer distributed. Released under the MIT License."),
+        (52, "You may not use this file except in compliance. Licensed under the Apache License, Version 2.0.")]), MODEL).collect()
+    assert sorted((r["doc_id"], r["family"], r["confirmed"]) for r in got) == [(50, "Apache", True), (51, "MIT", True), (52, "Apache", True)]
+
+
 def test_odd_rows(spark):
     odd = frames.with_clashes(frames.docs(spark, frames.odd_rows() + [(None, "All rights reserved."), (77, "All rights reserved."), (77, "All rights reserved.")]))
     got = sorted(str(r["doc_id"]) for r in licenses.scan(odd, MODEL).collect())
