@@ -123,14 +123,16 @@ _SHINGLES = """
 SQL["op7_decontamination"] = f"""
 WITH d AS (SELECT DISTINCT doc_id, md5(text) AS h, [x for x in regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+') if x <> ''] AS w
            FROM documents WHERE text IS NOT NULL),
-b AS (SELECT item_id, [x for x in regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+') if x <> ''] AS w
+b AS (SELECT DISTINCT item_id, md5(text) AS ih, [x for x in regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+') if x <> ''] AS w
       FROM benchmark WHERE text IS NOT NULL),
 ds AS (SELECT DISTINCT * FROM ({_SHINGLES.format(key="doc_id, h", table="d")})),
-bs AS (SELECT DISTINCT * FROM ({_SHINGLES.format(key="item_id", table="b")})),
-n AS (SELECT item_id, count(*) AS item_shingles FROM bs GROUP BY item_id),
-m AS (SELECT doc_id, h, item_id, count(*) AS matched FROM ds JOIN bs USING (g) GROUP BY ALL)
-SELECT doc_id, item_id, matched, item_shingles, matched::DOUBLE / item_shingles AS containment
-FROM m JOIN n USING (item_id) WHERE matched >= 0.8 * item_shingles - 1e-9
+bs AS (SELECT DISTINCT * FROM ({_SHINGLES.format(key="item_id, ih", table="b")})),
+n AS (SELECT item_id, ih, count(*) AS item_shingles FROM bs GROUP BY ALL),
+m AS (SELECT doc_id, h, item_id, ih, count(*) AS matched FROM ds JOIN bs USING (g) GROUP BY ALL),
+found AS (SELECT doc_id, h, m.item_id, matched, item_shingles, matched::DOUBLE / item_shingles AS containment
+          FROM m JOIN n ON m.ih = n.ih AND m.item_id IS NOT DISTINCT FROM n.item_id WHERE matched >= 0.8 * item_shingles - 1e-9)
+SELECT doc_id, item_id, matched, item_shingles, containment FROM found
+QUALIFY row_number() OVER (PARTITION BY doc_id, h, item_id ORDER BY containment DESC, matched DESC) = 1
 """
 
 SQL["op4_jaccard_join"] = f"""

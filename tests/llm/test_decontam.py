@@ -102,3 +102,23 @@ def test_miss_bound_holds_at_every_size():
             k, inside = min(n, p["sample"]), math.ceil(0.8 * n - 1e-9)
             short = sum(math.comb(inside, h) * math.comb(n - inside, k - h) for h in range(p["hits"]))
             assert p["hits"] == 1 or short <= 1e-6 * math.comb(n, k), n
+
+
+def test_sql_has_one_item_per_text(spark, tmp_path):
+    """Two texts under one id, and under a null one: operator and SQL agree."""
+    import duckdb
+
+    from farelane.llm import queries
+    a, b, c = (" ".join(f"{k}{i}" for i in range(40)) for k in "abc")
+    docs = frames.docs(spark, [(1, f"x y z {a} end"), (2, f"start {b}"), (3, f"{c} {a}"), (4, "nothing of it"), (3, f"{c} {a}")])
+    items = spark.createDataFrame([(7, a), (7, b), (None, b), (None, c), (7, a), (8, None)], "item_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = queries.op7_decontamination(spark, str(tmp_path))
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    want = con.execute(queries.SQL["op7_decontamination"]).fetchall()
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(key, got.select("doc_id", "item_id", "matched", "item_shingles", "containment").collect())) == sorted(map(key, want))
+    assert {(r[0], r[1]) for r in want} == {(1, 7), (2, 7), (2, None), (3, 7), (3, None)}
