@@ -78,45 +78,6 @@ def dealt(blocks: Mapping[int, int], weights: Mapping[int, float]) -> Iterator[t
             heapq.heappush(waiting, (release, s, i + 1))
 
 
-def edf_cycle(blocks: Mapping[int, int]) -> list[int]:
-    """The source of each slot if the weights are the blocks, so that all
-    sources end together."""
-    return [s for s, _ in dealt(blocks, blocks)]
-
-
-def shares(weights: Mapping[int, float], period: int) -> dict[int, int]:
-    """Weights as whole slots of a cycle of ``period``: largest remainders, one
-    slot at least each.  Only for a look at the weights: the schedule takes
-    them exactly."""
-    total = sum(weights.values())
-    exact = {s: w / total * period for s, w in weights.items()}
-    out = {s: max(1, math.floor(x)) for s, x in exact.items()}
-    order = sorted(exact, key=lambda s: (-(exact[s] - math.floor(exact[s])), s))
-    short = period - sum(out.values())
-    for s in order[:max(0, short)]:
-        out[s] += 1
-    return out
-
-
-def phases(blocks: Mapping[int, int], weights: Mapping[int, float], period: int = 1000) -> list[dict]:
-    """What the phases of the schedule deal: first slot, length, blocks per
-    source (``share``) and first block of each source.  The weights count
-    exactly, whatever the ``period``."""
-    blocks = {s: n for s, n in blocks.items() if n > 0}
-    if not blocks:
-        return []
-    starts = Ideal(blocks, weights).starts()
-    out, done = [], dict.fromkeys(blocks, 0)
-    for slot, (s, i) in enumerate(dealt(blocks, weights)):
-        if len(out) < len(starts) and slot == starts[len(out)]:
-            out.append({"start": slot, "length": 0, "share": {}, "first": {x: done[x] for x in blocks if done[x] < blocks[x]}})
-        p = out[-1]
-        p["length"] += 1
-        p["share"][s] = p["share"].get(s, 0) + 1
-        done[s] = i + 1
-    return out
-
-
 def _schedule(spark: SparkSession, blocks: Mapping[int, int], weights: Mapping[int, float]) -> DataFrame:
     """(t_source, t_block, t_phase, slot_) of every block."""
     schema = "t_source int, t_block long, t_phase int, slot_ long"
@@ -134,15 +95,14 @@ def _schedule(spark: SparkSession, blocks: Mapping[int, int], weights: Mapping[i
 
 
 def mix(df: DataFrame, source: str = "source", weights: Mapping[str | None, float] | None = None, power: float = 0.5,
-        block_rows: int = 64, period: int = 1000, max_sources: int | None = None, seed: int = 23,
-        rows_per_cell: int = 50_000) -> DataFrame:
+        block_rows: int = 64, max_sources: int | None = None, seed: int = 23, rows_per_cell: int = 50_000) -> DataFrame:
     """``df`` with ``phase`` (int), ``block`` (long, of the source), ``slot``
     (long, of the schedule), ``block_row`` (int) and ``mix_position`` (long,
     slot x block_rows + block_row: the order of the mix).
 
     ``weights``: target weight of each source, positive; without it a source
-    of n rows weighs n ** power.  Weights count exactly, so ``period`` has no
-    effect.  Null is a source like any other.  A source
+    of n rows weighs n ** power.  Weights count exactly.  Null is a source
+    like any other.  A source
     that ``weights`` lacks raises; any number of sources is mixed, unless
     ``max_sources`` is given, which more sources than that raise.
     Every row is kept; rows of a source come in a random order.  Names get

@@ -8,7 +8,7 @@ from tests.llm import frames
 
 def test_cycle_stays_within_one_block():
     for blocks in ({0: 1, 1: 1}, {0: 500, 1: 300, 2: 200}, {0: 1, 1: 998, 2: 1}, dict(enumerate([7, 13, 1, 1, 28, 50]))):
-        cycle = mixing.edf_cycle(blocks)
+        cycle = [s for s, _ in mixing.dealt(blocks, blocks)]  # all sources end together
         length, got = sum(blocks.values()), Counter()
         assert Counter(cycle) == blocks
         for t, s in enumerate(cycle, 1):
@@ -16,23 +16,7 @@ def test_cycle_stays_within_one_block():
             assert all(abs(got[x] * length - m * t) < length for x, m in blocks.items())
 
 
-def test_shares_and_phases():
-    assert sum(mixing.shares({0: 0.3, 1: 0.7, 2: 1e-9}, 1000).values()) >= 1000
-    plan = mixing.phases({0: 100, 1: 10, 2: 1}, {0: 1.0, 1: 1.0, 2: 1.0}, 9)
-    total = Counter()
-    start = 0
-    for i, p in enumerate(plan):
-        nxt = plan[i + 1]["start"] if i + 1 < len(plan) else 111
-        cycles = (nxt - p["start"]) // p["length"]
-        assert p["start"] == start and cycles * p["length"] == nxt - p["start"]
-        for s, m in p["share"].items():
-            assert p["first"][s] == total[s]
-            total[s] += m * cycles
-        start = nxt
-    assert total == {0: 100, 1: 10, 2: 1}
-
-
-def _check(rows, weights, names, block_rows, period):
+def _check(rows, weights, names, block_rows):
     """Slots are dealt once each, blocks in order, less than a block off in every phase."""
     slots = {}
     for r in rows:
@@ -45,31 +29,28 @@ def _check(rows, weights, names, block_rows, period):
         mine = [slots[t][1] for t in sorted(slots) if slots[t][0] == s]
         assert mine == list(range(-(-c // block_rows)))
     first_phase = [t for t in sorted(slots) if next(r["phase"] for r in rows if r["slot"] == t) == 0]
-    share = mixing.shares(weights, period)
-    if all(-(-n[names[i]] // block_rows) >= m for i, m in share.items()):
-        got = Counter()
-        for t in first_phase:
-            got[slots[t][0]] += 1
-            for i, m in share.items():
-                assert abs(got[names[i]] * sum(share.values()) - m * (t + 1)) < sum(share.values())
+    got, total = Counter(), sum(weights.values())
+    for t in first_phase[:-1]:  # all sources last until here
+        got[slots[t][0]] += 1
+        assert all(abs(got[names[i]] - (t + 1) * w / total) < 1 + 1e-6 for i, w in weights.items())
 
 
 def test_hot_source_and_targets(spark):
     rows = [(i, f"t{i}", "hot" if i % 3 == 0 else f"s{i % 5}") for i in range(900)] + [(1000 + i, None, None) for i in range(7)]
     df = frames.docs(spark, rows)
     weights = {"hot": 0.5, "s0": 0.1, "s1": 0.1, "s2": 0.1, "s3": 0.1, "s4": 0.05, None: 0.05}
-    got = mixing.mix(df, weights=weights, block_rows=2, period=20, rows_per_cell=40).collect()
+    got = mixing.mix(df, weights=weights, block_rows=2, rows_per_cell=40).collect()
     assert sorted(r["doc_id"] for r in got) == sorted(r[0] for r in rows)
     names = sorted((k for k in weights if k), key=str) + [None]
-    _check(got, {i: weights[s] for i, s in enumerate(names)}, names, 2, 20)
+    _check(got, {i: weights[s] for i, s in enumerate(names)}, names, 2)
 
 
 def test_rows_alike_odd_rows_and_clashes(spark):
     df = frames.with_clashes(frames.docs(spark, frames.odd_rows() + [(5, "same", "s1")] * 50))
-    out = mixing.mix(df, block_rows=4, period=8)
+    out = mixing.mix(df, block_rows=4)
     assert out.columns[:len(df.columns)] == df.columns and out.count() == len(frames.odd_rows()) + 50
     assert len({r["mix_position_"] for r in out.collect()}) == out.count()
-    ordered = mixing.in_mix_order(df, block_rows=4, period=8)
+    ordered = mixing.in_mix_order(df, block_rows=4)
     assert ordered.columns == df.columns
     key = lambda r: (str(r["doc_id"]), str(r["text"])[:40])
     assert [key(r) for r in ordered.collect()] == [key(r) for r in sorted(out.collect(), key=lambda r: r["mix_position_"])]
@@ -128,12 +109,13 @@ def test_exact_weights_over_many_cycles():
     # equal sources whose share is no whole number of 1000 slots, and one far under a slot
     blocks = {0: 20_000} | {i: 2100 for i in range(1, 20)} | {20: 5}
     weights = {s: n ** 0.5 for s, n in blocks.items()} | {20: 0.01}
-    plan = mixing.phases(blocks, weights, 1000)
-    assert [sum(p["share"].get(s, 0) for p in plan) for s in blocks] == list(blocks.values())
+    slots = list(mixing.dealt(blocks, weights))
+    assert Counter(s for s, _ in slots) == Counter(blocks)
     total, got = sum(weights.values()), Counter()
-    assert plan[0]["length"] > 40_000
-    for t, (s, _) in enumerate(mixing.dealt(blocks, weights), 1):
-        if t >= plan[0]["length"]:  # all sources last until here
+    first = mixing.Ideal(blocks, weights).starts()[1]
+    assert first > 40_000
+    for t, (s, _) in enumerate(slots, 1):
+        if t >= first:  # all sources last until here
             break
         got[s] += 1
         assert all(abs(got[x] - t * w / total) < 1 + 1e-6 for x, w in weights.items())
@@ -144,7 +126,7 @@ def test_any_number_of_sources(spark, monkeypatch):
     df = frames.docs(spark, rows)
     small = mixing.mix(df, block_rows=4).collect()
     n = Counter(r[2] for r in rows)
-    _check(small, {i: n[s] ** 0.5 for i, s in enumerate(sorted(n))}, sorted(n), 4, 1000)
+    _check(small, {i: n[s] ** 0.5 for i, s in enumerate(sorted(n))}, sorted(n), 4)
     assert sorted(r["doc_id"] for r in small) == list(range(1000)) and len(n) > 400
     # without broadcasts, the schedule in parts
     monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0)
