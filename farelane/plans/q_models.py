@@ -31,6 +31,12 @@ def processed(spark, sf):
     return materialize(t), art
 
 
+def boosted(t, feats):
+    """``gbt_a`` on the training rows, dealt out by key: as the processed
+    table's files lie, a single task may hold them all."""
+    return ML.fit(ML.training_table(t.filter(F.col("split") == "train")), "gbt_a", feats, TARGET, MP.gbt_a)
+
+
 def gbt_predict(spark, sf):
     t, _ = processed(spark, sf)
     feats = ML.feature_columns(t, TARGET)
@@ -41,7 +47,7 @@ def gbt_predict(spark, sf):
 def feature_importances(spark, sf):
     t, _ = processed(spark, sf)
     feats = ML.feature_columns(t, TARGET)
-    model = ML.fit(t.filter(F.col("split") == "train"), "gbt_a", feats, TARGET, MP.gbt_a)
+    model = boosted(t, feats)
     return ML.feature_importances(spark, model, feats, top=30)
 
 

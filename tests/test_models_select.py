@@ -258,3 +258,27 @@ def test_exact_folds(spark):
     df = spark.range(103).select(F.when(F.col("id") > 5, F.col("id")).alias("trip_id"))
     n = [r["count"] for r in S.exact_folds(df, 5).groupBy("fold").count().collect()]
     assert sorted(n) == [20, 20, 21, 21, 21] and S.exact_folds(df.filter("false"), 5).count() == 0
+
+
+@pytest.fixture
+def layouts(spark, monkeypatch):
+    """The model queries with quick settings on the same toy rows, in files of
+    two layouts: a call's results for both."""
+    from farelane.config import ModelParams
+    from farelane.plans import q_models
+    monkeypatch.setattr(q_models, "MP", ModelParams(gbt_a=dict(maxIter=4, maxDepth=3, subsamplingRate=0.6, seed=3)))
+    toy = _toy(spark).select("trip_id", "a", "b", F.col("y").alias("Fare_Amt"), F.when(F.col("is_val"), "val").otherwise("train").alias("split"))
+    frames = [toy.repartition(1).sortWithinPartitions(F.col("trip_id").desc()), toy.repartition(5, "a")]
+
+    def both(query):
+        out = []
+        for f in frames:
+            monkeypatch.setattr(q_models, "processed", lambda *_, f=f: (f, {}))
+            out.append(sorted(map(tuple, getattr(q_models, query)(spark, "").collect())))
+        return out
+    return both
+
+
+def test_importances_dont_hang_on_the_files(layouts):
+    one, other = layouts("feature_importances")
+    assert one == other and {f for f, _ in one} == {"a", "b"}
