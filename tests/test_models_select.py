@@ -282,3 +282,8 @@ def layouts(spark, monkeypatch):
 def test_importances_dont_hang_on_the_files(layouts):
     one, other = layouts("feature_importances")
     assert one == other and {f for f, _ in one} == {"a", "b"}
+
+
+def test_predictions_dont_hang_on_the_files(layouts):
+    one, other = layouts("gbt_predict")
+    assert one == other and len(one) == 100
