@@ -287,3 +287,14 @@ def test_importances_dont_hang_on_the_files(layouts):
 def test_predictions_dont_hang_on_the_files(layouts):
     one, other = layouts("gbt_predict")
     assert one == other and len(one) == 100
+
+
+def test_fares_dont_hang_on_the_files(spark, layouts, monkeypatch):
+    from farelane.plans import q_models
+    from farelane.sources.tables import monthly_trips_from_events
+    events = spark.range(60).selectExpr("id AS event_id", "TIMESTAMP_NTZ '2024-01-05 10:00:00' AS ts", "CAST(id AS DOUBLE) AS value")
+    monkeypatch.setattr(q_models, "load_monthly_trips", lambda *_: monthly_trips_from_events(events))
+    monkeypatch.setattr(q_models.pipeline, "score_features", lambda req, _: req.select(
+        "trip_id", (F.col("trip_id") % 17).cast("double").alias("a"), (F.col("trip_id") * 7919 % 101).cast("double").alias("b")))
+    one, other = layouts("score_trips")
+    assert one == other and len(one) == 20
