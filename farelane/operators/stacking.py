@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from farelane.operators.models import FITS_AT_ONCE, concurrently, training_table
 from farelane.operators.split import hash32, hash_folds
+from farelane.session import materialize
 
 
 def gram_sums(df: DataFrame, features: list[str], label: str) -> dict:
@@ -86,10 +87,11 @@ def stack_oof(df: DataFrame, fit_predict, old_col: str, label: str, k: int = 5,
 
     ``fit_predict`` returns ``apply_df`` with ``pred_col`` added.  The folds are
     fitted side by side, ``at_once`` at a time, each on its own training table.
-    ``folds``: how rows are dealt (``hash_folds`` or ``exact_folds``).
+    ``folds``: how rows are dealt (``hash_folds`` or ``exact_folds``); the dealt
+    rows are written once, so that all fits see the same folds.
     ``also``: other fits (name -> call) to run with them; the dict gets their
     results."""
-    d = folds(df, k, key, seed, "_fold")
+    d = materialize(folds(df, k, key, seed, "_fold"), ["_fold"])
 
     def fold(i):
         return lambda: fit_predict(training_table(d.filter(F.col("_fold") != i).drop("_fold"), key), d.filter(F.col("_fold") == i))

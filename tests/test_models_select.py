@@ -187,6 +187,21 @@ def test_stack_oof_matches_numpy(spark):
     assert coefs["intercept"] == pytest.approx(y.mean() - Z.mean(0) @ c, rel=1e-6, abs=1e-9)
 
 
+def test_rows_are_dealt_to_folds_once(spark):
+    import os
+    dealt = F.udf(lambda: os.urandom(1)[0] % 3, "int").asNondeterministic()
+    df = spark.range(60).select(F.col("id").alias("trip_id"), F.col("id").cast("double").alias("y"), F.sin("id").alias("pred_old"))
+    seen = []
+
+    def fit_predict(tr, ap):
+        seen.append(tuple({r["trip_id"] for r in d.collect()} for d in (tr, ap)))
+        return ap.withColumn("pred_new", F.cos("trip_id"))
+
+    oof, _ = ST.stack_oof(df, fit_predict, "pred_old", "y", k=3, folds=lambda d, k, key, seed, out: d.withColumn(out, dealt()))
+    assert len(seen) == 3 and all(tr | ap == set(range(60)) and not tr & ap for tr, ap in seen)
+    assert sorted(r["trip_id"] for r in oof.collect()) == list(range(60))
+
+
 def test_metric_edge_rules(spark):
     from farelane.operators import metrics as M
     const = spark.createDataFrame([(2.0, 2.0, 2.5), (2.0, 2.0, 1.5)], "y double, exact double, off double")
