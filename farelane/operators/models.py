@@ -92,8 +92,8 @@ def fit(df: DataFrame, name: str, features: list[str], label: str, params: dict
 def training_table(df: DataFrame, key: str = "trip_id", rows_per_partition: int = 50_000) -> DataFrame:
     """``df`` written once for all fits that read it.  Rows are dealt and sorted
     by ``key`` into partitions of about ``rows_per_partition``, so that sampled
-    rows, and with them the fitted trees, don't hang on the cluster's size."""
-    df = materialize(df)
+    rows, and with them the fitted trees, don't hang on the cluster's size.
+    ``df`` is read twice, to count and to deal, so it should read a written table."""
     n = max(1, -(-df.count() // rows_per_partition))
     return materialize(df.repartition(n, F.col(key)).sortWithinPartitions(key))
 

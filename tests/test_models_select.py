@@ -247,6 +247,16 @@ def test_concurrent_fits_equal_sequential_ones(spark):
         ML.concurrently(spark, {"x": bad, "y": lambda: 1})
 
 
+def test_training_table_is_written_once(spark):
+    from farelane import session
+    from farelane.operators import models as ML
+    before = len(session._STAGES)
+    table = ML.training_table(_toy(spark), rows_per_partition=150)
+    assert len(session._STAGES) == before + 1 and table.count() == 400
+    per_file = [r["count"] for r in table.groupBy(F.input_file_name()).count().collect()]
+    assert len(per_file) == 3 and sum(per_file) == 400
+
+
 def test_training_curve_is_the_error_of_every_round(spark):
     from farelane.operators import models as ML
     df = _toy(spark)
