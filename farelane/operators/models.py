@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelane.config import ModelParams
+from farelane.operators import boosting
 from farelane.session import materialize
 
 BASE_FEATURES = [
@@ -85,8 +86,15 @@ def feature_columns(df: DataFrame, target: str, exclude=("trip_id", "split", "mo
 
 def fit(df: DataFrame, name: str, features: list[str], label: str, params: dict | None = None,
         prediction: str = "prediction") -> PipelineModel:
+    """Boosted trees grow in one task where its memory holds the binned rows
+    (``boosting``), the others, and all larger ones, in MLlib's jobs."""
     asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[asm, estimator(name, params, label=label, prediction=prediction)]).fit(df)
+    est = estimator(name, params, label=label, prediction=prediction)
+    if isinstance(est, GBTRegressor) and boosting.fits_here(est, df, features):
+        model = boosting.fit(est, asm.transform(df), features)
+        if model is not None:
+            return PipelineModel([asm, model])
+    return Pipeline(stages=[asm, est]).fit(df)
 
 
 def training_table(df: DataFrame, key: str = "trip_id", rows_per_partition: int = 50_000) -> DataFrame:

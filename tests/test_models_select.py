@@ -323,3 +323,73 @@ def test_fares_dont_hang_on_the_files(spark, layouts, monkeypatch):
         "trip_id", (F.col("trip_id") % 17).cast("double").alias("a"), (F.col("trip_id") * 7919 % 101).cast("double").alias("b")))
     one, other = layouts("score_trips")
     assert one == other and len(one) == 20
+
+
+def _mllib(df, params, prediction="prediction"):
+    """MLlib's own fit of ``gbt_a``, assembled as in ``models.fit``."""
+    from pyspark.ml.feature import VectorAssembler
+    from farelane.operators import models as ML
+    asm = VectorAssembler(inputCols=["a", "b"], outputCol="features", handleInvalid="keep")
+    return ML.estimator("gbt_a", params, label="y", prediction=prediction).fit(asm.transform(df))
+
+
+def _jobs(spark, call):
+    import uuid
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = call()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+@pytest.mark.parametrize("params", [dict(maxIter=12, maxDepth=5, subsamplingRate=0.7, stepSize=0.09, seed=3),
+                                    dict(maxIter=6, maxDepth=4, seed=1, minInstancesPerNode=4, minInfoGain=0.01)])
+def test_boosted_trees_are_mllibs_in_few_jobs(spark, params):
+    """On one partition all trees are MLlib's to the last bit, without a job for every level."""
+    from farelane.operators import models as ML
+    df = _toy(spark).coalesce(1)
+    model, jobs = _jobs(spark, lambda: ML.fit(df, "gbt_a", ["a", "b"], "y", params, prediction="p"))
+    ours, own = model.stages[-1], _mllib(df, params, "p")
+    assert jobs < params["maxIter"] * params["maxDepth"] / 2
+    assert ours.toDebugString.split("\n", 1)[1] == own.toDebugString.split("\n", 1)[1]
+    assert ours.featureImportances == own.featureImportances and ours.treeWeights == own.treeWeights
+    assert {p.name: v for p, v in ours.extractParamMap().items()} == {p.name: v for p, v in own.extractParamMap().items()}
+
+
+def test_boosted_trees_on_more_partitions(spark):
+    """Sums in another order than MLlib's: the same fit up to rounding."""
+    from farelane.operators import models as ML
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([tuple(map(float, r)) for r in rng.normal(size=(900, 3))], "a double, b double, e double").select(
+        "a", "b", (F.col("a") * F.col("b") + F.col("e") / 3).alias("y")).repartition(3, "a").sortWithinPartitions("a").cache()
+    params = dict(maxIter=5, maxDepth=4, stepSize=0.3, seed=3, minInstancesPerNode=5)
+    ours, own = ML.fit(df, "gbt_a", ["a", "b"], "y", params), _mllib(df, params)
+    assert ours.stages[-1].totalNumNodes == own.totalNumNodes
+    both = own.transform(ours.transform(df).withColumnRenamed("prediction", "ours")).select("ours", "prediction").collect()
+    assert [r["ours"] for r in both] == pytest.approx([r["prediction"] for r in both], rel=1e-9, abs=1e-9)
+    again = ML.fit(df, "gbt_a", ["a", "b"], "y", params)
+    assert again.stages[-1].toDebugString.split("\n", 1)[1] == ours.stages[-1].toDebugString.split("\n", 1)[1]
+    df.unpersist()
+
+
+def test_large_tables_are_fitted_by_mllib(spark, monkeypatch):
+    from farelane.operators import boosting
+    from farelane.operators import models as ML
+    params, df = dict(maxIter=3, maxDepth=3, seed=3), _toy(spark).coalesce(1)
+    few, jobs_few = _jobs(spark, lambda: ML.fit(df, "gbt_a", ["a", "b"], "y", params))
+    monkeypatch.setattr(boosting, "CELLS_IN_A_TASK", 799)
+    many, jobs_many = _jobs(spark, lambda: ML.fit(df, "gbt_a", ["a", "b"], "y", params))
+    assert jobs_many > jobs_few and many.stages[-1].toDebugString.split("\n", 1)[1] == few.stages[-1].toDebugString.split("\n", 1)[1]
+
+
+def test_a_fitted_model_is_saved_and_read(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+    from farelane.operators import models as ML
+    df = _toy(spark)
+    model = ML.fit(df, "gbt_b", ["a", "b"], "y", dict(maxIter=3, maxDepth=3, seed=3), prediction="p")
+    model.write().save(str(tmp_path / "m"))
+    read = PipelineModel.load(str(tmp_path / "m"))
+    assert sorted(r["p"] for r in read.transform(df).collect()) == sorted(r["p"] for r in model.transform(df).collect())
+    assert {p.name: v for p, v in read.stages[-1].extractParamMap().items()} == {p.name: v for p, v in model.stages[-1].extractParamMap().items()}
